@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["bpe"]
+MODULES = ["bpe", "simhash", "packing"]
 
 
 def _all(name: str) -> dict:
