@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["bpe", "substring", "simhash", "packing", "quality"]
+MODULES = ["bpe", "substring", "html", "simhash", "packing", "quality"]
 
 
 def _all(name: str) -> dict:
