@@ -1,23 +1,41 @@
 """Ids of whole texts from the tokenizers library, which is asked once for each distinct piece of text in a while.
 
 Both vocabularies split a text before they merge: the byte-level one always before a single space between two
-non-blanks and around a single line feed, the lower-casing one at every blank. So a text's ids are its pieces' ids one
-after another, and the pieces repeat. Texts with any other pattern of blanks go to the library whole.
+non-blanks, around a single line feed and before a mark that follows a word; the lower-casing one at every blank and
+around marks. So a text's ids are its pieces' ids one after another, and the pieces repeat. Texts with any other pattern
+of blanks or marks are cut more coarsely or go to the library whole.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 
-CACHE = 200_000
+CACHE = 500_000
 CHARS = 2_000_000
 # Blanks (Unicode White_Space) other than the plain space and the line feed; U+001C to U+001F are blanks for Python only.
-BLANKS = "\t\x0b\x0c\r\x85\xa0                　"
+BLANKS = "\t\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 UNEVEN = ("  ", " \n", "\n ", "\n\n", *BLANKS)
+GLUED, HEAD = "\x01", "\x02"
 SEPARATORS = "\x1c\x1d\x1e\x1f"
+BESIDE_MARK = re.compile(r"[.,][^\w\s]|[^\w\s][.,]|_[.,]|[.,]_")
+BEFORE_MARK = re.compile(r"[\W_][.,]|^[.,]")
+
+
+class _Index(dict):
+    """Numbers keys as they come; ``new`` has those not seen before."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
 
 
 class WordIds:
@@ -28,31 +46,76 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        same = self.tokenizer.encode("a b", add_special_tokens=False).ids == self.tokenizer.encode("a  b", add_special_tokens=False).ids
-        self.split: Callable[[str], list[str] | None] = self.at_blanks if same else self.at_spaces
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.blind = self.ask(["a b"]) == self.ask(["a  b"])  # blanks leave no trace in the ids
+        self.split: Callable[[str], list[str] | None] = self.at_blanks if self.blind else self.at_spaces
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        edge = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end (or, byte-level, begin) a word
+        for word, n in vocabulary.items():
+            edge[n] = word.endswith("</w>") if self.blind else word.startswith("Ġ")
+        self.edge = edge
+        self.forget()
+
+    def forget(self) -> None:
+        self.index = _Index()
+        self.starts, self.lens, self.flat, self.filled = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 14, "<u4"), 0
 
     @staticmethod
     def at_blanks(text: str) -> list[str] | None:
-        return None if any(c in text for c in SEPARATORS) else text.split()
+        if any(c in text for c in SEPARATORS):
+            return None
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            pass
+        else:
+            text = text.lower()
+        if "'" not in text and not BESIDE_MARK.search(text):
+            text = text.replace(".", " . ").replace(",", " , ")
+        return text.split()
 
     @staticmethod
     def at_spaces(text: str) -> list[str] | None:
-        if text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or any(c in text for c in UNEVEN):
+        if text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or GLUED in text or HEAD in text or any(c in text for c in UNEVEN):
             return None
-        out = []
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append("\n")
-            head, *rest = line.split(" ")
-            out.append(head)
-            out += [" " + w for w in rest]
-        return out
+        if not BEFORE_MARK.search(text):
+            text = text.replace(", ", " \x01, ").replace(". ", " \x01. ").replace(".\n", " \x01.\n").replace(",\n", " \x01,\n")
+            if text[-1:] in (".", ","):
+                text = f"{text[:-1]} \x01{text[-1]}"
+        return (HEAD + text.replace("\n", " \x01\n \x02")).split(" ")
 
     def ask(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, keys: list[str]) -> None:
+        """Ids of new keys: plain words side by side in one text, told apart at word edges; all others one by one."""
+        first = len(self.index) - len(keys)
+        plain = [k for k, w in enumerate(keys) if w.isalpha()]
+        found: list[np.ndarray | None] = [None] * len(keys)
+        for at in range(0, len(plain), 5000):
+            own = plain[at : at + 5000]
+            joined = " ".join([keys[k] for k in own])
+            ids = np.array(self.tokenizer.encode_batch_fast([joined if self.blind else " " + joined], add_special_tokens=False)[0].ids, "<u4")
+            cut = np.nonzero(self.edge[ids])[0] + self.blind
+            if len(cut) == len(own):
+                for k, part in zip(own, np.split(ids, cut[:-1] if self.blind else cut[1:]), strict=True):
+                    found[k] = part
+        rest = [k for k, x in enumerate(found) if x is None]
+        told = [keys[k] if self.blind else keys[k][1:] if keys[k][:1] in (GLUED, HEAD) else " " + keys[k] for k in rest]
+        for at in range(0, len(rest), 20_000):
+            for k, ids in zip(rest[at : at + 20_000], self.ask(told[at : at + 20_000]), strict=True):
+                found[k] = np.frombuffer(ids, "<u4")
+        lens = np.array([len(x) for x in found], np.int64)
+        flat = np.concatenate([x for x in found if x is not None])
+        upto = first + len(keys)
+        if upto > len(self.starts):
+            self.starts, self.lens = np.resize(self.starts, 2 * upto), np.resize(self.lens, 2 * upto)
+        if self.filled + len(flat) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * (self.filled + len(flat)))
+        self.lens[first:upto] = lens
+        self.starts[first:upto] = self.filled + np.cumsum(lens) - lens
+        self.flat[self.filled : self.filled + len(flat)] = flat
+        self.filled += len(flat)
+
     def of(self, texts: list[str]) -> Iterator[bytes]:
         at = 0
         while at < len(texts):
@@ -60,22 +123,22 @@ class WordIds:
             while upto < len(texts) and (upto == at or size + len(texts[upto]) <= CHARS):
                 size += len(texts[upto])
                 upto += 1
-            split = [self.split(t) for t in texts[at:upto]]
-            young, old = self.young, self.old
-            missing = {w for own in split if own for w in own if w not in young}
-            if len(young) + len(missing) > CACHE and young:
-                self.old, self.young = young, {}
-                old, young = self.old, self.young
-                missing = {w for own in split if own for w in own}
-            for w in [w for w in missing if w in old]:
-                young[w] = old[w]
-                missing.discard(w)
-            new = list(missing)
-            for k in range(0, len(new), 20_000):
-                young.update(zip(new[k : k + 20_000], self.ask(new[k : k + 20_000]), strict=True))
-            get = young.__getitem__
-            for t, own in zip(texts[at:upto], split, strict=True):
-                yield b"".join(map(get, own)) if own is not None else self.ask([t])[0] if t else b""
+            split = [self.split(t) if t else [] for t in texts[at:upto]]
+            if len(self.index) > CACHE:
+                self.forget()
+            counts = [len(own) if own else 0 for own in split]
+            index = np.fromiter(map(self.index.__getitem__, chain.from_iterable(own for own in split if own)), np.int64, sum(counts))
+            if self.index.new:
+                self._learn(self.index.new)
+                self.index.new = []
+            lens = self.lens[index]
+            ends = np.cumsum(lens)
+            where = np.repeat(self.starts[index] - ends + lens, lens)
+            where += np.arange(len(where))
+            data = self.flat[where].tobytes()
+            bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))] * 4
+            for t, own, a, b in zip(texts[at:upto], split, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                yield data[a:b] if own is not None else self.ask([t])[0]
             at = upto
 
 
