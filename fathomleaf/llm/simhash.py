@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomleaf.llm._shared import free_name, staged, table, whole_text
+from fathomleaf.llm._shared import cores, free_name, staged, table, whole_text
 from fathomleaf.llm.components import components
 
 BUCKET = 32
@@ -32,9 +32,15 @@ SEED = 42
 
 def fingerprint(text: str, words: int = 3) -> int:
     """The majority, bit by bit, of the XXH64 of all word shingles; unsigned."""
+    h = _hashes(text, words)
+    return _majority(h) if len(h) else 0
+
+
+def _hashes(text: str, words: int) -> np.ndarray:
+    """XXH64 of every shingle; of the whole sequence of fewer words."""
     own = text.encode("utf-8").lower().split()
     if not own:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(own)
     if len(own) <= words:
         hashes = [xxhash.xxh64_intdigest(joined, SEED)]
@@ -44,7 +50,7 @@ def fingerprint(text: str, words: int = 3) -> int:
         starts = [0, *stops[: len(own) - words].tolist()]
         digest = xxhash.xxh64_intdigest
         hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, ends, strict=True)]
-    return _majority(np.array(hashes, np.uint64))
+    return np.array(hashes, np.uint64)
 
 
 def _majority(h: np.ndarray) -> int:
@@ -100,16 +106,137 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(near_components(rows, id_col), "fp_").select(id_col, F.lower(F.lpad(F.hex("fp_"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
-    """Of each component the row with the least id (nulls last; of equal ids the first read); all columns stay."""
+class Wide:
+    """A long SimHash for similarity thresholds that 64 bits cannot tell apart.
+
+    Shingles are count-sketched into ``bits`` signed buckets, and the signs of a Hadamard transform are the fingerprint.
+    Two texts of Jaccard similarity J (cosine 2J / (1 + J) for sets) differ in a share acos(cosine) / pi of the bits. The
+    fingerprint is split into ``blocks`` of ``width`` bits, wide enough that ``n`` unlike texts seldom share one, and so
+    many that two texts at the threshold share one with probability ``RECALL``; more alike texts share many.
+    """
+
+    RECALL = 0.98
+
+    def __init__(self, n: int, similarity: float = 0.8, words: int = 5) -> None:
+        self.words = words
+        share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+        self.width = min(40, max(12, int(np.ceil(np.log2(max(2, n)))) + 1))
+        self.blocks = int(np.ceil(np.log(1 - self.RECALL) / np.log1p(-((1 - share) ** self.width))))
+        self.bits = max(2048, 1 << int(np.ceil(np.log2(self.width * self.blocks))))
+        spread = 2 * (share * (1 - share) / self.bits) ** 0.5
+        self.distance = int(self.bits * (share + spread))
+        self.near = int(64 * share + 3.5 * (64 * share * (1 - share)) ** 0.5)  # for the first 64 bits alone
+
+    def sketch(self, text: str) -> np.ndarray:
+        out = np.zeros(self.bits, np.float32)
+        h = _hashes(text, self.words)
+        if len(h):
+            np.add.at(out, (h >> np.uint64(1)).astype(np.int64) & (self.bits - 1), np.where(h & np.uint64(1), np.float32(1), np.float32(-1)))
+        return out
+
+    def fingerprints(self, texts: list[str]) -> np.ndarray:
+        """One row of bits a text."""
+        x = np.stack([self.sketch(t) for t in texts]) if texts else np.zeros((0, self.bits), np.float32)
+        signs = np.where(np.random.default_rng(SEED).random(self.bits) < 0.5, np.float32(-1), np.float32(1))
+        x *= signs
+        h = 1
+        while h < self.bits:
+            y = x.reshape(len(x), -1, 2, h)
+            x = np.stack((y[:, :, 0] + y[:, :, 1], y[:, :, 0] - y[:, :, 1]), axis=2).reshape(len(x), self.bits)
+            h *= 2
+        return x > 0
+
+    def keys(self, packed: np.ndarray) -> np.ndarray:
+        """Block keys, one row a fingerprint: the block's number above its bits."""
+        bits = np.unpackbits(packed, axis=1)[:, : self.blocks * self.width].reshape(len(packed), self.blocks, self.width)
+        return bits.astype(np.int64) @ (1 << np.arange(self.width, dtype=np.int64)) + (np.arange(self.blocks, dtype=np.int64) << 40)
+
+
+CROWD = 8
+CHUNK = 256
+
+
+def _wide(rows: DataFrame, keep: list[str], text_col: str, w: Wide) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(at, CHUNK)
+                packed = np.packbits(w.fingerprints(part.column(part.num_columns - 1).to_pylist()), axis=1)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([p.tobytes() for p in packed], pa.binary())], names=out.names)
+
+    out = T.StructType([*(rows.schema[c] for c in keep), T.StructField("fp_", T.BinaryType())])
+    return rows.select(*keep, whole_text(text_col).alias("text_")).mapInArrow(run, out)
+
+
+def _wide_links(nodes: DataFrame, w: Wide) -> DataFrame:
+    """(a, b): nodes (node, fp_) whose fingerprints are within ``w.distance`` bits.
+
+    One shuffle deals out (block key, node, first 64 bits), sorted. Members of a block meet in pairs; in blocks of more
+    than ``CROWD`` members, which only dense groups of near copies make, each meets its ``CROWD`` neighbours in the order
+    of the first 64 bits, and the block's first: in every one of the many blocks that it shares, with others each time.
+    """
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(at, CHUNK)
+                packed = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                node = part.column(0).to_numpy(zero_copy_only=False)
+                first = np.ascontiguousarray(packed[:, :8]).view("<i8")[:, 0]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w.keys(packed).reshape(-1), np.repeat(node, w.blocks), np.repeat(first, w.blocks))], names=["key", "node", "sig"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tail = [np.zeros(0, np.int64)] * 3
+        lead = (None, 0, 0)  # the block's first member, where a block runs over batches
+        for batch in batches:
+            key, node, sig = (np.concatenate((t, c.to_numpy(zero_copy_only=False))) for t, c in zip(tail, batch.columns, strict=True))
+            fresh = np.concatenate(([True], key[1:] != key[:-1]))
+            starts = np.nonzero(fresh)[0]
+            begin = starts[np.cumsum(fresh) - 1]
+            hub_n, hub_s = node[begin], sig[begin]
+            if lead[0] is not None and len(key):
+                same = key == lead[0]
+                hub_n[same], hub_s[same] = lead[1], lead[2]
+            a, b = [], []
+            for k in range(0, CROWD + 1):
+                x, y = (hub_n, node) if k == 0 else (node[:-k], node[k:])
+                p, q = (hub_s, sig) if k == 0 else (sig[:-k], sig[k:])
+                ok = (x != y) & (np.bitwise_count((p ^ q).view(np.uint64)) <= w.near)
+                if k:
+                    ok &= key[k:] == key[:-k]
+                a.append(x[ok])
+                b.append(y[ok])
+            a, b = np.concatenate(a), np.concatenate(b)
+            pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+            if len(key):
+                lead = (key[-1], hub_n[-1], hub_s[-1])
+            tail = [v[-CROWD:] for v in (key, node, sig)]
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(batch.num_rows, -1) for c in (2, 3))
+            ok = pa.array(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= w.distance)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
+
+    keys = nodes.select("node", "fp_").mapInArrow(explode, "key long, node long, sig long")
+    dealt = keys.repartition(cores(nodes.sparkSession), "key").sortWithinPartitions("key", "sig", "node")
+    pairs = staged(dealt.mapInArrow(meet, "a long, b long").distinct(), "pairs")
+    left, right = nodes.select(F.col("node").alias("a"), F.col("fp_").alias("x_")), nodes.select(F.col("node").alias("b"), F.col("fp_").alias("y_"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x_", "y_").mapInArrow(verify, "a long, b long")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Of each group of near copies the row with the least id (nulls last; of equal ids the first read); all columns stay."""
     row = free_name(docs, "row_")
     rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
-    fps = staged(fingerprints(rows, [row, id_col], text_col, words), "fingerprints")
-    first = fps.groupBy("fp_").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))).alias("first_"))
-    first = staged(first, "firsts")
-    linked = components(links(first.select("fp_"))).withColumnRenamed("node", "fp_")
-    keep = linked.join(first, "fp_").groupBy("root").agg(F.min("first_").alias("first_")).select(F.col("first_.row").alias(row))
-    alone = first.join(linked, "fp_", "left_anti").select(F.col("first_.row").alias(row))
+    w = Wide(rows.count(), similarity, words)
+    rank = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
+    first = staged(_wide(rows, [row, id_col], text_col, w).groupBy("fp_").agg(F.min(rank).alias("first_")).withColumn("node", F.col("first_.row")), "firsts")
+    linked = components(_wide_links(first, w))
+    ranks = first.select("node", "first_")
+    keep = linked.join(ranks, "node").groupBy("root").agg(F.min("first_").alias("first_")).select(F.col("first_.row").alias(row))
+    alone = ranks.join(linked, "node", "left_anti").select(F.col("first_.row").alias(row))
     return rows.join(keep.unionByName(alone), row, "left_semi").drop(row)
 
 
