@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["bpe", "media", "substring", "tokenfiles", "html", "topk", "simhash", "packing", "quality"]
+MODULES = ["bpe", "media", "substring", "tokenfiles", "html", "topk", "simhash", "lm", "packing", "quality"]
 
 
 def _all(name: str) -> dict:
