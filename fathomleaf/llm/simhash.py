@@ -168,49 +168,55 @@ def _wide(rows: DataFrame, keep: list[str], text_col: str, w: Wide) -> DataFrame
     return rows.select(*keep, whole_text(text_col).alias("text_")).mapInArrow(run, out)
 
 
-def _wide_links(nodes: DataFrame, w: Wide) -> DataFrame:
-    """(a, b): nodes (node, fp_) whose fingerprints are within ``w.distance`` bits.
+def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int]) -> DataFrame:
+    """(a, b): nodes (node, fp_, root) of different roots whose fingerprints are within ``w.distance`` bits.
 
-    One shuffle deals out (block key, node, first 64 bits), sorted. Members of a block meet in pairs; in blocks of more
-    than ``CROWD`` members, which only dense groups of near copies make, each meets its ``CROWD`` neighbours in the order
-    of the first 64 bits, and the block's first: in every one of the many blocks that it shares, with others each time.
+    One shuffle deals out (block key, node, first 64 bits, root), sorted. Members of a block meet in pairs; in blocks of
+    more than ``CROWD`` members, which only dense groups of near copies make, each meets the block's first and the one
+    before it in the order of the first 64 bits, in every one of the many blocks that it shares.
     """
+    lo, hi = blocks
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)
                 packed = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
-                node = part.column(0).to_numpy(zero_copy_only=False)
+                node, root = (part.column(c).to_numpy(zero_copy_only=False) for c in (0, 2))
                 first = np.ascontiguousarray(packed[:, :8]).view("<i8")[:, 0]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w.keys(packed).reshape(-1), np.repeat(node, w.blocks), np.repeat(first, w.blocks))], names=["key", "node", "sig"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w.keys(packed)[:, lo:hi].reshape(-1), *(np.repeat(v, hi - lo) for v in (node, first, root)))], names=["key", "node", "sig", "root"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = [np.zeros(0, np.int64)] * 3
-        lead = (None, 0, 0)  # the block's first member, where a block runs over batches
+        tail = [np.zeros(0, np.int64)] * 4
+        lead = None  # the block's first member, where a block runs over batches
         for batch in batches:
-            key, node, sig = (np.concatenate((t, c.to_numpy(zero_copy_only=False))) for t, c in zip(tail, batch.columns, strict=True))
+            if not batch.num_rows:
+                continue
+            key, node, sig, root = cols = [np.concatenate((t, c.to_numpy(zero_copy_only=False))) for t, c in zip(tail, batch.columns, strict=True)]
             fresh = np.concatenate(([True], key[1:] != key[:-1]))
-            starts = np.nonzero(fresh)[0]
-            begin = starts[np.cumsum(fresh) - 1]
-            hub_n, hub_s = node[begin], sig[begin]
-            if lead[0] is not None and len(key):
-                same = key == lead[0]
-                hub_n[same], hub_s[same] = lead[1], lead[2]
+            run = np.cumsum(fresh) - 1
+            begin = np.nonzero(fresh)[0]
+            hub = [v[begin][run] for v in (node, sig, root)]
+            if lead is not None:
+                for v, own in zip(hub, lead[1:4], strict=True):
+                    v[key == lead[0]] = own
+            crowded = np.bincount(run)[run] > CROWD
+            if lead is not None and lead[4]:
+                crowded |= key == lead[0]
             a, b = [], []
-            for k in range(0, CROWD + 1):
-                x, y = (hub_n, node) if k == 0 else (node[:-k], node[k:])
-                p, q = (hub_s, sig) if k == 0 else (sig[:-k], sig[k:])
-                ok = (x != y) & (np.bitwise_count((p ^ q).view(np.uint64)) <= w.near)
+            for k in range(0, CROWD):
+                x, y = (hub, [node, sig, root]) if k == 0 else ([v[:-k] for v in (node, sig, root)], [v[k:] for v in (node, sig, root)])
+                ok = (x[0] != y[0]) & (x[2] != y[2]) & (np.bitwise_count((x[1] ^ y[1]).view(np.uint64)) <= w.near)
                 if k:
                     ok &= key[k:] == key[:-k]
-                a.append(x[ok])
-                b.append(y[ok])
+                if k > 1:
+                    ok &= ~crowded[k:]
+                a.append(x[0][ok])
+                b.append(y[0][ok])
             a, b = np.concatenate(a), np.concatenate(b)
             pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-            if len(key):
-                lead = (key[-1], hub_n[-1], hub_s[-1])
-            tail = [v[-CROWD:] for v in (key, node, sig)]
+            lead = (key[-1], *(v[-1] for v in hub), bool(crowded[-1]))
+            tail = [v[-CROWD:] for v in cols]
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +225,7 @@ def _wide_links(nodes: DataFrame, w: Wide) -> DataFrame:
             ok = pa.array(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= w.distance)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
-    keys = nodes.select("node", "fp_").mapInArrow(explode, "key long, node long, sig long")
+    keys = nodes.select("node", "fp_", "root").mapInArrow(explode, "key long, node long, sig long, root long")
     dealt = keys.repartition(cores(nodes.sparkSession), "key").sortWithinPartitions("key", "sig", "node")
     pairs = staged(dealt.mapInArrow(meet, "a long, b long").distinct(), "pairs")
     left, right = nodes.select(F.col("node").alias("a"), F.col("fp_").alias("x_")), nodes.select(F.col("node").alias("b"), F.col("fp_").alias("y_"))
@@ -233,7 +239,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     w = Wide(rows.count(), similarity, words)
     rank = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
     first = staged(_wide(rows, [row, id_col], text_col, w).groupBy("fp_").agg(F.min(rank).alias("first_")).withColumn("node", F.col("first_.row")), "firsts")
-    linked = components(_wide_links(first, w))
+    # A few blocks first: copies that share most blocks are one root before the others are dealt out.
+    few = max(1, w.blocks // 6)
+    early = staged(_wide_links(first.withColumn("root", F.col("node")), w, (0, few)), "links")
+    roots = first.join(components(early), "node", "left").select("node", "fp_", F.coalesce("root", "node").alias("root"))
+    linked = components(early.unionByName(_wide_links(roots, w, (few, w.blocks))))
     ranks = first.select("node", "first_")
     keep = linked.join(ranks, "node").groupBy("root").agg(F.min("first_").alias("first_")).select(F.col("first_.row").alias(row))
     alone = ranks.join(linked, "node", "left_anti").select(F.col("first_.row").alias(row))
