@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,7 +29,7 @@ def _passes(c: Column) -> Column:
 
 
 def _first(*cases: Column) -> Column:
-    return reduce(lambda a, b: F.coalesce(a, b), cases)
+    return F.coalesce(*cases)
 
 
 def normalize_date(value: Column | str) -> Column:

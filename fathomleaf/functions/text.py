@@ -85,10 +85,14 @@ LANGUAGE_WORDS = {
 }
 
 
+def _among(own: list[str]):
+    return lambda w: w.isin(*own)
+
+
 def language(c: Column | str, default: str = "en") -> Column:
     """The language with most stop words; ties in the order above; ``default`` if there are none."""
     words = F.split(F.lower(col(c)), r"[ \t\n\r\f\x0B]+", -1)
-    counts = [F.struct(F.size(F.filter(words, lambda w, own=own: w.isin(*own))).alias("n"), F.lit(-i).alias("order"), F.lit(k).alias("code")) for i, (k, own) in enumerate(LANGUAGE_WORDS.items())]
+    counts = [F.struct(F.size(F.filter(words, _among(own))).alias("n"), F.lit(-i).alias("order"), F.lit(k).alias("code")) for i, (k, own) in enumerate(LANGUAGE_WORDS.items())]
     best = F.array_max(F.array(*counts))
     return F.when(best["n"] > 0, best["code"]).otherwise(default)
 

@@ -24,14 +24,51 @@ def _kept(files: DataFrame) -> DataFrame:
     return files.filter(F.length(X.strip("text")) > 0)
 
 
+BUCKET = 4096
+
+
+def running_before(rows: DataFrame, value: str, out: str, by: str = "company", order: str = "ord") -> DataFrame:
+    """``rows`` with the sum of ``value`` over the rows before, per ``by`` in ``order`` (a whole number).
+
+    In two levels, so that no group of one company is sorted in one task: sums over buckets of the order, sums within.
+    """
+    rows = rows.withColumn("bucket_", F.floor(F.col(order) / BUCKET))
+    sums = rows.groupBy(by, "bucket_").agg(F.sum(value).alias("sum_"))
+    before = F.coalesce(F.sum("sum_").over(Window.partitionBy(by).orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    within = F.coalesce(F.sum(value).over(Window.partitionBy(by, "bucket_").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    joined = rows.withColumn("within_", within).join(sums.withColumn("before_", before).drop("sum_"), [by, "bucket_"])
+    return joined.withColumn(out, F.col("before_") + F.col("within_")).drop("bucket_", "before_", "within_")
+
+
 def source_offsets(files: DataFrame) -> DataFrame:
     """(company, ord, file, start_char, end_char) of each non-blank file in its company's text."""
-    rows = _kept(files).withColumn("head_", F.length(banner(F.col("file")))).withColumn("len_", F.length("text"))
-    before = F.coalesce(F.sum(F.col("head_") + F.col("len_") + 2).over(Window.partitionBy("company").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.withColumn("start_char", before + F.col("head_"))
+    rows = _kept(files).select("company", "ord", "file", F.length(banner(F.col("file"))).alias("head_"), F.length("text").alias("len_"))
+    rows = running_before(rows.withColumn("all_", F.col("head_") + F.col("len_") + 2), "all_", "at_")
+    rows = rows.withColumn("start_char", F.col("at_") + F.col("head_"))
     return rows.select("company", "ord", "file", "start_char", (F.col("start_char") + F.col("len_")).alias("end_char"))
 
 
+def windows_by_file(files: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
+    """(company, id, text, char_start, char_end): windows of characters over a company's text, without building it.
+
+    Each file's piece is cut into the parts that fall into each window; a window gathers its few parts.
+    """
+    size, step = config.chunk_size * config.chars_per_token, (config.chunk_size - config.chunk_overlap) * config.chars_per_token
+    rows = _kept(files).select("company", "ord", F.concat(banner(F.col("file")), "text", F.lit("\n\n")).alias("p_")).withColumn("len_", F.length("p_"))
+    rows = running_before(rows, "len_", "at_")
+    total = rows.groupBy("company").agg(F.sum("len_").alias("n_"))
+    rows = rows.join(total, "company")
+    last = F.greatest(F.ceil((F.col("n_") - (size - step)) / F.lit(step)) - 1, F.lit(0))
+    from_ = F.greatest(F.floor((F.col("at_") - size) / F.lit(step)) + 1, F.lit(0))
+    upto = F.least(F.floor((F.col("at_") + F.col("len_") - 1) / F.lit(step)), last)
+    rows = rows.filter(from_ <= upto).withColumn("id", F.explode(F.sequence(from_, upto)))
+    start, stop = F.col("id") * step, F.least(F.col("id") * step + size, F.col("n_"))
+    a, b = F.greatest(start, F.col("at_")) - F.col("at_"), F.least(stop, F.col("at_") + F.col("len_")) - F.col("at_")
+    part = F.substring("p_", (a + 1).cast("int"), (b - a).cast("int"))
+    own = rows.select("company", F.col("id").cast("int").alias("id"), start.alias("char_start"), stop.alias("char_end"), F.struct("ord", part.alias("part")).alias("s"))
+    return own.groupBy("company", "id", "char_start", "char_end").agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda x: x["part"]), "").alias("text"))
+
+
 def company_docs(files: DataFrame) -> DataFrame:
     """(company, full_text, source_files, total_chars, total_tokens): one row a company."""
     rows = _kept(files).select("company", F.struct("ord", "file", F.concat(banner(F.col("file")), "text", F.lit("\n\n")).alias("piece")).alias("s"))
