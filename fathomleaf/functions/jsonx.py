@@ -84,7 +84,7 @@ def remap(present: Column, expected: Column) -> Column:
     start = F.struct(spare.alias("left"), F.array().cast(T.ArrayType(pair)).alias("found"))
 
     def step(state: Column, name: Column) -> Column:
-        scored = F.transform(state["left"], lambda k: F.struct(-_overlap(name, k).alias("score"), k.alias("key")))
+        scored = F.transform(state["left"], lambda k: F.struct((-_overlap(name, k)).alias("score"), k.alias("key")))
         best = F.array_min(F.filter(scored, lambda s: s["score"] <= -2))
         return F.when(best.isNull(), state).otherwise(F.struct(F.array_remove(state["left"], best["key"]).alias("left"), F.array_append(state["found"], F.struct(name.alias("field"), best["key"].alias("key"))).alias("found")))
 

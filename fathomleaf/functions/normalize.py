@@ -32,18 +32,31 @@ def _first(*cases: Column) -> Column:
     return F.coalesce(*cases)
 
 
+def _named_month(low: Column, months: list[tuple[str, int]]) -> Column:
+    """(month, year) of the month name that comes first in ``months`` and has blanks and a year after it, or null.
+
+    No name ends another one, so each year has one name at most; of equal names the first place counts.
+    """
+    pattern = F.lit("(" + "|".join(m for m, _ in months) + r")\s+(\d{4})")
+    names, years = (F.regexp_extract_all(low, pattern, F.lit(g)) for g in (1, 2))
+    known = F.array(*(F.lit(m) for m, _ in months))
+    best = F.array_min(F.transform(names, lambda n, i: F.struct(F.array_position(known, n).alias("place"), i.alias("i"), F.get(years, i).alias("year"))))
+    return F.when(best.isNotNull(), F.struct(F.element_at(F.array(*(F.lit(n) for _, n in months)), best["place"].cast("int")).alias("month"), best["year"].alias("year")))
+
+
 def normalize_date(value: Column | str) -> Column:
     """MM/YYYY; what fits no form is only stripped. ISO months are not checked, as ever."""
     raw = col(value)
     s = strip(raw)
     low = F.lower(s)
-    named = [F.when(low.rlike(rf"{m}\s+\d{{4}}"), F.concat(F.lit(f"{n:02d}/"), F.regexp_extract(low, rf"{m}\s+(\d{{4}})", 1))) for m, n in MONTHS]
+    found = _named_month(low, MONTHS)
+    named = F.when(found.isNotNull(), F.concat(F.lpad(found["month"].cast("string"), 2, "0"), F.lit("/"), found["year"]))
     month_year = _month(s, r"^(\d{1,2})/(\d{4})$", 1, 2)
     iso = F.when(s.rlike(r"^\d{4}-\d{1,2}"), F.concat(F.lpad(F.regexp_extract(s, r"^(\d{4})-(\d{1,2})", 2), 2, "0"), F.lit("/"), F.regexp_extract(s, r"^(\d{4})-(\d{1,2})", 1)))
     day_first = _month(s, r"^\d{1,2}/(\d{1,2})/(\d{4})", 1, 2)
     quarter = r"(?i)Q([1-4])\s+(\d{4})"
     quarters = F.when(s.rlike(quarter), F.concat(F.lpad((F.regexp_extract(s, quarter, 1).try_cast("int") * 3).cast("string"), 2, "0"), F.lit("/"), F.regexp_extract(s, quarter, 2)))
-    return F.when(_passes(raw), raw).otherwise(_first(month_year, *named, iso, day_first, quarters, s))
+    return F.when(_passes(raw), raw).otherwise(_first(month_year, named, iso, day_first, quarters, s))
 
 
 def _month(s: Column, pattern: str, month: int, year: int) -> Column:
@@ -109,8 +122,8 @@ def month_year(s: Column) -> Column:
     def at(pattern: str, month: int, year: int) -> Column:
         return F.when(s.rlike(pattern), F.regexp_extract(s, pattern, month).try_cast("int") + 100 * F.regexp_extract(s, pattern, year).try_cast("int"))
 
-    named = [F.when(s.rlike(rf"{m}\s+\d{{4}}"), F.lit(n) + 100 * F.regexp_extract(s, rf"{m}\s+(\d{{4}})", 1).try_cast("int")) for m, n in _BY_MONTH]
-    return _first(at(r"^(\d{1,2})/(\d{4})", 1, 2), at(r"^(\d{4})-(\d{1,2})", 2, 1), *named)
+    found = _named_month(s, _BY_MONTH)
+    return _first(at(r"^(\d{1,2})/(\d{4})", 1, 2), at(r"^(\d{4})-(\d{1,2})", 2, 1), found["month"] + 100 * found["year"].try_cast("int"))
 
 
 _BY_MONTH = sorted(MONTHS, key=lambda m: (m[1], len(m[0])))

@@ -305,7 +305,7 @@ def company_join_contains(s: SparkSession, d: str) -> DataFrame:
 
 def positional_pairing(s: SparkSession, d: str) -> DataFrame:
     rows = Q.pair_rows(_golden(s, d), I.sql_view(s, d, "customer", I.EXTRACTED))
-    return rows.select("company", F.col("facility_index").cast("long").alias("facility_index"), "matched", F.col("g.ord").alias("golden_ord"), F.col("e.ord").alias("extracted_ord"))
+    return rows.select("company", F.col("facility_index").cast("long").alias("facility_index"), "matched", F.col("g.ord").alias("golden_ord"), F.coalesce("e.ord", F.lit(-1)).alias("extracted_ord"))
 
 
 def conform_golden(s: SparkSession, d: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from fathomleaf import registry as R
 from fathomleaf.functions.normalize import MONTHS
+from fathomleaf.functions.text import LANGUAGE_WORDS
 from fathomleaf.plans import catalog as K
 from fathomleaf.plans import inputs as I
 
@@ -83,7 +84,7 @@ def _fold(size: int, overlap: int) -> str:
  SELECT o.doc_id, CAST(o.id AS BIGINT) AS id, md5(array_to_string(c.s[a + 1 : b], ' ')) AS text_md5, CAST(t AS BIGINT) AS token_count, CAST(b - a AS BIGINT) AS sentence_count FROM o JOIN c USING (doc_id)"""
 
 
-_LANG = {k: ", ".join(f"'{w}'" for w in v) for k, v in __import__("fathomleaf.functions.text", fromlist=["x"]).LANGUAGE_WORDS.items()}
+_LANG = {k: ", ".join(f"'{w}'" for w in v) for k, v in LANGUAGE_WORDS.items()}
 _LANG_N = ", ".join(f"len(list_filter(w, lambda x: x IN ({v}))) AS {k}" for k, v in _LANG.items())
 _HINTS = " ".join(f"WHEN '{k}' THEN 'The document is written in {n}. Answer in English; keep quotes in the original language.'" for k, n in (("fr", "French"), ("de", "German"), ("es", "Spanish")))
 SQL |= {
@@ -165,9 +166,6 @@ SQL |= {
 
 # --- quality ---------------------------------------------------------------------------------------------------------
 
-_EMPTY = "({0} IS NULL OR " + strip("{0}").replace("{{", "{").replace("}}", "}") + " IN ('NOT_FOUND', 'N/A', 'NOT_EXTRACTED', 'EXTRACTION_ERROR', 'POSSIBLY_PRESENT', '', 'nan', 'None'))"
-
-
 def empty(v: str) -> str:
     return f"({v} IS NULL OR {strip(v)} IN ('NOT_FOUND', 'N/A', 'NOT_EXTRACTED', 'EXTRACTION_ERROR', 'POSSIBLY_PRESENT', '', 'nan', 'None'))"
 
@@ -207,7 +205,7 @@ SQL |= {
     "mismatch_detail": f"WITH {_FACTS} SELECT company, facility_index, field, golden, extracted, result FROM facts WHERE matched AND result IN ('mismatch', 'golden_only')",
     "field_coverage": f"WITH g AS ({I.GOLDEN.replace('as string', 'as varchar')}), c AS ({' UNION ALL '.join(f'''SELECT '{f}' AS field, avg(CASE WHEN {f} IS NULL OR {f} IN {_NONE} THEN 0.0 ELSE 100.0 END) AS coverage FROM g''' for f in I.QUALITY_FIELDS)}) SELECT field, round(coverage, 6) AS coverage, CASE WHEN coverage < 30 THEN 'low' WHEN coverage > 70 THEN 'high' ELSE 'middle' END AS level FROM c",
     "company_join_contains": f"WITH {_FACTS} SELECT gc AS golden_company, ec AS extracted_company FROM names",
-    "positional_pairing": f"WITH {_FACTS} SELECT company, facility_index, matched, golden_ord, extracted_ord FROM pairs",
+    "positional_pairing": f"WITH {_FACTS} SELECT company, facility_index, matched, golden_ord, coalesce(extracted_ord, -1) AS extracted_ord FROM pairs",
     "conform_golden": f"WITH g AS ({I.GOLDEN.replace('as string', 'as varchar')}) SELECT company AS client, coalesce(name, '') AS borrower, coalesce(amount, '') AS amount, '' AS spread, CAST(ord AS VARCHAR) AS extra, CAST({len(R.ALL_FIELDS) + 1} AS BIGINT) AS n_columns FROM g",
 }
 
