@@ -86,6 +86,13 @@ def read_file(uri: str) -> bytes:
         return src.read()
 
 
+def remove_file(uri: str) -> None:
+    """Remove a file that no later step reads; that it is gone already is no fault."""
+    fs, path = _resolve(uri)
+    if fs.get_file_info(path).type != pafs.FileType.NotFound:
+        fs.delete_file(path)
+
+
 def open_file(uri: str):
     """A random-access file: ``read_at(n, offset)`` reads a range."""
     fs, path = _resolve(uri)

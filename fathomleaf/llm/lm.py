@@ -1,7 +1,7 @@
 """Language-model scores from a hierarchical Pitman-Yor model.
 
-Three levels of restaurants: a word's restaurant is its context, the class of the last three characters of the word
-before it; contexts whose last character agrees share a parent; all parents share the root, whose base is uniform over
+Three levels of restaurants: a word's restaurant is its context, the class of the last three bytes of the word
+before it; contexts whose last byte agrees share a parent; all parents share the root, whose base is uniform over
 the known words and one unknown. Seating is sampled by Gibbs: in each sweep the customers of every dish leave their
 tables and take seats again one after another, given all others; predictive probabilities are averaged over the sweeps
 after the burn-in.
@@ -19,8 +19,6 @@ no training text at all every probability is the base's; extra columns are ignor
 from __future__ import annotations
 
 import io
-import math
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -31,12 +29,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomleaf.llm._shared import cores, read_file, staged, table, whole_text, work_dir, write_file
+from fathomleaf.llm._shared import cores, read_file, remove_file, staged, table, whole_text, work_dir, write_file
 
-END = "\n"  # no word holds a line feed
+END = b"\n"  # no word holds a line feed
 SHARE, MIDDLES = 16, 256
 LEAVES = SHARE * MIDDLES
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 4_000_000
 BURN_IN, SAMPLES = 2, 3
 DISCOUNT = (0.6, 0.7, 0.8)  # root, middle, leaf
 STRENGTH = (10.0, 20.0, 20.0)
@@ -48,119 +46,162 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 1, F.lit(False))
 
 
-def words_of(text: str) -> list[str]:
-    """A-Z lower-cased, cut at the six ASCII blanks, then the end."""
-    return [*(w.decode() for w in text.encode().lower().split()), END]
+def words_of(text: str) -> list[bytes]:
+    """A-Z lower-cased, cut at the six ASCII blanks, then the end; words as UTF-8."""
+    return [*text.encode().lower().split(), END]
 
 
-def context_of(word: str) -> int:
-    """The leaf restaurant after ``word``; its parent is this over ``SHARE``."""
-    return zlib.crc32(word[-1:].encode()) % MIDDLES * SHARE + zlib.crc32(word[-3:].encode()) % SHARE
+def context_of(word: bytes) -> int:
+    """The leaf restaurant after ``word``, from its last three bytes; its parent, from the last, is this over ``SHARE``."""
+    return zlib.crc32(word[-1:]) % MIDDLES * SHARE + zlib.crc32(word[-3:]) % SHARE
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays, byte plane by byte plane, compressed."""
+    out = io.BytesIO()
+    for x in arrays:
+        x = np.ascontiguousarray(x)
+        np.lib.format.write_array(out, np.array([x.dtype.str, str(len(x))]))
+        out.write(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T).tobytes())
+    return zlib.compress(out.getvalue(), 1)
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    src, out = io.BytesIO(zlib.decompress(data)), []
+    end = len(src.getbuffer())
+    while src.tell() < end:
+        kind, n = np.lib.format.read_array(src)
+        size = np.dtype(kind).itemsize
+        planes = np.frombuffer(src.read(size * int(n)), np.uint8).reshape(size, int(n))
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind) if int(n) else np.zeros(0, kind))
+    return out
+
+
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
 
 
 class _Counter:
     """Tokens of one block of documents."""
 
     def __init__(self) -> None:
-        self.number: dict[str, int] = {}
-        self.words: list[str] = []
+        self.number = _Numbers()
         self.tokens: list[np.ndarray] = []
         self.train: list[bool] = []
         self.keys: list[pa.Array] = []
         self.size = 0
 
-    def add(self, key: pa.Array, text: str, train: bool) -> None:
-        number = self.number
-        ids = [number.setdefault(w, len(number)) for w in words_of(text)]
-        self.tokens.append(np.array(ids, np.int32))
+    def add(self, text: str, train: bool) -> None:
+        words = words_of(text)
+        self.tokens.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
         self.train.append(train)
-        self.keys.append(key)
-        self.size += len(ids)
+        self.size += len(words)
+
+    def flush(self, path: str, parts: int) -> list[bytes]:
+        """Write the block; for each share of the words their pairs, in the order that the file refers to.
 
-    def flush(self, path: str) -> tuple[list[str], list[bytes], list[bytes]]:
-        """Write the block; (words, contexts, counts) of its pairs, in the order that the file refers to."""
+        The file has, for each token, its pair's place among the pairs of all shares one after another.
+        """
         words = list(self.number)
-        after = np.array([context_of(w) for w in words], np.int64)
+        share = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
+        order = np.argsort(share, kind="stable")
+        rank = np.empty(len(words), np.int64)
+        rank[order] = np.arange(len(words))
+        after = np.fromiter(map(context_of, words), np.int64, len(words))
         lens = np.array([len(t) for t in self.tokens])
-        ids = np.concatenate(self.tokens).astype(np.int64)
+        ids = np.concatenate(self.tokens)
         ends = np.cumsum(lens)
         before = np.concatenate(([0], after[ids[:-1]]))
-        before[np.concatenate(([0], ends[:-1]))] = after[self.number[END]]  # a text starts after an end
-        pairs, at = np.unique(ids * LEAVES + before, return_inverse=True)
+        before[np.concatenate(([0], ends[:-1]))] = context_of(END)  # a text starts after an end
+        pairs, at = np.unique(rank[ids] * LEAVES + before, return_inverse=True)
         train = np.repeat(self.train, lens)
-        counts = np.bincount(at, weights=train, minlength=len(pairs)).astype(np.int64)
-        sink = io.BytesIO()
-        np.savez(sink, at=at.astype(np.uint32), lens=lens, held=~np.array(self.train), owner=(pairs // LEAVES).astype(np.uint32))
-        keys = pa.RecordBatch.from_arrays([pa.concat_arrays(self.keys)], names=["id"])
+        counts = np.bincount(at, weights=train, minlength=len(pairs)).astype("<u4")
         stream = pa.BufferOutputStream()
+        keys = pa.RecordBatch.from_arrays([pa.concat_arrays(self.keys)], names=["id"])
         with pa.ipc.new_stream(stream, keys.schema) as w:
             w.write_batch(keys)
         head = stream.getvalue().to_pybytes()
-        write_file(path, zlib.compress(len(head).to_bytes(8, "little") + head + sink.getvalue(), 1))
-        cut = np.searchsorted(pairs, np.arange(1, len(words)) * LEAVES)
-        contexts = np.split((pairs % LEAVES).astype("<u2"), cut)
-        split = np.split(counts.astype("<u4"), cut)
-        return words, [c.tobytes() for c in contexts], [c.tobytes() for c in split]
+        of_word = np.bincount(pairs // LEAVES, minlength=len(words)).astype("<u2")  # at most LEAVES pairs a word
+        write_file(path, len(head).to_bytes(8, "little") + head + pack(at.astype("<u4"), lens.astype("<i8"), ~np.array(self.train), of_word))
+        out, sorted_share = [], share[order]
+        edges = np.searchsorted(sorted_share, np.arange(parts + 1))
+        bounds = np.concatenate(([0], np.cumsum(of_word.astype(np.int64))))
+        for k in range(parts):
+            lo, hi = int(edges[k]), int(edges[k + 1])
+            own = slice(int(bounds[lo]), int(bounds[hi]))
+            text = np.frombuffer(END.join([words[i] for i in order[lo:hi]]), np.uint8) if hi > lo else np.zeros(0, np.uint8)
+            sizes = np.array([len(words[i]) for i in order[lo:hi]], "<u4")
+            out.append(pack(text, sizes, of_word[lo:hi], (pairs[own] % LEAVES).astype("<u2"), counts[own]))
+        return out
 
 
-def count(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Write the blocks; (block, n, word, contexts, counts): the n-th word of a block with its pairs."""
-    folder = work_dir(docs.sparkSession, "lm-blocks")
+def _block(folder: str, block: int) -> str:
+    return f"{folder}/block-{block:012d}.z"
+
+
+def count(docs: DataFrame, parts: int, folder: str, id_col: str, text_col: str) -> DataFrame:
+    """Write the blocks; (block, part, pairs): a block's pairs of one share of the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held = TaskContext.get().partitionId(), _Counter()
+        task, held, n = TaskContext.get().partitionId(), _Counter(), 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held
+            nonlocal held, n
             if held.size:
-                path = f"{folder}/{part:06d}-{uuid.uuid4().hex}.z"
-                words, contexts, counts = held.flush(path)
-                held = _Counter()
-                for k in range(0, len(words), 20_000):
-                    n = len(words[k : k + 20_000])
-                    yield pa.RecordBatch.from_arrays([pa.array([path] * n), pa.array(np.arange(k, k + n, dtype=np.int32)), pa.array(words[k : k + n]), pa.array(contexts[k : k + n], pa.binary()), pa.array(counts[k : k + n], pa.binary())], names=["block", "n", "word", "contexts", "counts"])
+                block = task * 100_000 + n
+                blobs = held.flush(_block(folder, block), parts)
+                held, n = _Counter(), n + 1
+                yield pa.RecordBatch.from_arrays([pa.array([block] * parts, pa.int64()), pa.array(np.arange(parts, dtype=np.int32)), pa.array(blobs, pa.binary())], names=["block", "part", "pairs"])
 
         for batch in batches:
+            begun = 0
             for k, (text, out) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                held.add(batch.column(0).slice(k, 1), text, not out)
+                held.add(text, not out)
                 if held.size >= BLOCK_TOKENS:
+                    held.keys.append(batch.column(0).slice(begun, k + 1 - begun))
+                    begun = k + 1
                     yield from flush()
+            if begun < batch.num_rows:
+                held.keys.append(batch.column(0).slice(begun))
         yield from flush()
 
     rows = docs.select(id_col, whole_text(text_col).alias("text_"), held_out(id_col).alias("out_"))
-    return staged(rows.mapInArrow(run, "block string, n int, word string, contexts binary, counts binary"), "lm-pairs")
+    return rows.mapInArrow(run, "block long, part int, pairs binary")
 
 
 def _state(folder: str, part: int, sweep: int) -> str:
-    return f"{folder}/{part:06d}-{sweep}.npz"
+    return f"{folder}/state-{part:06d}-{sweep}.z"
 
 
 def deal(pairs: DataFrame, parts: int, folder: str) -> DataFrame:
-    """Write, for each share of the words, their pairs and who asks for them; (part, known, tokens, path of requests)."""
+    """Write, for each share of the words, their pairs and which block asks for them; (part, known, tokens)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = pa.Table.from_batches(list(batches))
-        blocks = found.column("block").dictionary_encode().combine_chunks()
-        names = blocks.dictionary.to_pylist()
-        words = found.column("word").combine_chunks().dictionary_encode()
-        word = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        context = [np.frombuffer(c, "<u2") for c in found.column("contexts").to_pylist()]
-        lens = np.array([len(c) for c in context])
-        codes = np.repeat(word, lens) * LEAVES + np.concatenate(context).astype(np.int64)
-        counts = np.concatenate([np.frombuffer(c, "<u4") for c in found.column("counts").to_pylist()]).astype(np.int64)
-        unique, at = np.unique(codes, return_inverse=True)
-        total = np.bincount(at, weights=counts, minlength=len(unique)).astype(np.int64)
-        part = found.column("part")[0].as_py()
-        asked = io.BytesIO()
-        np.savez_compressed(asked, at=at.astype(np.uint32), lens=lens, block=blocks.indices.to_numpy(zero_copy_only=False), n=found.column("n").to_numpy(), names=np.array(names))
-        write_file(f"{folder}/{part:06d}-asked.npz", asked.getvalue())
-        state = io.BytesIO()
-        np.savez(state, word=(unique // LEAVES).astype(np.uint32), leaf=(unique % LEAVES).astype(np.uint16), c3=total, t3=np.zeros(len(unique), np.int64), p=np.zeros(len(unique)), samples=0)
-        write_file(_state(folder, part, 0), state.getvalue())
-        of_word = np.bincount((unique // LEAVES), weights=total)
+        numbers, codes, counts, blocks, lens = _Numbers(), [], [], [], []
+        part = None
+        for batch in batches:
+            part = batch.column("part")[0].as_py()
+            for block, blob in zip(batch.column("block").to_pylist(), batch.column("pairs").to_pylist(), strict=True):
+                text, sizes, n, context, c = unpack(blob)
+                raw, ends = text.tobytes(), np.cumsum(sizes.astype(np.int64) + 1) - 1
+                own = [raw[b - s : b] for b, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
+                word = np.fromiter(map(numbers.__getitem__, own), np.int64, len(own))
+                codes.append(np.repeat(word, n) * LEAVES + context)
+                counts.append(c.astype(np.int64))
+                blocks.append(block)
+                lens.append(len(context))
+        unique, at = np.unique(np.concatenate(codes), return_inverse=True)
+        total = np.bincount(at, weights=np.concatenate(counts), minlength=len(unique)).astype(np.int64)
+        write_file(f"{folder}/asked-{part:06d}.z", pack(at.astype("<u4"), np.array(blocks, "<i8"), np.array(lens, "<i8")))
+        Share.fresh(unique, total).save(_state(folder, part, 0))
+        of_word = np.bincount(unique // LEAVES, weights=total)
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([int((of_word > 0).sum())], pa.int64()), pa.array([int(total.sum())], pa.int64())], names=["part", "known", "tokens"])
 
-    return staged(pairs.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)).cast("int")).repartition(parts, "part").sortWithinPartitions("part", "block", "n").mapInArrow(lambda b: _by_part(b, run), "part int, known long, tokens long"), "lm-parts")
+    return staged(pairs.repartition(parts, "part").sortWithinPartitions("part", "block").mapInArrow(lambda b: _by_part(b, run), "part int, known long, tokens long"), "lm-parts")
 
 
 def _by_part(batches: Iterator[pa.RecordBatch], run) -> Iterator[pa.RecordBatch]:
@@ -206,32 +247,38 @@ class Totals:
         self.c3, self.t3 = np.zeros(LEAVES), np.zeros(LEAVES)
         self.t2, self.t1 = np.zeros(MIDDLES), 0.0
 
-    def take(self, rows: list) -> None:
-        for k in ("c3", "t3", "t2"):
-            setattr(self, k, np.zeros(MIDDLES if k == "t2" else LEAVES))
-        self.t1 = 0.0
-        for kind, at, n in rows:
-            if kind == 1:
-                self.t1 = float(n)
-            else:
-                {2: self.t2, 3: self.t3, 4: self.c3}[kind][at] = n
+    def take(self, sums: np.ndarray) -> None:
+        self.t1 = float(sums[0])
+        self.t2, self.t3, self.c3 = (x.astype(np.float64) for x in np.split(sums[1:], [MIDDLES, MIDDLES + LEAVES]))
 
 
 class Share:
     """The restaurants' dishes of one share of the words."""
 
-    def __init__(self, data: bytes) -> None:
-        z = np.load(io.BytesIO(data))
-        self.word, self.leaf, self.c3, self.t3, self.p, self.samples = z["word"].astype(np.int64), z["leaf"].astype(np.int64), z["c3"], z["t3"], z["p"], int(z["samples"])
-        self.words = int(self.word.max()) + 1 if len(self.word) else 0
-        self.middle, self.of_middle = np.unique(self.word * MIDDLES + self.leaf // SHARE, return_inverse=True)
-        self.t2 = z["t2"] if "t2" in z else np.zeros(len(self.middle), np.int64)
-        self.t1 = z["t1"] if "t1" in z else np.zeros(self.words, np.int64)
+    def __init__(self, path: str | None) -> None:
+        if path is None:
+            return
+        word, leaf, c3, t3, self.t2, self.t1, p, samples = unpack(read_file(path))
+        self._index(np.cumsum(word.astype(np.int64)) * LEAVES + leaf)
+        self.c3, self.t3, self.p, self.samples = c3.astype(np.int64), t3.astype(np.int64), p.astype(np.float64), int(samples[0])
+
+    def _index(self, codes: np.ndarray) -> None:
+        self.word, self.leaf = codes // LEAVES, codes % LEAVES
+        self.words = int(self.word[-1]) + 1 if len(codes) else 0
+        self.middle, self.of_middle = np.unique(codes // SHARE, return_inverse=True)
+
+    @classmethod
+    def fresh(cls, codes: np.ndarray, counts: np.ndarray) -> Share:
+        """Codes (word * LEAVES + leaf) in order, nobody seated yet."""
+        out = cls(None)
+        out._index(codes)
+        out.c3, out.t3, out.p, out.samples = counts, np.zeros(len(codes), np.int64), np.zeros(len(codes)), 0
+        out.t2, out.t1 = np.zeros(len(out.middle), np.int64), np.zeros(out.words, np.int64)
+        return out
 
-    def save(self) -> bytes:
-        out = io.BytesIO()
-        np.savez(out, word=self.word.astype(np.uint32), leaf=self.leaf.astype(np.uint16), c3=self.c3, t3=self.t3, t2=self.t2, t1=self.t1, p=self.p, samples=self.samples)
-        return out.getvalue()
+    def save(self, path: str) -> None:
+        small = lambda x: x.astype("<u4") if len(x) and x.max() > 0xFFFF else x.astype("<u2")
+        write_file(path, pack(np.diff(self.word, prepend=0).astype("<u1"), self.leaf.astype("<u2"), small(self.c3), small(self.t3), self.t2, self.t1, self.p.astype("<f4"), np.array([self.samples])))
 
     def probabilities(self, z: Totals) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Predictive probability of each word, (word, middle) and pair."""
@@ -263,92 +310,80 @@ class Share:
         c1 = np.bincount(word, weights=self.t2, minlength=self.words).astype(np.int64)
         self.t1 = seat(c1, np.full(self.words, z.base), d1, s1 + d1 * np.maximum(z.t1 - self.t1, 0), rng)
 
-    def sums(self) -> list[tuple[int, int, int]]:
-        word_mid = self.middle % MIDDLES
-        out = [(1, 0, int(self.t1.sum()))]
-        for kind, x in ((2, np.bincount(word_mid, weights=self.t2, minlength=MIDDLES)), (3, np.bincount(self.leaf, weights=self.t3, minlength=LEAVES)), (4, np.bincount(self.leaf, weights=self.c3, minlength=LEAVES))):
-            out += [(kind, int(k), int(x[k])) for k in np.nonzero(x)[0]]
-        return out
+    def sums(self) -> np.ndarray:
+        """This share's part of the totals, as one vector: root, middles, leaves' tables, leaves' customers."""
+        return np.concatenate(([self.t1.sum()], np.bincount(self.middle % MIDDLES, weights=self.t2, minlength=MIDDLES), np.bincount(self.leaf, weights=self.t3, minlength=LEAVES), np.bincount(self.leaf, weights=self.c3, minlength=LEAVES))).astype("<i8")
+
+
+def add_up(found: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x, "<i8") for x in found.column("sums").to_pylist())
+    return pa.table([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
 
 def fit(parts: DataFrame, n_parts: int, folder: str, known: int) -> tuple[Totals, int]:
-    """Gibbs sweeps; the totals and the number of the last state."""
-    spark, totals = parts.sparkSession, Totals(known)
-    last = BURN_IN + SAMPLES
+    """Gibbs sweeps; the totals and the number of the last state. A sweep's state needs only the one before."""
+    totals, last = Totals(known), BURN_IN + SAMPLES
     todo = parts.select("part").repartition(n_parts, "part")
+    groups = max(1, int(n_parts**0.5))
     for sweep in range(1, last + 1):
 
         def run(batches: Iterator[pa.RecordBatch], sweep: int = sweep, z: Totals = totals) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in batch.column(0).to_pylist():
-                    share = Share(read_file(_state(folder, part, sweep - 1)))
+                    share = Share(_state(folder, part, sweep - 1))
                     if sweep - 1 > BURN_IN:
                         share.p, share.samples = share.p + share.probabilities(z)[2], share.samples + 1
                     share.sweep(z, np.random.default_rng((SEED, part, sweep)))
-                    write_file(_state(folder, part, sweep), share.save())
-                    kind, at, n = zip(*share.sums(), strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(at, pa.int32()), pa.array(n, pa.int64())], names=["kind", "at", "n"])
+                    share.save(_state(folder, part, sweep))
+                    if sweep > 1:
+                        remove_file(_state(folder, part, sweep - 2))
+                    yield pa.RecordBatch.from_arrays([pa.array([part % groups], pa.int32()), pa.array([share.sums().tobytes()], pa.binary())], names=["group", "sums"])
 
-        rows = todo.mapInArrow(run, "kind int, at int, n long").groupBy("kind", "at").agg(F.sum("n").alias("n")).collect()  # at most 2 * LEAVES + MIDDLES + 1 rows
+        # Vectors of a fixed length: added up in about the square root of the number of shares, then here.
+        rows = todo.mapInArrow(run, "group int, sums binary").groupBy("group").applyInArrow(add_up, "sums binary").collect()
         totals = Totals(known)
-        totals.take([tuple(r) for r in rows])
+        totals.take(sum((np.frombuffer(r[0], "<i8") for r in rows), np.zeros(1 + MIDDLES + 2 * LEAVES, np.int64)))
     return totals, last
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row a document."""
     spark = docs.sparkSession
-    folder = work_dir(spark, "lm-state")
-    pairs = count(docs, id_col, text_col)
-    n_parts = cores(spark)
-    parts = deal(pairs, n_parts, folder)
+    folder, n_parts = work_dir(spark, "lm"), cores(spark)
+    parts = deal(count(docs, n_parts, folder, id_col, text_col), n_parts, folder)
     known, tokens = parts.agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     totals, last = fit(parts, n_parts, folder, known)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in batch.column(0).to_pylist():
-                share = Share(read_file(_state(folder, part, last)))
-                mean = (share.p + share.probabilities(totals)[2]) / (share.samples + 1)
-                logs = np.log10(mean).astype("<f8")
-                of_word = np.bincount(share.word, weights=share.c3, minlength=share.words).astype(np.int64)
-                z = np.load(io.BytesIO(read_file(f"{folder}/{part:06d}-asked.npz")))
-                names, block, lens, n = z["names"], z["block"], z["lens"], z["n"]
-                at, upto = z["at"].astype(np.int64), np.cumsum(z["lens"])
-                firsts = share.word[at[upto - lens]]
-                for b in np.unique(block):
-                    rows = np.nonzero(block == b)[0]
-                    spans = np.concatenate([np.arange(upto[r] - lens[r], upto[r]) for r in rows]) if len(rows) else np.zeros(0, np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([str(names[b])]), pa.array([n[rows].astype("<i4").tobytes()]), pa.array([lens[rows].astype("<i4").tobytes()]), pa.array([of_word[firsts[rows]].astype("<i8").tobytes()]), pa.array([logs[at[spans]].astype("<f4").tobytes()])], names=["block", "n", "lens", "counts", "logs"])
-
-    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = pa.Table.from_batches(list(batches))
-        data = zlib.decompress(read_file(found.column("block")[0].as_py()))
+                share = Share(_state(folder, part, last))
+                logs = np.log10((share.p + share.probabilities(totals)[2]) / (share.samples + 1)).astype("<f4")
+                of_word = np.bincount(share.word, weights=share.c3, minlength=share.words).astype("<u8")
+                at, blocks, lens = unpack(read_file(f"{folder}/asked-{part:06d}.z"))
+                upto = np.cumsum(lens)
+                for block, a, b in zip(blocks.tolist(), (upto - lens).tolist(), upto.tolist(), strict=True):
+                    own = at[a:b].astype(np.int64)
+                    word = share.word[own]
+                    first = np.concatenate(([True], word[1:] != word[:-1])) if len(word) else np.zeros(0, bool)
+                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([pack(of_word[word[first]])], pa.binary()), pa.array([pack(logs[own])], pa.binary())], names=["block", "part", "counts", "logs"])
+
+    def tell(found: pa.Table) -> pa.Table:
+        data = read_file(_block(folder, found.column("block")[0].as_py()))
         head = int.from_bytes(data[:8], "little")
         keys = pa.ipc.open_stream(data[8 : 8 + head]).read_all().column("id").combine_chunks()
-        z = np.load(io.BytesIO(data[8 + head :]))
-        joined = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in found.column(c).to_pylist()])
-        n, lens, counts, logs = joined("n", "<i4"), joined("lens", "<i4"), joined("counts", "<i8"), joined("logs", "<f4")
-        begin = np.cumsum(lens) - lens
-        order = np.argsort(n)
-        own = np.repeat(begin[order] - (np.cumsum(lens[order]) - lens[order]), lens[order]) + np.arange(len(logs))
-        pair_log, pair_count = logs[own].astype(np.float64), np.repeat(counts[order], lens[order])
+        at, size, held, of_word = unpack(data[8 + head :])
+        order = np.argsort(found.column("part").to_numpy())
+        counts, logs = (np.concatenate([unpack(blobs[i])[0] for i in order]) for blobs in (found.column("counts").to_pylist(), found.column("logs").to_pylist()))
+        pair_log, pair_count = logs.astype(np.float64), np.repeat(counts.astype(np.float64), of_word)
         pair_base = np.log10((pair_count + 0.5) / (tokens + 0.5 * (known + 1)))
-        at, size = z["at"].astype(np.int64), z["lens"]
         starts = np.cumsum(size) - size
         total = lambda x: np.add.reduceat(x[at], starts)
-        yield pa.RecordBatch.from_arrays([keys, pa.array(z["held"]), pa.array(size.astype(np.int64)), pa.array(total((pair_count > 0).astype(np.int64))), pa.array(np.full(len(size), tokens, np.int64)), pa.array(total(pair_base)), pa.array(total(pair_log))], names=out.names)
+        return pa.table([keys, pa.array(held), pa.array(size), pa.array(total((pair_count > 0).astype(np.int64))), pa.array(np.full(len(size), tokens, np.int64)), pa.array(total(pair_base)), pa.array(total(pair_log))], names=out.names)
 
     out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    answers = parts.select("part").repartition(n_parts, "part").mapInArrow(answer, "block string, n binary, lens binary, counts binary, logs binary")
-    return answers.groupBy("block").applyInArrow(_whole(tell), out)
-
-
-def _whole(run):
-    def group(found: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(list(run(iter(found.to_batches()))))
-
-    return group
+    answers = parts.select("part").repartition(n_parts, "part").mapInArrow(answer, "block long, part int, counts binary, logs binary")
+    return answers.groupBy("block").applyInArrow(tell, out)
 
 
 def op8_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,4 +398,3 @@ def perplexity(scores: DataFrame) -> DataFrame:
 
 QUERIES = {"op8_pitman_yor_lm": op8_pitman_yor_lm}
 ORACLE_SQL: dict[str, str] = {}
-assert math.isclose(SHARE * MIDDLES, LEAVES)
