@@ -51,12 +51,12 @@ SQL: dict[str, str] = {
     "synonym_lookup": "WITH g(g, phrases) AS (VALUES (0, ['the', 'of', 'a', 'and']), (1, ['license', 'licensed', 'the', 'work']), (2, ['und', 'der', 'die', 'das'])), t AS (SELECT g, unnest(phrases) AS token, generate_subscripts(phrases, 1) AS at FROM g), p AS (SELECT a.token, b.token AS synonym, min(b.g * 100 + b.at) AS first FROM t a JOIN t b USING (g) GROUP BY ALL) SELECT token, synonym, CAST(row_number() OVER (PARTITION BY token ORDER BY first) AS INTEGER) AS rank FROM p",
     # license -> licensed, the, work; und -> der, die, das; the -> of, a, and (first), then licensed... for its second occurrence
     "synonym_expanded_search": f"WITH {_CHUNKS}, {bm25(q(q1='license und licensed the work der die das', q2='the the of a and license licensed work'))} {ranked(4)}",
-    "dense_topk": "WITH v AS (SELECT 'l' || label AS company, vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), s AS (SELECT c.company, q.id AS query, c.id, list_cosine_similarity(c.e, q.e) AS score FROM v c JOIN v q ON q.id < 8) SELECT company, query, id, round(score, 6) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY company, query ORDER BY score DESC, id) AS INTEGER) AS rank FROM s) WHERE rank <= 3 AND score > 0",
+    "dense_topk": "WITH v AS (SELECT 'l' || label AS company, vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), s AS (SELECT company, q AS query, id, e[q + 1] / sqrt(list_sum(list_transform(e, lambda x: x * x))) AS score FROM v, range(8) t(q)) SELECT company, query, id, round(score, 6) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY company, query ORDER BY score DESC, id) AS INTEGER) AS rank FROM s) WHERE rank <= 3 AND score > 0",
     "minmax_scores": f"WITH {_CHUNKS}, {_TERMS} SELECT company, query, id, round(CASE WHEN max(score) OVER w = min(score) OVER w THEN 1.0 ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END, 6) AS norm FROM sc WINDOW w AS (PARTITION BY company, query)",
     "hybrid_topk": f"WITH {_CHUNKS}, {bm25(q(q1='the of and', q2='license version'), name='a0')}, {bm25(q(q1='is in for', q2='work under'), name='b0')}, "
     + ", ".join(f"{x} AS (SELECT company, query, id, CASE WHEN max(score) OVER w = min(score) OVER w THEN 1.0 ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END AS s FROM ({ranked(9, x + '0', 'company, query, id, score')}) WINDOW w AS (PARTITION BY company, query))" for x in "ab")
     + f", h AS (SELECT company, query, id, 0.5 * coalesce(a.s, 0) + 0.5 * coalesce(b.s, 0) AS score FROM a FULL JOIN b USING (company, query, id)) SELECT company, query, id, score, rank FROM ({ranked(3, 'h', where='true')}) WHERE score > 0",
-    "facility_candidates_dedupe": f"WITH {_CHUNKS}, {_TERMS}, hits AS (SELECT r.company, c.text, r.score FROM ({ranked(3, cols='company, query, id, score')}) r JOIN ch c ON c.company = r.company AND c.id = r.id), c AS (SELECT * FROM hits UNION ALL SELECT company, left(text, 800), 0.1 FROM ch WHERE id % 10 = 0 UNION ALL SELECT company, right(text, 500), 0.05 FROM ch WHERE id % 10 = 0 AND length(text) > 2000), p AS (SELECT *, {strip('substr(text, 1, 200)')} AS prefix FROM c) SELECT company, md5(text) AS text_md5, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY company, prefix ORDER BY score DESC, length(text) DESC, text DESC) AS n FROM p) WHERE n = 1",
+    "facility_candidates_dedupe": f"WITH {_CHUNKS}, {_TERMS}, hits AS (SELECT r.company, c.text, r.score FROM ({ranked(3, cols='company, query, id, score')}) r JOIN ch c ON c.company = r.company AND c.id = r.id), c AS (SELECT * FROM hits UNION ALL SELECT company, left(text, 800), 0.1 FROM ch UNION ALL SELECT company, right(text, 500), 0.05 FROM ch WHERE length(text) > 2000), p AS (SELECT *, {strip('substr(text, 1, 200)')} AS prefix FROM c) SELECT company, md5(text) AS text_md5, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY company, prefix ORDER BY score DESC, length(text) DESC, text DESC) AS n FROM p) WHERE n = 1",
     "greedy_token_budget": f"WITH t AS (SELECT source AS company, text, doc_id AS score, {words('text')} AS w FROM documents), b AS (SELECT *, coalesce(sum(len(w)) OVER (PARTITION BY company ORDER BY score DESC, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER (PARTITION BY company ORDER BY score DESC, text) AS place FROM t) SELECT company, CAST(place AS INTEGER) AS place, md5(CASE WHEN before + len(w) <= 5000 THEN text ELSE array_to_string(w[1:CAST(5000 - before AS BIGINT)], ' ') END) AS text_md5, CAST(least(len(w), 5000 - before) AS INTEGER) AS tokens FROM b WHERE before < 5000",
     "context_union_dedupe": f"WITH {_CHUNKS}, {_TERMS}, r AS ({ranked(4)}), h AS (SELECT r.company, CAST(substr(query, 2) AS INTEGER) - 1 AS strategy, rank, r.id, text FROM r JOIN ch ON ch.company = r.company AND ch.id = r.id), f AS (SELECT *, row_number() OVER (PARTITION BY company, text ORDER BY strategy, rank) AS nth FROM h) SELECT company, strategy, rank, id, place FROM (SELECT *, CAST(row_number() OVER (PARTITION BY company ORDER BY strategy, rank) AS INTEGER) AS place FROM f WHERE nth = 1 OR strategy = 0) WHERE place <= 6",
     "verification_context": f"WITH {_CHUNKS}, {_TERMS}, r AS ({ranked(2)}), h AS (SELECT r.company, query, rank, text FROM r JOIN ch ON ch.company = r.company AND ch.id = r.id), f AS (SELECT *, row_number() OVER (PARTITION BY company, substr(text, 1, 200) ORDER BY query, rank) AS nth FROM h), p AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY query, rank) AS place FROM f WHERE nth = 1), j AS (SELECT company, string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY place) AS t FROM p WHERE place <= 6 GROUP BY company), d AS (SELECT company, arg_min(text, id) AS full_text FROM ch GROUP BY company), x AS (SELECT company, coalesce(t, left(full_text, 5000)) AS t FROM d LEFT JOIN j USING (company)) SELECT company, md5(CASE WHEN len({words('t')}) <= 4000 THEN t ELSE array_to_string({words('t')}[1:4000], ' ') END) AS text_md5 FROM x",
@@ -113,9 +113,9 @@ SQL |= {
     "token_windows": f"WITH {_TOKWIN} SELECT doc_id, id, a AS token_start, b AS token_end, CAST(length(array_to_string(p[1 : a], '')) + {_LEAD} AS BIGINT) AS char_start, md5(substr(raw, {_LEAD} + 1)) AS text_md5, b = len(p) AS is_last FROM tx",
     "chunk_source_overlap": f"WITH {_PIECES} SELECT w.company, w.id, coalesce(string_agg(DISTINCT file, '|' ORDER BY file), '') AS source_files FROM w LEFT JOIN ov ON ov.company = w.company AND ov.id = w.id GROUP BY w.company, w.id",
     "source_chunk_range": f"WITH {_PIECES} SELECT refs.company, refs.file, coalesce(min(id), -1) AS start_chunk, coalesce(max(id), -1) AS end_chunk FROM refs LEFT JOIN ov ON ov.company = refs.company AND ov.file = refs.file GROUP BY refs.company, refs.file",
-    "coverage_gaps": f"WITH {_TOKWIN}, x AS (SELECT *, coalesce(max(b) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS u FROM tw WHERE id % 3 <> 1), g AS (SELECT doc_id, sum(greatest(b - greatest(a, u), 0)) AS covered, max(b) AS fin, list_filter(list(CASE WHEN a > u THEN u || '-' || a END ORDER BY a), lambda z: z IS NOT NULL) AS gaps FROM x GROUP BY doc_id), y AS (SELECT d.doc_id, CAST(coalesce(covered, 0) AS BIGINT) AS covered, CAST(len(p) AS BIGINT) AS total, list_concat(coalesce(gaps, []), CASE WHEN coalesce(fin, 0) < len(p) THEN [coalesce(fin, 0) || '-' || len(p)] ELSE [] END) AS gaps FROM d LEFT JOIN g USING (doc_id)) SELECT doc_id, covered, total, round(CASE WHEN total > 0 THEN covered / total ELSE 1.0 END, 6) AS share, CASE WHEN total > 0 THEN covered / total ELSE 1.0 END >= 0.999 AS complete, array_to_string(gaps[1:10], ',') AS gaps FROM y",
+    "coverage_gaps": f"WITH {_TOKWIN}, x AS (SELECT *, coalesce(max(b) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS u FROM (SELECT doc_id, a, greatest(b - 60, a) AS b FROM tw)), g AS (SELECT doc_id, sum(greatest(b - greatest(a, u), 0)) AS covered, max(b) AS fin, list_filter(list(CASE WHEN a > u THEN u || '-' || a END ORDER BY a), lambda z: z IS NOT NULL) AS gaps FROM x GROUP BY doc_id), y AS (SELECT d.doc_id, CAST(coalesce(covered, 0) AS BIGINT) AS covered, CAST(len(p) AS BIGINT) AS total, list_concat(coalesce(gaps, []), CASE WHEN coalesce(fin, 0) < len(p) THEN [coalesce(fin, 0) || '-' || len(p)] ELSE [] END) AS gaps FROM d LEFT JOIN g USING (doc_id)) SELECT doc_id, covered, total, round(CASE WHEN total > 0 THEN covered / total ELSE 1.0 END, 6) AS share, CASE WHEN total > 0 THEN covered / total ELSE 1.0 END >= 0.999 AS complete, array_to_string(gaps[1:10], ',') AS gaps FROM y",
     "extraction_plan": f"WITH {_PIECES}, n AS (SELECT company, count(*) AS n FROM w GROUP BY company), s AS (SELECT company, n, CASE WHEN n <= 6 THEN [0] ELSE range(0, n, 4) END AS f FROM n) SELECT company, CAST(generate_subscripts(f, 1) - 1 AS BIGINT) AS call, array_to_string(range(unnest(f), least(unnest(f) + 6, n)), ',') AS ids FROM s",
-    "section_windows": f"WITH {_PIECES}, c AS (SELECT company, id, substr(substr(t, s + 1, e - s), 1, 300) AS h FROM w), k AS (SELECT DISTINCT company, h FROM c WHERE id IN (0, 1, 2, 4)), g AS (SELECT c.company, id // 3 AS section, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids, bool_and(k.h IS NOT NULL) AS done FROM c LEFT JOIN k ON k.company = c.company AND k.h = c.h GROUP BY ALL) SELECT company, section, ids FROM (SELECT *, row_number() OVER (PARTITION BY company ORDER BY section) AS n FROM g WHERE NOT done) WHERE n <= 2",
+    "section_windows": f"WITH {_PIECES}, c AS (SELECT company, id, substr(t, s + 1, e - s) AS x, substr(substr(t, s + 1, e - s), 1, 300) AS h FROM w), k AS (SELECT DISTINCT company, h FROM c WHERE contains(x, 'icense')), g AS (SELECT c.company, id // 3 AS section, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids, bool_and(k.h IS NOT NULL) AS done FROM c LEFT JOIN k ON k.company = c.company AND k.h = c.h GROUP BY ALL) SELECT company, section, ids FROM (SELECT *, row_number() OVER (PARTITION BY company ORDER BY section) AS n FROM g WHERE NOT done) WHERE n <= 2",
     "skip_existing_antijoin": "SELECT source AS company, doc_id AS ord, 'doc_' || doc_id || '.txt' AS file FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "companies": "SELECT DISTINCT source AS company FROM documents",
 }
@@ -226,7 +226,7 @@ SQL |= {
  s AS (SELECT company, facility_idx, field, value, confidence, evidence AS ev, n, CASE WHEN top < 0 THEN 1 ELSE m END AS m FROM o WHERE n = 1 UNION ALL SELECT s.company, s.facility_idx, s.field, s.value, s.confidence, CASE WHEN o.evidence = '' OR contains(s.ev, o.evidence) THEN s.ev ELSE s.ev || ' | ' || o.evidence END, s.n + 1, s.m FROM s JOIN o ON o.company = s.company AND o.facility_idx = s.facility_idx AND o.field = s.field AND o.n = s.n + 1 WHERE s.n < s.m)
  SELECT company, facility_idx, field, value, ev AS evidence, confidence FROM s WHERE n = m""",
     "complete_calls": f"WITH {_P} SELECT company, facility_idx FROM p GROUP BY company, facility_idx HAVING bool_and(value NOT IN {_MISS} AND confidence = 'HIGH')",
-    "apply_corrections": f"WITH {_P} SELECT company, facility_idx, field, CASE WHEN hit THEN '1.00%' ELSE value END AS value, CASE WHEN hit THEN evidence || ' [CORRECTED: see clause]' ELSE evidence END AS evidence, CASE WHEN hit THEN 'MEDIUM' ELSE confidence END AS confidence FROM (SELECT *, facility_idx % 3 = 0 AND field = 'Spread [%]' AS hit FROM merged)",
+    "apply_corrections": f"WITH {_P} SELECT company, facility_idx, field, CASE WHEN hit THEN '1.00%' ELSE value END AS value, CASE WHEN hit THEN evidence || ' [CORRECTED: see clause]' ELSE evidence END AS evidence, CASE WHEN hit THEN 'MEDIUM' ELSE confidence END AS confidence FROM (SELECT *, field = 'Spread [%]' AND value = '250 bps' AS hit FROM merged)",
     "confidence_score": f"WITH {_P}, {_SCORES} SELECT company, facility_idx, round(score, 6) AS score FROM scores",
     "company_confidence": f"WITH {_P}, {_SCORES} SELECT company, round(score, 6) AS score FROM cscores",
     "facility_pivot": f"WITH {_P}, {_SCORES}, v AS (SELECT company, facility_idx, field, CASE WHEN value = 'POSSIBLY_PRESENT' THEN 'NOT_FOUND' WHEN value = 'EXTRACTION_ERROR' THEN value WHEN field = 'Base Rate of the facility' THEN {strip('value')} ELSE {percent_of('value')} END AS v FROM merged), w AS (SELECT company, facility_idx, {_PIV} FROM v GROUP BY company, facility_idx) SELECT w.company AS client, 'f_' || w.company AS sources, '' AS comments, printf('%.2f', cscores.score * 100) || '%' AS score, spread, base, floor, cap, count(*) AS n FROM w JOIN cscores ON cscores.company = w.company GROUP BY ALL",
