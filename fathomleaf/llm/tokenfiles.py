@@ -58,19 +58,26 @@ def decode(data: bytes, n: int, at: int = 0) -> np.ndarray:
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids_ binary of unsigned 16- or 32-bit integers, wide_)."""
+    """(id, ids_ binary of unsigned 16- or 32-bit integers, wide_, tally_); a task's last row has only its tally of ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, tail = word_ids(tokenizer), np.array([end_id], "<u4").tobytes()
+        asked, tail, tally, kind = word_ids(tokenizer), np.array([end_id], "<u4").tobytes(), np.zeros(1, np.int64), None
         for batch in batches:
+            kind = batch.column(0).type
             ids, wide = [], []
             for raw in asked.of(batch.column(1).to_pylist()):
                 x = np.frombuffer(raw + tail, "<u4")
                 wide.append(bool(x.max() > 0xFFFF))
                 ids.append(x.tobytes() if wide[-1] else x.astype("<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(wide, pa.bool_())], names=out.names)
-
-    out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids_", T.BinaryType()), T.StructField("wide_", T.BooleanType())])
+            for flag, dtype in ((False, "<u2"), (True, "<u4")):
+                c = np.bincount(np.frombuffer(b"".join([x for x, w in zip(ids, wide, strict=True) if w == flag]), dtype), minlength=len(tally))
+                c[: len(tally)] += tally
+                tally = c
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(wide, pa.bool_()), pa.nulls(len(ids), pa.binary())], names=out.names)
+        if kind is not None:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.nulls(1, pa.bool_()), pa.array([tally.astype("<i8").tobytes()])], names=out.names)
+
+    out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids_", T.BinaryType()), T.StructField("wide_", T.BooleanType()), T.StructField("tally_", T.BinaryType())])
     return docs.select(id_col, whole_text(text_col).alias("text_")).mapInArrow(run, out)
 
 
@@ -82,17 +89,13 @@ def frequencies(tokens: DataFrame) -> DataFrame:
     """(token, n) over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
         for batch in batches:
-            for raw, wide in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                c = np.bincount(_ids(raw, wide))
-                if len(c) > len(total):
-                    total = np.concatenate((total, np.zeros(len(c) - len(total), np.int64)))
-                total[: len(c)] += c
-        seen = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int64)), pa.array(total[seen])], names=["token", "n"])
+            for raw in batch.column(0).to_pylist():
+                c = np.frombuffer(raw, "<i8")
+                seen = np.nonzero(c)[0]
+                yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int64)), pa.array(c[seen])], names=["token", "n"])
 
-    return tokens.select("ids_", "wide_").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return tokens.filter("tally_ is not null").select("tally_").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def write(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -116,7 +119,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_i
             if not held:
                 return
             counts = pa.array([len(x) for x in held], pa.int64())
-            index = pa.RecordBatch.from_arrays([pa.concat_arrays(keys), counts], names=["id", "tokens"])
+            index = pa.RecordBatch.from_arrays([pa.concat_arrays(keys), counts], names=["id", "tokens"])  # keys: slices of batches
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, index.schema) as w:
                 w.write_batch(index)
@@ -129,19 +132,21 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_i
 
         size = 0
         for batch in batches:
+            begun = 0
             for k, (raw, wide) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 x = _ids(raw, wide)
                 if size and size + len(x) > FILE_IDS:
+                    keys.append(batch.column(0).slice(begun, k - begun))
                     flush()
-                    size = 0
-                keys.append(batch.column(0).slice(k, 1))
+                    begun, size = k, 0
                 held.append(x)
                 size += len(x)
+            keys.append(batch.column(0).slice(begun))
         flush()
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], names=["part", "file", "path", "n_ids", "n_docs", "ranks"])
 
-    tied = tokens.withColumn("tie_", F.xxhash64("ids_"))
+    tied = tokens.filter("tally_ is null").withColumn("tie_", F.xxhash64("ids_"))
     sorted_ = tied.repartitionByRange(cores(spark), id_col, "tie_").sortWithinPartitions(id_col, "tie_", "ids_").select(id_col, "ids_", "wide_")
     return staged(sorted_.mapInArrow(run, "part int, file int, path string, n_ids long, n_docs long, ranks string"), "token-files")
 

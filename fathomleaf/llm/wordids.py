@@ -9,21 +9,37 @@ of blanks or marks are cut more coarsely or go to the library whole.
 from __future__ import annotations
 
 import functools
-import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 
-CACHE = 500_000
+CACHE, KEPT = 500_000, 250_000
 CHARS = 2_000_000
 # Blanks (Unicode White_Space) other than the plain space and the line feed; U+001C to U+001F are blanks for Python only.
 BLANKS = "\t\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 UNEVEN = ("  ", " \n", "\n ", "\n\n", *BLANKS)
 GLUED, HEAD = "\x01", "\x02"
 SEPARATORS = "\x1c\x1d\x1e\x1f"
-BESIDE_MARK = re.compile(r"[.,][^\w\s]|[^\w\s][.,]|_[.,]|[.,]_")
-BEFORE_MARK = re.compile(r"[\W_][.,]|^[.,]")
+
+
+def _ends_words(text: str) -> bool:
+    """Every full stop and comma comes after a letter or digit."""
+    return all(p[-1:].isalnum() for mark in ".," for p in text.split(mark)[:-1])
+
+
+def _stands_free(text: str) -> bool:
+    """Every full stop and comma has letters, digits, blanks or an end on both sides."""
+    for mark in ".,":
+        first, *rest = text.split(mark)
+        if rest and first and not (first[-1].isalnum() or first[-1].isspace()):
+            return False
+        for p in rest[:-1]:
+            if not p or not ((p[0].isalnum() or p[0].isspace()) and (p[-1].isalnum() or p[-1].isspace())):
+                return False
+        if rest and rest[-1] and not (rest[-1][0].isalnum() or rest[-1][0].isspace()):
+            return False
+    return True
 
 
 class _Index(dict):
@@ -53,11 +69,25 @@ class WordIds:
         for word, n in vocabulary.items():
             edge[n] = word.endswith("</w>") if self.blind else word.startswith("Ġ")
         self.edge = edge
-        self.forget()
+        self.line = np.zeros(len(edge), bool)
+        if not self.blind:
+            self.line[np.frombuffer(self.ask(["\n"])[0], "<u4")] = True
+        self.index = _Index()
+        self.starts, self.lens, self.seen = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
+        self.flat, self.filled = np.zeros(1 << 14, "<u4"), 0
 
     def forget(self) -> None:
-        self.index = _Index()
-        self.starts, self.lens, self.flat, self.filled = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 14, "<u4"), 0
+        """Keep the keys asked for most often, drop the rest."""
+        keys = np.array(list(self.index), object)
+        best = np.argpartition(-self.seen[: len(keys)], min(KEPT, len(keys) - 1))[:KEPT]
+        index = _Index()
+        index.update(zip(keys[best].tolist(), range(len(best)), strict=True))
+        starts, lens = self.starts[best], self.lens[best]
+        ends = np.cumsum(lens)
+        flat = self.flat[np.repeat(starts - ends + lens, lens) + np.arange(int(ends[-1]))]
+        self.index, self.seen = index, np.zeros(len(self.seen), np.int32)
+        self.starts[: len(best)], self.lens[: len(best)] = ends - lens, lens
+        self.flat[: len(flat)], self.filled = flat, len(flat)
 
     @staticmethod
     def at_blanks(text: str) -> list[str] | None:
@@ -69,7 +99,7 @@ class WordIds:
             pass
         else:
             text = text.lower()
-        if "'" not in text and not BESIDE_MARK.search(text):
+        if "'" not in text and _stands_free(text):
             text = text.replace(".", " . ").replace(",", " , ")
         return text.split()
 
@@ -77,7 +107,7 @@ class WordIds:
     def at_spaces(text: str) -> list[str] | None:
         if text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or GLUED in text or HEAD in text or any(c in text for c in UNEVEN):
             return None
-        if not BEFORE_MARK.search(text):
+        if _ends_words(text):
             text = text.replace(", ", " \x01, ").replace(". ", " \x01. ").replace(".\n", " \x01.\n").replace(",\n", " \x01,\n")
             if text[-1:] in (".", ","):
                 text = f"{text[:-1]} \x01{text[-1]}"
@@ -86,35 +116,55 @@ class WordIds:
     def ask(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _joined(self, keys: list[str], sep: str, edge: np.ndarray, after: bool) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids, lengths) of keys encoded as one text; ``edge`` marks ids that end a key (``after``) or begin one."""
+        text = sep.join(keys)
+        ids = np.array(self.tokenizer.encode_batch_fast([text if after else sep + text], add_special_tokens=False)[0].ids, "<u4")
+        at = np.nonzero(edge[ids])[0]
+        if len(at) != len(keys):
+            return None
+        return ids, np.diff(at, prepend=-1) if after else np.diff(at, append=len(ids))
+
     def _learn(self, keys: list[str]) -> None:
-        """Ids of new keys: plain words side by side in one text, told apart at word edges; all others one by one."""
+        """Ids of new keys: many in one text, told apart at edges, where that is safe; all others one by one."""
         first = len(self.index) - len(keys)
-        plain = [k for k, w in enumerate(keys) if w.isalpha()]
-        found: list[np.ndarray | None] = [None] * len(keys)
-        for at in range(0, len(plain), 5000):
-            own = plain[at : at + 5000]
-            joined = " ".join([keys[k] for k in own])
-            ids = np.array(self.tokenizer.encode_batch_fast([joined if self.blind else " " + joined], add_special_tokens=False)[0].ids, "<u4")
-            cut = np.nonzero(self.edge[ids])[0] + self.blind
-            if len(cut) == len(own):
-                for k, part in zip(own, np.split(ids, cut[:-1] if self.blind else cut[1:]), strict=True):
-                    found[k] = part
-        rest = [k for k, x in enumerate(found) if x is None]
+        if self.blind:
+            own = [[k for k, w in enumerate(keys) if w.isalpha()], []]
+        else:
+            own = [[k for k, w in enumerate(keys) if w[0] > HEAD], [k for k, w in enumerate(keys) if w[0] == HEAD and w[1:].isalpha()]]
+        order: list[int] = []
+        lens: list[np.ndarray] = []
+        flat: list[np.ndarray] = []
+        for which, group in enumerate(own):
+            for at in range(0, len(group), 5000):
+                some = group[at : at + 5000]
+                names = [keys[k][1:] for k in some] if which else [keys[k] for k in some]
+                found = self._joined(names, "\n" if which else " ", self.line if which else self.edge, self.blind)
+                if found:
+                    ids, n = found
+                    if which:  # without the line feeds
+                        ids, n = ids[~self.line[ids]], n - 1
+                    order += some
+                    flat.append(ids)
+                    lens.append(n)
+        done = set(order)
+        rest = [k for k in range(len(keys)) if k not in done]
         told = [keys[k] if self.blind else keys[k][1:] if keys[k][:1] in (GLUED, HEAD) else " " + keys[k] for k in rest]
         for at in range(0, len(rest), 20_000):
-            for k, ids in zip(rest[at : at + 20_000], self.ask(told[at : at + 20_000]), strict=True):
-                found[k] = np.frombuffer(ids, "<u4")
-        lens = np.array([len(x) for x in found], np.int64)
-        flat = np.concatenate([x for x in found if x is not None])
+            for ids in self.ask(told[at : at + 20_000]):
+                flat.append(np.frombuffer(ids, "<u4"))
+                lens.append(np.array([len(ids) // 4]))
+        ids, n, where = np.concatenate(flat), np.concatenate(lens), np.array(order + rest, np.int64) + first
         upto = first + len(keys)
         if upto > len(self.starts):
             self.starts, self.lens = np.resize(self.starts, 2 * upto), np.resize(self.lens, 2 * upto)
-        if self.filled + len(flat) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * (self.filled + len(flat)))
-        self.lens[first:upto] = lens
-        self.starts[first:upto] = self.filled + np.cumsum(lens) - lens
-        self.flat[self.filled : self.filled + len(flat)] = flat
-        self.filled += len(flat)
+            self.seen = np.concatenate((self.seen, np.zeros(2 * upto - len(self.seen), np.int32)))
+        if self.filled + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * (self.filled + len(ids)))
+        self.lens[where] = n
+        self.starts[where] = self.filled + np.cumsum(n) - n
+        self.flat[self.filled : self.filled + len(ids)] = ids
+        self.filled += len(ids)
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
         at = 0
@@ -131,6 +181,7 @@ class WordIds:
             if self.index.new:
                 self._learn(self.index.new)
                 self.index.new = []
+            self.seen[: len(self.index)] += np.bincount(index, minlength=len(self.index)).astype(np.int32)
             lens = self.lens[index]
             ends = np.cumsum(lens)
             where = np.repeat(self.starts[index] - ends + lens, lens)
