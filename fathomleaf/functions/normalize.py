@@ -97,6 +97,12 @@ def normalize_value(kind: Column, value: Column | str) -> Column:
     return F.when(skip, raw).when(kind == "date", normalize_date(raw)).when(kind == "percentage", normalize_percentage(raw)).when(kind == "ratio", normalize_ratio(raw)).when(kind == "yes_no", normalize_yes_no(raw)).otherwise(strip(raw))
 
 
+def normalize_row(row: Column | str) -> Column:
+    """A map of field -> value with every value in its canonical form."""
+    kinds = F.create_map(*(F.lit(x) for kv in R.KIND_OF.items() for x in kv))
+    return F.transform_values(col(row), lambda k, v: normalize_value(F.coalesce(F.try_element_at(kinds, k), F.lit("text")), v))
+
+
 def is_empty(value: Column | str) -> Column:
     return col(value).isNull() | strip(value).isin(*R.MISSING_IN_COMPARISON)
 

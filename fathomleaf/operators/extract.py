@@ -81,6 +81,28 @@ def with_examples(prompt: Column, examples: Column) -> Column:
     return F.when(at > 0, F.concat(F.substring(prompt, F.lit(1), at - 1), examples, F.lit("\n\n"), F.substr(prompt, at))).otherwise(prompt)
 
 
+def format_example(text: Column, answer: Column) -> Column:
+    """One worked example for a prompt: a passage and the JSON it should give."""
+    return F.concat(F.lit("EXAMPLE\nText: "), text, F.lit("\nAnswer: "), answer)
+
+
+def verification_prompts(extractions: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(company, facility_idx, system, prompt, max_tokens): the found values of a facility and the text to check them against."""
+    found = extractions.filter(~F.coalesce("value", F.lit("")).isin(*R.MISSING_IN_CONFIDENCE))
+    line = F.concat("field", F.lit(": "), "value")
+    own = found.groupBy("company", "facility_idx").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("values_"))
+    ask = F.concat(F.lit("Check each value against the text. Answer as JSON with verified_fields, missing_information and inconsistencies.\n\nVALUES:\n"), "values_", F.lit("\n\nDOCUMENT TEXT:\n"), "text")
+    return own.join(contexts, "company").select("company", "facility_idx", F.lit(SYSTEM).alias("system"), ask.alias("prompt"), F.lit(1024).alias("max_tokens"))
+
+
+def deep_prompts(targets: DataFrame, contexts: DataFrame, candidates: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
+    """One prompt a target field: its contexts (company, field, text), with the first five candidates as a hint."""
+    hint = F.when(F.size("candidates") > 0, F.concat(F.lit("Candidates: "), F.array_join(F.slice("candidates", 1, 5), "; "), F.lit("\n"))).otherwise("")
+    rows = targets.join(contexts, ["company", "field"], "left").join(candidates.select("company", "field", "candidates"), ["company", "field"], "left")
+    ask = F.concat(F.lit("Find one field. Answer as JSON with value, evidence, confidence and reasoning.\n- "), "field", F.lit(": as stated\n"), F.coalesce(hint, F.lit("")), F.lit("\nDOCUMENT TEXT:\n"), trim_tokens(F.coalesce("text", F.lit("")), config.deep_budget))
+    return rows.select("company", "facility_idx", "field", F.lit(SYSTEM).alias("system"), ask.alias("prompt"), F.lit(512).alias("max_tokens"))
+
+
 def prompts(contexts: DataFrame, groups: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
     """(company, facility_idx, group, pass_idx, system, prompt, max_tokens) from contexts with an array ``texts``."""
     bullets = F.array_join(F.transform("fields", lambda f: F.concat(F.lit("- "), f, F.lit(": as stated"))), "\n")

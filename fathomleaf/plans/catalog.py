@@ -19,6 +19,7 @@ from fathomleaf.operators import quality as Q
 from fathomleaf.operators import retrieval as S
 from fathomleaf.operators import structure as T
 from fathomleaf.plans import inputs as I
+from fathomleaf.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 SMALL = EngineConfig(chunk_size=200, chunk_overlap=40)
@@ -426,7 +427,48 @@ def field_group_extraction(s: SparkSession, d: str) -> DataFrame:
     return E.answers_to_fields(answers, R.fields(s)).select("facility_idx", "field", "value", "confidence")
 
 
-NAMES = """bm25_topk bm25_term_stats bm25_doc_stats bm25_multi_query_topk group_query_topk synonym_lookup synonym_expanded_search dense_topk minmax_scores hybrid_topk facility_candidates_dedupe greedy_token_budget
+def row_normalise(s: SparkSession, d: str) -> DataFrame:
+    rows = I.table(s, d, "customer").select("c_custkey", F.create_map(F.lit("Spread [%]"), F.lit("75bps"), F.lit("Hedging: effective date"), F.lit("May 2021"), F.lit("Borrower name"), F.concat(F.lit(" "), "c_name")).alias("row"))
+    out = rows.select("c_custkey", N.normalize_row("row").alias("m"))
+    return out.select("c_custkey", F.col("m")["Spread [%]"].alias("spread"), F.col("m")["Hedging: effective date"].alias("date"), F.col("m")["Borrower name"].alias("borrower"))
+
+
+def annotated_chunks(s: SparkSession, d: str) -> DataFrame:
+    files = I.files(s, d)
+    chunks = C.with_sources(C.windows_by_file(files), C.source_offsets(files))
+    return C.annotated(chunks, chunks.filter(F.col("text").contains("icense"))).select("company", F.md5("text").alias("text_md5"))
+
+
+FACILITIES = """case n_nationkey % 3 when 0 then '{"facilities": [{"name": "A ' || n_name || '", "type": "RCF", "amount": "EUR 1", "characteristics": "x"}, {"name": "B", "type": "LC", "amount": "2", "characteristics": ""}]}' when 1 then '{"facilities": []}' else 'no answer' end"""
+
+
+def facility_detection(s: SparkSession, d: str) -> DataFrame:
+    return E.facilities(I.table(s, d, "nation").select(F.col("n_name").alias("company"), F.expr(FACILITIES).alias("response"))).withColumn("facility_idx", F.col("facility_idx").cast("long"))
+
+
+VERIFIED = """'{"verified_fields": {"Spread [%]": {"original_value": "1", "verified_value": "' || cast(n_nationkey as string) || '", "is_correct": ' || case when n_nationkey % 2 = 0 then 'false' else 'true' end || ', "correction_reason": "r"}, "Facility name": {"verified_value": "", "is_correct": false}}}'"""
+
+
+def verification_corrections(s: SparkSession, d: str) -> DataFrame:
+    return E.corrections(I.table(s, d, "nation").select(F.col("n_name").alias("company"), F.lit(0).alias("facility_idx"), F.expr(VERIFIED).alias("response"))).select("company", "field", "verified_value", "correction_reason")
+
+
+def group_flatten(s: SparkSession, d: str) -> DataFrame:
+    rows = E.merge_passes(_passes(s, d))
+    both = rows.unionByName(rows.withColumn("group", F.lit("fees")).withColumn("value", F.concat(F.lit("later "), "value")))
+    return E.flatten(both, R.groups(s)).select("company", "facility_idx", "field", "group", "value")
+
+
+def event_windows(s: SparkSession, d: str) -> DataFrame:
+    return ingest.event_windows(I.table(s, d, "events")).select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+def few_shot_prompt(s: SparkSession, d: str) -> DataFrame:
+    example = E.format_example(F.col("n_name"), F.lit("{}"))
+    return I.table(s, d, "nation").select("n_nationkey", E.with_examples(F.lit("ask\nDOCUMENT TEXT:\nx DOCUMENT TEXT: y"), example).alias("prompt"))
+
+
+NAMES = """row_normalise annotated_chunks facility_detection verification_corrections group_flatten event_windows few_shot_prompt bm25_topk bm25_term_stats bm25_doc_stats bm25_multi_query_topk group_query_topk synonym_lookup synonym_expanded_search dense_topk minmax_scores hybrid_topk facility_candidates_dedupe greedy_token_budget
 context_union_dedupe verification_context clean_text line_noise_filter section_headers table_runs table_header_asof section_rollup document_structure sentence_split sentence_chunks language_profile safe_names company_concat
 source_offsets char_windows token_windows chunk_source_overlap source_chunk_range coverage_gaps extraction_plan section_windows skip_existing_antijoin companies norm_date norm_percentage norm_ratio norm_yes_no norm_dispatch
 compare_values_matrix quality_overall quality_by_field quality_by_company mismatch_detail field_coverage company_join_contains positional_pairing conform_golden merge_passes merge_evidence complete_calls apply_corrections

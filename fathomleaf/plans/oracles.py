@@ -240,3 +240,12 @@ SQL |= {
     "table_cell_lookup": "SELECT doc_id, 'Spread [%]' AS field, doc_id % 7 || '.25%' AS value FROM documents",
     "field_group_extraction": f"WITH f AS (SELECT unnest([{', '.join(repr(x) for g in R.GROUPS if g[0] == 'pricing' for x in g[3])}]) AS field) SELECT CAST(doc_id AS INTEGER) AS facility_idx, field, CASE WHEN field = 'Spread [%]' THEN doc_id % 7 || '.25%' ELSE 'NOT_FOUND' END AS value, CASE WHEN field = 'Spread [%]' THEN 'HIGH' ELSE 'LOW' END AS confidence FROM documents CROSS JOIN f",
 }
+SQL |= {
+    "row_normalise": "SELECT c_custkey, '0.75%' AS spread, '05/2021' AS date, c_name AS borrower FROM customer",
+    "annotated_chunks": f"WITH {_PIECES}, x AS (SELECT w.company, w.id, substr(t, s + 1, e - s) AS text, (SELECT string_agg(DISTINCT file, ', ' ORDER BY file) FROM ov WHERE ov.company = w.company AND ov.id = w.id) AS f FROM w) SELECT company, md5(string_agg('[From: ' || coalesce(f, '') || ']' || chr(10) || text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY id)) AS text_md5 FROM x WHERE contains(text, 'icense') GROUP BY company",
+    "facility_detection": "SELECT n_name AS company, CAST(0 AS BIGINT) AS facility_idx, CASE WHEN n_nationkey % 3 = 0 THEN 'A ' || n_name ELSE 'Primary Facility' END AS name, CASE WHEN n_nationkey % 3 = 0 THEN 'RCF' ELSE 'Unknown' END AS type, CASE WHEN n_nationkey % 3 = 0 THEN 'EUR 1' ELSE 'N/A' END AS amount, CASE WHEN n_nationkey % 3 = 0 THEN 'x' ELSE '' END AS characteristics FROM nation UNION ALL SELECT n_name, 1, 'B', 'LC', '2', '' FROM nation WHERE n_nationkey % 3 = 0",
+    "verification_corrections": "SELECT n_name AS company, 'Spread [%]' AS field, CAST(n_nationkey AS VARCHAR) AS verified_value, 'r' AS correction_reason FROM nation WHERE n_nationkey % 2 = 0",
+    "group_flatten": f"WITH {_P} SELECT company, facility_idx, field, 'fees' AS \"group\", 'later ' || value AS value FROM merged",
+    "event_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
+    "few_shot_prompt": "SELECT n_nationkey, 'ask' || chr(10) || 'EXAMPLE' || chr(10) || 'Text: ' || n_name || chr(10) || 'Answer: {}' || chr(10) || chr(10) || 'DOCUMENT TEXT:' || chr(10) || 'x DOCUMENT TEXT: y' AS prompt FROM nation",
+}
