@@ -16,7 +16,7 @@ NUMBER_COLUMNS = r"^\s*[\d,\.]+\s+[\d,\.]+\s+[\d,\.]+"
 SEPARATOR_LINE = r"^\s*[-=+]+\s*$"
 SENTENCE_BREAK = r"(?<=[.!?])\s+(?=[A-Z])"
 ARTEFACTS = r"\b(NaN|Unnamed:\s*\d+)\b"
-WORD_RUNS = r"[\p{L}\p{N}_]+"
+WHOLE_WORDS = r"(?<![\p{L}\p{N}_])[a-z0-9]++(?![\p{L}\p{N}_])"
 
 
 def col(c: Column | str) -> Column:
@@ -54,7 +54,7 @@ def sentences(c: Column | str) -> Column:
 
 def tokens(c: Column | str) -> Column:
     """Runs of a-z and 0-9 that are whole words among Unicode letters, digits and underscores."""
-    return F.filter(F.regexp_extract_all(F.lower(col(c)), F.lit(WORD_RUNS), F.lit(0)), lambda t: t.rlike("^[a-z0-9]+$"))
+    return F.regexp_extract_all(F.lower(col(c)), F.lit(WHOLE_WORDS), F.lit(0))
 
 
 def blank_tokens(c: Column | str) -> Column:

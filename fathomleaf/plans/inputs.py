@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """A table; texts in fewer partitions than there are cores (a file or two) are dealt out first."""
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in ("documents", "pages", "conversations") and df.rdd.getNumPartitions() < cores else df
 
 
 def files(spark: SparkSession, d: str) -> DataFrame:
