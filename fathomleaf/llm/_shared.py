@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables, always through Spark's own reader."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the driver's tables, always through Spark's own reader.
+
+    Texts that come in fewer partitions than there are cores (a file or two) are dealt out first; larger inputs are not.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    n = spark.sparkContext.defaultParallelism
+    return df.repartition(n) if name in ("documents", "pages") and df.rdd.getNumPartitions() < n else df
 
 
 def checkpoint_root(spark: SparkSession) -> str:
