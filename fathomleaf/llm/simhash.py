@@ -153,6 +153,7 @@ class Wide:
 
 
 CROWD = 8
+TILE = 256
 CHUNK = 256
 
 
@@ -168,12 +169,36 @@ def _wide(rows: DataFrame, keep: list[str], text_col: str, w: Wide) -> DataFrame
     return rows.select(*keep, whole_text(text_col).alias("text_")).mapInArrow(run, out)
 
 
-def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int]) -> DataFrame:
+def _groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[list[np.ndarray]]:
+    """Columns of sorted rows, cut only where the first ``by`` columns change."""
+    rest: list[np.ndarray] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if rest is not None:
+            cols = [np.concatenate(x) for x in zip(rest, cols, strict=True)]
+        cut = len(cols[0]) - int(np.argmin(np.append(np.logical_and.reduce([c == c[-1] for c in cols[:by]])[::-1], False)))
+        if cut:
+            yield [c[:cut] for c in cols]
+        rest = [c[cut:] for c in cols]
+    if rest is not None:
+        yield rest
+
+
+def _begins(*keys: np.ndarray) -> np.ndarray:
+    """Places where one of ``keys`` changes, and the end."""
+    return np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys]), [True])))
+
+
+def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool = True) -> DataFrame:
     """(a, b): nodes (node, fp_, root) of different roots whose fingerprints are within ``w.distance`` bits.
 
-    One shuffle deals out (block key, node, first 64 bits, root), sorted. Members of a block meet in pairs; in blocks of
-    more than ``CROWD`` members, which only dense groups of near copies make, each meets the block's first and the one
-    before it in the order of the first 64 bits, in every one of the many blocks that it shares.
+    One shuffle deals out (block key, node, first 64 bits, root), sorted. Members of a block meet in pairs; blocks of more
+    than ``CROWD`` members are cut into tiles of ``TILE``, and any two tiles (and each with itself) are a cell that some
+    task gets with the whole fingerprints, so that every pair of a block is compared and only close ones are listed.
+    Members go by root, and cells of one root are left out. Not ``whole``: in crowded blocks each meets only the block's
+    first and the one before it in the order of the first 64 bits, which is enough to make dense groups one root.
     """
     lo, hi = blocks
 
@@ -187,37 +212,49 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int]) -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w.keys(packed)[:, lo:hi].reshape(-1), *(np.repeat(v, hi - lo) for v in (node, first, root)))], names=["key", "node", "sig", "root"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = [np.zeros(0, np.int64)] * 4
-        lead = None  # the block's first member, where a block runs over batches
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, node, sig, root = cols = [np.concatenate((t, c.to_numpy(zero_copy_only=False))) for t, c in zip(tail, batch.columns, strict=True)]
-            fresh = np.concatenate(([True], key[1:] != key[:-1]))
-            run = np.cumsum(fresh) - 1
-            begin = np.nonzero(fresh)[0]
-            hub = [v[begin][run] for v in (node, sig, root)]
-            if lead is not None:
-                for v, own in zip(hub, lead[1:4], strict=True):
-                    v[key == lead[0]] = own
-            crowded = np.bincount(run)[run] > CROWD
-            if lead is not None and lead[4]:
-                crowded |= key == lead[0]
+        """Pairs (a, b, -1, 0), and members of cells (node, tile, key, cell)."""
+        for key, node, sig, root in _groups(batches, 1):
+            begin = _begins(key)
+            size = np.diff(begin)
+            crowded = np.repeat(size > CROWD, size)
+            hub = np.repeat(begin[:-1], size)
             a, b = [], []
             for k in range(0, CROWD):
-                x, y = (hub, [node, sig, root]) if k == 0 else ([v[:-k] for v in (node, sig, root)], [v[k:] for v in (node, sig, root)])
-                ok = (x[0] != y[0]) & (x[2] != y[2]) & (np.bitwise_count((x[1] ^ y[1]).view(np.uint64)) <= w.near)
-                if k:
-                    ok &= key[k:] == key[:-k]
-                if k > 1:
-                    ok &= ~crowded[k:]
-                a.append(x[0][ok])
-                b.append(y[0][ok])
+                x, y = (hub, np.arange(len(key))) if k == 0 else (np.arange(len(key) - k), np.arange(k, len(key)))
+                ok = (key[x] == key[y]) & (node[x] != node[y]) & (root[x] != root[y]) & (np.bitwise_count((sig[x] ^ sig[y]).view(np.uint64)) <= w.near)
+                ok &= ~crowded[y] if k > 1 or whole else True
+                a.append(node[x[ok]])
+                b.append(node[y[ok]])
             a, b = np.concatenate(a), np.concatenate(b)
             pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-            lead = (key[-1], *(v[-1] for v in hub), bool(crowded[-1]))
-            tail = [v[-CROWD:] for v in cols]
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pairs[:, 0], pairs[:, 1], np.full(len(pairs), -1), np.zeros(len(pairs), np.int64))], names=["a", "b", "key", "cell"])
+            for g in np.flatnonzero(size > CROWD) if whole else ():
+                at = slice(begin[g], begin[g + 1])
+                order = np.lexsort((node[at], root[at]))
+                own, of = node[at][order], root[at][order]
+                for i in range(0, len(own), TILE):
+                    for j in range(i, len(own), TILE):
+                        if of[i] != of[min(j + TILE, len(of)) - 1]:
+                            some = own[i : i + TILE] if i == j else np.concatenate((own[i : i + TILE], own[j : j + TILE]))
+                            tile = np.arange(len(some)) // TILE
+                            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, tile, np.full(len(some), key[at][0]), np.full(len(some), i // TILE << 32 | j // TILE))], names=["a", "b", "key", "cell"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, cell, node, tile, root, fp in _groups(batches, 2):
+            begin = _begins(key, cell)
+            for lo, hi in zip(begin[:-1], begin[1:], strict=True):
+                at = lo + np.argsort(tile[lo:hi], kind="stable")
+                bits = np.frombuffer(b"".join(fp[at]), "<u8").reshape(len(at), -1)
+                second = int(np.searchsorted(tile[at], 1))
+                inner = second == len(at)
+                a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for x in range(second):
+                    y = np.arange(x + 1 if inner else second, len(at))
+                    y = y[root[at[y]] != root[at[x]]]
+                    y = y[np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64) <= w.distance]
+                    a.append(np.minimum(node[at[y]], node[at[x]]))
+                    b.append(np.maximum(node[at[y]], node[at[x]]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,11 +262,18 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int]) -> DataFrame
             ok = pa.array(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= w.distance)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
+    n = cores(nodes.sparkSession)
     keys = nodes.select("node", "fp_", "root").mapInArrow(explode, "key long, node long, sig long, root long")
-    dealt = keys.repartition(cores(nodes.sparkSession), "key").sortWithinPartitions("key", "sig", "node")
-    pairs = staged(dealt.mapInArrow(meet, "a long, b long").distinct(), "pairs")
+    dealt = keys.repartition(n, "key").sortWithinPartitions("key", "sig", "node")
+    met = staged(dealt.mapInArrow(meet, "a long, b long, key long, cell long"), "pairs")
+    pairs = met.filter("key < 0").select("a", "b").distinct()
     left, right = nodes.select(F.col("node").alias("a"), F.col("fp_").alias("x_")), nodes.select(F.col("node").alias("b"), F.col("fp_").alias("y_"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x_", "y_").mapInArrow(verify, "a long, b long")
+    close = pairs.join(left, "a").join(right, "b").select("a", "b", "x_", "y_").mapInArrow(verify, "a long, b long")
+    if not whole:
+        return close
+    members = met.filter("key >= 0").select("key", "cell", F.col("a").alias("node"), F.col("b").alias("tile")).join(nodes, "node").select("key", "cell", "node", "tile", "root", "fp_")
+    cells = members.repartition(n, "key", "cell").sortWithinPartitions("key", "cell")
+    return close.unionByName(cells.mapInArrow(compare, "a long, b long")).distinct()
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -241,9 +285,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     first = staged(_wide(rows, [row, id_col], text_col, w).groupBy("fp_").agg(F.min(rank).alias("first_")).withColumn("node", F.col("first_.row")), "firsts")
     # A few blocks first: copies that share most blocks are one root before the others are dealt out.
     few = max(1, w.blocks // 6)
-    early = staged(_wide_links(first.withColumn("root", F.col("node")), w, (0, few)), "links")
+    early = staged(_wide_links(first.withColumn("root", F.col("node")), w, (0, few), whole=False), "links")
     roots = first.join(components(early), "node", "left").select("node", "fp_", F.coalesce("root", "node").alias("root"))
-    linked = components(early.unionByName(_wide_links(roots, w, (few, w.blocks))))
+    linked = components(early.unionByName(_wide_links(roots, w, (0, w.blocks))))
     ranks = first.select("node", "first_")
     keep = linked.join(ranks, "node").groupBy("root").agg(F.min("first_").alias("first_")).select(F.col("first_.row").alias(row))
     alone = ranks.join(linked, "node", "left_anti").select(F.col("first_.row").alias(row))

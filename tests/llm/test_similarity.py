@@ -111,6 +111,51 @@ def test_dense_group_is_one(spark):
     assert [x.doc_id for x in simhash.keep_one(docs(spark, values)).collect()] == [0]
 
 
+def shingles(text, words=5):
+    own = text.lower().split()
+    return {tuple(own[i : i + words]) for i in range(max(1, len(own) - words + 1))}
+
+
+def jaccard(x, y):
+    return len(x & y) / len(x | y)
+
+
+def test_template_family_as_brute_force(spark):
+    """Many unlike rows on one template crowd the blocks; the alike ones among them still meet."""
+    r = random.Random(11)
+
+    def changed(own, n):
+        own = list(own)
+        for k in r.sample(range(0, len(own), 5), n):
+            own[k] = "x%d" % r.randrange(1 << 40)
+        return own
+
+    template = ["w%d" % r.randrange(3000) for _ in range(400)]
+    family = [changed(template, 9) for _ in range(1200)]
+    values = [(i, " ".join(f)) for i, f in enumerate(family)] + [(10_000 + i, " ".join(changed(family[i], 6))) for i in range(100)]
+    sets = {i: shingles(t) for i, t in values}
+    want = {i for i in sets if i >= 10_000 and jaccard(sets[i], sets[i - 10_000]) >= 0.8}
+    assert len(want) > 90 and all(jaccard(sets[i], sets[j]) < 0.74 for i in range(0, 1200, 40) for j in range(i))
+    kept = {x.doc_id for x in simhash.keep_one(docs(spark, values)).collect()}
+    assert len(want - kept) >= 0.95 * len(want)
+
+
+def test_cells_find_every_close_pair(spark, monkeypatch):
+    """Tiles of a crowded block meet across tasks: as all pairs, whatever the tile."""
+    monkeypatch.setattr(simhash, "CROWD", 2)
+    monkeypatch.setattr(simhash, "TILE", 7)
+    r = np.random.default_rng(12)
+    w = simhash.Wide(2)
+    own = np.repeat(r.integers(0, 2, (1, w.bits)), 60, axis=0)
+    for x in own:  # the blocks agree, the rest differs
+        x[w.blocks * w.width :] ^= r.random(w.bits - w.blocks * w.width) < r.choice([0.05, 0.12, 0.2])
+    rows = [(k, np.packbits(x).tobytes(), k // 3) for k, x in enumerate(own)]
+    got = simhash._wide_links(spark.createDataFrame(rows, "node long, fp_ binary, root long"), w, (0, 2)).collect()
+    want = {(a, b) for a in range(60) for b in range(a) if a // 3 != b // 3 and (own[a] != own[b]).sum() <= w.distance}
+    assert 0 < len(want) < 60 * 59 // 2
+    assert sorted((x.b, x.a) for x in got) == sorted(want)
+
+
 def slow_top(rows, k=20):
     own = []
     for n, (i, v) in enumerate(rows):
