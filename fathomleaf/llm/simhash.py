@@ -11,6 +11,7 @@ null ids never name a component unless all its ids are null; extra columns are i
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -112,7 +113,8 @@ class Wide:
     Shingles are count-sketched into ``bits`` signed buckets, and the signs of a Hadamard transform are the fingerprint.
     Two texts of Jaccard similarity J (cosine 2J / (1 + J) for sets) differ in a share acos(cosine) / pi of the bits. The
     fingerprint is split into ``blocks`` of ``width`` bits, wide enough that ``n`` unlike texts seldom share one, and so
-    many that two texts at the threshold share one with probability ``RECALL``; more alike texts share many.
+    many that two texts at the threshold share one with probability ``RECALL``; more alike texts share many. The
+    fingerprints choose candidates; ``_alike`` decides by the sets of shingles themselves.
     """
 
     RECALL = 0.98
@@ -127,9 +129,13 @@ class Wide:
         self.distance = int(self.bits * (share + spread))
         self.near = int(64 * share + 3.5 * (64 * share * (1 - share)) ** 0.5)  # for the first 64 bits alone
 
+    def shingles(self, text: str) -> np.ndarray:
+        """The hashes of the different shingles, sorted."""
+        return np.unique(_hashes(text, self.words))
+
     def sketch(self, text: str) -> np.ndarray:
         out = np.zeros(self.bits, np.float32)
-        h = _hashes(text, self.words)
+        h = self.shingles(text)
         if len(h):
             np.add.at(out, (h >> np.uint64(1)).astype(np.int64) & (self.bits - 1), np.where(h & np.uint64(1), np.float32(1), np.float32(-1)))
         return out
@@ -162,10 +168,12 @@ def _wide(rows: DataFrame, keep: list[str], text_col: str, w: Wide) -> DataFrame
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)
-                packed = np.packbits(w.fingerprints(part.column(part.num_columns - 1).to_pylist()), axis=1)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([p.tobytes() for p in packed], pa.binary())], names=out.names)
+                texts = part.column(part.num_columns - 1).to_pylist()
+                packed = np.packbits(w.fingerprints(texts), axis=1)
+                own = [hashlib.md5(w.shingles(t).tobytes()).digest() for t in texts]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([p.tobytes() for p in packed], pa.binary()), pa.array(own, pa.binary())], names=out.names)
 
-    out = T.StructType([*(rows.schema[c] for c in keep), T.StructField("fp_", T.BinaryType())])
+    out = T.StructType([*(rows.schema[c] for c in keep), T.StructField("fp_", T.BinaryType()), T.StructField("set_", T.BinaryType())])
     return rows.select(*keep, whole_text(text_col).alias("text_")).mapInArrow(run, out)
 
 
@@ -276,18 +284,44 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
     return close.unionByName(cells.mapInArrow(compare, "a long, b long")).distinct()
 
 
+def _alike(pairs: DataFrame, rows: DataFrame, row: str, text_col: str, w: Wide, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (a, b: rows of ``rows``) whose sets of shingles have at least that Jaccard similarity."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w.shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["node", "own_"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            ok = pa.array(ok, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
+
+    pairs = staged(pairs, "candidates")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias(row)).distinct()
+    texts = rows.join(asked, row, "left_semi").select(row, whole_text(text_col).alias("text_"))
+    own = staged(texts.mapInArrow(sets, "node long, own_ binary"), "sets")
+    left, right = own.select(F.col("node").alias("a"), F.col("own_").alias("x_")), own.select(F.col("node").alias("b"), F.col("own_").alias("y_"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x_", "y_").mapInArrow(verify, "a long, b long")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """Of each group of near copies the row with the least id (nulls last; of equal ids the first read); all columns stay."""
     row = free_name(docs, "row_")
     rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     w = Wide(rows.count(), similarity, words)
     rank = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
-    first = staged(_wide(rows, [row, id_col], text_col, w).groupBy("fp_").agg(F.min(rank).alias("first_")).withColumn("node", F.col("first_.row")), "firsts")
+    first = staged(_wide(rows, [row, id_col], text_col, w).groupBy("set_").agg(F.min(rank).alias("first_"), F.first("fp_").alias("fp_")).select("fp_", "first_", F.col("first_.row").alias("node")), "firsts")
     # A few blocks first: copies that share most blocks are one root before the others are dealt out.
     few = max(1, w.blocks // 6)
-    early = staged(_wide_links(first.withColumn("root", F.col("node")), w, (0, few), whole=False), "links")
+    early = staged(_alike(_wide_links(first.withColumn("root", F.col("node")), w, (0, few), whole=False), rows, row, text_col, w, similarity), "links")
     roots = first.join(components(early), "node", "left").select("node", "fp_", F.coalesce("root", "node").alias("root"))
-    linked = components(early.unionByName(_wide_links(roots, w, (0, w.blocks))))
+    late = _alike(_wide_links(roots, w, (0, w.blocks)), rows, row, text_col, w, similarity)
+    linked = components(early.unionByName(late))
     ranks = first.select("node", "first_")
     keep = linked.join(ranks, "node").groupBy("root").agg(F.min("first_").alias("first_")).select(F.col("first_.row").alias(row))
     alone = ranks.join(linked, "node", "left_anti").select(F.col("first_.row").alias(row))
