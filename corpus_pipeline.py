@@ -26,8 +26,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines and sentences that an earlier document has go; ``n_chars`` follows the text. Documents left empty stay out."""
-    cut = substring.clean(docs).filter((F.col("text") != "") | (F.size("spans_") == 0))
+    """Lines, sentences and runs of short lines that an earlier document has go; ``n_chars`` follows the text. Documents left empty stay out."""
+    cut = substring.clean(docs, every=True).filter((F.col("text") != "") | (F.size("spans_") == 0))
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

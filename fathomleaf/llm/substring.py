@@ -27,6 +27,8 @@ from fathomleaf.llm._shared import free_name, staged, table, whole_text
 
 WORDS = 8
 SENTENCE = re.compile(r"[^.!?]+[.!?]* ?|[.!?]+ ?")
+WIDE_SENTENCE = re.compile(r"[^.!?。！？]+[.!?。！？]* ?|[.!?。！？]+ ?")
+UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")  # Thai to Khmer, kana, Han
 
 
 def units(text: str, words: int = WORDS) -> Iterator[tuple[bytes, int, int]]:
@@ -46,26 +48,74 @@ def units(text: str, words: int = WORDS) -> Iterator[tuple[bytes, int, int]]:
         at = stop + 1
 
 
-def _units(docs: DataFrame, row: str, id_col: str, text_col: str, words: int) -> DataFrame:
+def weight(line: str) -> int:
+    """Blank-separated words; in scripts without blanks two characters count as a word."""
+    return max(len(line.encode().split()), len(UNSPACED.findall(line)) // 2)
+
+
+def all_units(text: str, words: int = WORDS) -> Iterator[tuple[bytes, int, int]]:
+    """As ``units``, and also sentences and lines of scripts without blanks, and runs of short lines.
+
+    From each line below ``words``, a run goes on over short lines (blank ones between them count nothing) until it
+    reaches ``words``, so that a passage is found wherever its lines begin. Equal runs of a text that overlap are told once.
+    """
+    yield from units(text, words)
+    short: list[tuple[str, int, int, int]] = []  # normalised line, weight, start, stop
+    told: dict[bytes, int] = {}
+    at = 0
+    for line in [*text.split("\n"), None]:
+        size = words if line is None else weight(line)
+        if line is not None and size < words:
+            if size:
+                short.append((b" ".join(line.encode().lower().split()), size, at, min(at + len(line) + 1, len(text))))
+            at += len(line) + 1
+            continue
+        j, total = 0, 0
+        for i in range(len(short)):
+            while j < len(short) and total < words:
+                total += short[j][1]
+                j += 1
+            if total < words:
+                break
+            digest = hashlib.md5(b"r " + b"\n".join(x[0] for x in short[i:j])).digest()
+            if told.get(digest, 0) <= short[i][2]:
+                told[digest] = short[j - 1][3]
+                yield digest, short[i][2], short[j - 1][3]
+            total -= short[i][1]
+        short = []
+        if line is None:
+            break
+        if UNSPACED.search(line):
+            parts = [m.span() for m in WIDE_SENTENCE.finditer(line)]
+            if len(line.encode().split()) < words:
+                yield hashlib.md5(b"l " + b" ".join(line.encode().lower().split())).digest(), at, min(at + len(line) + 1, len(text))
+            for a, b in parts:
+                if weight(line[a:b]) >= words:
+                    yield hashlib.md5(b"w " + b" ".join(line[a:b].encode().lower().split())).digest(), at + a, at + b
+        at += len(line) + 1
+
+
+def _units(docs: DataFrame, row: str, id_col: str, text_col: str, words: int, every: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, found = [], []
             for k, text in enumerate(batch.column(2).to_pylist()):
-                for digest, start, stop in units(text, words):
+                for digest, start, stop in told(text, words):
                     keys.append(k)
                     found.append((*struct.unpack("<qq", digest), start, stop))
             at = pa.array(keys, pa.int64())
             cols = list(zip(*found, strict=True)) if found else [[]] * 4
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=out.names)
 
+    told = all_units if every else units
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
     out = T.StructType([T.StructField("id_", docs.schema[id_col].dataType), T.StructField("row_", T.LongType()), T.StructField("h1_", T.LongType()), T.StructField("h2_", T.LongType()), T.StructField("start_", T.IntegerType()), T.StructField("stop_", T.IntegerType())])
     return docs.select(F.col(id_col).alias("id_"), F.col(row).alias("row_"), whole_text(text_col).alias("text_")).mapInArrow(run, out)
 
 
-def _mark(rows: DataFrame, row: str, id_col: str, text_col: str, words: int) -> DataFrame:
+def _mark(rows: DataFrame, row: str, id_col: str, text_col: str, words: int, every: bool) -> DataFrame:
     """(row, spans_): for each row that loses something its removed ranges."""
-    found = staged(_units(rows, row, id_col, text_col, words), "units")
+    found = staged(_units(rows, row, id_col, text_col, words, every), "units")
     rank = F.struct(F.col("id_").isNull().alias("none"), F.col("id_").alias("id"), F.col("row_").alias("row"), F.col("start_").alias("start"))
     repeated = found.groupBy("h1_", "h2_").agg(F.count(F.lit(1)).alias("n_"), F.min(rank).alias("first_")).filter("n_ > 1").select("h1_", "h2_", "first_.row", "first_.start")
     gone = found.join(repeated, ["h1_", "h2_"]).filter("row_ <> row or start_ <> start")
@@ -101,11 +151,11 @@ def _cut(rows: DataFrame, marks: DataFrame, row: str, text_col: str) -> DataFram
     return rows.join(marks, row, "left").select(*names, "spans_").mapInArrow(run, out)
 
 
-def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """``docs`` with repeated units cut from the text, and the removed ranges in ``spans_``; other columns stay."""
+def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, every: bool = False) -> DataFrame:
+    """``docs`` with repeated units (``every``: those of ``all_units``) cut from the text, the removed ranges in ``spans_``; other columns stay."""
     row = free_name(docs, "row_")
     rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
-    return _cut(rows, _mark(rows, row, id_col, text_col, words), row, text_col)
+    return _cut(rows, _mark(rows, row, id_col, text_col, words, every), row, text_col)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:

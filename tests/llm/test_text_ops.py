@@ -243,3 +243,16 @@ def test_quality(spark):
 def test_ranks_file_is_whole():
     with open(MULTI, "rb") as src:
         assert len(bpe.codec(MULTI).ranks) == sum(1 for x in src if base64.b64decode(x.split()[0]))
+
+
+def test_every_long_passage_falls_into_units(spark):
+    """Passages laid out in short lines, and texts of scripts without blanks."""
+    verse = "".join(f"short line number {k}\n" for k in range(14))
+    han = "".join(chr(0x4E00 + 37 * k % 2000) for k in range(60))
+    values = [(1, f"first\n{verse}one"), (2, f"second one\nand more\n{verse}two"), (3, f"{han}。"), (4, f"前{han[:9]}。{han}。"), (5, "la la la\n" * 9)]
+    by = {r.doc_id: r.text for r in substring.clean(docs(spark, values), every=True).collect()}
+    assert by[1] == values[0][1] and by[3] == values[2][1]
+    assert by[2] == "second one\nand more\ntwo"
+    assert by[4] == f"前{han[:9]}。"
+    assert by[5] == "la la la\n" * 3  # of runs of three lines, the first stays
+    assert {r.doc_id: r.text for r in substring.clean(docs(spark, values)).collect()} == dict(values)
