@@ -30,11 +30,11 @@ _CHUNKS = f"ch AS (SELECT source AS company, doc_id AS id, text, {TOK.format('te
 
 def bm25(queries: dict[str, list[tuple[str, int]]], ctes: str = _CHUNKS, name: str = "sc") -> str:
     rows = ", ".join(f"('{q}', '{t}', {n})" for q, ts in queries.items() for t, n in ts)
-    return f"{name}q(query, term, qtf) AS (VALUES {rows}), {name} AS (SELECT tf.company, query, tf.id, sum(qtf * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len(toks) / avgdl))) AS score FROM tf JOIN {name}q USING (term) JOIN idf ON idf.company = tf.company AND idf.term = tf.term JOIN ch ON ch.company = tf.company AND ch.id = tf.id GROUP BY ALL)"
+    return f"{name}q(query, term, qtf) AS (VALUES {rows}), {name} AS (SELECT tf.company, query, tf.id, CAST(sum(CAST(qtf * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len(toks) / avgdl)) AS DECIMAL(38, 12))) AS DOUBLE) AS score FROM tf JOIN {name}q USING (term) JOIN idf ON idf.company = tf.company AND idf.term = tf.term JOIN ch ON ch.company = tf.company AND ch.id = tf.id GROUP BY ALL)"
 
 
 def ranked(k: int, src: str = "sc", cols: str = "company, query, id, round(score, 6) AS score, rank", where: str = "score > 0") -> str:
-    return f"SELECT {cols} FROM (SELECT *, CAST(row_number() OVER (PARTITION BY company, query ORDER BY score DESC, id) AS INTEGER) AS rank FROM {src} WHERE {where}) WHERE rank <= {k}"
+    return f"SELECT {cols} FROM (SELECT *, CAST(row_number() OVER (PARTITION BY company, query ORDER BY round(score, 9) DESC, id) AS INTEGER) AS rank FROM {src} WHERE {where}) WHERE rank <= {k}"
 
 
 def q(**texts: str) -> dict[str, list[tuple[str, int]]]:
@@ -51,7 +51,7 @@ SQL: dict[str, str] = {
     "synonym_lookup": "WITH g(g, phrases) AS (VALUES (0, ['the', 'of', 'a', 'and']), (1, ['license', 'licensed', 'the', 'work']), (2, ['und', 'der', 'die', 'das'])), t AS (SELECT g, unnest(phrases) AS token, generate_subscripts(phrases, 1) AS at FROM g), p AS (SELECT a.token, b.token AS synonym, min(b.g * 100 + b.at) AS first FROM t a JOIN t b USING (g) GROUP BY ALL) SELECT token, synonym, CAST(row_number() OVER (PARTITION BY token ORDER BY first) AS INTEGER) AS rank FROM p",
     # license -> licensed, the, work; und -> der, die, das; the -> of, a, and (first), then licensed... for its second occurrence
     "synonym_expanded_search": f"WITH {_CHUNKS}, {bm25(q(q1='license und licensed the work der die das', q2='the the of a and license licensed work'))} {ranked(4)}",
-    "dense_topk": "WITH v AS (SELECT 'l' || label AS company, vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), s AS (SELECT company, q AS query, id, e[q + 1] / sqrt(list_sum(list_transform(e, lambda x: x * x))) AS score FROM v, range(8) t(q)) SELECT company, query, id, round(score, 6) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY company, query ORDER BY score DESC, id) AS INTEGER) AS rank FROM s) WHERE rank <= 3 AND score > 0",
+    "dense_topk": "WITH v AS (SELECT 'l' || label AS company, vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), s AS (SELECT company, q AS query, id, e[q + 1] / sqrt(list_sum(list_transform(e, lambda x: x * x))) AS score FROM v, range(8) t(q)) SELECT company, query, id, round(score, 6) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY company, query ORDER BY round(score, 9) DESC, id) AS INTEGER) AS rank FROM s) WHERE rank <= 3 AND score > 0",
     "minmax_scores": f"WITH {_CHUNKS}, {_TERMS} SELECT company, query, id, round(CASE WHEN max(score) OVER w = min(score) OVER w THEN 1.0 ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END, 6) AS norm FROM sc WINDOW w AS (PARTITION BY company, query)",
     "hybrid_topk": f"WITH {_CHUNKS}, {bm25(q(q1='the of and', q2='license version'), name='a0')}, {bm25(q(q1='is in for', q2='work under'), name='b0')}, "
     + ", ".join(f"{x} AS (SELECT company, query, id, CASE WHEN max(score) OVER w = min(score) OVER w THEN 1.0 ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END AS s FROM ({ranked(9, x + '0', 'company, query, id, score')}) WINDOW w AS (PARTITION BY company, query))" for x in "ab")
