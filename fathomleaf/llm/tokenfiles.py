@@ -154,7 +154,10 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_i
 def read(files: DataFrame, id_type: T.DataType, id_col: str = "doc_id") -> DataFrame:
     """(id, start, n_tokens, ids_crc32), one row a document, from the files' bytes."""
     n = files.count()
-    starts = files.withColumn("start_", F.coalesce(F.sum("n_ids").over(Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    before = lambda w: F.coalesce(F.sum("n_ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # Where a part starts, from one row a part (a range of ids, one task each); then where a file starts inside its part.
+    parts = files.groupBy("part").agg(F.sum("n_ids").alias("n_ids")).select("part", before(Window.orderBy("part")).alias("part_"))
+    starts = files.withColumn("in_", before(Window.partitionBy("part").orderBy("file"))).join(parts, "part").withColumn("start_", F.col("part_") + F.col("in_"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -3,12 +3,15 @@
 Both vocabularies split a text before they merge: the byte-level one always before a single space between two
 non-blanks, around a single line feed and before a mark that follows a word; the lower-casing one at every blank and
 around marks. So a text's ids are its pieces' ids one after another, and the pieces repeat. Texts with any other pattern
-of blanks or marks are cut more coarsely or go to the library whole.
+of blanks or marks are cut more coarsely or go to the library whole, and so do texts with one of its special tokens,
+which the library looks for first.
 """
 
 from __future__ import annotations
 
 import functools
+import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -23,23 +26,20 @@ GLUED, HEAD = "\x01", "\x02"
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
-def _ends_words(text: str) -> bool:
-    """Every full stop and comma comes after a letter or digit."""
-    return all(p[-1:].isalnum() for mark in ".," for p in text.split(mark)[:-1])
+def _wordlike(c: str) -> bool:
+    """A letter or digit that is nothing else once composed and lower-cased: not İ, which turns into i and a mark."""
+    return all(x.isalnum() for x in unicodedata.normalize("NFC", c).lower())
 
 
-def _stands_free(text: str) -> bool:
-    """Every full stop and comma has letters, digits, blanks or an end on both sides."""
-    for mark in ".,":
-        first, *rest = text.split(mark)
-        if rest and first and not (first[-1].isalnum() or first[-1].isspace()):
-            return False
-        for p in rest[:-1]:
-            if not p or not ((p[0].isalnum() or p[0].isspace()) and (p[-1].isalnum() or p[-1].isspace())):
-                return False
-        if rest and rest[-1] and not (rest[-1][0].isalnum() or rest[-1][0].isspace()):
-            return False
-    return True
+# A full stop or comma that does not come right after a letter or digit (\w is those and the underscore).
+_LOOSE = re.compile(r"[.,](?<![^\W_][.,])")
+
+
+@functools.cache
+def _crowded() -> re.Pattern[str]:
+    """A full stop or comma beside something other than a letter, a digit, a blank or an end."""
+    odd = "_" + "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not _wordlike(c))
+    return re.compile(rf"[.,](?:(?<=[^\w\s][.,])|(?<=[{odd}][.,])|(?=[^\w\s])|(?=[{odd}]))")
 
 
 class _Index(dict):
@@ -61,9 +61,9 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.blind = self.ask(["a b"]) == self.ask(["a  b"])  # blanks leave no trace in the ids
-        self.split: Callable[[str], list[str] | None] = self.at_blanks if self.blind else self.at_spaces
+        self.cut: Callable[[str], list[str] | None] = self.at_blanks if self.blind else self.at_spaces
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         edge = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end (or, byte-level, begin) a word
         for word, n in vocabulary.items():
@@ -89,6 +89,11 @@ class WordIds:
         self.starts[: len(best)], self.lens[: len(best)] = ends - lens, lens
         self.flat[: len(flat)], self.filled = flat, len(flat)
 
+    def split(self, text: str) -> list[str] | None:
+        """Pieces whose ids make up the text's; None: the library must have it whole."""
+        low = text.lower()  # pieces may be lower-cased, and must not turn into a special token by that
+        return None if any(t in text or t in low for t in self.special) else self.cut(text)
+
     @staticmethod
     def at_blanks(text: str) -> list[str] | None:
         if any(c in text for c in SEPARATORS):
@@ -99,7 +104,7 @@ class WordIds:
             pass
         else:
             text = text.lower()
-        if "'" not in text and _stands_free(text):
+        if "'" not in text and not _crowded().search(text):
             text = text.replace(".", " . ").replace(",", " , ")
         return text.split()
 
@@ -107,7 +112,7 @@ class WordIds:
     def at_spaces(text: str) -> list[str] | None:
         if text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or GLUED in text or HEAD in text or any(c in text for c in UNEVEN):
             return None
-        if _ends_words(text):
+        if not _LOOSE.search(text):
             text = text.replace(", ", " \x01, ").replace(". ", " \x01. ").replace(".\n", " \x01.\n").replace(",\n", " \x01,\n")
             if text[-1:] in (".", ","):
                 text = f"{text[:-1]} \x01{text[-1]}"

@@ -71,16 +71,33 @@ def test_bpe_documents(spark):
     assert bpe.round_trip(docs(spark, AWKWARD).limit(0), MULTI).count() == 0
 
 
+def odd_texts(n, seed):
+    """Random texts over characters that normalisers and pre-tokenisers treat in their own way, and whole special tokens."""
+    r = random.Random(seed)
+    pool = [*ODD, "İ", "ı", "\u0301", "\u0307", "e\u0301", "\u0958", "\u09dc", "ﬁ", "Å", "Ⅷ", "①", "½", "ß", "\u1100\u1161", "\u200d", "\u0345", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", *"aZ09", " ", " ", ".", ",", ". ", ", "]
+    return ["".join(r.choice(pool) for _ in range(r.randrange(0, 40))) for _ in range(n)]
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_word_ids_as_the_library(name, monkeypatch):
+    """The library as it comes: special tokens whole in a text have their own ids."""
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    monkeypatch.setattr(W, "CACHE", 3000)
+    monkeypatch.setattr(W, "KEPT", 1000)
+    monkeypatch.setattr(W, "CHARS", 30_000)
+    every = [*texts(seed=2), *odd_texts(10_000, 5), "İ,", "DENİZLİ. İzmir, x", "hello <|endoftext|> world"]
+    want = [e.ids for e in t.encode_batch(every, add_special_tokens=False)]
+    for text, ids, own in zip(every, W.WordIds(public_tokenizers.path(name)).of(every), want, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == own, text
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_word_ids_around_every_letter(name):
+    """Each letter and digit of Unicode beside a comma and a full stop."""
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
-    monkeypatch.setattr(W, "CACHE", 300)
-    monkeypatch.setattr(W, "KEPT", 100)
-    monkeypatch.setattr(W, "CHARS", 3000)
-    every = texts(seed=2)
-    for text, ids in zip(every, W.WordIds(public_tokenizers.path(name)).of(every), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+    every = [f"x{c}, {c}.{c}y. {c}" for c in map(chr, range(0x110000)) if c.isalnum()]
+    want = [e.ids for e in t.encode_batch(every, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in W.WordIds(public_tokenizers.path(name)).of(every)] == want
 
 
 def test_media_round_trip(spark):
