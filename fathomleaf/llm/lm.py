@@ -1,15 +1,21 @@
-"""Language-model scores from a hierarchical Pitman-Yor model.
+"""Language-model scores from a hierarchical Pitman-Yor model of words and the words before them.
 
-Three levels of restaurants: a word's restaurant is its context, the class of the last three bytes of the word
-before it; contexts whose last byte agrees share a parent; all parents share the root, whose base is uniform over
-the known words and one unknown. Seating is sampled by Gibbs: in each sweep the customers of every dish leave their
-tables and take seats again one after another, given all others; predictive probabilities are averaged over the sweeps
-after the burn-in.
+A word's restaurant is its context, the word before it, by a hash into ``CONTEXTS`` restaurants, so that every frequent
+word has one of its own but for rare ones that fall into it. All contexts share one parent, the root, whose base is
+uniform over the known words and one unknown. Discounts are one half: the number of ways to seat c customers at t tables
+is then a closed formula, and the tables of a dish can be drawn from their exact distribution at any count.
+
+Seating is sampled by Gibbs in blocks: all customers of a dish in a restaurant leave together and are seated again, from
+their joint distribution given everybody else. Three auxiliary draws make that distribution a product over dishes, so
+that all dishes may be seated at once and on many machines without an approximation (``Root``, ``leaf_tables``): the root's
+measure itself (gamma and inverse Gaussian masses, as the half-stable subordinator has), its latent scale, and a latent
+scale for each context. Predictive probabilities are averaged over the sweeps after the burn-in. Random numbers come from
+hashes of word, context and sweep, so that results do not depend on how the words are dealt out.
 
 How it is spread: a scan task counts (word, context) pairs of its blocks of documents and writes each block's tokens as
 references into its own pairs. Pairs are dealt out by word, so a word's counts at all levels meet in one task, and no
-word has more pairs than there are contexts; what is shared by all words, customers and tables by context, is one sum
-over the tasks of a sweep with at most ``LEAVES`` rows. Every count comes from all training texts.
+word has more pairs than there are contexts; what is shared by all words, tables by context, is one sum over the tasks
+of a sweep, a vector of ``CONTEXTS`` numbers. Every count comes from all training texts.
 
 Defined results: null text counts as empty; an empty text is one end token; a null id trains (its remainder is none);
 repeated rows train and are scored as often as they occur; words unknown to training share the base's unknown word; with
@@ -21,9 +27,11 @@ from __future__ import annotations
 import io
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,14 +40,13 @@ from pyspark.sql import types as T
 from fathomleaf.llm._shared import cores, read_file, remove_file, staged, table, whole_text, work_dir, write_file
 
 END = b"\n"  # no word holds a line feed
-SHARE, MIDDLES = 16, 256
-LEAVES = SHARE * MIDDLES
+CONTEXTS = 1 << 16
 BLOCK_TOKENS = 4_000_000
 BURN_IN, SAMPLES = 2, 3
-DISCOUNT = (0.6, 0.7, 0.8)  # root, middle, leaf
-STRENGTH = (10.0, 20.0, 20.0)
-STEPWISE = 64
+DISCOUNT = 0.5  # of both levels; the closed formulas hold for one half only
+STRENGTH, ROOT_STRENGTH = 5.0, 50.0
 SEED = 8
+WINDOW = 1 << 21  # numbers of tables weighed at once
 
 
 def held_out(id_col: str = "doc_id"):
@@ -52,8 +59,156 @@ def words_of(text: str) -> list[bytes]:
 
 
 def context_of(word: bytes) -> int:
-    """The leaf restaurant after ``word``, from its last three bytes; its parent, from the last, is this over ``SHARE``."""
-    return zlib.crc32(word[-1:]) % MIDDLES * SHARE + zlib.crc32(word[-3:]) % SHARE
+    """The restaurant after ``word``."""
+    return zlib.crc32(word) % CONTEXTS
+
+
+# --- random numbers from hashes ---------------------------------------------------------------------------------------
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit integers that spreads every bit (the finaliser of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def uniform(key: np.ndarray, *salt: int) -> np.ndarray:
+    """In (0, 1), from 64-bit keys and a few numbers that tell the draws of one key apart."""
+    for n in salt:
+        key = mix(key + np.uint64((n + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+    return ((key >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+
+
+def normal(key: np.ndarray, *salt: int) -> np.ndarray:
+    return np.sqrt(-2 * np.log(uniform(key, *salt, 0))) * np.cos(2 * np.pi * uniform(key, *salt, 1))
+
+
+def gamma(shape: np.ndarray, key: np.ndarray, *salt: int) -> np.ndarray:
+    """Gamma variates of rate 1 by Marsaglia and Tsang; shapes below 1 from one more and a power of a uniform number."""
+    a = np.where(shape < 1, shape + 1, shape) - 1 / 3
+    out, todo, n = np.empty(len(a)), np.arange(len(a)), 0
+    while len(todo):
+        d, k = a[todo], key[todo]
+        x = normal(k, *salt, 2, n)
+        v = (1 + x / np.sqrt(9 * d)) ** 3
+        with np.errstate(invalid="ignore", divide="ignore"):
+            ok = (v > 0) & (np.log(uniform(k, *salt, 3, n)) < 0.5 * x * x + d - d * v + d * np.log(v))
+        out[todo[ok]] = (d * v)[ok]
+        todo, n = todo[~ok], n + 1
+    return np.where(shape < 1, out * uniform(key, *salt, 4) ** (1 / np.maximum(shape, 1e-9)), out)
+
+
+def inverse_gaussian(mean: float, shape: float, key: np.ndarray, *salt: int) -> np.ndarray:
+    """Michael, Schucany and Haas, by the larger root, which loses no digits."""
+    y = normal(key, *salt, 5) ** 2 * mean
+    big = mean + mean * (y + np.sqrt(y * (4 * shape + y))) / (2 * shape)
+    small = mean * mean / big
+    return np.where(uniform(key, *salt, 6) * (mean + small) <= mean, small, big)
+
+
+# --- the sampler ------------------------------------------------------------------------------------------------------
+
+
+def draw_tables(c: np.ndarray, x: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """For each dish of c >= 1 customers a number of tables t from 1 to c with probability in proportion to S(c, t) x^t.
+
+    S(c, t) = (2c-t-1)! / ((t-1)! (c-t)!) 4^(t-c) counts the seatings at a discount of one half, so the ratio of
+    neighbours is 4x (c-t) / (t (2c-t-1)), which falls with t. Weights are laid out around the mode as far as they matter to
+    a double, and ``u`` inverts their sum: the same way for all counts.
+    """
+    out = np.ones(len(c), np.int64)
+    live = np.flatnonzero(c > 1)
+    n, x, u = c[live].astype(np.float64), x[live], u[live]
+    b = 2 * n - 1 + 4 * x
+    mode = np.clip(np.ceil(8 * x * n / (b + np.sqrt(b * b - 16 * x * n))), 1, n)
+    reach = np.ceil(9 * np.sqrt(mode)) + 40
+    lo, hi = np.maximum(1, mode - reach).astype(np.int64), np.minimum(n, mode + reach).astype(np.int64)
+    size = hi - lo + 1
+    ends = np.cumsum(size)
+    at = 0
+    while at < len(live):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + WINDOW, "right")))
+        s, m, f = size[at:upto], lo[at:upto], np.cumsum(size[at:upto]) - size[at:upto]
+        of = np.repeat(np.arange(len(s)), s)
+        t = (np.arange(len(of)) - f[of] + m[of]).astype(np.float64)
+        nn, xx = n[at:upto][of], x[at:upto][of]
+        before = t - 1  # the step from t-1 to t; none into the first
+        with np.errstate(divide="ignore", invalid="ignore"):
+            step = np.log(4 * xx * (nn - before) / (before * (2 * nn - before - 1)))
+        step[f] = 0.0
+        total = np.cumsum(step)
+        log = total - total[f][of]
+        w = np.exp(log - np.maximum.reduceat(log, f)[of])
+        cum = np.cumsum(w)
+        base = cum[f] - w[f]
+        target = base + u[at:upto] * (cum[f + s - 1] - base)
+        k = np.clip(np.searchsorted(cum, target), f, f + s - 1)
+        out[live[at:upto]] = k - f + m
+        at = upto
+    return out
+
+
+def scales(tables: np.ndarray, contexts: np.ndarray, sweep: int) -> np.ndarray:
+    """The latent scale of each context (the square root of its half-stable tilt) given its tables."""
+    return gamma(tables + STRENGTH / DISCOUNT, mix(contexts.astype(np.uint64) + np.uint64(1 << 40)), SEED, sweep, 1)
+
+
+def leaf_tables(c: np.ndarray, share: np.ndarray, scale: np.ndarray, key: np.ndarray, sweep: int) -> np.ndarray:
+    """Tables of dishes in contexts: ``share`` is the root's measure of the word, ``scale`` the context's."""
+    return draw_tables(c, DISCOUNT * scale * share, uniform(key, SEED, sweep, 2))
+
+
+@dataclass
+class Root:
+    """What all words share at the root: known words, customers, mass (in units of 1 / scale^2) and tables."""
+
+    known: int
+    customers: int = 0
+    mass: float = 1.0
+    scale: float = 1.0
+    tables: int = 0
+    unknown: float = 0.0
+
+    @property
+    def base(self) -> float:
+        return 1.0 / (self.known + 1)
+
+    def rescale(self, sweep: int) -> None:
+        """Draw the latent scale given the measure and the customers that came from it."""
+        own = mix(np.array([1 << 41], np.uint64))
+        tilt = gamma(np.array([ROOT_STRENGTH + self.customers]), own, SEED, sweep, 3)[0] / (self.mass / self.scale**2)
+        self.scale = float(np.sqrt(tilt))
+
+    def seat(self, c: np.ndarray, key: np.ndarray, sweep: int) -> tuple[np.ndarray, np.ndarray]:
+        """(tables, masses) of words with c customers, given the scale."""
+        t = draw_tables(c, np.full(len(c), DISCOUNT * self.scale * self.base), uniform(key, SEED, sweep, 4))
+        return t, gamma(c - DISCOUNT * t, key, SEED, sweep, 5) + self.fresh(key, sweep)
+
+    def fresh(self, key: np.ndarray, sweep: int) -> np.ndarray:
+        """Mass at a word from beyond the seated tables."""
+        return self.scale**2 * inverse_gaussian(self.base / (2 * self.scale), self.base**2 / 2, key, SEED, sweep, 6)
+
+    def close(self, mass: float, tables: int, sweep: int) -> None:
+        """Take over what the known words add up to."""
+        self.unknown = float(self.fresh(mix(np.array([1 << 42], np.uint64)), sweep)[0])
+        self.mass, self.tables = mass + self.unknown, tables
+
+    def probability(self, lead: np.ndarray) -> np.ndarray:
+        """Predictive probability of words whose customers less discounted tables are ``lead``; 0 for the unknown word."""
+        return (lead + (ROOT_STRENGTH + DISCOUNT * self.tables) * self.base) / (ROOT_STRENGTH + self.customers)
+
+
+FIXED = float(1 << 20)  # masses are added up as whole multiples of 1 / FIXED, so that order does not matter
+
+
+def start(known: int, customers: int) -> Root:
+    """Before the first sweep: one table a dish, masses in proportion to customers."""
+    out = Root(known, customers, mass=float(max(customers, 1)))
+    out.scale = ROOT_STRENGTH / DISCOUNT + known / 2 + 1
+    out.unknown = out.base
+    out.mass += out.unknown
+    return out
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -117,7 +272,7 @@ class _Counter:
         ends = np.cumsum(lens)
         before = np.concatenate(([0], after[ids[:-1]]))
         before[np.concatenate(([0], ends[:-1]))] = context_of(END)  # a text starts after an end
-        pairs, at = np.unique(rank[ids] * LEAVES + before, return_inverse=True)
+        pairs, at = np.unique(rank[ids] * CONTEXTS + before, return_inverse=True)
         train = np.repeat(self.train, lens)
         counts = np.bincount(at, weights=train, minlength=len(pairs)).astype("<u4")
         stream = pa.BufferOutputStream()
@@ -125,7 +280,7 @@ class _Counter:
         with pa.ipc.new_stream(stream, keys.schema) as w:
             w.write_batch(keys)
         head = stream.getvalue().to_pybytes()
-        of_word = np.bincount(pairs // LEAVES, minlength=len(words)).astype("<u2")  # at most LEAVES pairs a word
+        of_word = np.bincount(pairs // CONTEXTS, minlength=len(words)).astype("<u4")  # at most CONTEXTS pairs a word
         write_file(path, len(head).to_bytes(8, "little") + head + pack(at.astype("<u4"), lens.astype("<i8"), ~np.array(self.train), of_word))
         out, sorted_share = [], share[order]
         edges = np.searchsorted(sorted_share, np.arange(parts + 1))
@@ -135,7 +290,7 @@ class _Counter:
             own = slice(int(bounds[lo]), int(bounds[hi]))
             text = np.frombuffer(END.join([words[i] for i in order[lo:hi]]), np.uint8) if hi > lo else np.zeros(0, np.uint8)
             sizes = np.array([len(words[i]) for i in order[lo:hi]], "<u4")
-            out.append(pack(text, sizes, of_word[lo:hi], (pairs[own] % LEAVES).astype("<u2"), counts[own]))
+            out.append(pack(text, sizes, of_word[lo:hi], (pairs[own] % CONTEXTS).astype("<u4"), counts[own]))
         return out
 
 
@@ -173,8 +328,12 @@ def count(docs: DataFrame, parts: int, folder: str, id_col: str, text_col: str)
     return rows.mapInArrow(run, "block long, part int, pairs binary")
 
 
-def _state(folder: str, part: int, sweep: int) -> str:
-    return f"{folder}/state-{part:06d}-{sweep}.z"
+def _words(folder: str, part: int) -> str:
+    return f"{folder}/words-{part:06d}.z"
+
+
+def _state(folder: str, part: int, step: int) -> str:
+    return f"{folder}/state-{part:06d}-{step}.z"
 
 
 def deal(pairs: DataFrame, parts: int, folder: str) -> DataFrame:
@@ -190,18 +349,19 @@ def deal(pairs: DataFrame, parts: int, folder: str) -> DataFrame:
                 raw, ends = text.tobytes(), np.cumsum(sizes.astype(np.int64) + 1) - 1
                 own = [raw[b - s : b] for b, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
                 word = np.fromiter(map(numbers.__getitem__, own), np.int64, len(own))
-                codes.append(np.repeat(word, n) * LEAVES + context)
+                codes.append(np.repeat(word, n) * CONTEXTS + context)
                 counts.append(c.astype(np.int64))
                 blocks.append(block)
                 lens.append(len(context))
         unique, at = np.unique(np.concatenate(codes), return_inverse=True)
         total = np.bincount(at, weights=np.concatenate(counts), minlength=len(unique)).astype(np.int64)
         write_file(f"{folder}/asked-{part:06d}.z", pack(at.astype("<u4"), np.array(blocks, "<i8"), np.array(lens, "<i8")))
-        Share.fresh(unique, total).save(_state(folder, part, 0))
-        of_word = np.bincount(unique // LEAVES, weights=total)
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([int((of_word > 0).sum())], pa.int64()), pa.array([int(total.sum())], pa.int64())], names=["part", "known", "tokens"])
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in numbers), np.uint64, len(numbers))
+        share = Share.fresh(unique, total, hashes)
+        share.save(_words(folder, part), _state(folder, part, 0))
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([int((share.n > 0).sum())], pa.int64()), pa.array([int(total.sum())], pa.int64()), pa.array([share.sums(share.c)]), pa.array([share.sums(share.t)])], names=["part", "known", "tokens", "customers", "tables"])
 
-    return staged(pairs.repartition(parts, "part").sortWithinPartitions("part", "block").mapInArrow(lambda b: _by_part(b, run), "part int, known long, tokens long"), "lm-parts")
+    return staged(pairs.repartition(parts, "part").sortWithinPartitions("part", "block").mapInArrow(lambda b: _by_part(b, run), "part int, known long, tokens long, customers binary, tables binary"), "lm-parts")
 
 
 def _by_part(batches: Iterator[pa.RecordBatch], run) -> Iterator[pa.RecordBatch]:
@@ -220,130 +380,145 @@ def _by_part(batches: Iterator[pa.RecordBatch], run) -> Iterator[pa.RecordBatch]
         yield from run(iter(held))
 
 
-def seat(c: np.ndarray, prior: np.ndarray, discount: float, new_weight: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Tables after ``c`` customers of each dish sat down one after another.
-
-    ``new_weight`` is the restaurant's strength plus discount times its other tables, ``prior`` the parent's probability
-    of the dish. Dishes with more than ``STEPWISE`` customers seat the rest in groups of a 32nd of those seated.
-    """
-    t = (c > 0).astype(np.int64)
-    live, seated = np.nonzero(c > 1)[0], 1
-    while len(live):
-        group = 1 if seated < STEPWISE else max(1, seated // 32)
-        size = np.minimum(group, c[live] - seated)
-        fresh = (new_weight[live] + discount * t[live]) * prior[live]
-        chance = np.clip(fresh / (seated - discount * t[live] + fresh), 0.0, 1.0)
-        t[live] += rng.binomial(size, chance)
-        seated += group
-        live = live[c[live] > seated]
-    return np.minimum(t, c)
+class Share:
+    """One share of the words, with all their pairs: what is fixed, and the state of the sampler."""
 
+    def __init__(self, words: str, state: str) -> None:
+        word, self.leaf, self.c, self.hash = unpack(read_file(words))
+        self._index(np.cumsum(word.astype(np.int64)), self.leaf.astype(np.int64), self.c.astype(np.int64))
+        t, self.mass, sum_t, *self.leads = unpack(read_file(state))
+        self.t = np.minimum(self.c, 1)
+        self.t[self.many] = t
+        self.sum_t = sum_t.astype(np.int64)
 
-class Totals:
-    """Customers and tables by leaf, by middle, and at the root."""
+    def _index(self, word: np.ndarray, leaf: np.ndarray, c: np.ndarray) -> None:
+        self.word, self.leaf, self.c = word, leaf, c
+        self.words = len(self.hash)
+        self.many = np.flatnonzero(c > 1)  # a dish of one customer has one table for certain
+        self.n = self.by_word(c)
 
-    def __init__(self, known: int) -> None:
-        self.base = 1.0 / (known + 1)
-        self.c3, self.t3 = np.zeros(LEAVES), np.zeros(LEAVES)
-        self.t2, self.t1 = np.zeros(MIDDLES), 0.0
+    def by_word(self, x: np.ndarray) -> np.ndarray:
+        return np.bincount(self.word, weights=x, minlength=self.words).astype(np.int64)
 
-    def take(self, sums: np.ndarray) -> None:
-        self.t1 = float(sums[0])
-        self.t2, self.t3, self.c3 = (x.astype(np.float64) for x in np.split(sums[1:], [MIDDLES, MIDDLES + LEAVES]))
+    @classmethod
+    def fresh(cls, codes: np.ndarray, counts: np.ndarray, hashes: np.ndarray) -> Share:
+        """Codes (word * CONTEXTS + context) in order; one table a dish."""
+        out = cls.__new__(cls)
+        out.hash = hashes
+        out._index(codes // CONTEXTS, codes % CONTEXTS, counts)
+        out.t, out.sum_t, out.leads = np.minimum(counts, 1), np.zeros(len(out.many), np.int64), []
+        out.mass = out.by_word(out.t).astype(np.float64)
+        return out
 
+    def save(self, words: str | None, state: str) -> None:
+        small = lambda x: x.astype("<u4") if len(x) and x.max() > 0xFFFF else x.astype("<u2")
+        if words:
+            write_file(words, pack(np.diff(self.word, prepend=0).astype("<u1"), small(self.leaf), self.c.astype("<u8") if len(self.c) and self.c.max() > 0xFFFFFFFF else small(self.c), self.hash))
+        write_file(state, pack(small(self.t[self.many]), self.mass, small(self.sum_t), *self.leads))
+
+    def seat_leaves(self, tables: np.ndarray, root: Root, sweep: int) -> None:
+        """New tables of all dishes in contexts, given the measure of the root and the contexts' scales."""
+        leaf, word = self.leaf[self.many], self.word[self.many]
+        seen, at = np.unique(leaf, return_inverse=True)
+        key = mix(self.hash[word] + np.uint64(0x9E3779B97F4A7C15) * leaf.astype(np.uint64))
+        self.t[self.many] = leaf_tables(self.c[self.many], self.mass[word] / root.mass, scales(tables[seen], seen, sweep)[at], key, sweep)
+
+    def seat_root(self, root: Root, sweep: int, sample: bool) -> tuple[int, int]:
+        """New tables and masses of the words at the root; (mass in whole multiples of 1 / FIXED, tables)."""
+        c, known = self.by_word(self.t), np.flatnonzero(self.n)
+        t, mass = root.seat(c[known], self.hash[known], sweep)
+        whole = np.maximum(np.rint(mass * FIXED), 1).astype(np.int64)
+        self.mass = np.zeros(self.words)
+        self.mass[known] = whole / FIXED
+        if sample:
+            lead = c.astype(np.float64)
+            lead[known] -= DISCOUNT * t
+            self.leads.append(lead.astype("<f4"))
+            self.sum_t += self.t[self.many]
+        return int(whole.sum(dtype=object) if len(whole) else 0), int(t.sum())
+
+    def probabilities(self, fitted: Fitted) -> np.ndarray:
+        """Mean predictive probability of each pair."""
+        t = self.t * len(fitted.roots)
+        t[self.many] = self.sum_t
+        own = self.c - DISCOUNT * t / len(fitted.roots)
+        for root, tables, lead in zip(fitted.roots, fitted.tables, self.leads, strict=True):
+            own = own + (STRENGTH + DISCOUNT * tables[self.leaf]) * root.probability(lead.astype(np.float64))[self.word] / len(fitted.roots)
+        return own / (STRENGTH + fitted.customers[self.leaf])
+
+    def sums(self, x: np.ndarray) -> bytes:
+        """This share's part of a total by context."""
+        return pack(np.bincount(self.leaf, weights=x, minlength=CONTEXTS).astype("<i8"))
+
+
+@dataclass
+class Fitted:
+    """Customers by context, and for each sample the root and the tables by context."""
+
+    customers: np.ndarray
+    roots: list[Root] = field(default_factory=list)
+    tables: list[np.ndarray] = field(default_factory=list)
+
+
+def _total(rows: DataFrame, col: str, parts: int) -> np.ndarray:
+    """The sum of vectors of a fixed length: in about the square root of their number, then in one task, then here."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for x in batch.column("sums").to_pylist():
+                total = unpack(x)[0] if total is None else total + unpack(x)[0]
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([pack(total)], pa.binary())], names=["sums"])
 
-class Share:
-    """The restaurants' dishes of one share of the words."""
+    some = rows.select("part", F.col(col).alias("sums")).repartition(max(1, int(parts**0.5)), "part").select("sums").mapInArrow(add_up, "sums binary")
+    found = some.repartition(1).mapInArrow(add_up, "sums binary").first()
+    return unpack(found[0])[0] if found else np.zeros(CONTEXTS, np.int64)
 
-    def __init__(self, path: str | None) -> None:
-        if path is None:
-            return
-        word, leaf, c3, t3, self.t2, self.t1, p, samples = unpack(read_file(path))
-        self._index(np.cumsum(word.astype(np.int64)) * LEAVES + leaf)
-        self.c3, self.t3, self.p, self.samples = c3.astype(np.int64), t3.astype(np.int64), p.astype(np.float64), int(samples[0])
 
-    def _index(self, codes: np.ndarray) -> None:
-        self.word, self.leaf = codes // LEAVES, codes % LEAVES
-        self.words = int(self.word[-1]) + 1 if len(codes) else 0
-        self.middle, self.of_middle = np.unique(codes // SHARE, return_inverse=True)
+def fit(parts: DataFrame, n_parts: int, folder: str, known: int) -> tuple[Fitted, int]:
+    """Gibbs sweeps, each in two steps (contexts, root); the samples and the number of the last state."""
+    fitted = Fitted(_total(parts, "customers", n_parts))
+    tables = _total(parts, "tables", n_parts)
+    root = start(known, int(tables.sum()))
+    todo = parts.select("part").repartition(n_parts, "part")
+    last = BURN_IN + SAMPLES
 
-    @classmethod
-    def fresh(cls, codes: np.ndarray, counts: np.ndarray) -> Share:
-        """Codes (word * LEAVES + leaf) in order, nobody seated yet."""
-        out = cls(None)
-        out._index(codes)
-        out.c3, out.t3, out.p, out.samples = counts, np.zeros(len(codes), np.int64), np.zeros(len(codes)), 0
-        out.t2, out.t1 = np.zeros(len(out.middle), np.int64), np.zeros(out.words, np.int64)
-        return out
+    def each(batches: Iterator[pa.RecordBatch], step: int, work) -> Iterator[tuple[int, object]]:
+        """Every part's share, worked on and saved as the state after ``step``; a state is read by the next step only."""
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                share = Share(_words(folder, part), _state(folder, part, step - 1))
+                got = work(share)
+                share.save(None, _state(folder, part, step))
+                if step > 1:
+                    remove_file(_state(folder, part, step - 2))
+                yield part, got
 
-    def save(self, path: str) -> None:
-        small = lambda x: x.astype("<u4") if len(x) and x.max() > 0xFFFF else x.astype("<u2")
-        write_file(path, pack(np.diff(self.word, prepend=0).astype("<u1"), self.leaf.astype("<u2"), small(self.c3), small(self.t3), self.t2, self.t1, self.p.astype("<f4"), np.array([self.samples])))
-
-    def probabilities(self, z: Totals) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Predictive probability of each word, (word, middle) and pair."""
-        c2 = np.bincount(self.of_middle, weights=self.t3, minlength=len(self.middle))
-        word, mid = self.middle // MIDDLES, self.middle % MIDDLES
-        c1 = np.bincount(word, weights=self.t2, minlength=self.words)
-        (d1, d2, d3), (s1, s2, s3) = DISCOUNT, STRENGTH
-        all_2 = np.bincount(np.arange(LEAVES) // SHARE, weights=z.t3, minlength=MIDDLES)
-        p1 = (c1 - d1 * self.t1 + (s1 + d1 * z.t1) * z.base) / (s1 + z.t2.sum())
-        p2 = (c2 - d2 * self.t2 + (s2 + d2 * z.t2[mid]) * p1[word]) / (s2 + all_2[mid])
-        p3 = (self.c3 - d3 * self.t3 + (s3 + d3 * z.t3[self.leaf]) * p2[self.of_middle]) / (s3 + z.c3[self.leaf])
-        return p1, p2, p3
-
-    def sweep(self, z: Totals, rng: np.random.Generator) -> None:
-        """Seat leaf, middle and root again, each given the probabilities above it."""
-        first = not self.t3.any()
-        if first:
-            flat = np.full(len(self.c3), z.base)
-            p2, p1 = flat, np.full(self.words, z.base)
-            p2m = np.full(len(self.middle), z.base)
-        else:
-            p1, p2m, _ = self.probabilities(z)
-            p2 = p2m[self.of_middle]
-        (d1, d2, d3), (s1, s2, s3) = DISCOUNT, STRENGTH
-        word, mid = self.middle // MIDDLES, self.middle % MIDDLES
-        self.t3 = seat(self.c3, p2, d3, s3 + d3 * np.maximum(z.t3[self.leaf] - self.t3, 0), rng)
-        c2 = np.bincount(self.of_middle, weights=self.t3, minlength=len(self.middle)).astype(np.int64)
-        self.t2 = seat(c2, p1[word], d2, s2 + d2 * np.maximum(z.t2[mid] - self.t2, 0), rng)
-        c1 = np.bincount(word, weights=self.t2, minlength=self.words).astype(np.int64)
-        self.t1 = seat(c1, np.full(self.words, z.base), d1, s1 + d1 * np.maximum(z.t1 - self.t1, 0), rng)
-
-    def sums(self) -> np.ndarray:
-        """This share's part of the totals, as one vector: root, middles, leaves' tables, leaves' customers."""
-        return np.concatenate(([self.t1.sum()], np.bincount(self.middle % MIDDLES, weights=self.t2, minlength=MIDDLES), np.bincount(self.leaf, weights=self.t3, minlength=LEAVES), np.bincount(self.leaf, weights=self.c3, minlength=LEAVES))).astype("<i8")
-
-
-def add_up(found: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, "<i8") for x in found.column("sums").to_pylist())
-    return pa.table([pa.array([total.tobytes()], pa.binary())], names=["sums"])
-
-
-def fit(parts: DataFrame, n_parts: int, folder: str, known: int) -> tuple[Totals, int]:
-    """Gibbs sweeps; the totals and the number of the last state. A sweep's state needs only the one before."""
-    totals, last = Totals(known), BURN_IN + SAMPLES
-    todo = parts.select("part").repartition(n_parts, "part")
-    groups = max(1, int(n_parts**0.5))
     for sweep in range(1, last + 1):
 
-        def run(batches: Iterator[pa.RecordBatch], sweep: int = sweep, z: Totals = totals) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in batch.column(0).to_pylist():
-                    share = Share(_state(folder, part, sweep - 1))
-                    if sweep - 1 > BURN_IN:
-                        share.p, share.samples = share.p + share.probabilities(z)[2], share.samples + 1
-                    share.sweep(z, np.random.default_rng((SEED, part, sweep)))
-                    share.save(_state(folder, part, sweep))
-                    if sweep > 1:
-                        remove_file(_state(folder, part, sweep - 2))
-                    yield pa.RecordBatch.from_arrays([pa.array([part % groups], pa.int32()), pa.array([share.sums().tobytes()], pa.binary())], names=["group", "sums"])
-
-        # Vectors of a fixed length: added up in about the square root of the number of shares, then here.
-        rows = todo.mapInArrow(run, "group int, sums binary").groupBy("group").applyInArrow(add_up, "sums binary").collect()
-        totals = Totals(known)
-        totals.take(sum((np.frombuffer(r[0], "<i8") for r in rows), np.zeros(1 + MIDDLES + 2 * LEAVES, np.int64)))
-    return totals, last
+        def leaves(batches: Iterator[pa.RecordBatch], sweep: int = sweep, root: Root = root, tables: np.ndarray = tables) -> Iterator[pa.RecordBatch]:
+            def work(share: Share) -> bytes:
+                share.seat_leaves(tables, root, sweep)
+                return share.sums(share.t)
+
+            for part, sums in each(batches, 2 * sweep - 1, work):
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([sums])], names=["part", "sums"])
+
+        tables = _total(todo.mapInArrow(leaves, "part int, sums binary"), "sums", n_parts)
+        root = Root(known, int(tables.sum()), root.mass, root.scale)
+        root.rescale(sweep)
+
+        def words(batches: Iterator[pa.RecordBatch], sweep: int = sweep, root: Root = root) -> Iterator[pa.RecordBatch]:
+            for _, (mass, t) in each(batches, 2 * sweep, lambda share: share.seat_root(root, sweep, sweep > BURN_IN)):
+                yield pa.RecordBatch.from_arrays([pa.array([str(mass)]), pa.array([t], pa.int64())], names=["mass", "tables"])
+
+        mass, t = todo.mapInArrow(words, "mass string, tables long").agg(F.sum(F.col("mass").cast("decimal(38,0)")), F.sum("tables")).first()
+        root.close(int(mass or 0) / FIXED, int(t or 0), sweep)
+        if sweep > BURN_IN:
+            fitted.roots.append(root)
+            fitted.tables.append(tables)
+    return fitted, 2 * last
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -352,14 +527,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     folder, n_parts = work_dir(spark, "lm"), cores(spark)
     parts = deal(count(docs, n_parts, folder, id_col, text_col), n_parts, folder)
     known, tokens = parts.agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
-    totals, last = fit(parts, n_parts, folder, known)
+    fitted, last = fit(parts, n_parts, folder, known)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in batch.column(0).to_pylist():
-                share = Share(_state(folder, part, last))
-                logs = np.log10((share.p + share.probabilities(totals)[2]) / (share.samples + 1)).astype("<f4")
-                of_word = np.bincount(share.word, weights=share.c3, minlength=share.words).astype("<u8")
+                share = Share(_words(folder, part), _state(folder, part, last))
+                logs = np.log10(share.probabilities(fitted)).astype("<f4")
+                of_word = share.n.astype("<u8")
                 at, blocks, lens = unpack(read_file(f"{folder}/asked-{part:06d}.z"))
                 upto = np.cumsum(lens)
                 for block, a, b in zip(blocks.tolist(), (upto - lens).tolist(), upto.tolist(), strict=True):

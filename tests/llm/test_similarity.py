@@ -1,11 +1,13 @@
 """SimHash, components, top-k, and the language model, against brute force."""
 
+import itertools
 import math
 import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -207,33 +209,104 @@ def test_language_model(spark):
     assert lm.score(docs(spark, values).limit(0)).count() == 0
 
 
+def sampled(pairs, sweeps, burn_in=50):
+    """The sampler of ``lm`` in memory over {(word, context): count}: (share, what it fitted)."""
+    order = sorted(pairs)
+    words = 1 + max(w for w, _ in order)
+    share = lm.Share.fresh(np.array([w * lm.CONTEXTS + x for w, x in order]), np.array([pairs[k] for k in order]), lm.mix(np.arange(words, dtype=np.uint64)))
+    tables = lm.unpack(share.sums(share.t))[0]
+    root = lm.start(int((share.n > 0).sum()), int(tables.sum()))
+    fitted = lm.Fitted(lm.unpack(share.sums(share.c))[0])
+    for sweep in range(1, sweeps + 1):
+        share.seat_leaves(tables, root, sweep)
+        tables = np.bincount(share.leaf, weights=share.t, minlength=lm.CONTEXTS).astype(np.int64)
+        root = lm.Root(root.known, int(tables.sum()), root.mass, root.scale)
+        root.rescale(sweep)
+        mass, t = share.seat_root(root, sweep, sweep > burn_in)
+        root.close(mass / lm.FIXED, t, sweep)
+        if sweep > burn_in:
+            fitted.roots.append(root)
+            fitted.tables.append(tables)
+    return share, fitted
+
+
+def log_ways(c, t):
+    """Of all seatings of c customers at t tables at a discount of one half: the logarithm of their summed weights."""
+    return math.lgamma(2 * c - t) - math.lgamma(t) - math.lgamma(c - t + 1) + (2 * t - 2 * c) * math.log(2)
+
+
+def exact(pairs):
+    """Predictive probabilities by going through every number of tables of every dish; also those of the unknown word."""
+    rows, leaves = sorted(pairs), sorted({x for _, x in pairs})
+    known = len({w for (w, _), c in pairs.items() if c})
+    base, rise = 1 / (known + 1), lambda a, d, n: sum(math.log(a + d * i) for i in range(n))
+    total, mean = 0.0, Counter()
+    live = [k for k in rows if pairs[k]]
+    for ts in itertools.product(*(range(1, pairs[k] + 1) for k in live)):
+        t = dict(zip(live, ts, strict=True))
+        by_leaf, by_word = Counter(), Counter()
+        for (w, x), n in t.items():
+            by_leaf[x] += n
+            by_word[w] += n
+        log = sum(rise(lm.STRENGTH, 0.5, by_leaf[x]) for x in leaves) + sum(log_ways(pairs[k], t[k]) for k in live)
+        for ms in itertools.product(*(range(1, c + 1) for c in by_word.values())):
+            m = dict(zip(by_word, ms, strict=True))
+            n, tables = sum(by_word.values()), sum(ms)
+            weight = math.exp(log + rise(lm.ROOT_STRENGTH, 0.5, tables) - rise(lm.ROOT_STRENGTH, 1, n) + sum(log_ways(by_word[w], m[w]) for w in m) + tables * math.log(base))
+            total += weight
+            p = lambda w: ((by_word[w] - 0.5 * m.get(w, 0)) + (lm.ROOT_STRENGTH + 0.5 * tables) * base) / (lm.ROOT_STRENGTH + n)  # noqa: E731, B023
+            for w, x in rows:
+                customers = sum(c for (_, y), c in pairs.items() if y == x)
+                mean[w, x] += weight * (pairs[w, x] - 0.5 * t.get((w, x), 0) + (lm.STRENGTH + 0.5 * by_leaf[x]) * p(w)) / (lm.STRENGTH + customers)
+    return {k: v / total for k, v in mean.items()}
+
+
+@pytest.mark.parametrize("strength,root_strength", [(0.5, 0.7), (5.0, 50.0)])
+def test_model_agrees_with_going_through_every_seating(monkeypatch, strength, root_strength):
+    monkeypatch.setattr(lm, "STRENGTH", strength)
+    monkeypatch.setattr(lm, "ROOT_STRENGTH", root_strength)
+    pairs = {(0, 3): 4, (0, 5): 2, (1, 3): 1, (1, 5): 3, (2, 3): 2, (2, 5): 0, (3, 3): 0, (3, 5): 0}
+    share, fitted = sampled(pairs, 20_050)
+    want = exact(pairs)
+    got = dict(zip(sorted(pairs), share.probabilities(fitted), strict=True))
+    assert all(abs(got[k] - want[k]) < 0.004 for k in want), (got, want)
+    assert max(abs(got[k] / want[k] - 1) for k in want) < 0.02
+
+
+def test_tables_of_one_dish_at_any_count():
+    r = np.random.default_rng(3)
+    for c, x in ((2, 0.3), (7, 2.0), (40, 1e-3), (200, 30.0)):
+        n = 100_000
+        t = lm.draw_tables(np.full(n, c), np.full(n, x), r.random(n))
+        logs = np.array([log_ways(c, k) + k * math.log(x) for k in range(1, c + 1)])
+        p = np.exp(logs - logs.max())
+        assert abs(np.bincount(t, minlength=c + 1)[1:] / n - p / p.sum()).max() < 0.007
+    t = lm.draw_tables(np.array([10**9, 1, 10**12, 3]), np.array([1e6, 5.0, 1e3, 1e-9]), r.random(4))
+    assert 1.9e6 < t[0] < 2.1e6 and t[1] == 1 and 1.8e3 < t[2] < 2.2e3 and t[3] == 1
+
+
 def test_model_probabilities_sum_to_one():
     r = np.random.default_rng(8)
-    words, leaves = 30, [0, 1, 17, 40]
-    codes = np.array(sorted(w * lm.LEAVES + x for w in range(words) for x in leaves))
-    share = lm.Share.fresh(codes, r.integers(0, 200, len(codes)) * r.integers(0, 2, len(codes)))
-    z = lm.Totals(int((np.bincount(share.word, weights=share.c3) > 0).sum()))
-    for _ in range(4):
-        share.sweep(z, r)
-        z.take(share.sums())
-    _, _, p = share.probabilities(z)
-    unknown = lm.Totals(z.base and round(1 / z.base - 1)).base
-    for x in leaves:
-        own = p[share.leaf == x]
-        seen = np.bincount(share.word, weights=share.c3)[share.word[share.leaf == x]] > 0
-        spare = own[~seen].max() if (~seen).any() else lone(z, x, unknown)
-        assert abs(own[seen].sum() + spare - 1) < 1e-9
-    assert (share.t3 <= share.c3).all() and (share.t3[share.c3 > 0] > 0).all()
-
-
-def lone(z, leaf, base):
-    """The probability of the one unknown word after a leaf's context."""
-    (d1, d2, d3), (s1, s2, s3) = lm.DISCOUNT, lm.STRENGTH
-    m = leaf // lm.SHARE
-    c2 = z.t3[m * lm.SHARE : (m + 1) * lm.SHARE].sum()
-    p1 = (s1 + d1 * z.t1) * base / (s1 + z.t2.sum())
-    p2 = (s2 + d2 * z.t2[m]) * p1 / (s2 + c2)
-    return (s3 + d3 * z.t3[leaf]) * p2 / (s3 + z.c3[leaf])
+    pairs = {(w, x): int(r.integers(0, 200) * r.integers(0, 2)) for w in range(30) for x in (0, 1, 17, 40)}
+    pairs |= {(30, x): 0 for x in (0, 1, 17, 40)}  # the unknown word
+    share, fitted = sampled(pairs, 8, 3)
+    p = share.probabilities(fitted)
+    for x in (0, 1, 17, 40):
+        own, seen = p[share.leaf == x], share.n[share.word[share.leaf == x]] > 0
+        assert abs(own[seen].sum() + own[~seen].max() - 1) < 1e-6
+    assert (share.t <= share.c).all() and (share.t[share.c > 0] > 0).all()
+
+
+def test_model_scores_do_not_depend_on_partitions(spark, data):
+    df, got = table(spark, data, "documents"), []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("2", "3", "8"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(sorted(map(tuple, lm.score(df.repartition(int(n))).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1] == got[2]
 
 
 def test_pipeline(spark, data):
