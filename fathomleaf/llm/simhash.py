@@ -112,23 +112,32 @@ class Wide:
 
     Shingles are count-sketched into ``bits`` signed buckets, and the signs of a Hadamard transform are the fingerprint.
     Two texts of Jaccard similarity J (cosine 2J / (1 + J) for sets) differ in a share acos(cosine) / pi of the bits. The
-    fingerprint is split into ``blocks`` of ``width`` bits, wide enough that ``n`` unlike texts seldom share one, and so
-    many that two texts at the threshold share one with probability ``RECALL``; more alike texts share many. The
-    fingerprints choose candidates; ``_alike`` decides by the sets of shingles themselves.
+    fingerprint is split into ``blocks`` of ``width`` bits, and so many that two texts at the threshold share one with
+    probability ``RECALL``, whatever the width; more alike texts share many. The width only sets the work: ``width_for`` is
+    wide enough that ``n`` unlike texts seldom share a block. The fingerprints choose candidates, and two texts of a
+    block whose numbers of shingles differ too much for the threshold are none; ``_alike`` decides by the sets of shingles
+    themselves, so that whether two texts are linked does not hang on any other text.
     """
 
     RECALL = 0.98
 
-    def __init__(self, n: int, similarity: float = 0.8, words: int = 5) -> None:
-        self.words = words
+    def __init__(self, width: int, similarity: float = 0.8, words: int = 5, bits: int = 4096) -> None:
+        self.words, self.similarity, self.width = words, similarity, width
         share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-        self.width = min(40, max(12, int(np.ceil(np.log2(max(2, n)))) + 1))
         self.blocks = int(np.ceil(np.log(1 - self.RECALL) / np.log1p(-((1 - share) ** self.width))))
-        self.bits = max(2048, 1 << int(np.ceil(np.log2(self.width * self.blocks))))
+        self.bits = max(bits, 1 << int(np.ceil(np.log2(self.width * self.blocks))))
         spread = 2 * (share * (1 - share) / self.bits) ** 0.5
         self.distance = int(self.bits * (share + spread))
         self.near = int(64 * share + 3.5 * (64 * share * (1 - share)) ** 0.5)  # for the first 64 bits alone
 
+    @staticmethod
+    def width_for(n: int) -> int:
+        return min(40, max(12, int(np.ceil(np.log2(max(2, n)))) + 1))
+
+    def close_sizes(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether sets of these sizes can be as alike as the threshold asks."""
+        return np.minimum(x, y) >= self.similarity * np.maximum(x, y) - 1e-9
+
     def shingles(self, text: str) -> np.ndarray:
         """The hashes of the different shingles, sorted."""
         return np.unique(_hashes(text, self.words))
@@ -170,10 +179,11 @@ def _wide(rows: DataFrame, keep: list[str], text_col: str, w: Wide) -> DataFrame
                 part = batch.slice(at, CHUNK)
                 texts = part.column(part.num_columns - 1).to_pylist()
                 packed = np.packbits(w.fingerprints(texts), axis=1)
-                own = [hashlib.md5(w.shingles(t).tobytes()).digest() for t in texts]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([p.tobytes() for p in packed], pa.binary()), pa.array(own, pa.binary())], names=out.names)
+                sets = [w.shingles(t) for t in texts]
+                own = [hashlib.md5(x.tobytes()).digest() for x in sets]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([p.tobytes() for p in packed], pa.binary()), pa.array(own, pa.binary()), pa.array([len(x) for x in sets], pa.int32())], names=out.names)
 
-    out = T.StructType([*(rows.schema[c] for c in keep), T.StructField("fp_", T.BinaryType()), T.StructField("set_", T.BinaryType())])
+    out = T.StructType([*(rows.schema[c] for c in keep), T.StructField("fp_", T.BinaryType()), T.StructField("set_", T.BinaryType()), T.StructField("size_", T.IntegerType())])
     return rows.select(*keep, whole_text(text_col).alias("text_")).mapInArrow(run, out)
 
 
@@ -200,9 +210,9 @@ def _begins(*keys: np.ndarray) -> np.ndarray:
 
 
 def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool = True) -> DataFrame:
-    """(a, b): nodes (node, fp_, root) of different roots whose fingerprints are within ``w.distance`` bits.
+    """(a, b): nodes (node, fp_, root, size_) of different roots whose fingerprints are within ``w.distance`` bits.
 
-    One shuffle deals out (block key, node, first 64 bits, root), sorted. Members of a block meet in pairs; blocks of more
+    One shuffle deals out (block key, node, first 64 bits, root, size), sorted. Members of a block meet in pairs; blocks of more
     than ``CROWD`` members are cut into tiles of ``TILE``, and any two tiles (and each with itself) are a cell that some
     task gets with the whole fingerprints, so that every pair of a block is compared and only close ones are listed.
     Members go by root, and cells of one root are left out. Not ``whole``: in crowded blocks each meets only the block's
@@ -215,13 +225,13 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)
                 packed = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
-                node, root = (part.column(c).to_numpy(zero_copy_only=False) for c in (0, 2))
+                node, root, size = (part.column(c).to_numpy(zero_copy_only=False) for c in (0, 2, 3))
                 first = np.ascontiguousarray(packed[:, :8]).view("<i8")[:, 0]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w.keys(packed)[:, lo:hi].reshape(-1), *(np.repeat(v, hi - lo) for v in (node, first, root)))], names=["key", "node", "sig", "root"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w.keys(packed)[:, lo:hi].reshape(-1), *(np.repeat(v, hi - lo) for v in (node, first, root, size)))], names=["key", "node", "sig", "root", "size"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs (a, b, -1, 0), and members of cells (node, tile, key, cell)."""
-        for key, node, sig, root in _groups(batches, 1):
+        for key, node, sig, root, count in _groups(batches, 1):
             begin = _begins(key)
             size = np.diff(begin)
             crowded = np.repeat(size > CROWD, size)
@@ -230,6 +240,7 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
             for k in range(0, CROWD):
                 x, y = (hub, np.arange(len(key))) if k == 0 else (np.arange(len(key) - k), np.arange(k, len(key)))
                 ok = (key[x] == key[y]) & (node[x] != node[y]) & (root[x] != root[y]) & (np.bitwise_count((sig[x] ^ sig[y]).view(np.uint64)) <= w.near)
+                ok &= w.close_sizes(count[x], count[y])
                 ok &= ~crowded[y] if k > 1 or whole else True
                 a.append(node[x[ok]])
                 b.append(node[y[ok]])
@@ -248,7 +259,7 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
                             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, tile, np.full(len(some), key[at][0]), np.full(len(some), i // TILE << 32 | j // TILE))], names=["a", "b", "key", "cell"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, cell, node, tile, root, fp in _groups(batches, 2):
+        for key, cell, node, tile, root, count, fp in _groups(batches, 2):
             begin = _begins(key, cell)
             for lo, hi in zip(begin[:-1], begin[1:], strict=True):
                 at = lo + np.argsort(tile[lo:hi], kind="stable")
@@ -258,7 +269,7 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
                 a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
                 for x in range(second):
                     y = np.arange(x + 1 if inner else second, len(at))
-                    y = y[root[at[y]] != root[at[x]]]
+                    y = y[(root[at[y]] != root[at[x]]) & w.close_sizes(count[at[y]], count[at[x]])]
                     y = y[np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64) <= w.distance]
                     a.append(np.minimum(node[at[y]], node[at[x]]))
                     b.append(np.maximum(node[at[y]], node[at[x]]))
@@ -271,7 +282,7 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
     n = cores(nodes.sparkSession)
-    keys = nodes.select("node", "fp_", "root").mapInArrow(explode, "key long, node long, sig long, root long")
+    keys = nodes.select("node", "fp_", "root", "size_").mapInArrow(explode, "key long, node long, sig long, root long, size int")
     dealt = keys.repartition(n, "key").sortWithinPartitions("key", "sig", "node")
     met = staged(dealt.mapInArrow(meet, "a long, b long, key long, cell long"), "pairs")
     pairs = met.filter("key < 0").select("a", "b").distinct()
@@ -279,12 +290,12 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
     close = pairs.join(left, "a").join(right, "b").select("a", "b", "x_", "y_").mapInArrow(verify, "a long, b long")
     if not whole:
         return close
-    members = met.filter("key >= 0").select("key", "cell", F.col("a").alias("node"), F.col("b").alias("tile")).join(nodes, "node").select("key", "cell", "node", "tile", "root", "fp_")
+    members = met.filter("key >= 0").select("key", "cell", F.col("a").alias("node"), F.col("b").alias("tile")).join(nodes, "node").select("key", "cell", "node", "tile", "root", "size_", "fp_")
     cells = members.repartition(n, "key", "cell").sortWithinPartitions("key", "cell")
     return close.unionByName(cells.mapInArrow(compare, "a long, b long")).distinct()
 
 
-def _alike(pairs: DataFrame, rows: DataFrame, row: str, text_col: str, w: Wide, similarity: float) -> DataFrame:
+def _alike(pairs: DataFrame, rows: DataFrame, row: str, text_col: str, w: Wide) -> DataFrame:
     """Those of ``pairs`` (a, b: rows of ``rows``) whose sets of shingles have at least that Jaccard similarity."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +308,7 @@ def _alike(pairs: DataFrame, rows: DataFrame, row: str, text_col: str, w: Wide,
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+                ok.append(both >= w.similarity * (len(x) + len(y) - both) - 1e-9)
             ok = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
@@ -309,19 +320,40 @@ def _alike(pairs: DataFrame, rows: DataFrame, row: str, text_col: str, w: Wide,
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x_", "y_").mapInArrow(verify, "a long, b long")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Of each group of near copies the row with the least id (nulls last; of equal ids the first read); all columns stay."""
-    row = free_name(docs, "row_")
-    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
-    w = Wide(rows.count(), similarity, words)
+def _near(rows: DataFrame, row: str, id_col: str, text_col: str, w: Wide) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(row, set_) of all rows; (node, set_, first_) of different sets of shingles; (node, root) of the linked ones."""
     rank = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
-    first = staged(_wide(rows, [row, id_col], text_col, w).groupBy("set_").agg(F.min(rank).alias("first_"), F.first("fp_").alias("fp_")).select("fp_", "first_", F.col("first_.row").alias("node")), "firsts")
+    every = staged(_wide(rows, [row, id_col], text_col, w), "sets")
+    own = every.groupBy("set_").agg(F.min(rank).alias("first_"), F.first("fp_").alias("fp_"), F.first("size_").alias("size_"))
+    first = staged(own.select("fp_", "size_", "set_", "first_", F.col("first_.row").alias("node")), "firsts")
     # A few blocks first: copies that share most blocks are one root before the others are dealt out.
     few = max(1, w.blocks // 6)
-    early = staged(_alike(_wide_links(first.withColumn("root", F.col("node")), w, (0, few), whole=False), rows, row, text_col, w, similarity), "links")
-    roots = first.join(components(early), "node", "left").select("node", "fp_", F.coalesce("root", "node").alias("root"))
-    late = _alike(_wide_links(roots, w, (0, w.blocks)), rows, row, text_col, w, similarity)
-    linked = components(early.unionByName(late))
+    early = staged(_alike(_wide_links(first.withColumn("root", F.col("node")), w, (0, few), whole=False), rows, row, text_col, w), "links")
+    roots = first.join(components(early), "node", "left").select("node", "fp_", "size_", F.coalesce("root", "node").alias("root"))
+    late = _alike(_wide_links(roots, w, (0, w.blocks)), rows, row, text_col, w)
+    return every.select(row, "set_"), first.select("node", "set_", "first_"), components(early.unionByName(late))
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, width: int | None = None) -> DataFrame:
+    """(id, group), one row a document: ``group`` is the id of the one that ``keep_one`` keeps."""
+    row = free_name(docs, "row_")
+    rows = staged(docs.select(id_col, text_col).withColumn(row, F.monotonically_increasing_id()), "documents")
+    every, first, linked = _near(rows, row, id_col, text_col, Wide(width or Wide.width_for(rows.count()), similarity, words))
+    named = first.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = named.groupBy("root").agg(F.min("first_").alias("least_"))
+    by_set = named.join(least, "root").select("set_", F.col("least_.id").alias("group"))
+    return every.join(by_set, "set_").join(rows.select(row, id_col), row).select(id_col, "group")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, width: int | None = None) -> DataFrame:
+    """Of each group of near copies the row with the least id (nulls last; of equal ids the first read); all columns stay.
+
+    ``width`` of the blocks: None takes ``Wide.width_for`` the number of rows. Null and blank texts are copies of each other;
+    a text of fewer than ``words`` words is one shingle; an empty table gives no rows.
+    """
+    row = free_name(docs, "row_")
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    _, first, linked = _near(rows, row, id_col, text_col, Wide(width or Wide.width_for(rows.count()), similarity, words))
     ranks = first.select("node", "first_")
     keep = linked.join(ranks, "node").groupBy("root").agg(F.min("first_").alias("first_")).select(F.col("first_.row").alias(row))
     alone = ranks.join(linked, "node", "left_anti").select(F.col("first_.row").alias(row))

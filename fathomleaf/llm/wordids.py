@@ -19,6 +19,7 @@ import numpy as np
 
 CACHE, KEPT = 500_000, 250_000
 CHARS = 2_000_000
+JOINED = 500  # keys learned in one text
 # Blanks (Unicode White_Space) other than the plain space and the line feed; U+001C to U+001F are blanks for Python only.
 BLANKS = "\t\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 UNEVEN = ("  ", " \n", "\n ", "\n\n", *BLANKS)
@@ -141,8 +142,8 @@ class WordIds:
         lens: list[np.ndarray] = []
         flat: list[np.ndarray] = []
         for which, group in enumerate(own):
-            for at in range(0, len(group), 5000):
-                some = group[at : at + 5000]
+            for at in range(0, len(group), JOINED):
+                some = group[at : at + JOINED]
                 names = [keys[k][1:] for k in some] if which else [keys[k] for k in some]
                 found = self._joined(names, "\n" if which else " ", self.line if which else self.edge, self.blind)
                 if found:

@@ -102,6 +102,69 @@ def test_keep_one_finds_near_copies(spark):
     assert simhash.keep_one(docs(spark, values).limit(0)).count() == 0
 
 
+def jaccard_pairs(texts, words=5, least=0.8):
+    """(pairs of different shingle sets at least so alike, sets by text) by counting shared shingles, every one of them."""
+    sets, posts, shared = {}, {}, Counter()
+    for t in texts:
+        own = t.encode().lower().split()
+        sets.setdefault(frozenset(b" ".join(own[k : k + words]) for k in range(max(1, len(own) - words + 1))) if own else frozenset(), len(sets))
+    for own, k in sets.items():
+        for x in own:
+            posts.setdefault(x, []).append(k)
+    for at in posts.values():
+        shared.update(itertools.combinations(at, 2))
+    size = {k: len(own) for own, k in sets.items()}
+    return [p for p, n in shared.items() if n >= least * (size[p[0]] + size[p[1]] - n) - 1e-9], sets
+
+
+def recall(spark, rows):
+    """The share of pairs at least 0.8 alike that ``groups`` has in one group; those it joins without a chain of such pairs."""
+    pairs, sets = jaccard_pairs([t or "" for _, t in rows])
+    got = {r.doc_id: r.group for r in simhash.groups(docs(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    key = lambda t: [*(own := (t or "").encode().lower().split()), 0] and (frozenset(b" ".join(own[k : k + 5]) for k in range(max(1, len(own) - 4))) if own else frozenset())
+    of = {}
+    for i, t in rows:
+        of.setdefault(sets[key(t)], set()).add(got[i])
+    assert all(len(g) == 1 for g in of.values())  # equal sets are one group
+    group = {k: g.pop() for k, g in of.items()}
+    root = {k: k for k in group}
+
+    def find(k):
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    wrong = {(group[k], find(k)) for k in group}
+    assert len({g for g, _ in wrong}) >= len({r for _, r in wrong}) and all(len({find(k) for k in group if group[k] == g}) == 1 for g in set(group.values()))
+    return sum(group[a] == group[b] for a, b in pairs) / max(1, len(pairs)), len(pairs)
+
+
+def test_recall_of_near_copies_on_whole_documents(spark):
+    rows = [(r.doc_id, r.text) for r in table(spark, "/root/testdata/sf0.01", "documents").collect()]
+    share, n = recall(spark, rows)
+    assert n and share >= 0.95, (share, n)  # few there are: most copies are exact or far
+
+
+def test_recall_in_a_family_around_the_threshold(spark):
+    """Three hundred texts on one template, pairwise 0.6 to 0.95 alike, among others: every block of theirs is crowded."""
+    r = random.Random(12)
+    words = ["v%d" % i for i in range(4000)]
+    template = [r.choice(words) for _ in range(150)]
+    rows = []
+    for i in range(300):
+        own = list(template)
+        for _ in range(r.randrange(0, 5)):
+            own[r.randrange(len(own))] = f"own{i}x{r.random()}"
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, " ".join(r.choice(words) for _ in range(150))) for i in range(100)]
+    share, n = recall(spark, rows)
+    assert n > 1000 and share >= 0.95, (share, n)
+
+
 def test_dense_group_is_one(spark):
     r = random.Random(5)
     base = ["w%d" % r.randrange(3000) for _ in range(150)]
@@ -154,12 +217,12 @@ def test_cells_find_every_close_pair(spark, monkeypatch):
     monkeypatch.setattr(simhash, "CROWD", 2)
     monkeypatch.setattr(simhash, "TILE", 7)
     r = np.random.default_rng(12)
-    w = simhash.Wide(2)
+    w = simhash.Wide(simhash.Wide.width_for(2))
     own = np.repeat(r.integers(0, 2, (1, w.bits)), 60, axis=0)
     for x in own:  # the blocks agree, the rest differs
         x[w.blocks * w.width :] ^= r.random(w.bits - w.blocks * w.width) < r.choice([0.05, 0.12, 0.2])
-    rows = [(k, np.packbits(x).tobytes(), k // 3) for k, x in enumerate(own)]
-    got = simhash._wide_links(spark.createDataFrame(rows, "node long, fp_ binary, root long"), w, (0, 2)).collect()
+    rows = [(k, np.packbits(x).tobytes(), k // 3, 50) for k, x in enumerate(own)]
+    got = simhash._wide_links(spark.createDataFrame(rows, "node long, fp_ binary, root long, size_ int"), w, (0, 2)).collect()
     want = {(a, b) for a in range(60) for b in range(a) if a // 3 != b // 3 and (own[a] != own[b]).sum() <= w.distance}
     assert 0 < len(want) < 60 * 59 // 2
     assert sorted((x.b, x.a) for x in got) == sorted(want)
