@@ -2,9 +2,12 @@
 
 import base64
 import hashlib
+import itertools
 import random
+import re
 import tarfile
 import zlib
+from html.parser import HTMLParser
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -195,6 +198,173 @@ def test_html():
     assert html.extract("<p " + "a='" * 5000 + ">x" + "<" * 5000) is not None
 
 
+class _Tree(HTMLParser):
+    """A page as nested [tag, attributes, children]; texts are strings."""
+
+    def __init__(self):
+        super().__init__()
+        self.root = ["", {}, []]
+        self.path = [self.root]
+
+    def handle_starttag(self, tag, attrs):
+        node = [tag, {k: v or "" for k, v in attrs}, []]
+        self.path[-1][2].append(node)
+        if tag not in html.VOID:
+            self.path.append(node)
+
+    def handle_endtag(self, tag):
+        assert self.path[-1][0] == tag, "the pages of this test are well formed"
+        self.path.pop()
+
+    def handle_data(self, data):
+        self.path[-1][2].append(data)
+
+
+def slow_extract(page):
+    """The rules of ``html`` once more, over a tree and with plain searches. Articles are not nested in these pages."""
+    tree = _Tree()
+    tree.feed(page)
+    tree.close()
+    found, names, regions = [], [], itertools.count(1)
+
+    def cues(attrs):
+        out = set()
+        for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+            words = re.findall("[A-Z]*[a-z]+", name)
+            for i, w in enumerate(words):
+                if not (i > 0 and words[i - 1] in html.NOT_BEFORE) and not (i < len(words) - 1 and words[i + 1] in html.NOT_AFTER):
+                    out.add(w.lower())
+        return out
+
+    def hidden(attrs):
+        return "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "")
+
+    def walk(node, state, block, link):
+        tag, attrs, children = node
+        if tag in html.RAW:
+            return None
+        if tag in html.INLINE:
+            if hidden(attrs) or cues(attrs) & html.INLINE_CUES:
+                return block
+            link = link or tag == "a"
+        elif tag:
+            block = None
+            own = cues(attrs)
+            if tag in ("article", "main"):
+                bad = hidden(attrs) or bool(own & html.ARTICLE_CUES) or (state["out"] and state["beside"])
+                state = {"out": bad, "beside": state["beside"], "region": next(regions), "article": True, "named": []}
+            else:
+                bad = state["out"] or hidden(attrs) or tag in html.OUT_TAGS or (tag == "header" and not state["article"]) or bool(own & html.NEVER_CUES)
+                state = {**state, "out": bad, "beside": state["beside"] or (bad and tag in ("aside", "footer"))}
+                if not bad and own & (html.CUES - ({"header"} if state["article"] else set())):
+                    names.append(node)
+                    state["named"] = [*state["named"], len(names) - 1]
+        for child in children:
+            if isinstance(child, str):
+                if block is None and child.strip():
+                    block = {**state, "raw": "", "linked": 0}
+                    found.append(block)
+                if block is not None:
+                    block["raw"] += child
+                    block["linked"] += len("".join(child.split())) if link else 0
+            elif child[0] == "br":
+                if block is not None:
+                    block["raw"] += " "
+            else:
+                block = walk(child, state, block, link)
+        return block if tag in html.INLINE else None
+
+    walk(tree.root, {"out": False, "beside": False, "region": 0, "article": False, "named": []}, None, False)
+    for b in found:
+        b["text"] = " ".join(b["raw"].split())
+        words = b["text"].lower().split()
+        b["n"], b["links"] = len(b["text"]), b["linked"] / len("".join(words))
+        b["dense"] = sum((m := re.search(r"[^\W\d_]+", w)) is not None and m[0] in html.STOP_WORDS for w in words) / len(words)
+    good = lambda b: b["n"] if not b["out"] and b["n"] >= 40 and b["links"] <= 0.33 else 0
+    held = {k: sum(good(b) for b in found if k in b["named"]) for k in range(len(names)) if any(k in b["named"] for b in found)}
+    plain = sum(good(b) for b in found if not b["named"])
+    in_article = any(good(b) and b["article"] for b in found if not b["named"])
+    fine = [k for k, n in held.items() if n and not in_article and plain <= 0.25 * n and 2 * n > max(held.values())]
+    for b in found:
+        b["out"] = b["out"] or any(k not in fine for k in b["named"])
+    some = [b for b in found if not b["out"] and b["n"] >= 40]
+    listed = sum(b["dense"] * b["n"] for b in some) >= 0.02 * sum(b["n"] for b in some)
+    kept = []
+    for b in found:
+        if b["out"]:
+            continue
+        label = lambda x: False if x["links"] > 0.5 else (None if x["article"] else False) if x["links"] > 0.33 else (True if x["dense"] >= 0.1 or not listed else None) if x["n"] >= 140 else True if x["n"] >= 40 and x["dense"] >= 0.2 else None
+        near = [x for x in found if not x["out"] and x["region"] == b["region"]]
+        k = next(i for i, x in enumerate(near) if x is b)
+        known = sorted((abs(i - k), label(x)) for i, x in enumerate(near) if label(x) is not None)
+        closest = {y for d, y in known if d == known[0][0]}
+        if closest == {True} or (len(closest) != 1 and (b["article"] or (b["n"] >= 140 and b["links"] <= 0.33))):
+            kept.append(b["text"])
+        elif len(closest) == 2:  # as near on both sides
+            pass
+    return " ".join(kept)
+
+
+def random_page(r):
+    stop, other = ["the", "of", "and", "is", "der", "que", "la"], ["zog", "mirt", "plon", "quex", "vard", "&amp;", "&eacute;t"]
+
+    def text(n, share):
+        return " ".join(r.choice(stop) if r.random() < share else r.choice(other) for _ in range(n))
+
+    def part(depth):
+        kind = r.randrange(12)
+        if kind < 4:
+            return f"<p>{text(r.choice([2, 5, 12, 40, 60]), r.choice([0, 0.1, 0.4]))}</p>"
+        if kind == 4:
+            return f"<p>{text(r.choice([1, 6, 30]), 0.3)} <a href='x'>{text(r.choice([1, 6, 30]), 0.3)}</a></p>"
+        if kind == 5:
+            return f"<p>{text(9, 0.3)} <span {r.choice(['hidden', 'class=ad', 'style=&quot;display: none&quot;', 'id=no-ads', 'class=x'])}>{text(4, 0.3)} <b>{text(1, 0)}</b></span>{text(9, 0.3)}<br>{text(3, 0)}</p>"
+        if kind == 6:
+            return "<ul>" + "".join(f"<li>{text(2, 0)}</li>" for _ in range(3)) + "</ul>"
+        if kind == 7:
+            return f"<script>var x = '<p>{text(5, 0.3)}</p>';</script><!-- <p>{text(5, 0.3)}</p> -->"
+        if depth > 2:
+            return text(3, 0.3)
+        names = ["", "class='sidebar'", "class='article-with-sidebar'", "id='content' class='widget'", "class='comments'", "class='comments-closed'", "class='cookieBanner'", "class='post body'", "style='display:none'", "class='header'"]
+        tag = r.choice(["div", "div", "div", "section", "nav", "aside", "header", "footer", "form"])
+        return f"<{tag} {r.choice(names)}>" + "".join(part(depth + 1) for _ in range(r.randrange(1, 5))) + f"</{tag}>"
+
+    body = [part(0) for _ in range(r.randrange(1, 7))]
+    if r.random() < 0.5:
+        body.insert(r.randrange(len(body) + 1), f"<article {r.choice(['', '', 'class=comment'])}><h1>{text(4, 0)}</h1>" + "".join(part(1) for _ in range(r.randrange(1, 6))) + "</article>")
+    return "<!DOCTYPE html><html><head><title>t</title></head><body class='has-sidebar'>" + "".join(body) + "</body></html>"
+
+
+def test_html_rules_read_once_more():
+    r = random.Random(21)
+    pages = [random_page(r) for _ in range(3000)]
+    kept = 0
+    for page in pages:
+        assert html.extract(page) == slow_extract(page), page
+        kept += bool(html.extract(page))
+    assert 1000 < kept < 3000
+
+
+LONG = "This is the text of it and it is long enough to be taken for the main part of the page by the rules that are used in the first of the two passes of it."
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        (f'<div class="article-with-sidebar"><p>{LONG}</p></div>', LONG),
+        (f'<div id="content" class="widget"><p>{LONG}</p><div class="sidebar"><p>this is beside it and of no use</p></div></div>', LONG),
+        (f'<article><p>{LONG} <span style="display:none">gone</span><span class="ad">buy <span>now</span></span> End</p></article>', LONG + " End"),
+        (f'<div class="post"><p>{LONG}</p></div><div class="comments"><p>{LONG} {LONG}</p><p>{LONG}</p></div>', LONG),
+        (f'<div class="text"><p>{LONG}</p></div><div class="sidebar"><p>{LONG}</p><p>{LONG}</p></div>', LONG),
+        (f"<article><h1>Title</h1><p>{LONG}</p><p><a>Click here</a> <a>Share</a> <a>Print</a></p></article>", "Title " + LONG),
+        ("<div><p>" + "Это длинный текст статьи. " * 8 + "</p></div><nav>меню</nav>", ("Это длинный текст статьи. " * 8).strip()),
+        ("<div><p>" + "这是一个足够长的中文段落，应当被当作正文。" * 4 + "</p></div>", "这是一个足够长的中文段落，应当被当作正文。" * 4),
+    ],
+)
+def test_html_pages_that_names_or_languages_mislead(page, want):
+    assert html.extract(page) == want
+
+
 def test_html_pages(spark):
     rows = [(1, "u", None, "x"), (2, None, PAGE, "y"), (2, None, PAGE, "y")]
     got = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
