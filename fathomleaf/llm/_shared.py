@@ -30,6 +30,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = current.get() if current.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='fathomleaf-')}"
         spark.sparkContext.setCheckpointDir(root)
     return root

@@ -16,6 +16,7 @@ import functools
 import hashlib
 import heapq
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -210,6 +211,9 @@ class Codec:
         with open(path, "rb") as src:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, src)}
         self.bytes_of = {r: b for b, r in self.ranks.items()}
+        self.lens = np.zeros(max(self.bytes_of) + 1, np.int64)
+        for r, b in self.bytes_of.items():
+            self.lens[r] = len(b)
         self.cache: dict[str, tuple[tuple[int, ...], str]] = {}
         self.older: dict[str, tuple[tuple[int, ...], str]] = {}
 
@@ -290,7 +294,10 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> D
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode, then decode the ids, and keep digests of both: (id, n_tokens, ids_sha256, decoded_sha256)."""
+    """Encode, then decode the ids, and keep digests: (id, n_tokens, ids_sha256, decoded_sha256, offsets_crc32).
+
+    Offsets (where each token starts in the UTF-8) go into their checksum as little-endian unsigned 64-bit integers.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
@@ -299,11 +306,13 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             for own in c.pieces(batch.column(1).to_pylist()):
                 ids = list(chain.from_iterable([i for i, _ in own]))
                 told = ",".join([s for _, s in own])
-                rows.append((len(ids), hashlib.sha256(told.encode()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest()))
-            cols = list(zip(*rows, strict=True)) if rows else [[], [], []]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())], names=out.names)
+                at = c.lens[np.array(ids, np.int64)]
+                offsets = zlib.crc32((np.cumsum(at) - at).astype("<u8").tobytes())
+                rows.append((len(ids), hashlib.sha256(told.encode()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest(), offsets))
+            cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64())], names=out.names)
 
-    out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+    out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()), T.StructField("offsets_crc32", T.LongType())])
     return docs.select(id_col, whole_text(text_col).alias("text")).mapInArrow(run, out)
 
 

@@ -16,9 +16,13 @@ def _signature(edges: DataFrame) -> tuple:
 
 
 def _stars(edges: DataFrame) -> DataFrame:
-    """One large-star and one small-star step on edges (a > b). A node's neighbours are never gathered in one place."""
+    """One large-star and one small-star step on edges (a > b). A node's neighbours are never gathered in one place.
+
+    A star's centre is one key of the first join. Its least neighbours are written before, so that both sides come from a
+    shuffle of their own (or the small one is broadcast by its size) and adaptive execution can split a very large star.
+    """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    low = staged(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
     low = large.groupBy("a").agg(F.min("b").alias("m"))
     small = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))

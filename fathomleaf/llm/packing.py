@@ -52,16 +52,22 @@ class Plan:
         if not self.left[length]:
             del self.left[length]
 
-    def _fix(self, a: int, b: int | None) -> None:
-        """As many sequences of one ``a`` and one ``b`` as there can be."""
-        n = self.left[a] if b is None else self.left[a] // 2 if a == b else min(self.left[a], self.left[b])
-        at, self.sequences = self.sequences, self.sequences + n
-        self._take(a, n, at, 0)
-        if b is not None:
-            self._take(b, n, at, a)
+    def _fix(self, *members: int) -> None:
+        """As many sequences of just these pieces as there can be."""
+        n = min(self.left[x] // members.count(x) for x in members)
+        at, self.sequences, offset = self.sequences, self.sequences + n, 0
+        for x in members:
+            self._take(x, n, at, offset)
+            offset += x
 
     def _reduce(self) -> None:
-        """Martello and Toth's criteria for one, two and three members."""
+        """Martello and Toth's criteria for sets of one, two and three members.
+
+        A set with the piece ``a`` is fixed if it dominates every other set with ``a``: {a} if nothing fits beside it; {a, b},
+        b the longest that fits, if a and b fill the sequence, if no two pieces fit, or if no three do and b is at least the
+        best two; {a, b, c}, c the longest that fits beside both, if no three pieces fit beside a and the shorter of any
+        two that do is at most c.
+        """
         again = True
         while again and self.left:
             again = False
@@ -72,15 +78,21 @@ class Plan:
                 room = self.capacity - a
                 small = self._smallest(lengths, a)
                 if not small or small[0] > room:  # nothing fits beside it
-                    self._fix(a, None)
+                    self._fix(a)
                     again = True
                     continue
                 b = self._largest(lengths, room, a)
                 if b is None:
                     continue
-                if a + b == self.capacity or small[0] + (small[1] if len(small) > 1 else self.capacity) > room or (len(small) < 3 or sum(small[:3]) > room) and b >= self._best_pair(lengths, room, a):
-                    if a != b or self.left[a] > 1:
-                        self._fix(a, b)
+                no_pair = len(small) < 2 or small[0] + small[1] > room
+                no_triple = len(small) < 3 or sum(small) > room
+                if a + b == self.capacity or no_pair or no_triple and b >= self._best_pair(lengths, room, a):
+                    self._fix(a, b)
+                    again = True
+                elif no_triple:
+                    c = self._largest(lengths, room - b, a, b)
+                    if c is not None and self._shorter(lengths, room, a) <= c:
+                        self._fix(a, b, c)
                         again = True
 
     def _smallest(self, lengths: list[int], a: int) -> list[int]:
@@ -93,15 +105,27 @@ class Plan:
                 break
         return out[:3]
 
-    def _largest(self, lengths: list[int], room: int, a: int) -> int | None:
+    def _largest(self, lengths: list[int], room: int, *taken: int) -> int | None:
+        """The longest piece of at most ``room`` besides those taken."""
         i = bisect.bisect_right(lengths, room) - 1
         while i >= 0:
             n = lengths[i]
-            if self.left.get(n, 0) - (n == a) > 0:
+            if self.left.get(n, 0) - taken.count(n) > 0:
                 return n
             i -= 1
         return None
 
+    def _shorter(self, lengths: list[int], room: int, a: int) -> int:
+        """The longest that the shorter of two pieces besides ``a`` can be if both fit in ``room``; 0 for none."""
+        above = self.capacity + 1
+        for n in reversed(lengths):
+            have = self.left.get(n, 0) - (n == a)
+            if have > 0:
+                if n + (n if have > 1 else above) <= room:
+                    return n
+                above = n
+        return 0
+
     def _best_pair(self, lengths: list[int], room: int, a: int) -> int:
         """The greatest sum of two pieces besides ``a`` that fits in ``room``."""
         own = [n for n in lengths if self.left.get(n, 0) - (n == a) > 0 and n < room]

@@ -108,7 +108,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", score: str = "score") -> DataFrame:
-    """``docs`` with a column ``score``."""
+    """``docs`` with a column ``score``, which takes the place of one of that name."""
+    docs = docs.drop(score)
     packed = pickle.dumps(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

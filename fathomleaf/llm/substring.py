@@ -116,8 +116,10 @@ def _units(docs: DataFrame, row: str, id_col: str, text_col: str, words: int, ev
 def _mark(rows: DataFrame, row: str, id_col: str, text_col: str, words: int, every: bool) -> DataFrame:
     """(row, spans_): for each row that loses something its removed ranges."""
     found = staged(_units(rows, row, id_col, text_col, words, every), "units")
+    # The repeated digests are written before they are joined: both sides of that join then come from a shuffle of their
+    # own, so that adaptive execution can split the digest of a line that very many documents have.
     rank = F.struct(F.col("id_").isNull().alias("none"), F.col("id_").alias("id"), F.col("row_").alias("row"), F.col("start_").alias("start"))
-    repeated = found.groupBy("h1_", "h2_").agg(F.count(F.lit(1)).alias("n_"), F.min(rank).alias("first_")).filter("n_ > 1").select("h1_", "h2_", "first_.row", "first_.start")
+    repeated = staged(found.groupBy("h1_", "h2_").agg(F.count(F.lit(1)).alias("n_"), F.min(rank).alias("first_")).filter("n_ > 1").select("h1_", "h2_", "first_.row", "first_.start"), "repeated")
     gone = found.join(repeated, ["h1_", "h2_"]).filter("row_ <> row or start_ <> start")
     return gone.groupBy(F.col("row_").alias(row)).agg(F.array_sort(F.collect_list(F.struct(F.col("start_").alias("start"), F.col("stop_").alias("stop")))).alias("spans_"))
 
@@ -152,7 +154,8 @@ def _cut(rows: DataFrame, marks: DataFrame, row: str, text_col: str) -> DataFram
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, every: bool = False) -> DataFrame:
-    """``docs`` with repeated units (``every``: those of ``all_units``) cut from the text, the removed ranges in ``spans_``; other columns stay."""
+    """``docs`` with repeated units (``every``: those of ``all_units``) cut from the text, the removed ranges in ``spans_``; other columns stay, but for one of that name."""
+    docs = docs.drop("spans_")
     row = free_name(docs, "row_")
     rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     return _cut(rows, _mark(rows, row, id_col, text_col, words, every), row, text_col)

@@ -28,6 +28,7 @@ from fathomleaf.llm._shared import cores, open_file, read_file, staged, table, w
 
 K, EVERY, SCALE = 20, 20, 64
 BLOCK_ROWS, GROUP_QUERIES, LEAST_QUERIES, SLICE_BLOCKS = 32_768, 2048, 256, 64
+BOUNDS = 1 << 22  # numbers in a matrix of bounds
 CELLS = 16
 LARGE = 1 << 26
 LIMIT = (1 << 63) - 1
@@ -126,20 +127,29 @@ def _products(x: np.ndarray, q: np.ndarray, large: bool) -> np.ndarray:
 class Best:
     """The k best so far of one query: by score, then known before null ids, then smaller id."""
 
-    def __init__(self, k: int) -> None:
-        self.k, self.rows = k, []
+    def __init__(self, k: int, floor: float = -np.inf) -> None:
+        self.k, self.rows, self.floor = k, [], floor
 
     def add(self, scores: np.ndarray, ids: np.ndarray, nulls: np.ndarray) -> None:
         new = list(zip((-scores).tolist() if (scores > -LIMIT).all() else [-int(s) for s in scores], nulls.tolist(), ids.tolist(), strict=True))
         self.rows = sorted(self.rows + new)[: self.k]
 
     def kth(self) -> float:
-        return -self.rows[-1][0] if len(self.rows) == self.k else -np.inf
+        """What a score must reach; ``floor`` is what k rows found elsewhere have reached."""
+        return max(self.floor, -self.rows[-1][0]) if len(self.rows) == self.k else self.floor
 
 
 def scan(block: Block, queries: np.ndarray, own: np.ndarray, best: list[Best], large: bool) -> None:
-    """Take queries (rows of integers) through one block; ``own``: each one's row in it, or -1."""
-    large = large or block.large
+    """Take queries (rows of integers) through one block; ``own``: each one's row in it, or -1.
+
+    The bounds of a few queries at a time are in memory, ``BOUNDS`` numbers.
+    """
+    some = max(1, BOUNDS // max(1, len(block.ids)))
+    for at in range(0, len(queries), some):
+        _scan(block, queries[at : at + some], own[at : at + some], best[at : at + some], large or block.large)
+
+
+def _scan(block: Block, queries: np.ndarray, own: np.ndarray, best: list[Best], large: bool) -> None:
     q = queries.astype(np.float64)
     step = q * block.width
     spare = q * (block.width - 1.0)
@@ -168,7 +178,7 @@ def search(blocks: DataFrame, k: int = K) -> DataFrame:
     n_blocks, n_queries = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("queries"), F.lit(0))).first()
     size = max(LEAST_QUERIES, min(GROUP_QUERIES, -(-n_queries // max(1, cores(spark)))))
     each = Window.partitionBy("dims").orderBy("path")
-    numbered = blocks.withColumn("slice_", F.floor((F.row_number().over(each) - 1) / SLICE_BLOCKS)).withColumn("upto_", F.sum("queries").over(each))
+    numbered = blocks.withColumn("slice_", F.floor((F.row_number().over(each) - 1) / SLICE_BLOCKS))
     parts = numbered.filter("queries > 0").select("dims", "path", F.explode(F.sequence(F.lit(0), F.floor((F.col("queries") - 1) / size))).alias("part_"))
     slices = numbered.groupBy("dims", "slice_").agg(F.array_sort(F.collect_list("path")).alias("paths"))
     work = parts.join(slices, "dims").select("path", "part_", "paths").repartition(max(1, min(4096, n_blocks * (1 + n_queries // max(1, n_blocks * size)))))
@@ -179,6 +189,9 @@ def search(blocks: DataFrame, k: int = K) -> DataFrame:
                 home = Block(path)
                 rows = home.queries()[part * size : (part + 1) * size]
                 vectors, best = home.exact(rows), [Best(k) for _ in rows]
+                if path not in paths:  # the home block's kth score bounds what the slice must look at
+                    scan(home, vectors, rows, best, home.large)
+                    best = [Best(k, b.kth()) for b in best]
                 for p in paths:
                     block = home if p == path else Block(p)
                     scan(block, vectors, rows if p == path else np.full(len(rows), -1), best, home.large)

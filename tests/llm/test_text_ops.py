@@ -7,6 +7,7 @@ import random
 import re
 import tarfile
 import zlib
+from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import urlsplit
 
@@ -14,9 +15,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fathomleaf.llm import bpe, html, media, packing, quality, substring, tokenfiles
+import corpus_pipeline
+from fathomleaf.llm import bpe, html, media, packing, quality, simhash, substring, tokenfiles
 from fathomleaf.llm import wordids as W
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -145,6 +148,39 @@ def test_token_files(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == want
 
 
+def fewest(lengths, capacity):
+    """The least number of sequences, by going through the sets of pieces (small ones only)."""
+    n = len(lengths)
+    best = [(0, 0)] + [(n + 1, 0)] * ((1 << n) - 1)  # sequences closed, tokens in the open one
+    for mask in range(1 << n):
+        closed, used = best[mask]
+        for k in range(n):
+            if not mask >> k & 1:
+                new = (closed, used + lengths[k]) if used + lengths[k] <= capacity else (closed + 1, lengths[k])
+                best[mask | 1 << k] = min(best[mask | 1 << k], new)
+    return best[-1][0] + bool(best[-1][1])
+
+
+def test_reduction_keeps_the_optimum():
+    r, triples = random.Random(14), 0
+    for _ in range(400):
+        capacity = r.choice([20, 37, 60])
+        lengths = [r.randrange(2, capacity + 1) if r.random() < 0.4 else r.randrange(2, capacity // 2) for _ in range(r.randrange(1, 11))]
+        counts = Counter(lengths)
+        plan = packing.Plan(dict(counts), capacity)
+        members = Counter()
+        fixed = Counter()
+        for n, lo, hi, seq, _, each in plan.entries:
+            for rank in range(lo, hi):
+                s = seq + (rank - lo) // each
+                members[s] += 1
+                if s < plan.fixed:
+                    fixed[n] += 1
+        triples += sum(members[s] == 3 for s in range(plan.fixed))
+        assert plan.fixed + fewest(list((counts - fixed).elements()), capacity) == fewest(lengths, capacity), lengths
+    assert triples > 20
+
+
 def test_plan_is_whole_and_tight():
     r = random.Random(4)
     for _ in range(25):
@@ -365,6 +401,56 @@ def test_html_pages_that_names_or_languages_mislead(page, want):
     assert html.extract(page) == want
 
 
+def clash(spark, values):
+    """Documents with extra columns whose names the operators use themselves."""
+    names = ["row_", "text_", "fp_", "set_", "size_", "ids_", "wide_", "spans_", "score", "label_", "at_", "n_", "tokens", "start", "digest", "component_id", "fingerprint", "ids", "offsets", "piece", "length"]
+    df = docs(spark, values)
+    for n in names:
+        df = df.withColumn(n, F.lit("clash"))
+    return df
+
+
+LONG_TEXT = " ".join(f"w{k % 977} x{k}" for k in range(30_000)) + "\n" + "q" * 100_000
+CASES = [*AWKWARD, (7, LONG_TEXT), (8, LONG_TEXT), (9, " \n\t "), (None, LONG_TEXT)]
+
+
+@pytest.mark.parametrize(
+    "run",
+    [
+        lambda df: bpe.round_trip(df, MULTI),
+        lambda df: media.read_back(media.with_headers(media.store(df))),
+        lambda df: substring.remove_repeats(df),
+        lambda df: substring.clean(df),
+        lambda df: tokenfiles.read(tokenfiles.write(df, public_tokenizers.path("byte_bpe_50k.json")), df.schema["doc_id"].dataType),
+        lambda df: simhash.near_duplicates(df),
+        lambda df: simhash.groups(df),
+        lambda df: packing.pack(df, public_tokenizers.path("word_bpe_49k.json")).filter("piece = 0"),
+        lambda df: quality.scored(df, quality.Model([("a good text", 1), ("###", 0)])),
+    ],
+    ids=["bpe", "media", "substring", "clean", "tokenfiles", "simhash", "groups", "packing", "quality"],
+)
+def test_awkward_tables(spark, run):
+    """Clashing names, nulls, repeated rows and long texts give a row each; an empty table gives none."""
+    df = clash(spark, CASES)
+    got = run(df)
+    assert len(set(got.columns)) == len(got.columns)
+    assert Counter(r.doc_id for r in got.collect()) == Counter(i for i, _ in CASES)
+    assert run(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES, ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_pipeline_stages_on_awkward_tables(spark, data, stage):
+    name, run = stage
+    got = run(spark, clash(spark, CASES), data)
+    if name != "packing":
+        assert got.columns == list(corpus_pipeline.COLUMNS)
+    ids = [r.doc_id for r in got.collect()]
+    assert set(ids) <= {i for i, _ in CASES}
+    if name == "near_duplicates":  # null and blank ones are copies; so are equal texts
+        assert sorted(ids, key=lambda i: (i is None, i or 0)) == [1, 3, 5, 6, 7]
+    assert run(spark, clash(spark, CASES).limit(0), data).count() == 0
+
+
 def test_html_pages(spark):
     rows = [(1, "u", None, "x"), (2, None, PAGE, "y"), (2, None, PAGE, "y")]
     got = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
