@@ -76,12 +76,16 @@ def without_banners(c: Column | str, chars: int = 8000) -> Column:
     return F.regexp_replace(F.substring(col(c), 1, chars), r"={3,}|\[PAGE \d+\]|\[SOURCE FILE:[^\]]*\]", "")
 
 
-# Frequent words that tell four languages apart.
+# Frequent words that tell languages apart.
 LANGUAGE_WORDS = {
     "en": ["the", "of", "and", "to", "in", "is", "that", "for", "with", "was"],
     "fr": ["le", "la", "les", "des", "et", "du", "une", "que", "dans", "est"],
     "de": ["der", "die", "das", "und", "ist", "nicht", "von", "den", "mit", "ein"],
     "es": ["el", "los", "las", "del", "y", "una", "por", "con", "para", "se"],
+    "it": ["il", "gli", "della", "di", "che", "sono", "nel", "alla", "anche", "non"],
+    "nl": ["het", "een", "van", "dat", "niet", "zijn", "voor", "op", "aan", "ook"],
+    "pt": ["os", "da", "do", "em", "um", "uma", "não", "ao", "pelo", "são"],
+    "pl": ["się", "nie", "jest", "na", "że", "oraz", "przez", "dla", "od", "jak"],
 }
 
 
@@ -97,7 +101,11 @@ def language(c: Column | str, default: str = "en") -> Column:
     return F.when(best["n"] > 0, best["code"]).otherwise(default)
 
 
-LANGUAGE_NAMES = {"en": "English", "fr": "French", "de": "German", "es": "Spanish", "it": "Italian", "nl": "Dutch", "pt": "Portuguese", "pl": "Polish"}
+# Names of languages by code.
+LANGUAGE_NAMES = {
+    "en": "English", "es": "Spanish", "fr": "French", "de": "German", "nl": "Dutch", "pt": "Portuguese", "it": "Italian", "pl": "Polish", "ro": "Romanian", "cs": "Czech", "da": "Danish", "sv": "Swedish",
+    "nb": "Norwegian", "fi": "Finnish", "hu": "Hungarian", "el": "Greek", "tr": "Turkish", "ru": "Russian", "uk": "Ukrainian", "ja": "Japanese", "zh-cn": "Chinese", "ko": "Korean", "ar": "Arabic",
+}
 
 
 def language_hint(code: Column) -> Column:

@@ -7,8 +7,13 @@ sums. A company's text is one value by definition of the operator, so its size i
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fathomleaf.config import EngineConfig
 from fathomleaf.functions import text as X
@@ -84,22 +89,41 @@ def window_starts(n: Column, size: int, overlap: int) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda k: k * step))
 
 
+TOKEN = re.compile(r"[^ \t\n\r\f\x0B]+")
+
+
 def token_windows(docs: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
     """(company, id, text, token_count, token_start, token_end, char_start, char_end, is_last) of ``full_text``.
 
-    Tokens are runs of non-blanks; a window runs from its first token's start to its last token's end. Character positions
-    come from one running sum over the tokens.
+    Tokens are runs of non-blanks; a window runs from its first token's start to its last token's end. One pass over a text
+    finds where its tokens are, and each window is a slice of the text: batched Python, as SQL arrays would be copied for
+    every window. A null text has no windows.
     """
-    size, overlap = config.chunk_size, config.chunk_overlap
-    parts = F.regexp_extract_all("full_text", F.lit(r"[ \t\n\r\f\x0B]*[^ \t\n\r\f\x0B]+"), F.lit(0))
-    rows = docs.select("company", "full_text", parts.alias("parts_")).withColumn("n_", F.size("parts_"))
-    rows = rows.select("company", "full_text", "parts_", "n_", F.posexplode(window_starts(F.col("n_"), size, overlap)).alias("id", "token_start"))
-    rows = rows.withColumn("token_end", F.least(F.col("token_start") + size, F.col("n_")))
-    before = F.aggregate(F.slice("parts_", F.lit(1), F.col("token_start")), F.lit(0), lambda a, p: a + F.length(p))
-    inside = F.array_join(F.slice("parts_", F.col("token_start") + 1, F.col("token_end") - F.col("token_start")), "")
-    rows = rows.withColumn("raw_", inside).withColumn("lead_", F.length("raw_") - F.length(F.regexp_replace("raw_", r"^[ \t\n\r\f\x0B]+", "")))
-    rows = rows.withColumn("char_start", before + F.col("lead_")).withColumn("text", F.expr("substring(raw_, lead_ + 1)"))
-    return rows.select("company", "id", "text", (F.col("token_end") - F.col("token_start")).alias("token_count"), "token_start", "token_end", "char_start", (F.col("char_start") + F.length("text")).alias("char_end"), (F.col("token_end") == F.col("n_")).alias("is_last"))
+    size, step = config.chunk_size, config.chunk_size - config.chunk_overlap
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, rows = [], []
+            for k, text in enumerate(batch.column(1).to_pylist()):
+                spans = [m.span() for m in TOKEN.finditer(text or "")]
+                n = len(spans)
+                for i in range(max(-(-(n - config.chunk_overlap) // step), 1) if n else 0):
+                    lo, hi = i * step, min(i * step + size, n)
+                    at.append(k)
+                    rows.append((i, text[spans[lo][0] : spans[hi - 1][1]], hi - lo, lo, hi, spans[lo][0], spans[hi - 1][1], hi == n))
+                if len(rows) >= 1000:
+                    yield batch_of(batch, at, rows)
+                    at, rows = [], []
+            yield batch_of(batch, at, rows)
+
+    def batch_of(batch: pa.RecordBatch, at: list[int], rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=out.names)
+
+    kinds = [pa.int32(), pa.string(), *[pa.int32()] * 5, pa.bool_()]
+    number = [T.StructField(c, T.IntegerType()) for c in ("token_count", "token_start", "token_end", "char_start", "char_end")]
+    out = T.StructType([docs.schema["company"], T.StructField("id", T.IntegerType()), T.StructField("text", T.StringType()), *number, T.StructField("is_last", T.BooleanType())])
+    return docs.select("company", "full_text").mapInArrow(run, out)
 
 
 def char_windows(docs: DataFrame, config: EngineConfig = EngineConfig(), key: str = "company", text_col: str = "full_text") -> DataFrame:
@@ -112,11 +136,20 @@ def char_windows(docs: DataFrame, config: EngineConfig = EngineConfig(), key: st
     return rows.select(key, "id", text.alias("text"), F.floor((F.col("char_end") - F.col("char_start")) / config.chars_per_token).cast("int").alias("token_count"), "char_start", "char_end", (F.col("char_end") == F.col("n_")).alias("is_last"))
 
 
+STRETCH = 1 << 13  # characters
+
+
 def chunk_sources(chunks: DataFrame, refs: DataFrame) -> DataFrame:
-    """(company, id, file): each overlap of a window and a file. Equal companies, overlapping ranges."""
-    c, r = chunks.alias("c"), refs.alias("r")
-    on = (F.col("c.company") == F.col("r.company")) & (F.col("r.start_char") < F.col("c.char_end")) & (F.col("r.end_char") > F.col("c.char_start"))
-    return c.join(r, on).select("c.company", "c.id", "r.file")
+    """(company, id, file): each overlap of a window and a file.
+
+    Both are told by the stretches of text that they touch and meet by (company, stretch), so that a company of any size is
+    spread out; a pair counts in the first stretch that both touch.
+    """
+    first, last = (lambda a: F.floor(F.col(a) / STRETCH)), (lambda a, b: F.floor(F.greatest(F.col(b) - 1, F.col(a)) / STRETCH))
+    c = chunks.select("company", "id", "char_start", "char_end", F.explode(F.sequence(first("char_start"), last("char_start", "char_end"))).alias("stretch_"))
+    r = refs.select("company", "file", "start_char", "end_char", F.explode(F.sequence(first("start_char"), last("start_char", "end_char"))).alias("stretch_"))
+    met = c.join(r, ["company", "stretch_"]).filter("start_char < char_end and end_char > char_start")
+    return met.filter(F.col("stretch_") == F.greatest(first("char_start"), first("start_char"))).select("company", "id", "file")
 
 
 def with_sources(chunks: DataFrame, refs: DataFrame) -> DataFrame:
@@ -166,6 +199,17 @@ def section_windows(chunks: DataFrame, retrieved: DataFrame, config: EngineConfi
     return own.withColumn("n_", n).filter(F.col("n_") <= config.section_passes).select("company", "section", "ids")
 
 
+def not_done(rows: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are not among those done already."""
+    return rows.join(done.select(*keys).distinct(), keys, "left_anti")
+
+
+def companies(files: DataFrame, only: str | None = None) -> DataFrame:
+    """Distinct companies, or the one asked for."""
+    own = files.select("company").distinct()
+    return own.filter(F.col("company") == only) if only else own
+
+
 def annotated(chunks: DataFrame, ids: DataFrame) -> DataFrame:
     """(company, text): the asked-for windows with their sources, joined in order."""
     own = chunks.join(ids.select("company", "id").distinct(), ["company", "id"], "left_semi")

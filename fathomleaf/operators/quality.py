@@ -49,14 +49,25 @@ def filter_company(df: DataFrame, pattern: str, company: str = "company") -> Dat
     return df.filter(F.col(company).rlike(f"(?i){pattern}"))
 
 
+GRAM = 3
+
+
 def match_companies(golden: DataFrame, extracted: DataFrame, company: str = "company") -> DataFrame:
     """(golden company, extracted company): the golden name is contained in the extracted one, whatever the case.
 
-    Names are made distinct first; equal names are an equi-join, only names without an equal are searched for.
+    Names are made distinct first and meet by an equal key: the first ``GRAM`` characters of the golden name, which must be
+    among the runs of as many characters of the extracted one. An empty name is contained in every name.
     """
     g = golden.select(F.col(company).alias("golden_company")).distinct().withColumn("g_", F.lower("golden_company"))
     e = extracted.select(F.col(company).alias("extracted_company")).distinct().withColumn("e_", F.lower("extracted_company"))
-    return g.join(e, F.col("e_").contains(F.col("g_"))).select("golden_company", "extracted_company")
+
+    def run(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length("e_")), lambda i: F.substr(F.col("e_"), i, F.lit(n)))
+
+    runs = [run(n) for n in range(1, GRAM + 1)]
+    grams = F.when(F.length("e_") > 0, F.array_distinct(F.concat(F.array(F.lit("")), *runs))).otherwise(F.array(F.lit("")))
+    met = g.withColumn("key_", F.substring("g_", 1, GRAM)).join(e.filter("e_ is not null").withColumn("key_", F.explode(grams)), "key_")
+    return met.filter(F.col("e_").contains(F.col("g_"))).select("golden_company", "extracted_company")
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], fields: Sequence[str], name: str = "value") -> DataFrame:
@@ -134,9 +145,15 @@ def field_coverage(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
     return long.withColumn("level", F.when(F.col("coverage") < 30, "low").when(F.col("coverage") > 70, "high").otherwise("middle"))
 
 
-def report_json(found: DataFrame) -> DataFrame:
-    """One row: summary, per field (worst first) and per company as JSON; mismatches stay a table of their own."""
-    fields = by_field(found).withColumn("key_", F.expr("coalesce(try_cast(replace(accuracy, '%', '') as double), 1e9)"))
-    f = fields.agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("key_", "field", "accuracy", *OUTCOMES))), lambda s: s.dropFields("key_"))).alias("per_field_accuracy"))
-    s = overall(found).select(F.to_json(F.struct("*")).alias("summary"))
-    return s.join(f)
+def coverage_report(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """One row: when, how many rows and fields, the average, coverage by field as JSON, and the fields of low and high coverage."""
+    own = field_coverage(rows, fields)
+    entry = F.array_sort(F.collect_list(F.struct("field", percent(F.col("coverage") / 100).alias("shown"))))
+    named = lambda level: F.array_sort(F.collect_list(F.when(F.col("level") == level, F.col("field"))))
+    out = own.agg(F.to_json(F.map_from_entries(entry)).alias("field_coverage"), percent(F.avg("coverage") / 100).alias("average_coverage"), named("low").alias("low_coverage_fields"), named("high").alias("high_coverage_fields"))
+    return out.crossJoin(rows.agg(F.count(F.lit(1)).alias("total_rows"))).select(F.current_timestamp().alias("timestamp"), "total_rows", F.lit(len(fields)).alias("total_fields"), "average_coverage", "field_coverage", "low_coverage_fields", "high_coverage_fields")  # one row by one
+
+
+def comparison_report(found: DataFrame) -> dict[str, DataFrame]:
+    """The report's parts, each a table of any size: summary, per field (worst first), per company, mismatches."""
+    return {"summary": overall(found), "per_field_accuracy": by_field(found), "per_company": by_company(found), "mismatches_detail": mismatches(found)}

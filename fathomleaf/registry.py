@@ -167,12 +167,88 @@ def fields(spark: SparkSession) -> DataFrame:
 
 
 def groups(spark: SparkSession) -> DataFrame:
-    """(ord, group, name, keywords, fields, max_tokens)."""
-    rows = [(i, g, name, words, own, MAX_TOKENS[g]) for i, (g, name, words, own) in enumerate(GROUPS)]
-    return spark.createDataFrame(rows, "ord int, group string, name string, keywords array<string>, fields array<string>, max_tokens int")
+    """(ord, group, name, keywords, fields, descriptions, max_tokens)."""
+    rows = [(i, g, name, words, own, [describe(f) for f in own], MAX_TOKENS[g]) for i, (g, name, words, own) in enumerate(GROUPS)]
+    return spark.createDataFrame(rows, "ord int, group string, name string, keywords array<string>, fields array<string>, descriptions array<string>, max_tokens int")
+
+
+# What each field holds, for prompts and for retrieval by description.
+DESCRIPTIONS = {
+    "Borrower name": "The legal name of the borrowing entity/company",
+    "Senior facility name": "Name of the senior credit facility",
+    "Facility name": "Specific name of this facility/tranche",
+    "Type of tranche": "The type of credit facility: Term Loan, Revolving Loan (RCF), Letter of Credit (LC), or Bond",
+    "Currency of the facility": "Currency denomination (EUR, USD, GBP, etc.)",
+    "Credit limit ['000]": "Total credit limit amount with currency",
+    "Is a Sponsor linked to the project?": "Yes/No - whether there's a project sponsor",
+    "Sponsor Name": "Name of the sponsor entity",
+    "Sponsor ownership [%]": "Percentage ownership by sponsor",
+    "Is a HoldCo linked to the project?": "Yes/No - whether a holding company is involved",
+    "Name of the HoldCo linked to the project": "Name of the holding company",
+    "Project Sector (NACE Rev. 2 classification)": "NACE sector code and description",
+    "Project Sector (Aggregated)": "Must be ONE of: Energy / Infrastructure / LNG / Manufacturing / Mining / TM / Wind and Solar",
+    "Project location [Country]": "Country where the project is located",
+    "Readiness [In operation / Construction needed]": "Current project status",
+    "If construction needed: Readiness year": "Expected completion year",
+    "If construction needed: Readiness month": "Expected completion month",
+    "If completion guarantees specified?": "Yes/No - presence of completion guarantees",
+    "Guarantee Development sponsors name": "Name of guarantee provider",
+    "If D&C Contractor specified?": "Yes/No - presence of D&C contractor",
+    "Is there a fixed price, date certain, turnkey contract?": "Yes/No - whether cost overruns are borne by contractor",
+    "Name of the D&C Contractor": "Name of Design & Construction contractor or guarantor",
+    "If revenue mitigating factors specified?": "Yes/No",
+    "Type of mitigating factor": "Guaranteed price / Guaranteed add-on / Fix revenue component / Regulated rate-of-return / Variable OPEX passed through",
+    "Contractual or regulatory factor guarantor": "Entity providing the guarantee",
+    "Revenue mitigating factors applied to": "all revenues / revenues of the borrower",
+    "Volume constraint type of revenue mitigating factors": "Absolute volume / % of volume covered",
+    "Volume covered by revenue mitigating factors [%]": "Percentage of volume covered",
+    "If DSRA (Debt Service Reserve Account) specified?": "Yes/No",
+    "If covenants specified?": "Yes/No",
+    "Covenant leading to dividend lock-up: Minimum cash, '000": "Minimum cash covenant",
+    "Covenant leading to dividend lock-up: Minimum Equity Reserve Account, '000": "Min equity reserve",
+    "Covenant leading to dividend lock-up: Backward-looking DSCR (B-DSCR)": "Historical DSCR ratio",
+    "Covenant leading to dividend lock-up: Forward-looking DSCR (F-DSCR)": "Projected DSCR ratio",
+    "Covenant leading to dividend lock-up: Loan Life Coverage Ratio (LLCR)": "LLCR covenant",
+    "Covenant leading to dividend lock-up: Interest Coverage Ratio (ICR)": "ICR covenant",
+    "Covenant leading to dividend lock-up: Net Debt / EBITDA": "Leverage ratio",
+    "Covenant leading to dividend lock-up: Dividend Cover Ratio": "Dividend coverage",
+    "Covenant leading to dividend lock-up: Net Debt / RAB": "Regulatory asset base ratio",
+    "Covenant leading to dividend lock-up: Debt / Equity": "D/E ratio",
+    "Is facility syndicated?": "Yes/No",
+    "if ING commitment specified?": "Yes/No",
+    "ING share [%]": "ING's percentage share - calculate if needed: (ING Amount / Total Amount)",
+    "Inception date [MM/YYYY] of the facility": "Start date of facility",
+    "Maturity date [MM/YYYY] of the facility": "End date of facility",
+    "Is tranche expected to be refinanced?": "Yes/No",
+    "Principal drawdown schedule": "Description of drawdown schedule",
+    "Principal drawdown schedule [Date: %]": "Specific dates and percentages for drawdowns",
+    "Principal repayment schedule": "Description of repayment schedule",
+    "Principal repayment schedule [Date: %]": "Specific dates and percentages for repayments",
+    "Base Rate of the facility": "Reference rate (EURIBOR, SOFR, LIBOR, etc.)",
+    "Tenor of the base rate / Interest Rate Tenor": "Period for interest rate (1M, 3M, 6M, etc.)",
+    "Fix interest rate [%]": "Fixed rate if no base rate",
+    "Spread [%]": "Margin over base rate",
+    "Interest rate floor %": "Minimum interest rate",
+    "Interest rate cap %": "Maximum interest rate",
+    "Hedging: is the facility hedged?": "Yes/No",
+    "Hedging: how is the facility hedged": "interest rate swaps / FX swaps / inflation swaps",
+    "Hedging: effective date": "Start date of hedge",
+    "Hedging: fixed rate": "Fixed rate in swap",
+    "Hedging: maturity date": "End date of hedge",
+    "Hedging: notional": "Notional amount of hedge",
+    "Hedging: spread": "Spread in hedge",
+    "Hedging: % of exposure hedged": "Percentage of exposure covered",
+    "Is there a cash sweep mechanism applicable to the facility?": "Yes/No",
+    "Cash sweep structure": "Predetermined (% of cash) / Targeted debt balance / Transmission asset linked loan",
+    "For predetermined - additional cash to be paid [%]": "Percentage of excess cash",
+    "For targeted - target repayment profile [%]": "Target as % of base repayment",
+    "For transmission asset linked loan - sweep percentage [%]": "Sweep percentage",
+    "Upfront Fee [%]": "Initial fee percentage",
+    "Commitment fee [%]": "Fee on undrawn amounts",
+    "Letter of credit issuance fee [%]": "LC fee",
+}
 
 
 def describe(field: str) -> str:
-    """A short description of a field for prompts and retrieval, from its kind and group."""
-    what = {"date": "month and year (MM/YYYY)", "percentage": "a percentage", "ratio": "a ratio such as 1.20x", "yes_no": "Yes or No"}.get(KIND_OF.get(field, ""), "as written in the document")
-    return f"{field}: {what}"
+    """What a field holds; its name where that is not known."""
+    return DESCRIPTIONS.get(field, field)
