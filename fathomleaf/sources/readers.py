@@ -27,6 +27,7 @@ Extracted = tuple[str, dict[str, str]]
 ARCHIVES = (".zip", ".7z")
 IMAGES = (".png", ".jpg", ".jpeg", ".bmp", ".tiff")
 LEAST_SIDE, GREATEST_ASPECT = 50, 20
+SHEET_BYTES = 64 << 20
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -35,11 +36,15 @@ FILE = T.StructType([T.StructField("company", T.StringType()), T.StructField("or
 
 
 def scan(spark: SparkSession, root: str) -> DataFrame:
-    """(path, content) of every file under ``root``; paths relative to it; archives replaced by their members."""
-    base = re.sub(r"^[a-z]+:/*", "/", root).rstrip("/") + "/"
+    """(path, content) of every file under ``root``; paths relative to it; archives replaced by their members.
+
+    The root is written out in full by its own file system, as the paths of files are, so that a root without a scheme or
+    a host is taken off them too.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString().rstrip("/") + "/"
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    path = F.regexp_replace(F.regexp_replace("path", r"^[a-z]+:/*", "/"), "^" + re.escape(base), "")
-    return expand_archives(raw.select(path.alias("path"), "content"))
+    return expand_archives(raw.select(F.when(F.col("path").startswith(base), F.substring("path", len(base) + 1, 1 << 20)).otherwise(F.col("path")).alias("path"), "content"))
 
 
 def expand_archives(files: DataFrame) -> DataFrame:
@@ -50,24 +55,24 @@ def expand_archives(files: DataFrame) -> DataFrame:
                 if f".{kind.lower()}" not in ARCHIVES or not dot:
                     yield pd.DataFrame({"path": [path], "content": [content]})
                     continue
-                for name, data in _members(content, kind.lower()):
-                    yield pd.DataFrame({"path": [f"{folder}/{name}"], "content": [data]})
+                try:
+                    for name, data in _members(content, kind.lower()):
+                        yield pd.DataFrame({"path": [f"{folder}/{name}"], "content": [data]})
+                except Exception:  # an archive that cannot be read stays, and its row will say why
+                    yield pd.DataFrame({"path": [path if "/" in path.strip("/") else f"{folder}/{path}"], "content": [content]})
 
     return files.select("path", "content").mapInPandas(run, MEMBER)
 
 
 def _members(content: bytes, kind: str) -> Iterator[tuple[str, bytes]]:
-    try:
-        if kind == "zip":
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
-                yield from ((i.filename, z.read(i)) for i in z.infolist() if not i.is_dir())
-        else:
-            import py7zr
+    if kind == "zip":
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            yield from ((i.filename, z.read(i)) for i in z.infolist() if not i.is_dir())
+    else:
+        import py7zr
 
-            with py7zr.SevenZipFile(io.BytesIO(content)) as z:
-                yield from ((n, f.read()) for n, f in z.readall().items())
-    except (ImportError, zipfile.BadZipFile):
-        return
+        with py7zr.SevenZipFile(io.BytesIO(content)) as z:
+            yield from ((n, f.read()) for n, f in z.readall().items())
 
 
 def company_of(path: Column | str = "path") -> Column:
@@ -140,13 +145,60 @@ def read_xlsx_rows(data: bytes) -> dict[str, list[list[str]]]:
     return out
 
 
-def read_xlsx(data: bytes) -> Extracted:
-    sheets = read_xlsx_rows(data)
+def read_xls_rows(data: bytes) -> dict[str, list[list[str]]]:
+    """As ``read_xlsx_rows``, of the older binary format."""
+    import xlrd
+
+    with xlrd.open_workbook(file_contents=data, on_demand=True) as book:
+        return {s.name: [own for r in range(s.nrows) if any(own := [str(v) for v in s.row_values(r)])] for s in book.sheets()}
+
+
+def sheet_rows(data: bytes) -> dict[str, list[list[str]]]:
+    """Rows of a workbook by what it is, not by its name."""
+    return read_xlsx_rows(data) if data[:2] == b"PK" else read_xls_rows(data)
+
+
+def workbook_images(data: bytes) -> list[tuple[str, bytes]]:
+    if data[:2] != b"PK":
+        return []
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        return [(n, z.read(n)) for n in sorted(z.namelist()) if n.startswith("xl/media/") and "." + n.rpartition(".")[2].lower() in IMAGES]
+
+
+def read_xlsx(data: bytes, ocr: Ocr | None = None, seen: dict[str, str] | None = None) -> Extracted:
+    """Sheets as tables, then what OCR reads in the images of the workbook."""
+    sheets = sheet_rows(data)
     parts = []
     for name, rows in sheets.items():
         wide = max((len(r) for r in rows), default=0)
         parts.append("\n".join([f"[SHEET: {name}]", *("| " + " | ".join(r + [""] * (wide - len(r))) + " |" for r in rows)]))
-    return "\n\n".join(parts), {"type": "excel", "sheets": ",".join(sheets)}
+    images = [t for _, image in workbook_images(data) if (t := read_image(image, ocr, seen)).strip()]
+    parts += [f"[IMAGE]\n{t}" for t in images]
+    return "\n\n".join(parts), {"type": "excel", "sheets": ",".join(sheets), "images": str(len(images))}
+
+
+def first_of(*readers: Ocr) -> Ocr:
+    """OCR by the first reader that finds text; one that fails gives way to the next."""
+
+    def read(data: bytes) -> str:
+        for own in readers:
+            try:
+                if (found := own(data)).strip():
+                    return found
+            except Exception:  # noqa: S112  the next reader's turn
+                continue
+        return ""
+
+    return read
+
+
+def read_image(data: bytes, ocr: Ocr | None, seen: dict[str, str] | None = None) -> str:
+    """What OCR makes of an image worth reading; ``seen`` remembers what it made of equal ones."""
+    seen = {} if seen is None else seen
+    key = hashlib.md5(data).hexdigest()
+    if key not in seen:
+        seen[key] = ocr(data) if ocr and worth_reading(image_size(data)) else ""
+    return seen[key]
 
 
 def read_pdf(data: bytes, ocr: Ocr | None, config: EngineConfig) -> Extracted:
@@ -177,6 +229,21 @@ def png_size(data: bytes) -> tuple[int, int] | None:
     return (int.from_bytes(data[16:20], "big"), int.from_bytes(data[20:24], "big")) if data[:8] == b"\x89PNG\r\n\x1a\n" else None
 
 
+def image_size(data: bytes) -> tuple[int, int] | None:
+    """(width, height) of PNG, BMP and JPEG images; None where it is not known."""
+    if data[:2] == b"BM" and len(data) >= 26:
+        return int.from_bytes(data[18:22], "little"), abs(int.from_bytes(data[22:26], "little", signed=True))
+    if data[:2] == b"\xff\xd8":
+        at = 2
+        while at + 9 < len(data) and data[at] == 0xFF:
+            kind, size = data[at + 1], int.from_bytes(data[at + 2 : at + 4], "big")
+            if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
+                return int.from_bytes(data[at + 7 : at + 9], "big"), int.from_bytes(data[at + 5 : at + 7], "big")
+            at += 2 + size
+        return None
+    return png_size(data)
+
+
 def worth_reading(size: tuple[int, int] | None) -> bool:
     """Neither side is tiny and the image is no line."""
     return size is None or (min(size) >= LEAST_SIDE and max(size) <= GREATEST_ASPECT * min(size))
@@ -191,17 +258,15 @@ def extract(path: str, data: bytes, ocr: Ocr | None = None, config: EngineConfig
         if kind == ".docx":
             return read_docx(data)
         if kind in (".xlsx", ".xlsm", ".xls"):
-            return read_xlsx(data)
+            return read_xlsx(data, ocr, seen)
         if kind == ".pdf":
             return read_pdf(data, ocr, config)
         if kind == ".msg":
             return read_msg(data)
         if kind in IMAGES:
-            seen = {} if seen is None else seen
-            key = hashlib.md5(data).hexdigest()
-            if key not in seen:
-                seen[key] = ocr(data) if ocr and worth_reading(png_size(data)) else ""
-            return seen[key], {"type": "image"}
+            return read_image(data, ocr, seen), {"type": "image"}
+        if kind in ARCHIVES:  # only those that could not be opened are still here
+            return "", {"type": "archive", "members": str(sum(1 for _ in _members(data, kind[1:])))}
     except ImportError as e:
         return "", {"type": "unsupported", "missing": e.name or str(e)}
     except Exception as e:  # a broken file is a row that says so
@@ -236,15 +301,23 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, s
 
 
 def read_golden(spark: SparkSession, path: str, sheet: int = 0) -> DataFrame:
-    """Golden records by extension: CSV, TSV or TXT, XLSX (a reference table of one sheet)."""
+    """Golden records by extension: CSV, TSV or TXT, workbooks (a reference table of one sheet, ``SHEET_BYTES`` at most).
+
+    A file of any other extension is tried as a workbook, then read as CSV.
+    """
     kind = path.rpartition(".")[2].lower()
     if kind in ("tsv", "txt"):
         return read_csv(spark, path, sep="\t")
-    if kind in ("xlsx", "xlsm", "xls"):
-        data = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
-        head, *rows = list(read_xlsx_rows(data).values())[sheet]
-        return spark.createDataFrame([tuple((r + [""] * len(head))[: len(head)]) for r in rows], T.StructType([T.StructField(h, T.StringType()) for h in head]))
-    return read_csv(spark, path)
+    if kind == "csv":
+        return read_csv(spark, path)
+    file = spark.read.format("binaryFile").load(path)
+    head = bytes(file.select(F.substring("content", 1, 8)).first()[0])
+    if kind not in ("xlsx", "xlsm", "xls") and head[:2] != b"PK" and head != b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1":
+        return read_csv(spark, path)
+    if file.select("length").first()[0] > SHEET_BYTES:
+        raise ValueError(f"{path} is larger than a reference table may be")
+    names, *rows = list(sheet_rows(bytes(file.select("content").first()[0])).values())[sheet]
+    return spark.createDataFrame([tuple((r + [""] * len(names))[: len(names)]) for r in rows], T.StructType([T.StructField(h, T.StringType()) for h in names]))
 
 
 def read_embeddings(spark: SparkSession, path: str, vector: str = "vector") -> DataFrame:

@@ -25,13 +25,19 @@ def ordered(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    ordered(df).write.mode("overwrite").option("header", True).option("escape", '"').option("encoding", "UTF-8").csv(path)
+    ordered(df).write.mode("overwrite").option("header", True).option("escape", '"').option("encoding", "UTF-8").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_report(parts: dict[str, DataFrame], path: str) -> None:
+    """A folder of JSON lines for each part of a report."""
+    for name, df in parts.items():
+        write_json(df, f"{path.rstrip('/')}/{name}")
+
+
 def write_detailed(df: DataFrame, path: str) -> None:
     """``detailed_json`` rows, one folder a company by its safe name."""
     df.withColumn("safe", safe_name("company")).select("safe", "json").write.mode("overwrite").partitionBy("safe").text(path)
