@@ -68,14 +68,25 @@ def pattern_candidates(docs: DataFrame, key: str = "company", text_col: str = "f
     return docs.select(key, text_col).mapInPandas(run, T.StructType([docs.schema[key], T.StructField("field", T.StringType()), T.StructField("candidates", T.ArrayType(T.StringType()))]))
 
 
-def native_candidates(docs: DataFrame, field: str, key: str = "company", text_col: str = "full_text") -> DataFrame:
-    """The same for one field without Python; contexts that overlap are taken as one."""
-    s = STRATEGIES[field]
-    pattern = "(?is).{0,100}(?:" + "|".join(s.contexts) + ").{0,200}"
-    near = F.regexp_extract_all(text_col, F.lit(pattern), F.lit(0))
-    group = 1 if re.compile(s.value).groups else 0
-    found = F.array_distinct(F.flatten(F.transform(near, lambda x: F.regexp_extract_all(x, F.lit("(?i)" + s.value), F.lit(group)))))
-    return docs.select(key, F.lit(field).alias("field"), found.alias("candidates")).filter(F.size("candidates") > 0)
+def field_candidates(contexts: DataFrame, strategies: dict[str, Strategy] = STRATEGIES) -> DataFrame:
+    """(company, field, candidates) of contexts (company, field, text): each by its own field's patterns, none for other fields."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [candidates_of(t or "", strategies[f]) if f in strategies else [] for f, t in zip(frame["field"], frame["text"], strict=True)]
+            yield pd.DataFrame({"company": frame["company"], "field": frame["field"], "candidates": found})
+
+    return contexts.select("company", "field", "text").mapInPandas(run, T.StructType([contexts.schema["company"], T.StructField("field", T.StringType()), T.StructField("candidates", T.ArrayType(T.StringType()))]))
+
+
+def with_table_values(candidates: DataFrame, found: DataFrame) -> DataFrame:
+    """``candidates`` with the value of a table (company, field, value) put first, unless it is among them."""
+    rows = candidates.join(found.select("company", "field", F.col("value").alias("cell_")), ["company", "field"], "left")
+    new = F.col("cell_").isNotNull() & ~F.array_contains("candidates", F.col("cell_"))
+    return rows.select("company", "field", F.when(new, F.concat(F.array("cell_"), "candidates")).otherwise(F.col("candidates")).alias("candidates"))
+
+
+FIELDS_AT_MOST = 500
 
 
 def table_lookup(docs: DataFrame, fields: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
@@ -84,12 +95,15 @@ def table_lookup(docs: DataFrame, fields: DataFrame, keys: list[str], text_col:
     Names are looked for in lower case, without marks, and (as ever) without spaces but with capitals, which never match
     a lower-cased line unless the name has none. ``fields``: (field), a bounded table.
     """
-    f = fields.select("field").distinct()
-    variants = F.array(F.lower("field"), F.regexp_replace("field", " ", ""), F.lower(F.regexp_replace("field", r"(?U)[^\w\s]", "")))
-    wanted = f.select("field", F.posexplode(variants).alias("variant_no", "variant"))
+    names = sorted(r[0] for r in fields.select("field").distinct().limit(FIELDS_AT_MOST + 1).collect())
+    if len(names) > FIELDS_AT_MOST:
+        raise ValueError(f"more than {FIELDS_AT_MOST} fields")
+    variants = [(f, n, v) for f in names for n, v in enumerate((f.lower(), f.replace(" ", ""), re.sub(r"[^\w\s]", "", f).lower()))]
     rows = docs.select(*keys, F.posexplode(X.lines(text_col)).alias("line_no", "line")).filter(F.col("line").rlike(r"[|:\t]")).withColumn("low_", F.lower("line"))
-    hits = rows.join(F.broadcast(wanted), F.col("low_").contains(F.col("variant")))
-    cells = hits.select(*keys, "field", "line_no", "variant_no", "variant", F.split("line", r"[|:\t]", -1).alias("cells_"))
+    # One pass over the lines: those that hold any variant go on with the ones that they hold; no join.
+    rows = rows.filter(F.col("low_").rlike("|".join(re.escape(v) for v in sorted({v for *_, v in variants}))))
+    held = F.array_compact(F.array(*(F.when(F.col("low_").contains(v), F.struct(F.lit(f).alias("field"), F.lit(n).alias("variant_no"), F.lit(v).alias("variant"))) for f, n, v in variants)))
+    cells = rows.select(*keys, "line_no", "line", F.explode(held).alias("v_")).select(*keys, "v_.field", "line_no", "v_.variant_no", "v_.variant", F.split("line", r"[|:\t]", -1).alias("cells_"))
     cells = cells.select(*keys, "field", "line_no", "variant_no", "variant", "cells_", F.posexplode("cells_").alias("cell_no", "cell"))
     value = X.strip(F.get(F.col("cells_"), F.col("cell_no") + 1))
     cells = cells.filter(F.lower("cell").contains(F.col("variant"))).withColumn("value", value).filter("value is not null").filter(~F.lower("value").isin("", "n/a", "nan"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import re
+import time
 from collections.abc import Iterator
 from typing import Protocol
 
@@ -32,47 +33,99 @@ class Extractor(Protocol):
     def __call__(self, system: str, prompt: str, max_tokens: int) -> str: ...
 
 
+SYSTEM = "You read credit documents. Answer only with what the text states, quote it as evidence, and answer in JSON."
+TEXT = "DOCUMENT TEXT:\n"
+QUESTION = "Find these fields:\n{fields}\n\nAnswer as JSON: {{\"fields\": {{\"<field>\": {{\"value\": \"...\", \"evidence\": \"...\", \"confidence\": \"HIGH|MEDIUM|LOW\"}}}}}}. Use NOT_FOUND for what is absent and POSSIBLY_PRESENT for what other parts may hold.\n\n" + TEXT
+DETECT = "List every facility. Answer as JSON with total_facilities, facilities (name, type, amount, characteristics), is_single_facility and notes.\n\n" + TEXT
+VERIFY = "Check each value against the text. Answer as JSON with verified_fields, missing_information and inconsistencies.\n\nVALUES:\n"
+SINGLE = "Find one field. Answer as JSON with value, evidence, confidence and reasoning.\n"
+AGAIN = "\n\nThe answer must be one JSON object and nothing else."
+
+
 class RuleExtractor:
-    """A deterministic stand-in for a model: the first line that names a field and has a value after a colon or bar."""
+    """A deterministic stand-in for a model.
+
+    Fields: the first line that names one and has a value after a colon or bar. Facilities: lines that begin with
+    ``FACILITY:``, parts between bars. Checks: a value stands if the text has it, else what the field's line says.
+    """
 
     def __call__(self, system: str, prompt: str, max_tokens: int) -> str:
-        asked, _, text = prompt.partition("DOCUMENT TEXT:")
-        names = re.findall(r"^- (.+?): ", asked, re.M) if ": " in asked else []
-        fields = {}
-        for name in names:
-            fields[name] = {"value": "NOT_FOUND", "evidence": "", "confidence": "LOW"}
-            for line in text.split("\n"):
-                at = line.lower().find(name.lower())
-                m = re.match(r"\s*[:|\t]\s*([^|\t]+)", line[at + len(name) :]) if at >= 0 else None
-                if m and m[1].strip():
-                    fields[name] = {"value": m[1].strip(), "evidence": line.strip()[:200], "confidence": "HIGH"}
-                    break
+        asked, _, text = prompt.partition(TEXT)
+        lines = text.split("\n")
+        if asked.startswith(DETECT[:20]):
+            own = dict.fromkeys(tuple(x.strip() for x in m[1].split("|")) for line in lines if (m := re.match(r"\s*FACILITY:(.*)", line)))
+            found = [dict(zip(("name", "type", "amount", "characteristics"), [*x, "", "", ""][:4], strict=True)) for x in own]
+            return json.dumps({"total_facilities": len(found), "facilities": found, "is_single_facility": len(found) < 2, "notes": ""}, ensure_ascii=False)
+        names = [name for line in asked.split("\n") if line.startswith("- ") and (name := self.name(line[2:]))]
+        if asked.startswith(VERIFY[:20]):
+            told = {n: line[4 + len(n) :] for line in asked.split("\n") if line.startswith("- ") and (n := self.name(line[2:]))}
+            checks = {n: {"original_value": v, "verified_value": v if v in text else self.find(n, lines)["value"], "is_correct": v in text, "correction_reason": "" if v in text else "not in the text"} for n, v in told.items()}
+            return json.dumps({"verified_fields": checks, "missing_information": [], "inconsistencies": []}, ensure_ascii=False)
+        fields = {n: self.find(n, lines) for n in names}
+        if asked.startswith(SINGLE[:14]):
+            return json.dumps({**next(iter(fields.values()), {}), "reasoning": ""}, ensure_ascii=False)
         return json.dumps({"fields": fields, "facilities_detected": [], "notes": ""}, ensure_ascii=False)
 
-
-def call_model(prompts: DataFrame, make: type | None = None) -> DataFrame:
-    """``prompts`` (..., system, prompt, max_tokens) with ``response`` and ``error``: a failed call is a row, not a failed job."""
+    @staticmethod
+    def name(line: str) -> str | None:
+        """The field that a line ``field: ...`` is about; names may hold colons."""
+        return max((f for f in R.FIELDS if line.startswith(f + ": ")), key=len, default=line.partition(": ")[0] if ": " in line else None)
+
+    @staticmethod
+    def find(name: str, lines: list[str]) -> dict[str, str]:
+        for line in lines:
+            at = line.lower().find(name.lower())
+            m = re.match(r"\s*[:|\t]\s*([^|\t]+)", line[at + len(name) :]) if at >= 0 else None
+            if m and m[1].strip():
+                return {"value": m[1].strip(), "evidence": line.strip()[:200], "confidence": "HIGH"}
+        return {"value": "NOT_FOUND", "evidence": "", "confidence": "LOW"}
+
+
+def usable(answer: str | None, key: str | None) -> bool:
+    """Whether an answer holds a JSON object, with ``key`` in it if one is asked for."""
+    at, to = (answer or "").find("{"), (answer or "").rfind("}")
+    if at < 0 or to < at:
+        return False
+    try:
+        found = json.loads(answer[at : to + 1])
+    except ValueError:
+        return False
+    return isinstance(found, dict) and (key is None or key in found)
+
+
+def call_model(prompts: DataFrame, make: type | None = None, key: str | None = None, tries: int = 2) -> DataFrame:
+    """``prompts`` (..., system, prompt, max_tokens) with ``response``, ``error``, ``tries`` and ``seconds``.
+
+    A call whose answer is not ``usable`` is made again, with a line that asks for nothing but JSON, ``tries`` times in
+    all; then the last answer stays. A failed call is a row, not a failed job.
+    """
     kind = make or RuleExtractor
     keep = [c for c in prompts.columns]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = kind()
         for frame in frames:
-            answers, errors = [], []
+            rows = []
             for s, p, n in zip(frame["system"], frame["prompt"], frame["max_tokens"], strict=True):
-                try:
-                    answers.append(model(s, p, int(n)))
-                    errors.append(None)
-                except Exception as e:  # a row's own failure stays in its row
-                    answers.append(None)
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield frame[keep].assign(response=answers, error=errors)
+                answer, error, began = None, None, time.monotonic()
+                for count in range(1, tries + 1):
+                    try:
+                        answer, error = model(s, p + AGAIN if count > 1 else p, int(n)), None
+                    except Exception as e:  # a row's own failure stays in its row
+                        answer, error = None, f"{type(e).__name__}: {e}"
+                    if usable(answer, key):
+                        break
+                rows.append((answer, error, count, time.monotonic() - began))
+            yield frame[keep].assign(**dict(zip(("response", "error", "tries", "seconds"), map(list, zip(*rows, strict=True)) if rows else ([],) * 4, strict=True)))
 
-    return prompts.mapInPandas(run, T.StructType([*prompts.schema, T.StructField("response", T.StringType()), T.StructField("error", T.StringType())]))
+    more = [T.StructField("response", T.StringType()), T.StructField("error", T.StringType()), T.StructField("tries", T.IntegerType()), T.StructField("seconds", T.DoubleType())]
+    return prompts.mapInPandas(run, T.StructType([*prompts.schema, *more]))
 
 
-SYSTEM = "You read credit documents. Answer only with what the text states, quote it as evidence, and answer in JSON."
-QUESTION = "Find these fields:\n{fields}\n\nAnswer as JSON: {{\"fields\": {{\"<field>\": {{\"value\": \"...\", \"evidence\": \"...\", \"confidence\": \"HIGH|MEDIUM|LOW\"}}}}}}. Use NOT_FOUND for what is absent and POSSIBLY_PRESENT for what other parts may hold.\n\nDOCUMENT TEXT:\n"
+def detection_prompts(contexts: DataFrame) -> DataFrame:
+    """(company, system, prompt, max_tokens) from the pieces packed for a company (company, place, text)."""
+    own = contexts.groupBy("company").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda s: s["text"]), "\n\n---\n\n").alias("t_"))
+    return own.select("company", F.lit(SYSTEM).alias("system"), F.concat(F.lit(DETECT), "t_").alias("prompt"), F.lit(2048).alias("max_tokens"))
 
 
 def with_examples(prompt: Column, examples: Column) -> Column:
@@ -89,28 +142,42 @@ def format_example(text: Column, answer: Column) -> Column:
 def verification_prompts(extractions: DataFrame, contexts: DataFrame) -> DataFrame:
     """(company, facility_idx, system, prompt, max_tokens): the found values of a facility and the text to check them against."""
     found = extractions.filter(~F.coalesce("value", F.lit("")).isin(*R.MISSING_IN_CONFIDENCE))
-    line = F.concat("field", F.lit(": "), "value")
+    line = F.concat(F.lit("- "), "field", F.lit(": "), "value")
     own = found.groupBy("company", "facility_idx").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("values_"))
-    ask = F.concat(F.lit("Check each value against the text. Answer as JSON with verified_fields, missing_information and inconsistencies.\n\nVALUES:\n"), "values_", F.lit("\n\nDOCUMENT TEXT:\n"), "text")
+    ask = F.concat(F.lit(VERIFY), "values_", F.lit("\n\n" + TEXT), "text")
     return own.join(contexts, "company").select("company", "facility_idx", F.lit(SYSTEM).alias("system"), ask.alias("prompt"), F.lit(1024).alias("max_tokens"))
 
 
-def deep_prompts(targets: DataFrame, contexts: DataFrame, candidates: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
-    """One prompt a target field: its contexts (company, field, text), with the first five candidates as a hint."""
+def deep_prompts(targets: DataFrame, contexts: DataFrame, candidates: DataFrame, fields: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
+    """One prompt a target field with a context (company, field, text), with the first five candidates as a hint.
+
+    Targets without a context are left out: they stay as they are.
+    """
+    rows = targets.join(contexts, ["company", "field"]).join(candidates.select("company", "field", "candidates"), ["company", "field"], "left").join(F.broadcast(fields.select("field", "description")), "field", "left")
     hint = F.when(F.size("candidates") > 0, F.concat(F.lit("Candidates: "), F.array_join(F.slice("candidates", 1, 5), "; "), F.lit("\n"))).otherwise("")
-    rows = targets.join(contexts, ["company", "field"], "left").join(candidates.select("company", "field", "candidates"), ["company", "field"], "left")
-    ask = F.concat(F.lit("Find one field. Answer as JSON with value, evidence, confidence and reasoning.\n- "), "field", F.lit(": as stated\n"), F.coalesce(hint, F.lit("")), F.lit("\nDOCUMENT TEXT:\n"), trim_tokens(F.coalesce("text", F.lit("")), config.deep_budget))
-    return rows.select("company", "facility_idx", "field", F.lit(SYSTEM).alias("system"), ask.alias("prompt"), F.lit(512).alias("max_tokens"))
+    ask = F.concat(F.lit(SINGLE + "- "), "field", F.lit(": "), F.coalesce("description", "field"), F.lit("\n"), F.coalesce(hint, F.lit("")), F.lit("\n" + TEXT), trim_tokens(F.col("text"), config.deep_budget))
+    return rows.select("company", "facility_idx", "field", "candidates", F.lit(SYSTEM).alias("system"), ask.alias("prompt"), F.lit(500).alias("max_tokens"))
+
+
+def deep_answers(answers: DataFrame) -> DataFrame:
+    """(company, facility_idx, field, value, evidence, confidence); of an answer that cannot be read the first candidate, MEDIUM."""
+    parsed = J.parse("response", J.FIELD)
+    first = F.try_element_at("candidates", F.lit(1))
+    rows = answers.select("company", "facility_idx", "field", parsed.alias("p_"), first.alias("first_"))
+    value = F.when(F.col("p_").isNotNull(), F.coalesce("p_.value", F.lit("NOT_FOUND"))).otherwise(F.coalesce("first_", F.lit("NOT_FOUND")))
+    evidence = F.when(F.col("p_").isNotNull(), F.coalesce("p_.evidence", F.lit(""))).when(F.col("first_").isNotNull(), "matched by pattern").otherwise("")
+    confidence = F.when(F.col("p_").isNotNull(), F.coalesce("p_.confidence", F.lit("LOW"))).when(F.col("first_").isNotNull(), "MEDIUM").otherwise("LOW")
+    return rows.select("company", "facility_idx", "field", value.alias("value"), evidence.alias("evidence"), confidence.alias("confidence"))
 
 
 def prompts(contexts: DataFrame, groups: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
     """(company, facility_idx, group, pass_idx, system, prompt, max_tokens) from contexts with an array ``texts``."""
-    bullets = F.array_join(F.transform("fields", lambda f: F.concat(F.lit("- "), f, F.lit(": as stated"))), "\n")
+    bullets = F.array_join(F.zip_with("fields", "descriptions", lambda f, d: F.concat(F.lit("- "), f, F.lit(": "), d)), "\n")
     own = groups.select("group", bullets.alias("fields_"), "max_tokens")
     body = trim_tokens(F.array_join("texts", "\n\n---\n\n"), config.prompt_budget)
     before, after = QUESTION.split("{fields}")
     text = F.concat(F.when(F.col("facility").isNotNull(), F.concat(F.lit("Facility: "), "facility", F.lit("\n"))).otherwise(""), F.lit(before), "fields_", F.lit(after.replace("{{", "{").replace("}}", "}")), body)
-    return contexts.join(F.broadcast(own), "group").select(*CALL, "pass_idx", F.lit(SYSTEM).alias("system"), text.alias("prompt"), "max_tokens")
+    return contexts.join(F.broadcast(own), "group").select(*CALL, "pass_idx", F.lit(SYSTEM).alias("system"), text.alias("prompt"), F.least("max_tokens", F.lit(config.max_new_tokens)).alias("max_tokens"))
 
 
 def answers_to_fields(answers: DataFrame, fields: DataFrame) -> DataFrame:
@@ -232,6 +299,7 @@ def detailed_json(extractions: DataFrame) -> DataFrame:
     return own.groupBy("company").agg(F.to_json(F.struct(F.first("company").alias("company"), F.array_sort(F.collect_list(F.struct("facility_idx", "fields")), lambda a, b: a["facility_idx"] - b["facility_idx"]).alias("facilities"))).alias("json"))
 
 
-def stored_traces(answers: DataFrame) -> DataFrame:
-    """Rows for an append-only trace of model calls."""
-    return answers.select("company", F.concat_ws(":", "group", F.col("pass_idx").cast("string")).alias("step"), F.current_timestamp().alias("at"), X.token_count("prompt").alias("input_tokens"), "prompt", "response", J.json_text("response").isNotNull().alias("parsed_ok"), J.json_text("response").alias("parsed"))
+def stored_traces(answers: DataFrame, step: str) -> DataFrame:
+    """Rows for an append-only trace of the calls of one step."""
+    tokens = X.token_count("prompt")
+    return answers.select("company", F.lit(step).alias("step"), F.current_timestamp().alias("at"), tokens.alias("input_tokens"), "tries", "seconds", (tokens / F.when(F.col("seconds") > 0, F.col("seconds"))).alias("tokens_per_second"), "prompt", "response", J.json_text("response").isNotNull().alias("parsed_ok"), J.json_text("response").alias("parsed"))

@@ -18,7 +18,10 @@ from fathomleaf.operators import extract as E
 from fathomleaf.operators import quality as Q
 from fathomleaf.operators import retrieval as S
 from fathomleaf.operators import structure as T
+from fathomleaf.operators.state import shared_folder
+from fathomleaf.plans import document
 from fathomleaf.plans import inputs as I
+from fathomleaf.sources import readers, sinks
 from fathomleaf.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,14 +73,10 @@ def _vectors(s: SparkSession, d: str) -> DataFrame:
     return I.table(s, d, "embeddings").select(F.concat(F.lit("l"), F.col("label").cast("string")).alias("company"), F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
 
 
-def _vector_queries(s: SparkSession, d: str) -> DataFrame:
-    """Eight fixed queries: the first axes of the 64-dimensional space."""
-    axes = [(k, [float(j == k) for j in range(64)]) for k in range(8)]
-    return s.createDataFrame(axes, "query long, vector array<float>")
-
-
 def dense_topk(s: SparkSession, d: str) -> DataFrame:
-    return S.dense_search(_vectors(s, d), _vector_queries(s, d), 3).select("company", "query", "id", _score(), "rank")
+    """Every twentieth vector against all, by company."""
+    queries = _vectors(s, d).filter("id % 20 = 0").select(F.col("id").alias("query"), "vector")
+    return S.dense_search(_vectors(s, d), queries, 3).select("company", "query", "id", _score(), "rank")
 
 
 def minmax_scores(s: SparkSession, d: str) -> DataFrame:
@@ -86,9 +85,12 @@ def minmax_scores(s: SparkSession, d: str) -> DataFrame:
 
 
 def hybrid_topk(s: SparkSession, d: str) -> DataFrame:
-    a = S.bm25_search(I.chunks(s, d), S.make_queries(s, {"q1": "the of and", "q2": "license version"}), 9)
-    b = S.bm25_search(I.chunks(s, d), S.make_queries(s, {"q1": "is in for", "q2": "work under"}), 9)
-    return S.hybrid(a, b, 3, 0.5).select("company", "query", "id", _score(), "rank")
+    """BM25 over the documents' texts beside the cosine of their vectors."""
+    chunks = I.chunks(s, d)
+    vectors = I.table(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")).join(chunks.select("company", "id"), "id")
+    queries = I.table(s, d, "embeddings").filter("vec_id in (0, 20)").select(F.when(F.col("vec_id") == 0, "q1").otherwise("q2").alias("query"), F.col("embedding").alias("vector"))
+    search = S.retriever("hybrid", vectors, queries)
+    return search(chunks, S.make_queries(s, {"q1": "the of and", "q2": "license version"}), 3).select("company", "query", "id", _score(), "rank")
 
 
 def facility_candidates_dedupe(s: SparkSession, d: str) -> DataFrame:
@@ -227,13 +229,12 @@ def section_windows(s: SparkSession, d: str) -> DataFrame:
 
 
 def skip_existing_antijoin(s: SparkSession, d: str) -> DataFrame:
-    files = I.files(s, d)
     done = I.table(s, d, "labels").select(F.col("doc_id").alias("ord"))
-    return files.join(done, "ord", "left_anti").select("company", "ord", "file")
+    return C.not_done(I.files(s, d), done, ["ord"]).select("company", "ord", "file")
 
 
 def companies(s: SparkSession, d: str) -> DataFrame:
-    return I.files(s, d).select("company").distinct()
+    return C.companies(I.files(s, d))
 
 
 # --- normalisers -----------------------------------------------------------------------------------------------------
@@ -333,7 +334,9 @@ def merge_evidence(s: SparkSession, d: str) -> DataFrame:
 
 
 def complete_calls(s: SparkSession, d: str) -> DataFrame:
-    return E.complete_calls(_passes(s, d)).select("company", "facility_idx")
+    """Every third conversation goes without the passes that found nothing for certain."""
+    rows = _passes(s, d).filter("facility_idx % 3 > 0 or (confidence = 'HIGH' and value not in ('NOT_FOUND', 'N/A', '', 'POSSIBLY_PRESENT'))")
+    return E.complete_calls(rows).select("company", "facility_idx")
 
 
 def apply_corrections(s: SparkSession, d: str) -> DataFrame:
@@ -412,8 +415,7 @@ def fuzzy_key_remap(s: SparkSession, d: str) -> DataFrame:
 
 
 def pattern_candidates(s: SparkSession, d: str) -> DataFrame:
-    docs = I.table(s, d, "nation").select("n_nationkey", F.concat(F.lit("The applicable margin is "), F.col("n_nationkey").cast("string"), F.lit(".5% and the project is located in Spain, then "), "n_name", F.lit(". A spread of 75 bps.")).alias("text"))
-    return D.pattern_candidates(docs, "n_nationkey", "text").select("n_nationkey", "field", F.array_join("candidates", ";").alias("candidates"))
+    return D.pattern_candidates(I.documents(s, d, text=I.PHRASED), "doc_id", "text").select("doc_id", "field", F.array_join("candidates", ";").alias("candidates"))
 
 
 def table_cell_lookup(s: SparkSession, d: str) -> DataFrame:
@@ -422,8 +424,7 @@ def table_cell_lookup(s: SparkSession, d: str) -> DataFrame:
 
 def field_group_extraction(s: SparkSession, d: str) -> DataFrame:
     """Prompts, the rule extractor, and answers made whole, over texts with one field in a table."""
-    contexts = I.formed(s, d).select(F.lit("c").alias("company"), F.col("doc_id").cast("int").alias("facility_idx"), F.lit("pricing").alias("group"), F.lit(0).alias("pass_idx"), F.lit("Facility A").alias("facility"), F.array("text").alias("texts"))
-    answers = E.call_model(E.prompts(contexts, R.groups(s), EngineConfig(prompt_budget=100_000)))
+    answers = E.call_model(E.prompts(_formed_calls(s, d), R.groups(s), EngineConfig(prompt_budget=100_000)), key="fields")
     return E.answers_to_fields(answers, R.fields(s)).select("facility_idx", "field", "value", "confidence")
 
 
@@ -439,11 +440,106 @@ def annotated_chunks(s: SparkSession, d: str) -> DataFrame:
     return C.annotated(chunks, chunks.filter(F.col("text").contains("icense"))).select("company", F.md5("text").alias("text_md5"))
 
 
-FACILITIES = """case n_nationkey % 3 when 0 then '{"facilities": [{"name": "A ' || n_name || '", "type": "RCF", "amount": "EUR 1", "characteristics": "x"}, {"name": "B", "type": "LC", "amount": "2", "characteristics": ""}]}' when 1 then '{"facilities": []}' else 'no answer' end"""
+def facility_detection(s: SparkSession, d: str) -> DataFrame:
+    """Detection prompts over whole texts, answers, and the stand-in where nothing is found."""
+    rows = I.documents(s, d, text=f"{I.FACILITY_LINES} || {I.FORMED}").select(F.col("doc_id").alias("company"), F.lit(1).alias("place"), "text")
+    answers = E.call_model(E.detection_prompts(rows), None, "facilities")
+    return E.facilities(answers).withColumnRenamed("company", "doc_id").withColumn("facility_idx", F.col("facility_idx").cast("long"))
 
 
-def facility_detection(s: SparkSession, d: str) -> DataFrame:
-    return E.facilities(I.table(s, d, "nation").select(F.col("n_name").alias("company"), F.expr(FACILITIES).alias("response"))).withColumn("facility_idx", F.col("facility_idx").cast("long"))
+class Unsure(E.RuleExtractor):
+    """Answers some prompts (by the digit of the spread in their text) only when asked again, and some never."""
+
+    def __call__(self, system: str, prompt: str, max_tokens: int) -> str:
+        digit = int(prompt.rpartition("Spread [%] | ")[2][:1])
+        if digit == 6 or (digit % 2 == 1 and not prompt.endswith(E.AGAIN)):
+            return "I am not sure {"
+        return super().__call__(system, prompt, max_tokens)
+
+
+def _formed_calls(s: SparkSession, d: str) -> DataFrame:
+    return I.formed(s, d).select(F.lit("c").alias("company"), F.col("doc_id").cast("int").alias("facility_idx"), F.lit("pricing").alias("group"), F.lit(0).alias("pass_idx"), F.lit("Facility A").alias("facility"), F.array("text").alias("texts"))
+
+
+def retried_extraction(s: SparkSession, d: str) -> DataFrame:
+    """Calls made again where an answer is no JSON; those that never answer are marked."""
+    answers = E.call_model(E.prompts(_formed_calls(s, d), R.groups(s), EngineConfig(prompt_budget=100_000)), Unsure, "fields")
+    found = E.answers_to_fields(answers, R.fields(s)).filter("field = 'Spread [%]'")
+    return found.join(answers.select("facility_idx", "tries"), "facility_idx").select("facility_idx", "tries", "value", "confidence")
+
+
+def verification_pass(s: SparkSession, d: str) -> DataFrame:
+    """Values checked against whole texts; wrong ones (of odd documents) corrected."""
+    value = "case when doc_id % 2 = 0 then cast(doc_id % 7 as string) || '.25%' else '99.99%' end"
+    rows = I.documents(s, d, value=value, text=I.FORMED).withColumn("company", F.col("doc_id").cast("string"))
+    found = rows.select("company", F.lit(0).alias("facility_idx"), F.lit("pricing").alias("group"), F.lit("Spread [%]").alias("field"), "value", F.lit("e").alias("evidence"), F.lit("HIGH").alias("confidence"))
+    answers = E.call_model(E.verification_prompts(found, rows.select("company", "text")), None, "verified_fields")
+    return E.apply_corrections(found, E.corrections(answers)).select("company", "value", "evidence", "confidence")
+
+
+def deep_single_field(s: SparkSession, d: str) -> DataFrame:
+    """Second attempts, one prompt a field, with candidates from patterns and tables; the first stands in for an answer that cannot be read."""
+    docs = I.formed(s, d).withColumn("company", F.col("doc_id").cast("string"))
+    names = s.createDataFrame([("Spread [%]",), ("Base Rate of the facility",)], "field string")
+    contexts = docs.select("company", F.explode(F.array(*(F.lit(f) for f in ("Spread [%]", "Base Rate of the facility")))).alias("field"), "text")
+    targets = contexts.select("company", F.lit(0).alias("facility_idx"), "field", F.lit(1).alias("priority"))
+    candidates = D.with_table_values(D.field_candidates(contexts), D.table_lookup(docs, names, ["company"]))
+    answers = E.call_model(E.deep_prompts(targets, contexts, candidates, R.fields(s), EngineConfig(deep_budget=100_000)), Unsure, "value", 1)
+    return E.deep_answers(answers).select("company", "field", "value", "confidence")
+
+
+def end_to_end(s: SparkSession, d: str) -> DataFrame:
+    """The whole way for each document as a company: facilities, all fields, checks, second attempts, rows."""
+    files = I.documents(s, d, text=f"{I.FACILITY_LINES} || {I.FORMED}").select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("company"), F.lit(0).alias("ord"), F.lit("a.txt").alias("file"), "text")
+    rows = document.run(s, files).rows
+    return rows.groupBy(F.col("`Client Folder`").alias("client")).agg(F.count(F.lit(1)).alias("facilities"), F.min("`Spread [%]`").alias("least_spread"), F.max("`Spread [%]`").alias("most_spread"), F.min("`Source Files`").alias("files"))
+
+
+# --- sources and sinks -----------------------------------------------------------------------------------------------
+
+
+def csv_round_trip(s: SparkSession, d: str) -> DataFrame:
+    """Rows in the output's columns, written as CSV and read back as strings."""
+    path = shared_folder(s, "csv")
+    out = Q.conform(_golden(s, d).select(F.col("company").alias("Client Folder"), F.col("name").alias("Borrower name"), F.concat(F.lit('say "a", '), F.coalesce("amount", F.lit(""))).alias("Comments")))
+    sinks.write_csv(out, path)
+    back = readers.read_csv(s, path)
+    return back.select(F.col("`Client Folder`").alias("client"), F.coalesce("Borrower name", F.lit("")).alias("borrower"), F.col("Comments").alias("comments"), F.lit(len(back.columns)).cast("long").alias("n_columns"))
+
+
+def tables_round_trip(s: SparkSession, d: str) -> DataFrame:
+    """Offsets written one folder a company, and read back."""
+    path = shared_folder(s, "tables")
+    sinks.write_table(C.source_offsets(I.files(s, d)), path)
+    return s.read.parquet(path).select("company", "file", F.col("start_char").cast("long").alias("start_char"), F.col("end_char").cast("long").alias("end_char"))
+
+
+def scanned_tree(s: SparkSession, d: str) -> DataFrame:
+    """A tree of text files, a folder a nation, scanned and read."""
+    path = shared_folder(s, "tree")
+    rows = I.table(s, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("folder"), F.concat(F.lit("text of "), "n_name").alias("text"))
+    rows.write.partitionBy("folder").text(path)
+    return readers.read_documents(readers.scan(s, path)).select("company", F.col("metadata")["type"].alias("type"), X.strip("text").alias("text"))
+
+
+def json_round_trip(s: SparkSession, d: str) -> DataFrame:
+    """Reports as JSON lines, read back with their schema."""
+    path = shared_folder(s, "report")
+    parts = Q.comparison_report(_found(s, d))
+    sinks.write_report(parts, path)
+    return s.read.schema("field string, accuracy string, exact_match long, fuzzy_match long, mismatch long").json(f"{path}/per_field_accuracy")
+
+
+def coverage_report(s: SparkSession, d: str) -> DataFrame:
+    return Q.coverage_report(_golden(s, d), I.QUALITY_FIELDS).select(F.col("total_rows").cast("long").alias("total_rows"), F.col("total_fields").cast("long").alias("total_fields"), F.array_join("low_coverage_fields", ",").alias("low"), F.array_join("high_coverage_fields", ",").alias("high"))
+
+
+def embedding_store(s: SparkSession, d: str) -> DataFrame:
+    """Vectors written and read back, normalised: the length of each, and its first component."""
+    path = shared_folder(s, "vectors")
+    sinks.append(_vectors(s, d), path)
+    back = readers.read_embeddings(s, path)
+    return back.select("id", F.round(F.sqrt(S.dot(F.col("vector"), F.col("vector"))), 6).alias("length"), F.round(F.col("vector")[0], 6).alias("first"))
 
 
 VERIFIED = """'{"verified_fields": {"Spread [%]": {"original_value": "1", "verified_value": "' || cast(n_nationkey as string) || '", "is_correct": ' || case when n_nationkey % 2 = 0 then 'false' else 'true' end || ', "correction_reason": "r"}, "Facility name": {"verified_value": "", "is_correct": false}}}'"""
@@ -464,13 +560,14 @@ def event_windows(s: SparkSession, d: str) -> DataFrame:
 
 
 def few_shot_prompt(s: SparkSession, d: str) -> DataFrame:
-    example = E.format_example(F.col("n_name"), F.lit("{}"))
-    return I.table(s, d, "nation").select("n_nationkey", E.with_examples(F.lit("ask\nDOCUMENT TEXT:\nx DOCUMENT TEXT: y"), example).alias("prompt"))
+    example = E.format_example(F.col("text"), F.lit("{}"))
+    return I.documents(s, d, text="coalesce(text, '')").select("doc_id", F.md5(E.with_examples(F.lit("ask\nDOCUMENT TEXT:\nx DOCUMENT TEXT: y"), example)).alias("prompt_md5"))
 
 
 NAMES = """row_normalise annotated_chunks facility_detection verification_corrections group_flatten event_windows few_shot_prompt bm25_topk bm25_term_stats bm25_doc_stats bm25_multi_query_topk group_query_topk synonym_lookup synonym_expanded_search dense_topk minmax_scores hybrid_topk facility_candidates_dedupe greedy_token_budget
 context_union_dedupe verification_context clean_text line_noise_filter section_headers table_runs table_header_asof section_rollup document_structure sentence_split sentence_chunks language_profile safe_names company_concat
 source_offsets char_windows token_windows chunk_source_overlap source_chunk_range coverage_gaps extraction_plan section_windows skip_existing_antijoin companies norm_date norm_percentage norm_ratio norm_yes_no norm_dispatch
 compare_values_matrix quality_overall quality_by_field quality_by_company mismatch_detail field_coverage company_join_contains positional_pairing conform_golden merge_passes merge_evidence complete_calls apply_corrections
-confidence_score company_confidence facility_pivot deep_targets cross_reference_rules auto_fix json_parse_fields schema_validate fuzzy_key_remap pattern_candidates table_cell_lookup field_group_extraction""".split()
+confidence_score company_confidence facility_pivot deep_targets cross_reference_rules auto_fix json_parse_fields schema_validate fuzzy_key_remap pattern_candidates table_cell_lookup field_group_extraction
+retried_extraction verification_pass deep_single_field end_to_end csv_round_trip tables_round_trip scanned_tree json_round_trip coverage_report embedding_store""".split()
 QUERIES: dict[str, Query] = {n: globals()[n] for n in NAMES}

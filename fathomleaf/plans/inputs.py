@@ -29,6 +29,17 @@ def formed(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.expr(FORMED).alias("text"))
 
 
+#: Lines on facilities: none, one or two.
+FACILITY_LINES = "case when doc_id % 5 = 0 then '' else 'FACILITY: Term Loan A | Term Loan | EUR ' || cast(doc_id as string) || ' | senior' || chr(10) || case when doc_id % 3 = 0 then 'FACILITY: RCF B | RCF | USD 5' || chr(10) else '' end end"
+#: A document's text, well before a sentence with values in it.
+PHRASED = "coalesce(text, '') || repeat(' -', 160) || ' The applicable margin is ' || cast(doc_id % 50 as string) || '.5% and the project is located in Spain, then Italy. A spread of 75 bps.'"
+
+
+def documents(spark: SparkSession, d: str, **columns: str) -> DataFrame:
+    """doc_id and columns of SQL over the documents."""
+    return table(spark, d, "documents").select("doc_id", *(F.expr(sql).alias(name) for name, sql in columns.items()))
+
+
 #: Raw field values in many forms; (company, ord, then a value a column).
 GOLDEN = """select c_mktsegment as company, c_custkey as ord,
  case c_custkey % 6 when 0 then 'NOT_FOUND' when 1 then c_name else upper(c_name) end as name,
@@ -47,8 +58,8 @@ QUALITY_FIELDS = ["name", "maturity", "syndicated", "amount"]
 #: Extraction passes made from conversations: a conversation is a facility, a turn a pass of one of four fields.
 PASSES = """select 'c' || cast(conv_id % 7 as string) as company, cast(conv_id as int) as facility_idx, 'pricing' as grp,
  case turn % 4 when 0 then 'Spread [%]' when 1 then 'Base Rate of the facility' when 2 then 'Interest rate floor %' else 'Interest rate cap %' end as field, cast(turn as int) as pass_idx,
- case (conv_id + turn) % 7 when 0 then 'NOT_FOUND' when 1 then 'POSSIBLY_PRESENT' when 2 then '250 bps' when 3 then 'EXTRACTION_ERROR' when 4 then '' else substr(text, 1, 12) end as value,
- case (conv_id * 3 + turn) % 5 when 0 then '' else substr(text, 1, cast(10 + (conv_id + turn * 7) % 23 as int)) end as evidence,
+ case (conv_id + turn) % 7 when 0 then 'NOT_FOUND' when 1 then 'POSSIBLY_PRESENT' when 2 then '250 bps' when 3 then 'EXTRACTION_ERROR' when 4 then '' else text end as value,
+ case (conv_id * 3 + turn) % 5 when 0 then '' else text end as evidence,
  case (conv_id * 5 + turn * 3) % 4 when 0 then 'HIGH' when 1 then 'MEDIUM' when 2 then 'LOW' else 'odd' end as confidence
  from conversations"""
 

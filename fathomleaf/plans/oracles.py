@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fathomleaf import registry as R
 from fathomleaf.functions.normalize import MONTHS
-from fathomleaf.functions.text import LANGUAGE_WORDS
+from fathomleaf.functions.text import LANGUAGE_NAMES, LANGUAGE_WORDS
 from fathomleaf.plans import catalog as K
 from fathomleaf.plans import inputs as I
 
@@ -41,6 +41,8 @@ def q(**texts: str) -> dict[str, list[tuple[str, int]]]:
     return {k: [(t, v.lower().split().count(t)) for t in dict.fromkeys(v.lower().split())] for k, v in texts.items()}
 
 
+_DOT = "list_sum(list_transform(list_zip({0}, {1}), lambda z: z[1] * z[2]))"
+_UNIT = "v0 AS (SELECT 'l' || label AS company, vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e0 FROM embeddings), v AS (SELECT company, id, list_transform(e0, lambda x: x / sqrt(list_sum(list_transform(e0, lambda y: y * y)))) AS e FROM v0)"
 _TERMS = bm25(q(**{k: v for k, v in K.TERMS.items()}))
 SQL: dict[str, str] = {
     "bm25_topk": f"WITH {_CHUNKS}, {bm25(q(q='the of and license version'))} {ranked(5, cols='company, id, round(score, 6) AS score, rank')}",
@@ -51,10 +53,10 @@ SQL: dict[str, str] = {
     "synonym_lookup": "WITH g(g, phrases) AS (VALUES (0, ['the', 'of', 'a', 'and']), (1, ['license', 'licensed', 'the', 'work']), (2, ['und', 'der', 'die', 'das'])), t AS (SELECT g, unnest(phrases) AS token, generate_subscripts(phrases, 1) AS at FROM g), p AS (SELECT a.token, b.token AS synonym, min(b.g * 100 + b.at) AS first FROM t a JOIN t b USING (g) GROUP BY ALL) SELECT token, synonym, CAST(row_number() OVER (PARTITION BY token ORDER BY first) AS INTEGER) AS rank FROM p",
     # license -> licensed, the, work; und -> der, die, das; the -> of, a, and (first), then licensed... for its second occurrence
     "synonym_expanded_search": f"WITH {_CHUNKS}, {bm25(q(q1='license und licensed the work der die das', q2='the the of a and license licensed work'))} {ranked(4)}",
-    "dense_topk": "WITH v AS (SELECT 'l' || label AS company, vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), s AS (SELECT company, q AS query, id, e[q + 1] / sqrt(list_sum(list_transform(e, lambda x: x * x))) AS score FROM v, range(8) t(q)) SELECT company, query, id, round(score, 6) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY company, query ORDER BY round(score, 9) DESC, id) AS INTEGER) AS rank FROM s) WHERE rank <= 3 AND score > 0",
+    "dense_topk": f"WITH {_UNIT}, s AS (SELECT v.company, q.id AS query, v.id, {_DOT.format('v.e', 'q.e')} AS score FROM v, v q WHERE q.id % 20 = 0) SELECT company, query, id, round(score, 6) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY company, query ORDER BY round(score, 9) DESC, id) AS INTEGER) AS rank FROM s) WHERE rank <= 3 AND score > 0",
     "minmax_scores": f"WITH {_CHUNKS}, {_TERMS} SELECT company, query, id, round(CASE WHEN max(score) OVER w = min(score) OVER w THEN 1.0 ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END, 6) AS norm FROM sc WINDOW w AS (PARTITION BY company, query)",
-    "hybrid_topk": f"WITH {_CHUNKS}, {bm25(q(q1='the of and', q2='license version'), name='a0')}, {bm25(q(q1='is in for', q2='work under'), name='b0')}, "
-    + ", ".join(f"{x} AS (SELECT company, query, id, CASE WHEN max(score) OVER w = min(score) OVER w THEN 1.0 ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END AS s FROM ({ranked(9, x + '0', 'company, query, id, score')}) WINDOW w AS (PARTITION BY company, query))" for x in "ab")
+    "hybrid_topk": f"WITH {_CHUNKS}, {bm25(q(q1='the of and', q2='license version'), name='a0')}, {_UNIT}, b0 AS (SELECT ch.company, CASE q.id WHEN 0 THEN 'q1' ELSE 'q2' END AS query, ch.id, {_DOT.format('v.e', 'q.e')} AS score FROM v JOIN ch ON ch.id = v.id, v q WHERE q.id IN (0, 20)), "
+    + ", ".join(f"{x} AS (SELECT company, query, id, CASE WHEN max(score) OVER w = min(score) OVER w THEN 1.0 ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END AS s FROM ({ranked(9, x + '0', 'company, query, id, score', 'true')}) WHERE score > 0 WINDOW w AS (PARTITION BY company, query))" for x in "ab")
     + f", h AS (SELECT company, query, id, 0.5 * coalesce(a.s, 0) + 0.5 * coalesce(b.s, 0) AS score FROM a FULL JOIN b USING (company, query, id)) SELECT company, query, id, score, rank FROM ({ranked(3, 'h', where='true')}) WHERE score > 0",
     "facility_candidates_dedupe": f"WITH {_CHUNKS}, {_TERMS}, hits AS (SELECT r.company, c.text, r.score FROM ({ranked(3, cols='company, query, id, score')}) r JOIN ch c ON c.company = r.company AND c.id = r.id), c AS (SELECT * FROM hits UNION ALL SELECT company, left(text, 800), 0.1 FROM ch UNION ALL SELECT company, right(text, 500), 0.05 FROM ch WHERE length(text) > 2000), p AS (SELECT *, {strip('substr(text, 1, 200)')} AS prefix FROM c) SELECT company, md5(text) AS text_md5, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY company, prefix ORDER BY score DESC, length(text) DESC, text DESC) AS n FROM p) WHERE n = 1",
     "greedy_token_budget": f"WITH t AS (SELECT source AS company, text, doc_id AS score, {words('text')} AS w FROM documents), b AS (SELECT *, coalesce(sum(len(w)) OVER (PARTITION BY company ORDER BY score DESC, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER (PARTITION BY company ORDER BY score DESC, text) AS place FROM t) SELECT company, CAST(place AS INTEGER) AS place, md5(CASE WHEN before + len(w) <= 5000 THEN text ELSE array_to_string(w[1:CAST(5000 - before AS BIGINT)], ' ') END) AS text_md5, CAST(least(len(w), 5000 - before) AS INTEGER) AS tokens FROM b WHERE before < 5000",
@@ -85,8 +87,10 @@ def _fold(size: int, overlap: int) -> str:
 
 
 _LANG = {k: ", ".join(f"'{w}'" for w in v) for k, v in LANGUAGE_WORDS.items()}
-_LANG_N = ", ".join(f"len(list_filter(w, lambda x: x IN ({v}))) AS {k}" for k, v in _LANG.items())
-_HINTS = " ".join(f"WHEN '{k}' THEN 'The document is written in {n}. Answer in English; keep quotes in the original language.'" for k, n in (("fr", "French"), ("de", "German"), ("es", "Spanish")))
+_LANG_N = ", ".join(f"len(list_filter(w, lambda x: x IN ({v}))) AS n_{k}" for k, v in _LANG.items())
+_MOST = f"greatest({', '.join(f'n_{k}' for k in _LANG)})"
+_LANG_CODE = f"CASE WHEN {_MOST} = 0 THEN 'en' " + " ".join(f"WHEN n_{k} = {_MOST} THEN '{k}'" for k in _LANG) + " END"
+_HINTS = " ".join(f"WHEN '{k}' THEN 'The document is written in {n}. Answer in English; keep quotes in the original language.'" for k, n in LANGUAGE_NAMES.items() if k != "en")
 SQL |= {
     "clean_text": f"WITH {_FORMED} SELECT doc_id, {strip(_CLEAN.format('text'))} AS cleaned FROM f",
     "line_noise_filter": f"WITH t AS (SELECT doc_id, {strip(_CLEAN.format('text'))} AS t FROM documents) SELECT doc_id, length(t) AS n_clean, len(string_split(t, chr(10))) AS n_lines FROM t WHERE length({strip('t')}) > 0",
@@ -97,7 +101,7 @@ SQL |= {
     "document_structure": f"WITH {_MARKED} SELECT f.doc_id, (SELECT count(*) FROM secs WHERE secs.doc_id = f.doc_id) AS total_sections, (SELECT count(*) FROM tables WHERE tables.doc_id = f.doc_id) AS tables_found, coalesce((SELECT string_agg(header, '|' ORDER BY line_no) FROM m WHERE m.doc_id = f.doc_id AND header IS NOT NULL), '') AS headers FROM f",
     "sentence_split": f"SELECT doc_id, CAST(generate_subscripts(s, 1) - 1 AS BIGINT) AS n, unnest(s) AS sentence FROM (SELECT doc_id, {_SENT} AS s FROM documents WHERE text IS NOT NULL)",
     "sentence_chunks": _fold(60, 15),
-    "language_profile": f"WITH t AS (SELECT lang, string_split_regex(lower(regexp_replace(substr(text, 1, 8000), '={{3,}}|\\[PAGE \\d+\\]|\\[SOURCE FILE:[^\\]]*\\]', '', 'g')), '{WS}+') AS w FROM documents), c AS (SELECT lang, {_LANG_N} FROM t), b AS (SELECT lang, CASE WHEN greatest(en, fr, de, es) = 0 THEN 'en' WHEN en = greatest(en, fr, de, es) THEN 'en' WHEN fr = greatest(fr, de, es) THEN 'fr' WHEN de = greatest(de, es) THEN 'de' ELSE 'es' END AS code FROM c) SELECT lang, code, count(*) AS n, CASE code {_HINTS} ELSE '' END AS hint FROM b GROUP BY lang, code",
+    "language_profile": f"WITH t AS (SELECT lang, string_split_regex(lower(regexp_replace(substr(text, 1, 8000), '={{3,}}|\\[PAGE \\d+\\]|\\[SOURCE FILE:[^\\]]*\\]', '', 'g')), '{WS}+') AS w FROM documents), c AS (SELECT lang, {_LANG_N} FROM t), b AS (SELECT lang, {_LANG_CODE} AS code FROM c) SELECT lang, code, count(*) AS n, CASE code {_HINTS} ELSE '' END AS hint FROM b GROUP BY lang, code",
     "safe_names": "SELECT page_id, regexp_replace(url, '[^a-zA-Z0-9_-]', '_', 'g') AS safe FROM pages",
 }
 
@@ -225,7 +229,7 @@ SQL |= {
     "merge_evidence": f"""WITH RECURSIVE {_P}, z AS (SELECT *, CASE WHEN value IN {_MISS} THEN -1 ELSE rk END AS z FROM k), t AS (SELECT * FROM (SELECT *, max(z) OVER (PARTITION BY company, facility_idx, field) AS top FROM z) WHERE z = top), o AS (SELECT *, row_number() OVER (PARTITION BY company, facility_idx, field ORDER BY pass_idx) AS n, count(*) OVER (PARTITION BY company, facility_idx, field) AS m FROM t),
  s AS (SELECT company, facility_idx, field, value, confidence, evidence AS ev, n, CASE WHEN top < 0 THEN 1 ELSE m END AS m FROM o WHERE n = 1 UNION ALL SELECT s.company, s.facility_idx, s.field, s.value, s.confidence, CASE WHEN o.evidence = '' OR contains(s.ev, o.evidence) THEN s.ev ELSE s.ev || ' | ' || o.evidence END, s.n + 1, s.m FROM s JOIN o ON o.company = s.company AND o.facility_idx = s.facility_idx AND o.field = s.field AND o.n = s.n + 1 WHERE s.n < s.m)
  SELECT company, facility_idx, field, value, ev AS evidence, confidence FROM s WHERE n = m""",
-    "complete_calls": f"WITH {_P} SELECT company, facility_idx FROM p GROUP BY company, facility_idx HAVING bool_and(value NOT IN {_MISS} AND confidence = 'HIGH')",
+    "complete_calls": f"WITH {_P} SELECT company, facility_idx FROM p WHERE facility_idx % 3 > 0 OR (confidence = 'HIGH' AND value NOT IN {_MISS}) GROUP BY company, facility_idx HAVING bool_and(value NOT IN {_MISS} AND confidence = 'HIGH')",
     "apply_corrections": f"WITH {_P} SELECT company, facility_idx, field, CASE WHEN hit THEN '1.00%' ELSE value END AS value, CASE WHEN hit THEN evidence || ' [CORRECTED: see clause]' ELSE evidence END AS evidence, CASE WHEN hit THEN 'MEDIUM' ELSE confidence END AS confidence FROM (SELECT *, field = 'Spread [%]' AND value = '250 bps' AS hit FROM merged)",
     "confidence_score": f"WITH {_P}, {_SCORES} SELECT company, facility_idx, round(score, 6) AS score FROM scores",
     "company_confidence": f"WITH {_P}, {_SCORES} SELECT company, round(score, 6) AS score FROM cscores",
@@ -236,16 +240,26 @@ SQL |= {
     "json_parse_fields": "SELECT event_id, event_id % 6 < 4 AND props IS NOT NULL AS ok, CASE WHEN event_id % 6 < 4 THEN json_extract_string(props, '$.k') END AS k FROM events",
     "schema_validate": "SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'Field ''b'' missing ''confidence'' key' WHEN 1 THEN 'Field ''a'' is not a dict;Missing field: b' WHEN 2 THEN 'Missing ''fields'' key' WHEN 3 THEN 'Result is not a dict' ELSE '' END AS issues FROM events",
     "fuzzy_key_remap": "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'type of tranche used' ELSE 'Type' END AS tranche, CASE WHEN n_nationkey % 3 = 0 THEN 'limit of credit' END AS amount, CASE WHEN n_nationkey % 5 <> 0 THEN 'sponsor' END AS sponsor FROM nation",
-    "pattern_candidates": "SELECT n_nationkey, 'Spread [%]' AS field, n_nationkey || '.5;75' AS candidates FROM nation UNION ALL SELECT n_nationkey, 'Project location [Country]', 'Spain' || CASE WHEN n_name IN ('FRANCE', 'GERMANY', 'ROMANIA') THEN ';' || n_name WHEN n_name = 'UNITED KINGDOM' THEN ';UNITED KINGDOM' ELSE '' END FROM nation",
+    "pattern_candidates": "SELECT doc_id, 'Spread [%]' AS field, doc_id % 50 || '.5;75' AS candidates FROM documents UNION ALL SELECT doc_id, 'Project location [Country]', 'Spain;Italy' FROM documents",
     "table_cell_lookup": "SELECT doc_id, 'Spread [%]' AS field, doc_id % 7 || '.25%' AS value FROM documents",
     "field_group_extraction": f"WITH f AS (SELECT unnest([{', '.join(repr(x) for g in R.GROUPS if g[0] == 'pricing' for x in g[3])}]) AS field) SELECT CAST(doc_id AS INTEGER) AS facility_idx, field, CASE WHEN field = 'Spread [%]' THEN doc_id % 7 || '.25%' ELSE 'NOT_FOUND' END AS value, CASE WHEN field = 'Spread [%]' THEN 'HIGH' ELSE 'LOW' END AS confidence FROM documents CROSS JOIN f",
 }
 SQL |= {
     "row_normalise": "SELECT c_custkey, '0.75%' AS spread, '05/2021' AS date, c_name AS borrower FROM customer",
     "annotated_chunks": f"WITH {_PIECES}, x AS (SELECT w.company, w.id, substr(t, s + 1, e - s) AS text, (SELECT string_agg(DISTINCT file, ', ' ORDER BY file) FROM ov WHERE ov.company = w.company AND ov.id = w.id) AS f FROM w) SELECT company, md5(string_agg('[From: ' || coalesce(f, '') || ']' || chr(10) || text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY id)) AS text_md5 FROM x WHERE contains(text, 'icense') GROUP BY company",
-    "facility_detection": "SELECT n_name AS company, CAST(0 AS BIGINT) AS facility_idx, CASE WHEN n_nationkey % 3 = 0 THEN 'A ' || n_name ELSE 'Primary Facility' END AS name, CASE WHEN n_nationkey % 3 = 0 THEN 'RCF' ELSE 'Unknown' END AS type, CASE WHEN n_nationkey % 3 = 0 THEN 'EUR 1' ELSE 'N/A' END AS amount, CASE WHEN n_nationkey % 3 = 0 THEN 'x' ELSE '' END AS characteristics FROM nation UNION ALL SELECT n_name, 1, 'B', 'LC', '2', '' FROM nation WHERE n_nationkey % 3 = 0",
+    "facility_detection": "SELECT doc_id, CAST(0 AS BIGINT) AS facility_idx, CASE WHEN doc_id % 5 = 0 THEN 'Primary Facility' ELSE 'Term Loan A' END AS name, CASE WHEN doc_id % 5 = 0 THEN 'Unknown' ELSE 'Term Loan' END AS type, CASE WHEN doc_id % 5 = 0 THEN 'N/A' ELSE 'EUR ' || doc_id END AS amount, CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'senior' END AS characteristics FROM documents UNION ALL SELECT doc_id, 1, 'RCF B', 'RCF', 'USD 5', '' FROM documents WHERE doc_id % 5 > 0 AND doc_id % 3 = 0",
+    "retried_extraction": "SELECT CAST(doc_id AS INTEGER) AS facility_idx, CAST(CASE WHEN doc_id % 7 % 2 = 1 OR doc_id % 7 = 6 THEN 2 ELSE 1 END AS INTEGER) AS tries, CASE WHEN doc_id % 7 = 6 THEN 'EXTRACTION_ERROR' ELSE doc_id % 7 || '.25%' END AS value, CASE WHEN doc_id % 7 = 6 THEN 'LOW' ELSE 'HIGH' END AS confidence FROM documents",
+    "verification_pass": "SELECT CAST(doc_id AS VARCHAR) AS company, doc_id % 7 || '.25%' AS value, CASE WHEN doc_id % 2 = 0 THEN 'e' ELSE 'e [CORRECTED: not in the text]' END AS evidence, CASE WHEN doc_id % 2 = 0 THEN 'HIGH' ELSE 'MEDIUM' END AS confidence FROM documents",
+    "deep_single_field": "SELECT CAST(doc_id AS VARCHAR) AS company, field, CASE WHEN field = 'Spread [%]' THEN doc_id % 7 || '.25%' ELSE 'NOT_FOUND' END AS value, CASE WHEN field <> 'Spread [%]' THEN 'LOW' WHEN doc_id % 7 % 2 = 1 OR doc_id % 7 = 6 THEN 'MEDIUM' ELSE 'HIGH' END AS confidence FROM documents, (VALUES ('Spread [%]'), ('Base Rate of the facility')) f(field)",
+    "end_to_end": "SELECT 'c' || doc_id AS client, CAST(CASE WHEN doc_id % 5 > 0 AND doc_id % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS facilities, doc_id % 7 || '.25%' AS least_spread, doc_id % 7 || '.25%' AS most_spread, 'a.txt' AS files FROM documents",
+    "csv_round_trip": f"WITH g AS ({I.GOLDEN.replace('as string', 'as varchar')}) SELECT company AS client, coalesce(name, '') AS borrower, 'say \"a\", ' || coalesce(amount, '') AS comments, CAST({len(R.ALL_FIELDS)} AS BIGINT) AS n_columns FROM g",
+    "tables_round_trip": f"WITH {_PIECES} SELECT company, file, start_char, end_char FROM refs",
+    "scanned_tree": "SELECT 'folder=n' || n_nationkey AS company, 'text' AS type, 'text of ' || n_name AS text FROM nation",
+    "json_round_trip": f"WITH {_FACTS}, c AS (SELECT field, {_COUNTS} FROM facts WHERE matched GROUP BY field) SELECT field, coalesce(printf('%.1f', 100.0 * {_ACC}) || '%', 'N/A') AS accuracy, exact_match, fuzzy_match, mismatch FROM c",
+    "coverage_report": f"WITH g AS ({I.GOLDEN.replace('as string', 'as varchar')}), c AS ({' UNION ALL '.join(f"""SELECT '{f}' AS field, avg(CASE WHEN {f} IS NULL OR {f} IN {_NONE} THEN 0.0 ELSE 100.0 END) AS coverage FROM g""" for f in I.QUALITY_FIELDS)}) SELECT (SELECT count(*) FROM g) AS total_rows, CAST({len(I.QUALITY_FIELDS)} AS BIGINT) AS total_fields, coalesce(string_agg(field, ',' ORDER BY field) FILTER (coverage < 30), '') AS low, coalesce(string_agg(field, ',' ORDER BY field) FILTER (coverage > 70), '') AS high FROM c",
+    "embedding_store": f"WITH {_UNIT} SELECT id, round(sqrt({_DOT.format('e', 'e')}), 6) AS length, round(e[1], 6) AS first FROM v",
     "verification_corrections": "SELECT n_name AS company, 'Spread [%]' AS field, CAST(n_nationkey AS VARCHAR) AS verified_value, 'r' AS correction_reason FROM nation WHERE n_nationkey % 2 = 0",
     "group_flatten": f"WITH {_P} SELECT company, facility_idx, field, 'fees' AS \"group\", 'later ' || value AS value FROM merged",
     "event_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
-    "few_shot_prompt": "SELECT n_nationkey, 'ask' || chr(10) || 'EXAMPLE' || chr(10) || 'Text: ' || n_name || chr(10) || 'Answer: {}' || chr(10) || chr(10) || 'DOCUMENT TEXT:' || chr(10) || 'x DOCUMENT TEXT: y' AS prompt FROM nation",
+    "few_shot_prompt": "SELECT doc_id, md5('ask' || chr(10) || 'EXAMPLE' || chr(10) || 'Text: ' || coalesce(text, '') || chr(10) || 'Answer: {}' || chr(10) || chr(10) || 'DOCUMENT TEXT:' || chr(10) || 'x DOCUMENT TEXT: y') AS prompt_md5 FROM documents",
 }

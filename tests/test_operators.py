@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from fathomleaf import registry as R
 from fathomleaf.config import EngineConfig
+from fathomleaf.functions import normalize as N
 from fathomleaf.operators import consolidate as C
 from fathomleaf.operators import deep as D
 from fathomleaf.operators import extract as E
@@ -80,6 +81,12 @@ def test_minmax_and_hybrid_rank(spark):
     assert got == {("q", 1): 0.0, ("q", 2): 1.0, ("q", 3): 0.5, ("p", 1): 1.0, ("p", 2): 1.0}
 
 
+def test_queries_of_all_languages_and_of_one_field(spark):
+    rows = S.facility_queries(spark, {"xx": ["one two"]}).select("language", "query").distinct().groupBy("language").count().collect()
+    assert {r[0]: r[1] for r in rows} == {"en": 5, "es": 8, "fr": 5, "de": 5, "nl": 5, "pt": 5, "it": 5, "pl": 5, "xx": 1}
+    assert S.field_query("Spread [%]") == "Spread [%] Margin over base rate" and len(S.SYNONYMS) == 65
+
+
 def test_expand_synonyms():
     look = S.lookup_table({"a": ["b c d"], "b": ["x"]})
     assert S.expand(["a", "a"], look, 2) == ["a", "a", "b", "c", "d"]
@@ -104,3 +111,93 @@ def test_empty_inputs(spark):
     assert C.windows_by_file(files).count() == 0 and C.source_offsets(files).count() == 0 and C.company_docs(files).count() == 0
     chunks = spark.createDataFrame([], "company string, id long, text string")
     assert S.bm25_search(chunks, S.make_queries(spark, {"q": "a"})).count() == 0
+
+
+def test_sources_of_windows_in_one_large_company(spark):
+    """One company holds nearly all files; ranges of every kind, empty and touching ones too."""
+    r = random.Random(8)
+    refs, at = [], 0
+    for i in range(400):
+        n = r.choice([0, 1, 50, 3000, 30_000])
+        refs.append(("hot", f"f{i}", at, at + n))
+        at += n + r.choice([0, 5])
+    refs.append(("cold", "x", 3, 9))
+    windows = [("hot", i, i * 6400, i * 6400 + 8000) for i in range(at // 6400 + 1)] + [("cold", 0, 0, 4), ("cold", 1, 9, 12)]
+    got = C.chunk_sources(spark.createDataFrame(windows, "company string, id int, char_start long, char_end long"), spark.createDataFrame(refs, "company string, file string, start_char long, end_char long"))
+    want = {(c, i, f) for c, i, a, b in windows for d, f, x, y in refs if c == d and x < b and y > a}
+    rows = [tuple(x) for x in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+
+
+def test_token_windows_of_a_long_text(spark):
+    words = [f"w{i}" for i in range(60_000)]
+    text = "  " + " \n ".join(words) + " "
+    docs = spark.createDataFrame([("a", text), ("b", None), ("c", " \t"), ("d", "one")], "company string, full_text string")
+    rows = C.token_windows(docs, EngineConfig(chunk_size=200, chunk_overlap=40)).orderBy("company", "id").collect()
+    assert [r.id for r in rows if r.company == "a"] == list(range(375)) and {r.company for r in rows} == {"a", "d"}
+    for x in rows[:375]:
+        assert text[x.char_start : x.char_end] == x.text and x.text.split() == words[x.token_start : x.token_end]
+    assert [x.is_last for x in rows] == [False] * 374 + [True, True]
+
+
+def test_companies_meet_by_a_key(spark):
+    r = random.Random(9)
+    names = ["", "a", "AB", "Acme", "acme bank", *("".join(r.choice("abC ") for _ in range(r.randrange(1, 9))) for _ in range(150)), None]
+    g, e = (spark.createDataFrame([(n,) for n in r.sample(names, 90)] + [("Acme",)], "company string") for _ in range(2))
+    found = Q.match_companies(g, e)
+    want = {(x, y) for (x,) in g.distinct().collect() for (y,) in e.distinct().collect() if x is not None and y is not None and x.lower() in y.lower()}
+    rows = [tuple(x) for x in found.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_budget_as_one_by_one(spark):
+    r = random.Random(10)
+    rows = [("hot", " ".join("x" * r.randrange(0, 40)) + f" {i}", float(r.randrange(5))) for i in range(600)] + [("cold", "a b", 1.0), ("none", "", 1.0)]
+    got = {(x.company, x.place): (x.text, x.tokens) for x in S.pack_budget(spark.createDataFrame(rows, "company string, text string, score double"), 300).collect()}
+    want, used = {}, {}
+    places = {}
+    for c, t, _ in sorted(rows, key=lambda x: (-x[2], x[1])):
+        places[c] = places.get(c, 0) + 1
+        n = len(t.split())
+        if used.get(c, 0) < 300:
+            left = 300 - used.get(c, 0)
+            want[c, places[c]] = (t if n <= left else " ".join(t.split()[:left]), min(n, left))
+        used[c] = used.get(c, 0) + n
+    assert got == want
+
+
+def test_dense_search_as_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK_QUERIES", 5)
+    r = random.Random(11)
+    vectors = [(f"c{i % 3}", i, [r.gauss(0, 1) for _ in range(4)]) for i in range(60)] + [("c0", 70, None), ("c0", 71, [1.0]), ("c0", 72, [1.0, None, 0.0, 0.0]), ("c1", 73, [0.0] * 4)]
+    queries = [(i, vectors[i][2]) for i in range(0, 60, 5)] + [(99, None)]
+    got = S.dense_search(spark.createDataFrame(vectors, "company string, id long, vector array<double>"), spark.createDataFrame(queries, "query long, vector array<double>"), 4).collect()
+    unit = lambda v: [x / sum(y * y for y in v) ** 0.5 for x in v]
+    want = {}
+    for q, v in queries[:-1]:
+        for c in ("c0", "c1", "c2"):
+            best = sorted((-round(sum(a * b for a, b in zip(unit(v), unit(w), strict=True)), 9), i) for d, i, w in vectors[:60] if d == c)[:4]
+            want |= {(c, q, n + 1): (i, -s) for n, (s, i) in enumerate(best) if s < 0}
+    assert {(x.company, x["query"], x["rank"]): (x.id, round(x.score, 9)) for x in got} == want
+
+
+def test_bm25_of_each_companys_own_queries(spark):
+    chunks = spark.createDataFrame([("a", 1, "x y"), ("a", 2, "y z"), ("b", 1, "x y"), ("c", 1, "x")], "company string, id long, text string")
+    own = spark.createDataFrame([("a", 1, "z", 1), ("b", 7, "x", 1), ("b", 7, "q", 1)], "company string, query int, term string, qtf int")
+    assert sorted((r.company, r["query"], r.id) for r in S.bm25_scores(chunks, own).collect()) == [("a", 1, 2), ("b", 7, 1)]
+
+
+def test_reports(spark):
+    found = spark.createDataFrame([("c", 0, True, "f", "1", "1", "exact_match"), ("c", 0, True, "g", "1", "2", "mismatch")], "company string, facility_index int, matched boolean, field string, golden string, extracted string, result string")
+    parts = Q.comparison_report(found)
+    assert parts["summary"].first().accuracy == 0.5 and parts["per_company"].count() == 1 and parts["mismatches_detail"].first().field == "g"
+    one = Q.coverage_report(spark.createDataFrame([("1", ""), ("2", "")], "a string, b string"), ["a", "b"]).first()
+    assert (one.total_rows, one.total_fields, one.average_coverage, one.field_coverage, one.low_coverage_fields, one.high_coverage_fields) == (2, 2, "50.0%", '{"a":"100.0%","b":"0.0%"}', ["b"], ["a"])
+
+
+def test_normalised_amounts_and_filters(spark):
+    rows = spark.createDataFrame([("Acme",), ("Zeta",)], "company string")
+    assert [r[0] for r in Q.filter_company(rows, "^ac").collect()] == ["Acme"] and [r[0] for r in C.companies(rows, "Zeta").collect()] == ["Zeta"]
+    assert Q.common_fields(spark.createDataFrame([], "a int, b int, Comments int"), spark.createDataFrame([], "b int, Comments int")) == ["b"]
+    assert spark.range(1).select(N.normalize_amount(F.lit(" EUR  1 "))).first()[0] is not None
