@@ -28,6 +28,7 @@ from fathomleaf.llm.wordids import word_ids
 
 CAPACITY = 4096
 END_ID = 1
+ROWS = 1000  # texts in memory as objects
 
 
 class Plan:
@@ -185,7 +186,7 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, tail, part = word_ids(tokenizer), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
-        for batch in batches:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             keys, rows = [], []
             for k, ids in enumerate(asked.of(batch.column(1).to_pylist())):
                 ids += tail

@@ -300,7 +300,9 @@ def _alike(pairs: DataFrame, rows: DataFrame, row: str, text_col: str, w: Wide)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w.shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["node", "own_"])
+            for at in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(at, CHUNK)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([w.shingles(t).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["node", "own_"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -29,31 +29,40 @@ from fathomleaf.llm._shared import cores, read_file, staged, table, tokenizer_pa
 from fathomleaf.llm.wordids import word_ids
 
 FILE_IDS = 4_000_000
+STEP = 1 << 19  # integers coded at a time; whole control bytes
+ROWS = 1000  # texts in memory as objects
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.int64) + 1
 
 
 def encode(ranks: np.ndarray) -> bytes:
     """Control bytes, then data bytes, of unsigned 32-bit integers."""
-    r = np.ascontiguousarray(ranks, "<u4")
-    extra = (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
-    padded = np.zeros(-(-len(r) // 4) * 4, np.uint8)
-    padded[: len(r)] = extra
-    four = padded.reshape(-1, 4)
-    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
-    data = r.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
-    return control.astype(np.uint8).tobytes() + data.tobytes()
+    control, data = [], []
+    for at in range(0, len(ranks), STEP):
+        r = np.ascontiguousarray(ranks[at : at + STEP], "<u4")
+        extra = (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
+        padded = np.zeros(-(-len(r) // 4) * 4, np.uint8)
+        padded[: len(r)] = extra
+        four = padded.reshape(-1, 4)
+        control.append((four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).astype(np.uint8).tobytes())
+        data.append(r.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]].tobytes())
+    return b"".join(control + data)
 
 
 def decode(data: bytes, n: int, at: int = 0) -> np.ndarray:
-    """The ``n`` integers that ``encode`` wrote at ``at``."""
-    controls = -(-n // 4)
-    lens = _LENGTHS[np.frombuffer(data, np.uint8, controls, at)].reshape(-1)[:n]
-    body = np.concatenate((np.frombuffer(data, np.uint8, int(lens.sum()), at + controls), np.zeros(3, np.uint8)))
-    starts = np.cumsum(lens) - lens
-    out = body[starts].astype("<u4")
-    for k in (1, 2, 3):
-        more = np.nonzero(lens > k)[0]
-        out[more] |= body[starts[more] + k].astype("<u4") << np.uint32(8 * k)
+    """The ``n`` integers that ``encode`` wrote at ``at``; lengths by table lookup, ``STEP`` integers at a time."""
+    body, out = at + -(-n // 4), np.empty(n, "<u4")
+    raw = np.frombuffer(data, np.uint8)
+    for k in range(0, n, STEP):
+        some = min(STEP, n - k)
+        lens = _LENGTHS[raw[at + k // 4 : at + k // 4 + -(-some // 4)]].reshape(-1)[:some]
+        ends = np.cumsum(lens)
+        starts = body + ends - lens
+        own = raw[starts].astype("<u4")
+        for j in (1, 2, 3):
+            more = np.flatnonzero(lens > j)
+            own[more] |= raw[starts[more] + j].astype("<u4") << np.uint32(8 * j)
+        out[k : k + some] = own
+        body += int(ends[-1])
     return out
 
 
@@ -62,7 +71,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, tail, tally, kind = word_ids(tokenizer), np.array([end_id], "<u4").tobytes(), np.zeros(1, np.int64), None
-        for batch in batches:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             kind = batch.column(0).type
             ids, wide = [], []
             for raw in asked.of(batch.column(1).to_pylist()):
