@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from fathomleaf.llm._shared import cores, read_file, remove_file, staged, table, whole_text, work_dir, write_file
 
 END = b"\n"  # no word holds a line feed
-CONTEXTS = 1 << 16
+CONTEXTS = 1 << 20
 BLOCK_TOKENS = 4_000_000
 BURN_IN, SAMPLES = 2, 3
 DISCOUNT = 0.5  # of both levels; the closed formulas hold for one half only

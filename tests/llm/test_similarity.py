@@ -326,6 +326,7 @@ def exact(pairs):
 
 @pytest.mark.parametrize("strength,root_strength", [(0.5, 0.7), (5.0, 50.0)])
 def test_model_agrees_with_going_through_every_seating(monkeypatch, strength, root_strength):
+    monkeypatch.setattr(lm, "CONTEXTS", 64)
     monkeypatch.setattr(lm, "STRENGTH", strength)
     monkeypatch.setattr(lm, "ROOT_STRENGTH", root_strength)
     pairs = {(0, 3): 4, (0, 5): 2, (1, 3): 1, (1, 5): 3, (2, 3): 2, (2, 5): 0, (3, 3): 0, (3, 5): 0}
@@ -348,7 +349,8 @@ def test_tables_of_one_dish_at_any_count():
     assert 1.9e6 < t[0] < 2.1e6 and t[1] == 1 and 1.8e3 < t[2] < 2.2e3 and t[3] == 1
 
 
-def test_model_probabilities_sum_to_one():
+def test_model_probabilities_sum_to_one(monkeypatch):
+    monkeypatch.setattr(lm, "CONTEXTS", 64)
     r = np.random.default_rng(8)
     pairs = {(w, x): int(r.integers(0, 200) * r.integers(0, 2)) for w in range(30) for x in (0, 1, 17, 40)}
     pairs |= {(30, x): 0 for x in (0, 1, 17, 40)}  # the unknown word
