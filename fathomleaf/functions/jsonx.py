@@ -9,11 +9,37 @@ from pyspark.sql import types as T
 from fathomleaf.functions.text import col
 
 FIELD = T.StructType([T.StructField(n, T.StringType()) for n in ("value", "evidence", "confidence")])
-FIELD_RESPONSE = T.StructType([T.StructField("fields", T.MapType(T.StringType(), FIELD)), T.StructField("facilities_detected", T.ArrayType(T.StringType())), T.StructField("notes", T.StringType())])
+FIELD_RESPONSE = T.StructType(
+    [
+        T.StructField("fields", T.MapType(T.StringType(), FIELD)),
+        T.StructField("facilities_detected", T.ArrayType(T.StringType())),
+        T.StructField("notes", T.StringType()),
+    ]
+)
 FACILITY = T.StructType([T.StructField(n, T.StringType()) for n in ("name", "type", "amount", "characteristics")])
-FACILITY_RESPONSE = T.StructType([T.StructField("total_facilities", T.IntegerType()), T.StructField("facilities", T.ArrayType(FACILITY)), T.StructField("is_single_facility", T.BooleanType()), T.StructField("notes", T.StringType())])
-CORRECTION = T.StructType([T.StructField("original_value", T.StringType()), T.StructField("verified_value", T.StringType()), T.StructField("is_correct", T.BooleanType()), T.StructField("correction_reason", T.StringType())])
-VERIFICATION = T.StructType([T.StructField("verified_fields", T.MapType(T.StringType(), CORRECTION)), T.StructField("missing_information", T.ArrayType(T.StringType())), T.StructField("inconsistencies", T.ArrayType(T.StringType()))])
+FACILITY_RESPONSE = T.StructType(
+    [
+        T.StructField("total_facilities", T.IntegerType()),
+        T.StructField("facilities", T.ArrayType(FACILITY)),
+        T.StructField("is_single_facility", T.BooleanType()),
+        T.StructField("notes", T.StringType()),
+    ]
+)
+CORRECTION = T.StructType(
+    [
+        T.StructField("original_value", T.StringType()),
+        T.StructField("verified_value", T.StringType()),
+        T.StructField("is_correct", T.BooleanType()),
+        T.StructField("correction_reason", T.StringType()),
+    ]
+)
+VERIFICATION = T.StructType(
+    [
+        T.StructField("verified_fields", T.MapType(T.StringType(), CORRECTION)),
+        T.StructField("missing_information", T.ArrayType(T.StringType())),
+        T.StructField("inconsistencies", T.ArrayType(T.StringType())),
+    ]
+)
 MARKED, FENCED, BRACED = r"(?s)```json\s*(.*?)\s*```", r"(?s)```\s*(.*?)\s*```", r"(?s)\{.*\}"
 
 
@@ -56,8 +82,12 @@ def schema_issues(response: Column | str, expected: Column) -> Column:
         raw = F.try_element_at(own, name)
         keys = F.json_object_keys(raw)
         quoted = F.concat(F.lit("Field '"), name, F.lit("'"))
-        missing = F.array_compact(F.array(*(F.when(~F.array_contains(keys, k), F.concat(quoted, F.lit(f" missing '{k}' key"))) for k in ("value", "confidence"))))
-        return F.when(~F.array_contains(F.map_keys(own), name), F.array(F.concat(F.lit("Missing field: "), name))).when(keys.isNull(), F.array(F.concat(quoted, F.lit(" is not a dict")))).otherwise(missing)
+        missing = F.array_compact(
+            F.array(*(F.when(~F.array_contains(keys, k), F.concat(quoted, F.lit(f" missing '{k}' key"))) for k in ("value", "confidence")))
+        )
+        return F.when(
+            ~F.array_contains(F.map_keys(own), name), F.array(F.concat(F.lit("Missing field: "), name))
+        ).when(keys.isNull(), F.array(F.concat(quoted, F.lit(" is not a dict")))).otherwise(missing)
 
     return (
         F.when(text.isNull() | ~text.rlike(r"(?s)^\s*\{"), F.array(F.lit("Result is not a dict")))
@@ -86,6 +116,11 @@ def remap(present: Column, expected: Column) -> Column:
     def step(state: Column, name: Column) -> Column:
         scored = F.transform(state["left"], lambda k: F.struct((-_overlap(name, k)).alias("score"), k.alias("key")))
         best = F.array_min(F.filter(scored, lambda s: s["score"] <= -2))
-        return F.when(best.isNull(), state).otherwise(F.struct(F.array_remove(state["left"], best["key"]).alias("left"), F.array_append(state["found"], F.struct(name.alias("field"), best["key"].alias("key"))).alias("found")))
+        return F.when(best.isNull(), state).otherwise(
+            F.struct(
+                F.array_remove(state["left"], best["key"]).alias("left"),
+                F.array_append(state["found"], F.struct(name.alias("field"), best["key"].alias("key"))).alias("found"),
+            )
+        )
 
     return F.map_from_entries(F.aggregate(F.array_except(expected, present), start, step)["found"])

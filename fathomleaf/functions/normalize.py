@@ -9,7 +9,32 @@ from fathomleaf import registry as R
 from fathomleaf.functions.text import col, strip
 
 # Months in the order in which they are looked for.
-MONTHS = [("january", 1), ("jan", 1), ("february", 2), ("feb", 2), ("march", 3), ("mar", 3), ("april", 4), ("apr", 4), ("may", 5), ("june", 6), ("jun", 6), ("july", 7), ("jul", 7), ("august", 8), ("aug", 8), ("september", 9), ("sep", 9), ("sept", 9), ("october", 10), ("oct", 10), ("november", 11), ("nov", 11), ("december", 12), ("dec", 12)]
+MONTHS = [
+    ("january", 1),
+    ("jan", 1),
+    ("february", 2),
+    ("feb", 2),
+    ("march", 3),
+    ("mar", 3),
+    ("april", 4),
+    ("apr", 4),
+    ("may", 5),
+    ("june", 6),
+    ("jun", 6),
+    ("july", 7),
+    ("jul", 7),
+    ("august", 8),
+    ("aug", 8),
+    ("september", 9),
+    ("sep", 9),
+    ("sept", 9),
+    ("october", 10),
+    ("oct", 10),
+    ("november", 11),
+    ("nov", 11),
+    ("december", 12),
+    ("dec", 12),
+]
 NUMBER = r"(\d+(?:\.\d+)?)"
 YES, NO = ["yes", "true", "y", "affirmative", "confirmed", "applicable"], ["no", "false", "n", "negative", "not applicable", "n/a", "none"]
 
@@ -41,7 +66,10 @@ def _named_month(low: Column, months: list[tuple[str, int]]) -> Column:
     names, years = (F.regexp_extract_all(low, pattern, F.lit(g)) for g in (1, 2))
     known = F.array(*(F.lit(m) for m, _ in months))
     best = F.array_min(F.transform(names, lambda n, i: F.struct(F.array_position(known, n).alias("place"), i.alias("i"), F.get(years, i).alias("year"))))
-    return F.when(best.isNotNull(), F.struct(F.element_at(F.array(*(F.lit(n) for _, n in months)), best["place"].cast("int")).alias("month"), best["year"].alias("year")))
+    return F.when(
+        best.isNotNull(),
+        F.struct(F.element_at(F.array(*(F.lit(n) for _, n in months)), best["place"].cast("int")).alias("month"), best["year"].alias("year")),
+    )
 
 
 def normalize_date(value: Column | str) -> Column:
@@ -52,10 +80,16 @@ def normalize_date(value: Column | str) -> Column:
     found = _named_month(low, MONTHS)
     named = F.when(found.isNotNull(), F.concat(F.lpad(found["month"].cast("string"), 2, "0"), F.lit("/"), found["year"]))
     month_year = _month(s, r"^(\d{1,2})/(\d{4})$", 1, 2)
-    iso = F.when(s.rlike(r"^\d{4}-\d{1,2}"), F.concat(F.lpad(F.regexp_extract(s, r"^(\d{4})-(\d{1,2})", 2), 2, "0"), F.lit("/"), F.regexp_extract(s, r"^(\d{4})-(\d{1,2})", 1)))
+    iso = F.when(
+        s.rlike(r"^\d{4}-\d{1,2}"),
+        F.concat(F.lpad(F.regexp_extract(s, r"^(\d{4})-(\d{1,2})", 2), 2, "0"), F.lit("/"), F.regexp_extract(s, r"^(\d{4})-(\d{1,2})", 1)),
+    )
     day_first = _month(s, r"^\d{1,2}/(\d{1,2})/(\d{4})", 1, 2)
     quarter = r"(?i)Q([1-4])\s+(\d{4})"
-    quarters = F.when(s.rlike(quarter), F.concat(F.lpad((F.regexp_extract(s, quarter, 1).try_cast("int") * 3).cast("string"), 2, "0"), F.lit("/"), F.regexp_extract(s, quarter, 2)))
+    quarters = F.when(
+        s.rlike(quarter),
+        F.concat(F.lpad((F.regexp_extract(s, quarter, 1).try_cast("int") * 3).cast("string"), 2, "0"), F.lit("/"), F.regexp_extract(s, quarter, 2)),
+    )
     return F.when(_passes(raw), raw).otherwise(_first(month_year, named, iso, day_first, quarters, s))
 
 
@@ -69,7 +103,9 @@ def normalize_percentage(value: Column | str) -> Column:
     s = strip(raw)
     points = _found(s, rf"(?i){NUMBER}\s*(?:bps|bp|basis\s+points?)")
     percent = _found(s, rf"(?i){NUMBER}\s*(?:per\s*cent|percent|%)")
-    return F.when(_passes(raw), raw).otherwise(_first(F.concat(_fixed(points.try_cast("double") / 100), F.lit("%")), F.concat(_fixed(percent.try_cast("double")), F.lit("%")), s))
+    return F.when(_passes(raw), raw).otherwise(
+        _first(F.concat(_fixed(points.try_cast("double") / 100), F.lit("%")), F.concat(_fixed(percent.try_cast("double")), F.lit("%")), s)
+    )
 
 
 def normalize_ratio(value: Column | str) -> Column:
@@ -87,14 +123,18 @@ def normalize_yes_no(value: Column | str) -> Column:
     raw = col(value)
     s = strip(raw)
     low = F.lower(s)
-    return F.when(_passes(raw), raw).when(low.isin(*YES), "Yes").when(low.isin(*NO), "No").when(low.startswith("yes"), "Yes").when(low.startswith("no"), "No").otherwise(s)
+    return F.when(_passes(raw), raw).when(low.isin(*YES), "Yes").when(low.isin(*NO), "No").when(
+        low.startswith("yes"), "Yes"
+    ).when(low.startswith("no"), "No").otherwise(s)
 
 
 def normalize_value(kind: Column, value: Column | str) -> Column:
     """Dispatch by the field's kind."""
     raw = col(value)
     skip = _passes(raw) | (raw == "EXTRACTION_ERROR")
-    return F.when(skip, raw).when(kind == "date", normalize_date(raw)).when(kind == "percentage", normalize_percentage(raw)).when(kind == "ratio", normalize_ratio(raw)).when(kind == "yes_no", normalize_yes_no(raw)).otherwise(strip(raw))
+    return F.when(skip, raw).when(kind == "date", normalize_date(raw)).when(
+        kind == "percentage", normalize_percentage(raw)
+    ).when(kind == "ratio", normalize_ratio(raw)).when(kind == "yes_no", normalize_yes_no(raw)).otherwise(strip(raw))
 
 
 def normalize_row(row: Column | str) -> Column:

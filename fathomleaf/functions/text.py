@@ -96,15 +96,40 @@ def _among(own: list[str]):
 def language(c: Column | str, default: str = "en") -> Column:
     """The language with most stop words; ties in the order above; ``default`` if there are none."""
     words = F.split(F.lower(col(c)), r"[ \t\n\r\f\x0B]+", -1)
-    counts = [F.struct(F.size(F.filter(words, _among(own))).alias("n"), F.lit(-i).alias("order"), F.lit(k).alias("code")) for i, (k, own) in enumerate(LANGUAGE_WORDS.items())]
+    counts = [
+        F.struct(
+            F.size(F.filter(words, _among(own))).alias("n"), F.lit(-i).alias("order"), F.lit(k).alias("code")
+        ) for i, (k, own) in enumerate(LANGUAGE_WORDS.items())
+    ]
     best = F.array_max(F.array(*counts))
     return F.when(best["n"] > 0, best["code"]).otherwise(default)
 
 
 # Names of languages by code.
 LANGUAGE_NAMES = {
-    "en": "English", "es": "Spanish", "fr": "French", "de": "German", "nl": "Dutch", "pt": "Portuguese", "it": "Italian", "pl": "Polish", "ro": "Romanian", "cs": "Czech", "da": "Danish", "sv": "Swedish",
-    "nb": "Norwegian", "fi": "Finnish", "hu": "Hungarian", "el": "Greek", "tr": "Turkish", "ru": "Russian", "uk": "Ukrainian", "ja": "Japanese", "zh-cn": "Chinese", "ko": "Korean", "ar": "Arabic",
+    "en": "English",
+    "es": "Spanish",
+    "fr": "French",
+    "de": "German",
+    "nl": "Dutch",
+    "pt": "Portuguese",
+    "it": "Italian",
+    "pl": "Polish",
+    "ro": "Romanian",
+    "cs": "Czech",
+    "da": "Danish",
+    "sv": "Swedish",
+    "nb": "Norwegian",
+    "fi": "Finnish",
+    "hu": "Hungarian",
+    "el": "Greek",
+    "tr": "Turkish",
+    "ru": "Russian",
+    "uk": "Ukrainian",
+    "ja": "Japanese",
+    "zh-cn": "Chinese",
+    "ko": "Korean",
+    "ar": "Arabic",
 }
 
 
@@ -112,4 +137,6 @@ def language_hint(code: Column) -> Column:
     """A line for prompts; empty for English; an unknown code in capitals stands for its name."""
     names = F.create_map(*(F.lit(x) for kv in LANGUAGE_NAMES.items() for x in kv))
     name = F.coalesce(F.try_element_at(names, code), F.upper(code))
-    return F.when(code == "en", "").otherwise(F.concat(F.lit("The document is written in "), name, F.lit(". Answer in English; keep quotes in the original language.")))
+    return F.when(code == "en", "").otherwise(
+        F.concat(F.lit("The document is written in "), name, F.lit(". Answer in English; keep quotes in the original language."))
+    )

@@ -70,15 +70,27 @@ def windows_by_file(files: DataFrame, config: EngineConfig = EngineConfig()) ->
     start, stop = F.col("id") * step, F.least(F.col("id") * step + size, F.col("n_"))
     a, b = F.greatest(start, F.col("at_")) - F.col("at_"), F.least(stop, F.col("at_") + F.col("len_")) - F.col("at_")
     part = F.substring("p_", (a + 1).cast("int"), (b - a).cast("int"))
-    own = rows.select("company", F.col("id").cast("int").alias("id"), start.alias("char_start"), stop.alias("char_end"), F.struct("ord", part.alias("part")).alias("s"))
-    return own.groupBy("company", "id", "char_start", "char_end").agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda x: x["part"]), "").alias("text"))
+    own = rows.select(
+        "company",
+        F.col("id").cast("int").alias("id"),
+        start.alias("char_start"),
+        stop.alias("char_end"),
+        F.struct("ord", part.alias("part")).alias("s"),
+    )
+    return own.groupBy("company", "id", "char_start", "char_end").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda x: x["part"]), "").alias("text")
+    )
 
 
 def company_docs(files: DataFrame) -> DataFrame:
     """(company, full_text, source_files, total_chars, total_tokens): one row a company."""
     rows = _kept(files).select("company", F.struct("ord", "file", F.concat(banner(F.col("file")), "text", F.lit("\n\n")).alias("piece")).alias("s"))
     own = rows.groupBy("company").agg(F.array_sort(F.collect_list("s")).alias("s"))
-    out = own.select("company", F.array_join(F.transform("s", lambda x: x["piece"]), "").alias("full_text"), F.transform("s", lambda x: x["file"]).alias("source_files"))
+    out = own.select(
+        "company",
+        F.array_join(F.transform("s", lambda x: x["piece"]), "").alias("full_text"),
+        F.transform("s", lambda x: x["file"]).alias("source_files"),
+    )
     return out.withColumn("total_chars", F.length("full_text")).withColumn("total_tokens", X.token_count("full_text"))
 
 
@@ -118,11 +130,21 @@ def token_windows(docs: DataFrame, config: EngineConfig = EngineConfig()) -> Dat
 
     def batch_of(batch: pa.RecordBatch, at: list[int], rows: list[tuple]) -> pa.RecordBatch:
         cols = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=out.names)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=out.names
+        )
 
     kinds = [pa.int32(), pa.string(), *[pa.int32()] * 5, pa.bool_()]
     number = [T.StructField(c, T.IntegerType()) for c in ("token_count", "token_start", "token_end", "char_start", "char_end")]
-    out = T.StructType([docs.schema["company"], T.StructField("id", T.IntegerType()), T.StructField("text", T.StringType()), *number, T.StructField("is_last", T.BooleanType())])
+    out = T.StructType(
+        [
+            docs.schema["company"],
+            T.StructField("id", T.IntegerType()),
+            T.StructField("text", T.StringType()),
+            *number,
+            T.StructField("is_last", T.BooleanType()),
+        ]
+    )
     return docs.select("company", "full_text").mapInArrow(run, out)
 
 
@@ -133,7 +155,15 @@ def char_windows(docs: DataFrame, config: EngineConfig = EngineConfig(), key: st
     rows = rows.select(key, "t_", "n_", F.posexplode(window_starts(F.col("n_"), size, overlap)).alias("id", "char_start"))
     rows = rows.withColumn("char_end", F.least(F.col("char_start") + size, F.col("n_")))
     text = F.substring("t_", F.col("char_start") + 1, F.col("char_end") - F.col("char_start"))
-    return rows.select(key, "id", text.alias("text"), F.floor((F.col("char_end") - F.col("char_start")) / config.chars_per_token).cast("int").alias("token_count"), "char_start", "char_end", (F.col("char_end") == F.col("n_")).alias("is_last"))
+    return rows.select(
+        key,
+        "id",
+        text.alias("text"),
+        F.floor((F.col("char_end") - F.col("char_start")) / config.chars_per_token).cast("int").alias("token_count"),
+        "char_start",
+        "char_end",
+        (F.col("char_end") == F.col("n_")).alias("is_last"),
+    )
 
 
 STRETCH = 1 << 13  # characters
@@ -171,10 +201,27 @@ def coverage(chunks: DataFrame, docs: DataFrame, start: str = "token_start", sto
     fresh = F.greatest(F.col(stop) - F.greatest(F.col(start), F.col("until_")), F.lit(0))
     own = rows.groupBy("company").agg(F.sum(fresh).alias("covered"), F.array_sort(F.collect_list(gap)).alias("inner_"), F.max(stop).alias("end_"))
     out = docs.select("company", F.col(total).alias("total")).join(own, "company", "left").withColumn("covered", F.coalesce("covered", F.lit(0)))
-    tail = F.when(F.coalesce(F.col("end_"), F.lit(0)) < F.col("total"), F.array(F.struct(F.coalesce(F.col("end_"), F.lit(0)).alias("start"), F.col("total").alias("stop"))))
+    tail = F.when(
+        F.coalesce(F.col("end_"), F.lit(0)) < F.col("total"),
+        F.array(F.struct(F.coalesce(F.col("end_"), F.lit(0)).alias("start"), F.col("total").alias("stop"))),
+    )
     share = F.when(F.col("total") > 0, F.col("covered") / F.col("total")).otherwise(1.0)
-    gaps = F.slice(F.concat(F.coalesce("inner_", F.array().cast("array<struct<start:int,stop:int>>")), F.coalesce(tail, F.array().cast("array<struct<start:int,stop:int>>"))), 1, 10)
-    return out.select("company", F.col("covered").cast("long").alias("covered"), F.col("total").cast("long").alias("total"), share.alias("share"), (share >= 0.999).alias("complete"), gaps.alias("gaps"))
+    gaps = F.slice(
+        F.concat(
+            F.coalesce("inner_", F.array().cast("array<struct<start:int,stop:int>>")),
+            F.coalesce(tail, F.array().cast("array<struct<start:int,stop:int>>")),
+        ),
+        1,
+        10,
+    )
+    return out.select(
+        "company",
+        F.col("covered").cast("long").alias("covered"),
+        F.col("total").cast("long").alias("total"),
+        share.alias("share"),
+        (share >= 0.999).alias("complete"),
+        gaps.alias("gaps"),
+    )
 
 
 def extraction_plan(chunks: DataFrame, most: int = 6) -> DataFrame:
@@ -191,10 +238,14 @@ def section_windows(chunks: DataFrame, retrieved: DataFrame, config: EngineConfi
 
     A window counts as retrieved if the first 300 characters of one that was (``retrieved``: company, text) are its own.
     """
-    rows = chunks.select("company", "id", F.substring("text", 1, 300).alias("start_"), F.floor(F.col("id") / config.section_window).cast("int").alias("section"))
+    rows = chunks.select(
+        "company", "id", F.substring("text", 1, 300).alias("start_"), F.floor(F.col("id") / config.section_window).cast("int").alias("section")
+    )
     known = retrieved.select("company", F.substring("text", 1, 300).alias("start_")).distinct().withColumn("known_", F.lit(True))
     rows = rows.join(known, ["company", "start_"], "left")
-    own = rows.groupBy("company", "section").agg(F.array_sort(F.collect_list("id")).alias("ids"), F.bool_and(F.coalesce("known_", F.lit(False))).alias("covered_")).filter("not covered_")
+    own = rows.groupBy("company", "section").agg(
+        F.array_sort(F.collect_list("id")).alias("ids"), F.bool_and(F.coalesce("known_", F.lit(False))).alias("covered_")
+    ).filter("not covered_")
     n = F.row_number().over(Window.partitionBy("company").orderBy("section"))
     return own.withColumn("n_", n).filter(F.col("n_") <= config.section_passes).select("company", "section", "ids")
 
@@ -214,4 +265,6 @@ def annotated(chunks: DataFrame, ids: DataFrame) -> DataFrame:
     """(company, text): the asked-for windows with their sources, joined in order."""
     own = chunks.join(ids.select("company", "id").distinct(), ["company", "id"], "left_semi")
     piece = F.concat(F.lit("[From: "), F.array_join("source_files", ", "), F.lit("]\n"), "text")
-    return own.groupBy("company").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", piece.alias("p")))), lambda s: s["p"]), "\n\n---\n\n").alias("text"))
+    return own.groupBy("company").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", piece.alias("p")))), lambda s: s["p"]), "\n\n---\n\n").alias("text")
+    )

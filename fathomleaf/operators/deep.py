@@ -26,15 +26,46 @@ class Strategy:
 _MONTHS = r"(\d{1,2}[\/\-]\d{4}|\d{4}[\/\-]\d{1,2}|\w+\s+\d{4})"
 # Keywords, context patterns and value patterns by field.
 STRATEGIES = {
-    "Borrower name": Strategy(("borrower", "company", "obligor", "debtor"), (r'("the borrower"|"borrower means"|borrower:?\s*)', r'("the company"|company name)'), r"(?:borrower|company|obligor)[\s:]*([A-Z][A-Za-z\s&.,]+(?:Ltd|LLC|Inc|Corp|B\.V\.|S\.A\.|GmbH|Plc)?)"),
-    "Credit limit ['000]": Strategy(("credit", "limit", "facility", "amount", "commitment", "aggregate"), (r"(credit limit|facility amount|aggregate commitment|total commitment)",), r"(?:EUR|USD|GBP|\$|€|£)\s*[\d,]+(?:\.\d+)?(?:\s*(?:million|m|bn|billion))?"),
-    "Spread [%]": Strategy(("spread", "margin", "basis points", "bps", "plus"), (r"(applicable margin|interest margin|margin means|spread of)",), r"(\d+(?:\.\d+)?)\s*(?:%|percent|basis points|bps)"),
-    "Maturity date [MM/YYYY] of the facility": Strategy(("maturity", "termination", "final", "expiry", "repayment date"), (r"(final maturity|termination date|maturity date|facility ends)",), _MONTHS),
-    "Base Rate of the facility": Strategy(("EURIBOR", "SOFR", "LIBOR", "base rate", "reference rate", "benchmark"), (r"(reference rate|base rate|benchmark rate)",), r"(EURIBOR|SOFR|LIBOR|SONIA|ESTR|Term SOFR)"),
-    "Inception date [MM/YYYY] of the facility": Strategy(("inception", "signing", "effective date", "commencement", "dated"), (r"(effective date|signing date|dated as of|entered into)",), _MONTHS),
-    "Project location [Country]": Strategy(("location", "country", "jurisdiction", "situated", "located"), (r"(located in|situated in|project location|jurisdiction)",), r"(Spain|Germany|France|Netherlands|UK|United Kingdom|Italy|Poland|Belgium|Portugal|Ireland|Greece|Austria|Sweden|Denmark|Norway|Finland|Czech|Romania|Hungary|Bulgaria|Croatia|Slovakia|Slovenia|Luxembourg|Estonia|Latvia|Lithuania|Cyprus|Malta)"),
-    "Covenant leading to dividend lock-up: Backward-looking DSCR (B-DSCR)": Strategy(("DSCR", "debt service coverage", "backward", "historical", "covenant"), (r"(historical DSCR|backward.looking DSCR|DSCR covenant|debt service coverage ratio)",), r"(\d+(?:\.\d+)?)[:\s]*(?:1|x|times)"),
-    "ING share [%]": Strategy(("ING", "commitment", "share", "participation", "proportion"), (r"(ING Bank|ING's commitment|ING participation)",), r"(\d+(?:\.\d+)?)\s*%"),
+    "Borrower name": Strategy(
+        ("borrower", "company", "obligor", "debtor"),
+        (r'("the borrower"|"borrower means"|borrower:?\s*)', r'("the company"|company name)'),
+        r"(?:borrower|company|obligor)[\s:]*([A-Z][A-Za-z\s&.,]+(?:Ltd|LLC|Inc|Corp|B\.V\.|S\.A\.|GmbH|Plc)?)",
+    ),
+    "Credit limit ['000]": Strategy(
+        ("credit", "limit", "facility", "amount", "commitment", "aggregate"),
+        (r"(credit limit|facility amount|aggregate commitment|total commitment)",),
+        r"(?:EUR|USD|GBP|\$|€|£)\s*[\d,]+(?:\.\d+)?(?:\s*(?:million|m|bn|billion))?",
+    ),
+    "Spread [%]": Strategy(
+        ("spread", "margin", "basis points", "bps", "plus"),
+        (r"(applicable margin|interest margin|margin means|spread of)",),
+        r"(\d+(?:\.\d+)?)\s*(?:%|percent|basis points|bps)",
+    ),
+    "Maturity date [MM/YYYY] of the facility": Strategy(
+        ("maturity", "termination", "final", "expiry", "repayment date"), (r"(final maturity|termination date|maturity date|facility ends)",), _MONTHS
+    ),
+    "Base Rate of the facility": Strategy(
+        ("EURIBOR", "SOFR", "LIBOR", "base rate", "reference rate", "benchmark"),
+        (r"(reference rate|base rate|benchmark rate)",),
+        r"(EURIBOR|SOFR|LIBOR|SONIA|ESTR|Term SOFR)",
+    ),
+    "Inception date [MM/YYYY] of the facility": Strategy(
+        ("inception", "signing", "effective date", "commencement", "dated"), (r"(effective date|signing date|dated as of|entered into)",), _MONTHS
+    ),
+    "Project location [Country]": Strategy(
+        ("location", "country", "jurisdiction", "situated", "located"),
+        (r"(located in|situated in|project location|jurisdiction)",),
+        r"(Spain|Germany|France|Netherlands|UK|United"
+        r" Kingdom|Italy|Poland|Belgium|Portugal|Ireland|Greece|Austria|Sweden|Denmark|Norway|Finland|Czech|Romania|Hungary|Bulgaria|Croatia|Slovakia|Slovenia|Luxembourg|Estonia|Latvia|Lithuania|Cyprus|Malta)",
+    ),
+    "Covenant leading to dividend lock-up: Backward-looking DSCR (B-DSCR)": Strategy(
+        ("DSCR", "debt service coverage", "backward", "historical", "covenant"),
+        (r"(historical DSCR|backward.looking DSCR|DSCR covenant|debt service coverage ratio)",),
+        r"(\d+(?:\.\d+)?)[:\s]*(?:1|x|times)",
+    ),
+    "ING share [%]": Strategy(
+        ("ING", "commitment", "share", "participation", "proportion"), (r"(ING Bank|ING's commitment|ING participation)",), r"(\d+(?:\.\d+)?)\s*%"
+    ),
 }
 
 
@@ -65,7 +96,9 @@ def pattern_candidates(docs: DataFrame, key: str = "company", text_col: str = "f
             rows = [(k, f, c) for k, t in zip(frame[key], frame[text_col], strict=True) for f, s in strategies.items() if (c := candidates_of(t or "", s))]
             yield pd.DataFrame(rows, columns=[key, "field", "candidates"])
 
-    return docs.select(key, text_col).mapInPandas(run, T.StructType([docs.schema[key], T.StructField("field", T.StringType()), T.StructField("candidates", T.ArrayType(T.StringType()))]))
+    return docs.select(key, text_col).mapInPandas(
+        run, T.StructType([docs.schema[key], T.StructField("field", T.StringType()), T.StructField("candidates", T.ArrayType(T.StringType()))])
+    )
 
 
 def field_candidates(contexts: DataFrame, strategies: dict[str, Strategy] = STRATEGIES) -> DataFrame:
@@ -76,7 +109,10 @@ def field_candidates(contexts: DataFrame, strategies: dict[str, Strategy] = STRA
             found = [candidates_of(t or "", strategies[f]) if f in strategies else [] for f, t in zip(frame["field"], frame["text"], strict=True)]
             yield pd.DataFrame({"company": frame["company"], "field": frame["field"], "candidates": found})
 
-    return contexts.select("company", "field", "text").mapInPandas(run, T.StructType([contexts.schema["company"], T.StructField("field", T.StringType()), T.StructField("candidates", T.ArrayType(T.StringType()))]))
+    return contexts.select("company", "field", "text").mapInPandas(
+        run,
+        T.StructType([contexts.schema["company"], T.StructField("field", T.StringType()), T.StructField("candidates", T.ArrayType(T.StringType()))]),
+    )
 
 
 def with_table_values(candidates: DataFrame, found: DataFrame) -> DataFrame:
@@ -99,20 +135,36 @@ def table_lookup(docs: DataFrame, fields: DataFrame, keys: list[str], text_col:
     if len(names) > FIELDS_AT_MOST:
         raise ValueError(f"more than {FIELDS_AT_MOST} fields")
     variants = [(f, n, v) for f in names for n, v in enumerate((f.lower(), f.replace(" ", ""), re.sub(r"[^\w\s]", "", f).lower()))]
-    rows = docs.select(*keys, F.posexplode(X.lines(text_col)).alias("line_no", "line")).filter(F.col("line").rlike(r"[|:\t]")).withColumn("low_", F.lower("line"))
+    rows = docs.select(
+        *keys, F.posexplode(X.lines(text_col)).alias("line_no", "line")
+    ).filter(F.col("line").rlike(r"[|:\t]")).withColumn("low_", F.lower("line"))
     # One pass over the lines: those that hold any variant go on with the ones that they hold; no join.
     rows = rows.filter(F.col("low_").rlike("|".join(re.escape(v) for v in sorted({v for *_, v in variants}))))
-    held = F.array_compact(F.array(*(F.when(F.col("low_").contains(v), F.struct(F.lit(f).alias("field"), F.lit(n).alias("variant_no"), F.lit(v).alias("variant"))) for f, n, v in variants)))
-    cells = rows.select(*keys, "line_no", "line", F.explode(held).alias("v_")).select(*keys, "v_.field", "line_no", "v_.variant_no", "v_.variant", F.split("line", r"[|:\t]", -1).alias("cells_"))
+    held = F.array_compact(
+        F.array(
+            *(
+                F.when(
+                    F.col("low_").contains(v), F.struct(F.lit(f).alias("field"), F.lit(n).alias("variant_no"), F.lit(v).alias("variant"))
+                ) for f, n, v in variants
+            )
+        )
+    )
+    cells = rows.select(*keys, "line_no", "line", F.explode(held).alias("v_")).select(
+        *keys, "v_.field", "line_no", "v_.variant_no", "v_.variant", F.split("line", r"[|:\t]", -1).alias("cells_")
+    )
     cells = cells.select(*keys, "field", "line_no", "variant_no", "variant", "cells_", F.posexplode("cells_").alias("cell_no", "cell"))
     value = X.strip(F.get(F.col("cells_"), F.col("cell_no") + 1))
-    cells = cells.filter(F.lower("cell").contains(F.col("variant"))).withColumn("value", value).filter("value is not null").filter(~F.lower("value").isin("", "n/a", "nan"))
+    cells = cells.filter(
+        F.lower("cell").contains(F.col("variant"))
+    ).withColumn("value", value).filter("value is not null").filter(~F.lower("value").isin("", "n/a", "nan"))
     return cells.groupBy(*keys, "field").agg(F.min_by("value", F.struct("line_no", "variant_no", "cell_no")).alias("value"))
 
 
 def replace_found(extractions: DataFrame, found: DataFrame) -> DataFrame:
     """Any accepted value of a second attempt replaces the first, whatever its confidence."""
-    good = found.filter(~F.coalesce("value", F.lit("")).isin("NOT_FOUND", "N/A", "", "POSSIBLY_PRESENT")).select("company", "facility_idx", "field", F.struct("value", "evidence", "confidence").alias("new_"))
+    good = found.filter(~F.coalesce("value", F.lit("")).isin("NOT_FOUND", "N/A", "", "POSSIBLY_PRESENT")).select(
+        "company", "facility_idx", "field", F.struct("value", "evidence", "confidence").alias("new_")
+    )
     keep = [c for c in extractions.columns if c not in ("value", "evidence", "confidence")]
     rows = extractions.join(good, ["company", "facility_idx", "field"], "left")
     return rows.select(*keep, *(F.coalesce(f"new_.{c}", c).alias(c) for c in ("value", "evidence", "confidence")))
@@ -125,14 +177,35 @@ _RATIOS = [f for f in R.FIELDS if f.startswith("Covenant leading to dividend loc
 PAIRS = [
     ("If D&C Contractor specified?", "Name of the D&C Contractor", [], "D&C Contractor", "name"),
     ("If completion guarantees specified?", "Guarantee Development sponsors name", [], "Completion guarantees", "guarantor name"),
-    ("If revenue mitigating factors specified?", "Type of mitigating factor", ["Contractual or regulatory factor guarantor"], "Revenue mitigating factors", "type"),
+    (
+        "If revenue mitigating factors specified?",
+        "Type of mitigating factor",
+        ["Contractual or regulatory factor guarantor"],
+        "Revenue mitigating factors",
+        "type",
+    ),
     ("Is a Sponsor linked to the project?", "Sponsor Name", [], "Sponsor", "sponsor name"),
     ("Is a HoldCo linked to the project?", "Name of the HoldCo linked to the project", [], "HoldCo", "HoldCo name"),
     ("Is there a cash sweep mechanism applicable to the facility?", "Cash sweep structure", [], "Cash sweep", "structure"),
 ]
 RULE_FIELDS = list(dict.fromkeys([
-    "Is facility syndicated?", "ING share [%]", "Hedging: is the facility hedged?", "Hedging: how is the facility hedged", "Hedging: notional", "Hedging: fixed rate", "Hedging: spread", "Readiness [In operation / Construction needed]", "If construction needed: Readiness year",
-    "If covenants specified?", *_RATIOS, *(x for p in PAIRS for x in (p[0], p[1], *p[2])), "Base Rate of the facility", "Fix interest rate [%]", "Spread [%]", "Inception date [MM/YYYY] of the facility", "Maturity date [MM/YYYY] of the facility",
+    "Is facility syndicated?",
+    "ING share [%]",
+    "Hedging: is the facility hedged?",
+    "Hedging: how is the facility hedged",
+    "Hedging: notional",
+    "Hedging: fixed rate",
+    "Hedging: spread",
+    "Readiness [In operation / Construction needed]",
+    "If construction needed: Readiness year",
+    "If covenants specified?",
+    *_RATIOS,
+    *(x for p in PAIRS for x in (p[0], p[1], *p[2])),
+    "Base Rate of the facility",
+    "Fix interest rate [%]",
+    "Spread [%]",
+    "Inception date [MM/YYYY] of the facility",
+    "Maturity date [MM/YYYY] of the facility",
 ]))
 
 
@@ -146,7 +219,11 @@ def rules(v) -> list[tuple[int, Column, str, str | None]]:
     hedged, cov = "Hedging: is the facility hedged?", "If covenants specified?"
     details = ["Hedging: how is the facility hedged", "Hedging: fixed rate", "Hedging: notional", "Hedging: spread"]
     base, fixed, spread = "Base Rate of the facility", "Fix interest rate [%]", "Spread [%]"
-    start, end = (F.regexp_extract(v(f), r"(\d{4})", 1).try_cast("int") for f in ("Inception date [MM/YYYY] of the facility", "Maturity date [MM/YYYY] of the facility"))
+    start, end = (
+        F.regexp_extract(v(f), r"(\d{4})", 1).try_cast("int") for f in (
+            "Inception date [MM/YYYY] of the facility", "Maturity date [MM/YYYY] of the facility"
+        )
+    )
     building = F.lower(v(ready)).contains("construction")
     out = [
         (1, yes("Is facility syndicated?") & ~has("ING share [%]"), "syndicated without a share", None),
@@ -158,7 +235,10 @@ def rules(v) -> list[tuple[int, Column, str, str | None]]:
         (4, no(cov) & some(_RATIOS[:4]), "no covenants but with a ratio", cov),
     ]
     for i, (flag, name, more, label, what) in enumerate(PAIRS):
-        out += [(5 + i, yes(flag) & ~has(name), f"{label}=Yes without {what}", None), (5 + i, no(flag) & some([name, *more]), f"{label}=No but details found", flag)]
+        out += [
+            (5 + i, yes(flag) & ~has(name), f"{label}=Yes without {what}", None),
+            (5 + i, no(flag) & some([name, *more]), f"{label}=No but details found", flag),
+        ]
     return [
         *out,
         (11, has(base) & has(fixed), "base rate and fixed rate", None),
@@ -171,7 +251,9 @@ def cross_reference(extractions: DataFrame) -> DataFrame:
     """(company, facility_idx, issues, fixes): the twelve rules over a facility's fields, one aggregate and no join."""
     ids = {f: f"f{i}_" for i, f in enumerate(RULE_FIELDS)}
     value = F.when(F.col("value").isNull() | F.col("value").isin(*R.MISSING_IN_RULES), "").otherwise(F.col("value"))
-    wide = extractions.groupBy("company", "facility_idx").agg(*(F.coalesce(F.max(F.when(F.col("field") == f, value)), F.lit("")).alias(c) for f, c in ids.items()))
+    wide = extractions.groupBy("company", "facility_idx").agg(
+        *(F.coalesce(F.max(F.when(F.col("field") == f, value)), F.lit("")).alias(c) for f, c in ids.items())
+    )
     found = rules(lambda f: F.col(ids[f]))
     issues = F.array_compact(F.array(*(F.when(cond, F.concat(F.lit(f"{n}: "), F.lit(text))) for n, cond, text, _ in found)))
     fixes = F.array_compact(F.array(*(F.when(cond, F.lit(fix)) for _, cond, _, fix in found if fix)))
@@ -186,6 +268,8 @@ def auto_fix(extractions: DataFrame, checked: DataFrame) -> DataFrame:
     hit = F.coalesce("fix_", F.lit(False))
     return rows.select(
         *keep, F.when(hit, "Yes").otherwise(F.col("value")).alias("value"),
-        F.when(hit, F.concat(F.coalesce("evidence", F.lit("")), F.lit(" [AUTO-FIXED from "), F.coalesce("value", F.lit("")), F.lit("]"))).otherwise(F.col("evidence")).alias("evidence"),
+        F.when(hit, F.concat(F.coalesce("evidence", F.lit("")), F.lit(" [AUTO-FIXED from "), F.coalesce("value", F.lit("")), F.lit("]")))
+        .otherwise(F.col("evidence"))
+        .alias("evidence"),
         F.when(hit, "MEDIUM").otherwise(F.col("confidence")).alias("confidence"),
     )

@@ -59,7 +59,14 @@ class RuleExtractor:
         names = [name for line in asked.split("\n") if line.startswith("- ") and (name := self.name(line[2:]))]
         if asked.startswith(VERIFY[:20]):
             told = {n: line[4 + len(n) :] for line in asked.split("\n") if line.startswith("- ") and (n := self.name(line[2:]))}
-            checks = {n: {"original_value": v, "verified_value": v if v in text else self.find(n, lines)["value"], "is_correct": v in text, "correction_reason": "" if v in text else "not in the text"} for n, v in told.items()}
+            checks = {
+                n: {
+                    "original_value": v,
+                    "verified_value": v if v in text else self.find(n, lines)["value"],
+                    "is_correct": v in text,
+                    "correction_reason": "" if v in text else "not in the text",
+                } for n, v in told.items()
+            }
             return json.dumps({"verified_fields": checks, "missing_information": [], "inconsistencies": []}, ensure_ascii=False)
         fields = {n: self.find(n, lines) for n in names}
         if asked.startswith(SINGLE[:14]):
@@ -116,15 +123,24 @@ def call_model(prompts: DataFrame, make: type | None = None, key: str | None = N
                     if usable(answer, key):
                         break
                 rows.append((answer, error, count, time.monotonic() - began))
-            yield frame[keep].assign(**dict(zip(("response", "error", "tries", "seconds"), map(list, zip(*rows, strict=True)) if rows else ([],) * 4, strict=True)))
-
-    more = [T.StructField("response", T.StringType()), T.StructField("error", T.StringType()), T.StructField("tries", T.IntegerType()), T.StructField("seconds", T.DoubleType())]
+            yield frame[keep].assign(
+                **dict(zip(("response", "error", "tries", "seconds"), map(list, zip(*rows, strict=True)) if rows else ([],) * 4, strict=True))
+            )
+
+    more = [
+        T.StructField("response", T.StringType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("tries", T.IntegerType()),
+        T.StructField("seconds", T.DoubleType()),
+    ]
     return prompts.mapInPandas(run, T.StructType([*prompts.schema, *more]))
 
 
 def detection_prompts(contexts: DataFrame) -> DataFrame:
     """(company, system, prompt, max_tokens) from the pieces packed for a company (company, place, text)."""
-    own = contexts.groupBy("company").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda s: s["text"]), "\n\n---\n\n").alias("t_"))
+    own = contexts.groupBy("company").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda s: s["text"]), "\n\n---\n\n").alias("t_")
+    )
     return own.select("company", F.lit(SYSTEM).alias("system"), F.concat(F.lit(DETECT), "t_").alias("prompt"), F.lit(2048).alias("max_tokens"))
 
 
@@ -153,9 +169,20 @@ def deep_prompts(targets: DataFrame, contexts: DataFrame, candidates: DataFrame,
 
     Targets without a context are left out: they stay as they are.
     """
-    rows = targets.join(contexts, ["company", "field"]).join(candidates.select("company", "field", "candidates"), ["company", "field"], "left").join(F.broadcast(fields.select("field", "description")), "field", "left")
+    rows = targets.join(contexts, ["company", "field"]).join(
+        candidates.select("company", "field", "candidates"), ["company", "field"], "left"
+    ).join(F.broadcast(fields.select("field", "description")), "field", "left")
     hint = F.when(F.size("candidates") > 0, F.concat(F.lit("Candidates: "), F.array_join(F.slice("candidates", 1, 5), "; "), F.lit("\n"))).otherwise("")
-    ask = F.concat(F.lit(SINGLE + "- "), "field", F.lit(": "), F.coalesce("description", "field"), F.lit("\n"), F.coalesce(hint, F.lit("")), F.lit("\n" + TEXT), trim_tokens(F.col("text"), config.deep_budget))
+    ask = F.concat(
+        F.lit(SINGLE + "- "),
+        "field",
+        F.lit(": "),
+        F.coalesce("description", "field"),
+        F.lit("\n"),
+        F.coalesce(hint, F.lit("")),
+        F.lit("\n" + TEXT),
+        trim_tokens(F.col("text"), config.deep_budget),
+    )
     return rows.select("company", "facility_idx", "field", "candidates", F.lit(SYSTEM).alias("system"), ask.alias("prompt"), F.lit(500).alias("max_tokens"))
 
 
@@ -176,8 +203,20 @@ def prompts(contexts: DataFrame, groups: DataFrame, config: EngineConfig = Engin
     own = groups.select("group", bullets.alias("fields_"), "max_tokens")
     body = trim_tokens(F.array_join("texts", "\n\n---\n\n"), config.prompt_budget)
     before, after = QUESTION.split("{fields}")
-    text = F.concat(F.when(F.col("facility").isNotNull(), F.concat(F.lit("Facility: "), "facility", F.lit("\n"))).otherwise(""), F.lit(before), "fields_", F.lit(after.replace("{{", "{").replace("}}", "}")), body)
-    return contexts.join(F.broadcast(own), "group").select(*CALL, "pass_idx", F.lit(SYSTEM).alias("system"), text.alias("prompt"), F.least("max_tokens", F.lit(config.max_new_tokens)).alias("max_tokens"))
+    text = F.concat(
+        F.when(F.col("facility").isNotNull(), F.concat(F.lit("Facility: "), "facility", F.lit("\n"))).otherwise(""),
+        F.lit(before),
+        "fields_",
+        F.lit(after.replace("{{", "{").replace("}}", "}")),
+        body,
+    )
+    return contexts.join(F.broadcast(own), "group").select(
+        *CALL,
+        "pass_idx",
+        F.lit(SYSTEM).alias("system"),
+        text.alias("prompt"),
+        F.least("max_tokens", F.lit(config.max_new_tokens)).alias("max_tokens"),
+    )
 
 
 def answers_to_fields(answers: DataFrame, fields: DataFrame) -> DataFrame:
@@ -192,7 +231,9 @@ def answers_to_fields(answers: DataFrame, fields: DataFrame) -> DataFrame:
     raw = F.coalesce(F.try_element_at("own_", F.col("field")), F.try_element_at("own_", F.try_element_at("other_", F.col("field"))))
     parsed = F.from_json(raw, J.FIELD)
     is_object = raw.rlike(r"(?s)^\s*\{")
-    value = F.when(~F.col("ok_"), "EXTRACTION_ERROR").when(raw.isNull(), "NOT_FOUND").when(is_object, F.coalesce(parsed["value"], F.lit("NOT_FOUND"))).otherwise(F.regexp_replace(raw, r'^"|"$', ""))
+    value = F.when(~F.col("ok_"), "EXTRACTION_ERROR").when(raw.isNull(), "NOT_FOUND").when(
+        is_object, F.coalesce(parsed["value"], F.lit("NOT_FOUND"))
+    ).otherwise(F.regexp_replace(raw, r'^"|"$', ""))
     evidence = F.when(is_object, F.coalesce(parsed["evidence"], F.lit(""))).otherwise("")
     confidence = F.when(is_object, F.coalesce(parsed["confidence"], F.lit("LOW"))).otherwise("LOW")
     return rows.select(*CALL, "field", "pass_idx", value.alias("value"), evidence.alias("evidence"), confidence.alias("confidence"))
@@ -201,8 +242,15 @@ def answers_to_fields(answers: DataFrame, fields: DataFrame) -> DataFrame:
 def facilities(answers: DataFrame) -> DataFrame:
     """(company, facility_idx, name, type, amount, characteristics) of detection answers; one stand-in where none is found."""
     own = J.parse("response", J.FACILITY_RESPONSE)["facilities"]
-    default = F.array(F.struct(F.lit("Primary Facility").alias("name"), F.lit("Unknown").alias("type"), F.lit("N/A").alias("amount"), F.lit("").alias("characteristics")))
-    return answers.select("company", F.posexplode(F.when(F.size(F.coalesce(own, F.array().cast(T.ArrayType(J.FACILITY)))) > 0, own).otherwise(default)).alias("facility_idx", "f")).select("company", "facility_idx", "f.*")
+    default = F.array(
+        F.struct(
+            F.lit("Primary Facility").alias("name"), F.lit("Unknown").alias("type"), F.lit("N/A").alias("amount"), F.lit("").alias("characteristics")
+        )
+    )
+    return answers.select(
+        "company",
+        F.posexplode(F.when(F.size(F.coalesce(own, F.array().cast(T.ArrayType(J.FACILITY)))) > 0, own).otherwise(default)).alias("facility_idx", "f"),
+    ).select("company", "facility_idx", "f.*")
 
 
 def complete_calls(extractions: DataFrame) -> DataFrame:
@@ -228,28 +276,48 @@ def merge_passes(extractions: DataFrame, fields: DataFrame | None = None) -> Dat
     rows = extractions.withColumn("rank_", confidence_rank(F.col("confidence"))).withColumn("len_", F.length(F.coalesce("evidence", F.lit(""))))
     empty = F.coalesce("value", F.lit("")).isin(*R.MISSING_IN_MERGE)
     taken = ~empty & ((F.col("rank_") > 1) | ((F.col("rank_") == 1) & (F.col("len_") > 0)))
-    best = F.max_by(F.when(taken, F.struct("value", "confidence", F.coalesce("evidence", F.lit("")).alias("evidence"))), F.when(taken, F.struct("rank_", "len_", -F.col("pass_idx"))))
+    best = F.max_by(
+        F.when(taken, F.struct("value", "confidence", F.coalesce("evidence", F.lit("")).alias("evidence"))),
+        F.when(taken, F.struct("rank_", "len_", -F.col("pass_idx"))),
+    )
     own = rows.groupBy(*keys).agg(best.alias("b_"), F.bool_or(F.col("value") == "POSSIBLY_PRESENT").alias("maybe_"))
     none = F.when(F.col("maybe_"), "POSSIBLY_PRESENT").otherwise("NOT_FOUND")
-    return own.select(*keys, F.coalesce("b_.value", none).alias("value"), F.coalesce("b_.evidence", F.lit("")).alias("evidence"), F.coalesce("b_.confidence", F.lit("LOW")).alias("confidence"))
+    return own.select(
+        *keys,
+        F.coalesce("b_.value", none).alias("value"),
+        F.coalesce("b_.evidence", F.lit("")).alias("evidence"),
+        F.coalesce("b_.confidence", F.lit("LOW")).alias("confidence"),
+    )
 
 
 def merge_evidence(extractions: DataFrame) -> DataFrame:
     """The variant that keeps evidence of equally confident passes, joined by bars, each once."""
     keys = [*CALL, "field"]
-    rows = extractions.withColumn("empty_", F.coalesce("value", F.lit("")).isin(*R.MISSING_IN_MERGE)).withColumn("rank_", F.when(F.col("empty_"), -1).otherwise(confidence_rank(F.col("confidence"))))
+    rows = extractions.withColumn("empty_", F.coalesce("value", F.lit("")).isin(*R.MISSING_IN_MERGE)).withColumn(
+        "rank_", F.when(F.col("empty_"), -1).otherwise(confidence_rank(F.col("confidence")))
+    )
     top = F.max("rank_").over(Window.partitionBy(*keys))
     kept = rows.withColumn("top_", top).filter("rank_ = top_")
-    own = kept.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pass_idx", "value", "confidence", F.coalesce("evidence", F.lit("")).alias("evidence")))).alias("s"), F.max("top_").alias("top_"))
+    own = kept.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("pass_idx", "value", "confidence", F.coalesce("evidence", F.lit("")).alias("evidence")))).alias("s"),
+        F.max("top_").alias("top_"),
+    )
     add = lambda a, x: F.when((x["evidence"] == "") | a.contains(x["evidence"]), a).otherwise(F.concat(a, F.lit(" | "), x["evidence"]))
     joined = F.aggregate(F.slice("s", F.lit(2), F.size("s")), F.col("s")[0]["evidence"], add)
-    return own.select(*keys, F.col("s")[0]["value"].alias("value"), F.when(F.col("top_") < 0, F.col("s")[0]["evidence"]).otherwise(joined).alias("evidence"), F.col("s")[0]["confidence"].alias("confidence"))
+    return own.select(
+        *keys,
+        F.col("s")[0]["value"].alias("value"),
+        F.when(F.col("top_") < 0, F.col("s")[0]["evidence"]).otherwise(joined).alias("evidence"),
+        F.col("s")[0]["confidence"].alias("confidence"),
+    )
 
 
 def corrections(answers: DataFrame) -> DataFrame:
     """(company, facility_idx, field, verified_value, correction_reason) of verification answers that correct something."""
     rows = answers.select("company", "facility_idx", F.explode(J.parse("response", J.VERIFICATION)["verified_fields"]).alias("field", "c"))
-    return rows.filter("c.is_correct = false and c.verified_value is not null and c.verified_value <> ''").select("company", "facility_idx", "field", "c.verified_value", F.coalesce("c.correction_reason", F.lit("")).alias("correction_reason"))
+    return rows.filter("c.is_correct = false and c.verified_value is not null and c.verified_value <> ''").select(
+        "company", "facility_idx", "field", "c.verified_value", F.coalesce("c.correction_reason", F.lit("")).alias("correction_reason")
+    )
 
 
 def apply_corrections(extractions: DataFrame, found: DataFrame) -> DataFrame:
@@ -257,7 +325,9 @@ def apply_corrections(extractions: DataFrame, found: DataFrame) -> DataFrame:
     hit = F.col("verified_value").isNotNull()
     return rows.select(
         *CALL, "field", F.when(hit, F.col("verified_value")).otherwise(F.col("value")).alias("value"),
-        F.when(hit, F.concat(F.coalesce("evidence", F.lit("")), F.lit(" [CORRECTED: "), "correction_reason", F.lit("]"))).otherwise(F.col("evidence")).alias("evidence"),
+        F.when(hit, F.concat(F.coalesce("evidence", F.lit("")), F.lit(" [CORRECTED: "), "correction_reason", F.lit("]")))
+        .otherwise(F.col("evidence"))
+        .alias("evidence"),
         F.when(hit, "MEDIUM").otherwise(F.col("confidence")).alias("confidence"),
     )
 
@@ -266,7 +336,9 @@ def flatten(extractions: DataFrame, groups: DataFrame) -> DataFrame:
     """One row a field of a facility; of a field in several groups the later group's."""
     order = groups.select("group", F.col("ord").alias("g_"))
     rows = extractions.join(F.broadcast(order), "group")
-    return rows.groupBy("company", "facility_idx", "field").agg(F.max_by(F.struct("group", "value", "evidence", "confidence"), "g_").alias("b")).select("company", "facility_idx", "field", "b.*")
+    return rows.groupBy("company", "facility_idx", "field").agg(
+        F.max_by(F.struct("group", "value", "evidence", "confidence"), "g_").alias("b")
+    ).select("company", "facility_idx", "field", "b.*")
 
 
 def confidence_scores(extractions: DataFrame) -> DataFrame:
@@ -284,22 +356,55 @@ def rows_wide(extractions: DataFrame, fields: DataFrame, sources: DataFrame, sco
     """One row a facility in the output's columns. ``sources``: (company, source_files string, comments)."""
     names = columns or R.FIELDS
     kinds = fields.select("field", "kind")
-    long = extractions.join(F.broadcast(kinds), "field", "left").withColumn("v_", F.when(F.col("value") == "POSSIBLY_PRESENT", "NOT_FOUND").otherwise(N.normalize_value(F.coalesce("kind", F.lit("text")), "value")))
+    long = extractions.join(F.broadcast(kinds), "field", "left").withColumn(
+        "v_", F.when(F.col("value") == "POSSIBLY_PRESENT", "NOT_FOUND").otherwise(N.normalize_value(F.coalesce("kind", F.lit("text")), "value"))
+    )
     wide = long.groupBy("company", "facility_idx").pivot("field", names).agg(F.first("v_"))
     score = F.concat(F.call_function("format_number", F.col("score") * 100, F.lit("0.00")), F.lit("%"))
     out = wide.join(sources, "company", "left").join(scores.select("company", "score"), "company", "left")
     own = [F.coalesce(F.col(f"`{n}`"), F.lit("NOT_EXTRACTED")).alias(n) for n in names]
-    return out.select(F.col("company").alias("Client Folder"), F.col("source_files").alias("Source Files"), F.coalesce("comments", F.lit("")).alias("Comments"), score.alias("Confidence Score"), *own)
+    return out.select(
+        F.col("company").alias("Client Folder"),
+        F.col("source_files").alias("Source Files"),
+        F.coalesce("comments", F.lit("")).alias("Comments"),
+        score.alias("Confidence Score"),
+        *own,
+    )
 
 
 def detailed_json(extractions: DataFrame) -> DataFrame:
     """(company, json): facilities with value, evidence and confidence of every field."""
     entry = F.struct("field", F.struct("value", "evidence", "confidence").alias("e"))
-    own = extractions.groupBy("company", "facility_idx").agg(F.map_from_entries(F.array_sort(F.collect_list(entry), lambda a, b: F.when(a["field"] < b["field"], -1).when(a["field"] > b["field"], 1).otherwise(0))).alias("fields"))
-    return own.groupBy("company").agg(F.to_json(F.struct(F.first("company").alias("company"), F.array_sort(F.collect_list(F.struct("facility_idx", "fields")), lambda a, b: a["facility_idx"] - b["facility_idx"]).alias("facilities"))).alias("json"))
+    own = extractions.groupBy("company", "facility_idx").agg(
+        F.map_from_entries(
+            F.array_sort(F.collect_list(entry), lambda a, b: F.when(a["field"] < b["field"], -1).when(a["field"] > b["field"], 1).otherwise(0))
+        ).alias("fields")
+    )
+    return own.groupBy("company").agg(
+        F.to_json(
+            F.struct(
+                F.first("company").alias("company"),
+                F.array_sort(
+                    F.collect_list(F.struct("facility_idx", "fields")), lambda a, b: a["facility_idx"] - b["facility_idx"]
+                ).alias("facilities"),
+            )
+        ).alias("json")
+    )
 
 
 def stored_traces(answers: DataFrame, step: str) -> DataFrame:
     """Rows for an append-only trace of the calls of one step."""
     tokens = X.token_count("prompt")
-    return answers.select("company", F.lit(step).alias("step"), F.current_timestamp().alias("at"), tokens.alias("input_tokens"), "tries", "seconds", (tokens / F.when(F.col("seconds") > 0, F.col("seconds"))).alias("tokens_per_second"), "prompt", "response", J.json_text("response").isNotNull().alias("parsed_ok"), J.json_text("response").alias("parsed"))
+    return answers.select(
+        "company",
+        F.lit(step).alias("step"),
+        F.current_timestamp().alias("at"),
+        tokens.alias("input_tokens"),
+        "tries",
+        "seconds",
+        (tokens / F.when(F.col("seconds") > 0, F.col("seconds"))).alias("tokens_per_second"),
+        "prompt",
+        "response",
+        J.json_text("response").isNotNull().alias("parsed_ok"),
+        J.json_text("response").alias("parsed"),
+    )

@@ -80,18 +80,30 @@ def pair_rows(golden: DataFrame, extracted: DataFrame, order: str = "ord", compa
     Golden rows beyond the extracted ones are left out; all rows of a company without a match stay, unmatched.
     """
     names = match_companies(golden, extracted, company)
-    g = golden.withColumn("facility_index", F.row_number().over(Window.partitionBy(company).orderBy(order)) - 1).select(F.col(company).alias("golden_company"), "facility_index", F.struct("*").alias("g"))
-    e = extracted.join(names, F.col(company) == F.col("extracted_company")).withColumn("facility_index", F.row_number().over(Window.partitionBy("golden_company").orderBy("extracted_company", order)) - 1)
+    g = golden.withColumn(
+        "facility_index", F.row_number().over(Window.partitionBy(company).orderBy(order)) - 1
+    ).select(F.col(company).alias("golden_company"), "facility_index", F.struct("*").alias("g"))
+    e = extracted.join(names, F.col(company) == F.col("extracted_company")).withColumn(
+        "facility_index", F.row_number().over(Window.partitionBy("golden_company").orderBy("extracted_company", order)) - 1
+    )
     e = e.select("golden_company", "facility_index", F.struct(*(c for c in extracted.columns)).alias("e"))
     known = names.select("golden_company").distinct().withColumn("matched", F.lit(True))
     rows = g.join(known, "golden_company", "left").join(e, ["golden_company", "facility_index"], "left")
-    return rows.withColumn("matched", F.coalesce("matched", F.lit(False))).filter("not matched or e is not null").select(F.col("golden_company").alias("company"), "facility_index", "matched", "g", "e")
+    return rows.withColumn("matched", F.coalesce("matched", F.lit(False))).filter("not matched or e is not null").select(
+        F.col("golden_company").alias("company"), "facility_index", "matched", "g", "e"
+    )
 
 
 def comparisons(golden: DataFrame, extracted: DataFrame, fields: Sequence[str], order: str = "ord", company: str = "company") -> DataFrame:
     """(company, facility_index, matched, field, golden, extracted, result): long, the fact table of all reports."""
     rows = pair_rows(golden, extracted, order, company)
-    entry = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"g.`{f}`").cast("string").alias("golden"), F.col(f"e.`{f}`").cast("string").alias("extracted")) for f in fields))
+    entry = F.array(
+        *(
+            F.struct(
+                F.lit(f).alias("field"), F.col(f"g.`{f}`").cast("string").alias("golden"), F.col(f"e.`{f}`").cast("string").alias("extracted")
+            ) for f in fields
+        )
+    )
     long = rows.select("company", "facility_index", "matched", F.explode(entry).alias("c")).select("company", "facility_index", "matched", "c.*")
     alone = F.when(N.is_empty("golden"), "both_missing").otherwise("golden_only")
     return long.withColumn("result", F.when(F.col("matched"), N.compare_values("golden", "extracted")).otherwise(alone))
@@ -139,9 +151,17 @@ def mismatches(found: DataFrame, most: int | None = None) -> DataFrame:
 
 def field_coverage(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(field, coverage, level): share of rows with a value; EXTRACTION_ERROR counts as one."""
-    n = [F.avg(F.when(F.col(f"`{f}`").isNull() | F.col(f"`{f}`").isin(*R.MISSING_IN_COVERAGE), 0.0).otherwise(100.0)).alias(f"c{i}_") for i, f in enumerate(fields)]
+    n = [
+        F.avg(
+            F.when(F.col(f"`{f}`").isNull() | F.col(f"`{f}`").isin(*R.MISSING_IN_COVERAGE), 0.0).otherwise(100.0)
+        ).alias(f"c{i}_") for i, f in enumerate(fields)
+    ]
     one = rows.agg(*n)
-    long = one.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.coalesce(f"c{i}_", F.lit(0.0)).alias("coverage")) for i, f in enumerate(fields)))).alias("s")).select("s.*")
+    long = one.select(
+        F.explode(
+            F.array(*(F.struct(F.lit(f).alias("field"), F.coalesce(f"c{i}_", F.lit(0.0)).alias("coverage")) for i, f in enumerate(fields)))
+        ).alias("s")
+    ).select("s.*")
     return long.withColumn("level", F.when(F.col("coverage") < 30, "low").when(F.col("coverage") > 70, "high").otherwise("middle"))
 
 
@@ -150,7 +170,12 @@ def coverage_report(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
     own = field_coverage(rows, fields)
     entry = F.array_sort(F.collect_list(F.struct("field", percent(F.col("coverage") / 100).alias("shown"))))
     named = lambda level: F.array_sort(F.collect_list(F.when(F.col("level") == level, F.col("field"))))
-    out = own.agg(F.to_json(F.map_from_entries(entry)).alias("field_coverage"), percent(F.avg("coverage") / 100).alias("average_coverage"), named("low").alias("low_coverage_fields"), named("high").alias("high_coverage_fields"))
+    out = own.agg(
+        F.to_json(F.map_from_entries(entry)).alias("field_coverage"),
+        percent(F.avg("coverage") / 100).alias("average_coverage"),
+        named("low").alias("low_coverage_fields"),
+        named("high").alias("high_coverage_fields"),
+    )
     return out.crossJoin(rows.agg(F.count(F.lit(1)).alias("total_rows"))).select(F.current_timestamp().alias("timestamp"), "total_rows", F.lit(len(fields)).alias("total_fields"), "average_coverage", "field_coverage", "low_coverage_fields", "high_coverage_fields")  # one row by one
 
 

@@ -46,7 +46,9 @@ def tables(docs: DataFrame, keys: list[str], text_col: str = "text") -> DataFram
     before = F.last("header", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("above", before).filter("in_table")
     content = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda s: s["line"]), "\n")
-    return rows.groupBy(*keys, F.col("table_start").alias("start")).agg((F.max("line_no") + 1).alias("stop"), content.alias("content"), F.min_by("above", "line_no").alias("header"))
+    return rows.groupBy(*keys, F.col("table_start").alias("start")).agg(
+        (F.max("line_no") + 1).alias("stop"), content.alias("content"), F.min_by("above", "line_no").alias("header")
+    )
 
 
 def sections(docs: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
@@ -58,16 +60,27 @@ def sections(docs: DataFrame, keys: list[str], text_col: str = "text") -> DataFr
     content = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda s: s["line"]), "\n")
     texts = own.groupBy(*keys, "section_").agg(F.first("under", ignorenulls=True).alias("header"), content.alias("content"))
     texts = texts.select(*keys, F.lit(0).alias("kind_"), F.col("section_").cast("long").alias("at_"), F.lit("text").alias("type"), "header", "content")
-    found = tables(docs, keys, text_col).select(*keys, F.lit(1).alias("kind_"), F.col("start").cast("long").alias("at_"), F.lit("table").alias("type"), "header", "content")
+    found = tables(docs, keys, text_col).select(
+        *keys, F.lit(1).alias("kind_"), F.col("start").cast("long").alias("at_"), F.lit("table").alias("type"), "header", "content"
+    )
     order = Window.partitionBy(*keys).orderBy("kind_", "at_")
     return texts.unionByName(found).withColumn("seq", F.row_number().over(order) - 1).drop("kind_", "at_")
 
 
 def structure(docs: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
     """(keys, total_sections, tables_found, headers_found): one row a document."""
-    counts = sections(docs, keys, text_col).groupBy(*keys).agg(F.count(F.lit(1)).alias("total_sections"), F.count_if(F.col("type") == "table").alias("tables_found"))
-    found = headers(docs, keys, text_col).groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "header"))), lambda s: s["header"]).alias("headers_found"))
-    return docs.select(*keys).join(counts, keys, "left").join(found, keys, "left").select(*keys, F.coalesce("total_sections", F.lit(0)).alias("total_sections"), F.coalesce("tables_found", F.lit(0)).alias("tables_found"), F.coalesce("headers_found", F.array().cast("array<string>")).alias("headers_found"))
+    counts = sections(docs, keys, text_col).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total_sections"), F.count_if(F.col("type") == "table").alias("tables_found")
+    )
+    found = headers(docs, keys, text_col).groupBy(*keys).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("line_no", "header"))), lambda s: s["header"]).alias("headers_found")
+    )
+    return docs.select(*keys).join(counts, keys, "left").join(found, keys, "left").select(
+        *keys,
+        F.coalesce("total_sections", F.lit(0)).alias("total_sections"),
+        F.coalesce("tables_found", F.lit(0)).alias("tables_found"),
+        F.coalesce("headers_found", F.array().cast("array<string>")).alias("headers_found"),
+    )
 
 
 def pack(sizes: list[int], size: int, overlap: int) -> list[tuple[int, int, int]]:
@@ -95,13 +108,30 @@ def sentence_chunks(docs: DataFrame, keys: list[str], size: int = 2000, overlap:
     Sentences are split and counted natively; only the fold over the counts is Python. Null text has no chunk; an empty
     text has one empty chunk.
     """
-    rows = docs.select(*keys, X.sentences(text_col).alias("sentences_")).filter("sentences_ is not null").withColumn("sizes_", F.transform("sentences_", X.token_count))
+    rows = docs.select(*keys, X.sentences(text_col).alias("sentences_")).filter("sentences_ is not null").withColumn(
+        "sizes_", F.transform("sentences_", X.token_count)
+    )
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"chunks_": [[{"id": i, "first": a + 1, "length": b - a, "token_count": t} for i, (a, b, t) in enumerate(pack(list(s), size, overlap))] for s in frame["sizes_"]], **{c: frame[c] for c in (*keys, "sentences_")}})
+            yield pd.DataFrame(
+                {
+                    "chunks_": [
+                        [
+                            {"id": i, "first": a + 1, "length": b - a, "token_count": t} for i, (a, b, t) in enumerate(pack(list(s), size, overlap))
+                        ] for s in frame["sizes_"]
+                    ],
+                    **{c: frame[c] for c in (*keys, "sentences_")},
+                }
+            )
 
     spans = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("id", "first", "length", "token_count")]))
     out = T.StructType([T.StructField("chunks_", spans), *(rows.schema[c] for c in (*keys, "sentences_"))])
     found = rows.mapInPandas(fold, out).select(*keys, "sentences_", F.explode("chunks_").alias("c"))
-    return found.select(*keys, "c.id", F.array_join(F.slice("sentences_", F.col("c.first"), F.col("c.length")), " ").alias("text"), "c.token_count", F.col("c.length").alias("sentence_count"))
+    return found.select(
+        *keys,
+        "c.id",
+        F.array_join(F.slice("sentences_", F.col("c.first"), F.col("c.length")), " ").alias("text"),
+        "c.token_count",
+        F.col("c.length").alias("sentence_count"),
+    )

@@ -70,7 +70,9 @@ def synonym_expanded_search(s: SparkSession, d: str) -> DataFrame:
 
 
 def _vectors(s: SparkSession, d: str) -> DataFrame:
-    return I.table(s, d, "embeddings").select(F.concat(F.lit("l"), F.col("label").cast("string")).alias("company"), F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return I.table(s, d, "embeddings").select(
+        F.concat(F.lit("l"), F.col("label").cast("string")).alias("company"), F.col("vec_id").alias("id"), F.col("embedding").alias("vector")
+    )
 
 
 def dense_topk(s: SparkSession, d: str) -> DataFrame:
@@ -88,7 +90,9 @@ def hybrid_topk(s: SparkSession, d: str) -> DataFrame:
     """BM25 over the documents' texts beside the cosine of their vectors."""
     chunks = I.chunks(s, d)
     vectors = I.table(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")).join(chunks.select("company", "id"), "id")
-    queries = I.table(s, d, "embeddings").filter("vec_id in (0, 20)").select(F.when(F.col("vec_id") == 0, "q1").otherwise("q2").alias("query"), F.col("embedding").alias("vector"))
+    queries = I.table(s, d, "embeddings").filter("vec_id in (0, 20)").select(
+        F.when(F.col("vec_id") == 0, "q1").otherwise("q2").alias("query"), F.col("embedding").alias("vector")
+    )
     search = S.retriever("hybrid", vectors, queries)
     return search(chunks, S.make_queries(s, {"q1": "the of and", "q2": "license version"}), 3).select("company", "query", "id", _score(), "rank")
 
@@ -130,7 +134,9 @@ def clean_text(s: SparkSession, d: str) -> DataFrame:
 
 def line_noise_filter(s: SparkSession, d: str) -> DataFrame:
     cleaned = I.table(s, d, "documents").select("doc_id", X.clean_text("text").alias("t"))
-    return cleaned.filter(F.length(X.strip("t")) > 0).select("doc_id", F.length("t").cast("long").alias("n_clean"), F.size(X.lines("t")).cast("long").alias("n_lines"))
+    return cleaned.filter(F.length(X.strip("t")) > 0).select(
+        "doc_id", F.length("t").cast("long").alias("n_clean"), F.size(X.lines("t")).cast("long").alias("n_lines")
+    )
 
 
 def section_headers(s: SparkSession, d: str) -> DataFrame:
@@ -138,7 +144,9 @@ def section_headers(s: SparkSession, d: str) -> DataFrame:
 
 
 def table_runs(s: SparkSession, d: str) -> DataFrame:
-    return T.tables(I.formed(s, d), ["doc_id"]).select("doc_id", F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"), "content")
+    return T.tables(I.formed(s, d), ["doc_id"]).select(
+        "doc_id", F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"), "content"
+    )
 
 
 def table_header_asof(s: SparkSession, d: str) -> DataFrame:
@@ -146,7 +154,9 @@ def table_header_asof(s: SparkSession, d: str) -> DataFrame:
 
 
 def section_rollup(s: SparkSession, d: str) -> DataFrame:
-    return T.sections(I.formed(s, d), ["doc_id"]).select("doc_id", F.col("seq").cast("long").alias("seq"), "type", "header", F.md5("content").alias("content_md5"))
+    return T.sections(I.formed(s, d), ["doc_id"]).select(
+        "doc_id", F.col("seq").cast("long").alias("seq"), "type", "header", F.md5("content").alias("content_md5")
+    )
 
 
 def document_structure(s: SparkSession, d: str) -> DataFrame:
@@ -154,11 +164,19 @@ def document_structure(s: SparkSession, d: str) -> DataFrame:
 
 
 def sentence_split(s: SparkSession, d: str) -> DataFrame:
-    return I.table(s, d, "documents").select("doc_id", F.posexplode(X.sentences("text")).alias("n", "sentence")).select("doc_id", F.col("n").cast("long").alias("n"), "sentence")
+    return I.table(s, d, "documents").select(
+        "doc_id", F.posexplode(X.sentences("text")).alias("n", "sentence")
+    ).select("doc_id", F.col("n").cast("long").alias("n"), "sentence")
 
 
 def sentence_chunks(s: SparkSession, d: str) -> DataFrame:
-    return T.sentence_chunks(I.table(s, d, "documents"), ["doc_id"], 60, 15).select("doc_id", F.col("id").cast("long").alias("id"), F.md5("text").alias("text_md5"), F.col("token_count").cast("long").alias("token_count"), F.col("sentence_count").cast("long").alias("sentence_count"))
+    return T.sentence_chunks(I.table(s, d, "documents"), ["doc_id"], 60, 15).select(
+        "doc_id",
+        F.col("id").cast("long").alias("id"),
+        F.md5("text").alias("text_md5"),
+        F.col("token_count").cast("long").alias("token_count"),
+        F.col("sentence_count").cast("long").alias("sentence_count"),
+    )
 
 
 def language_profile(s: SparkSession, d: str) -> DataFrame:
@@ -175,15 +193,29 @@ def safe_names(s: SparkSession, d: str) -> DataFrame:
 
 def company_concat(s: SparkSession, d: str) -> DataFrame:
     out = C.company_docs(I.files(s, d))
-    return out.select("company", F.md5("full_text").alias("text_md5"), F.size("source_files").cast("long").alias("n_files"), F.col("total_chars").cast("long").alias("total_chars"), F.col("total_tokens").cast("long").alias("total_tokens"))
+    return out.select(
+        "company",
+        F.md5("full_text").alias("text_md5"),
+        F.size("source_files").cast("long").alias("n_files"),
+        F.col("total_chars").cast("long").alias("total_chars"),
+        F.col("total_tokens").cast("long").alias("total_tokens"),
+    )
 
 
 def source_offsets(s: SparkSession, d: str) -> DataFrame:
-    return C.source_offsets(I.files(s, d)).select("company", "file", F.col("start_char").cast("long").alias("start_char"), F.col("end_char").cast("long").alias("end_char"))
+    return C.source_offsets(I.files(s, d)).select(
+        "company", "file", F.col("start_char").cast("long").alias("start_char"), F.col("end_char").cast("long").alias("end_char")
+    )
 
 
 def char_windows(s: SparkSession, d: str) -> DataFrame:
-    return C.windows_by_file(I.files(s, d)).select("company", F.col("id").cast("long").alias("id"), F.col("char_start").cast("long").alias("char_start"), F.col("char_end").cast("long").alias("char_end"), F.md5("text").alias("text_md5"))
+    return C.windows_by_file(I.files(s, d)).select(
+        "company",
+        F.col("id").cast("long").alias("id"),
+        F.col("char_start").cast("long").alias("char_start"),
+        F.col("char_end").cast("long").alias("char_end"),
+        F.md5("text").alias("text_md5"),
+    )
 
 
 def _docs(s: SparkSession, d: str) -> DataFrame:
@@ -191,17 +223,29 @@ def _docs(s: SparkSession, d: str) -> DataFrame:
 
 
 def token_windows(s: SparkSession, d: str) -> DataFrame:
-    return C.token_windows(_docs(s, d), SMALL).select(F.col("company").alias("doc_id"), F.col("id").cast("long").alias("id"), "token_start", "token_end", F.col("char_start").cast("long").alias("char_start"), F.md5("text").alias("text_md5"), "is_last")
+    return C.token_windows(_docs(s, d), SMALL).select(
+        F.col("company").alias("doc_id"),
+        F.col("id").cast("long").alias("id"),
+        "token_start",
+        "token_end",
+        F.col("char_start").cast("long").alias("char_start"),
+        F.md5("text").alias("text_md5"),
+        "is_last",
+    )
 
 
 def chunk_source_overlap(s: SparkSession, d: str) -> DataFrame:
     files = I.files(s, d)
-    return C.with_sources(C.windows_by_file(files), C.source_offsets(files)).select("company", F.col("id").cast("long").alias("id"), F.array_join("source_files", "|").alias("source_files"))
+    return C.with_sources(C.windows_by_file(files), C.source_offsets(files)).select(
+        "company", F.col("id").cast("long").alias("id"), F.array_join("source_files", "|").alias("source_files")
+    )
 
 
 def source_chunk_range(s: SparkSession, d: str) -> DataFrame:
     files = I.files(s, d)
-    return C.source_ranges(C.windows_by_file(files), C.source_offsets(files)).select("company", "file", F.col("start_chunk").cast("long").alias("start_chunk"), F.col("end_chunk").cast("long").alias("end_chunk"))
+    return C.source_ranges(C.windows_by_file(files), C.source_offsets(files)).select(
+        "company", "file", F.col("start_chunk").cast("long").alias("start_chunk"), F.col("end_chunk").cast("long").alias("end_chunk")
+    )
 
 
 def coverage_gaps(s: SparkSession, d: str) -> DataFrame:
@@ -239,10 +283,25 @@ def companies(s: SparkSession, d: str) -> DataFrame:
 
 # --- normalisers -----------------------------------------------------------------------------------------------------
 
-DATES = "case o_orderkey % 9 when 0 then date_format(o_orderdate, 'MM/yyyy') when 1 then date_format(o_orderdate, 'yyyy-MM-dd') when 2 then date_format(o_orderdate, 'd') || ' March ' || date_format(o_orderdate, 'yyyy') when 3 then 'Q' || cast(o_orderkey % 4 + 1 as string) || ' ' || date_format(o_orderdate, 'yyyy') when 4 then date_format(o_orderdate, 'dd/MM/yyyy') when 5 then ' ' || date_format(o_orderdate, 'yyyy') || ' ' when 6 then 'signed in sept ' || date_format(o_orderdate, 'yyyy') when 7 then '13/' || date_format(o_orderdate, 'yyyy') else 'NOT_FOUND' end"
-PERCENTS = "case l_linenumber % 6 when 0 then cast(cast(l_quantity as int) as string) || ' bps' when 1 then cast(l_tax as string) || '%' when 2 then cast(cast(l_quantity as int) as string) || ' per cent of it' when 3 then cast(cast(l_quantity as int) as string) when 4 then cast(cast(l_quantity as int) as string) || ' Basis  Points' else 'N/A' end"
-RATIOS = "case p_size % 5 when 0 then cast(p_size as string) || '.25:1' when 1 then cast(p_size as string) || '.5X' when 2 then cast(p_size as string) || ' to 1' when 3 then cast(p_size as string) || '%' else ' ' || p_brand || ' ' end"
-YESNO = "case c_custkey % 9 when 0 then 'TRUE' when 1 then 'Yes, see 4' when 2 then 'none' when 3 then 'Norway' when 4 then 'N/A' when 5 then ' y ' when 6 then 'Not applicable' when 7 then null else c_mktsegment end"
+DATES = (
+    "case o_orderkey % 9 when 0 then date_format(o_orderdate, 'MM/yyyy') when 1 then date_format(o_orderdate, 'yyyy-MM-dd') when 2 then"
+    " date_format(o_orderdate, 'd') || ' March ' || date_format(o_orderdate, 'yyyy') when 3 then 'Q' || cast(o_orderkey % 4 + 1 as string) || ' ' ||"
+    " date_format(o_orderdate, 'yyyy') when 4 then date_format(o_orderdate, 'dd/MM/yyyy') when 5 then ' ' || date_format(o_orderdate, 'yyyy') || ' '"
+    " when 6 then 'signed in sept ' || date_format(o_orderdate, 'yyyy') when 7 then '13/' || date_format(o_orderdate, 'yyyy') else 'NOT_FOUND' end"
+)
+PERCENTS = (
+    "case l_linenumber % 6 when 0 then cast(cast(l_quantity as int) as string) || ' bps' when 1 then cast(l_tax as string) || '%' when 2 then"
+    " cast(cast(l_quantity as int) as string) || ' per cent of it' when 3 then cast(cast(l_quantity as int) as string) when 4 then"
+    " cast(cast(l_quantity as int) as string) || ' Basis  Points' else 'N/A' end"
+)
+RATIOS = (
+    "case p_size % 5 when 0 then cast(p_size as string) || '.25:1' when 1 then cast(p_size as string) || '.5X' when 2 then cast(p_size as string) ||"
+    " ' to 1' when 3 then cast(p_size as string) || '%' else ' ' || p_brand || ' ' end"
+)
+YESNO = (
+    "case c_custkey % 9 when 0 then 'TRUE' when 1 then 'Yes, see 4' when 2 then 'none' when 3 then 'Norway' when 4 then 'N/A' when 5 then ' y ' when"
+    " 6 then 'Not applicable' when 7 then null else c_mktsegment end"
+)
 
 
 def norm_date(s: SparkSession, d: str) -> DataFrame:
@@ -262,10 +321,15 @@ def norm_yes_no(s: SparkSession, d: str) -> DataFrame:
 
 
 def norm_dispatch(s: SparkSession, d: str) -> DataFrame:
-    field = F.element_at(F.array(*(F.lit(f) for f in ("Spread [%]", "Hedging: effective date", "Is facility syndicated?", "Borrower name"))), (F.col("c_custkey") % 4 + 1).cast("int"))
+    field = F.element_at(
+        F.array(*(F.lit(f) for f in ("Spread [%]", "Hedging: effective date", "Is facility syndicated?", "Borrower name"))),
+        (F.col("c_custkey") % 4 + 1).cast("int"),
+    )
     raw = F.expr("case c_custkey % 3 when 0 then ' 250bps ' when 1 then '2024-05-01' else 'yes of course' end")
     rows = I.table(s, d, "customer").select("c_custkey", field.alias("field"), raw.alias("raw"))
-    return rows.join(F.broadcast(R.fields(s).select("field", "kind")), "field").select("c_custkey", "field", "kind", N.normalize_value(F.col("kind"), "raw").alias("value"))
+    return rows.join(F.broadcast(R.fields(s).select("field", "kind")), "field").select(
+        "c_custkey", "field", "kind", N.normalize_value(F.col("kind"), "raw").alias("value")
+    )
 
 
 # --- quality ---------------------------------------------------------------------------------------------------------
@@ -292,7 +356,9 @@ def quality_by_field(s: SparkSession, d: str) -> DataFrame:
 
 
 def quality_by_company(s: SparkSession, d: str) -> DataFrame:
-    return Q.by_company(_found(s, d)).withColumn("facility_index", F.col("facility_index").cast("long")).withColumn("accuracy", F.round("accuracy", 6)).withColumn("coverage", F.round("coverage", 6))
+    return Q.by_company(_found(s, d)).withColumn(
+        "facility_index", F.col("facility_index").cast("long")
+    ).withColumn("accuracy", F.round("accuracy", 6)).withColumn("coverage", F.round("coverage", 6))
 
 
 def mismatch_detail(s: SparkSession, d: str) -> DataFrame:
@@ -309,13 +375,28 @@ def company_join_contains(s: SparkSession, d: str) -> DataFrame:
 
 def positional_pairing(s: SparkSession, d: str) -> DataFrame:
     rows = Q.pair_rows(_golden(s, d), I.sql_view(s, d, "customer", I.EXTRACTED))
-    return rows.select("company", F.col("facility_index").cast("long").alias("facility_index"), "matched", F.col("g.ord").alias("golden_ord"), F.coalesce("e.ord", F.lit(-1)).alias("extracted_ord"))
+    return rows.select(
+        "company",
+        F.col("facility_index").cast("long").alias("facility_index"),
+        "matched",
+        F.col("g.ord").alias("golden_ord"),
+        F.coalesce("e.ord", F.lit(-1)).alias("extracted_ord"),
+    )
 
 
 def conform_golden(s: SparkSession, d: str) -> DataFrame:
-    raw = _golden(s, d).select(F.col("company").alias("Client Folder"), F.col("name").alias("borrower NAME"), F.col("amount").alias("Limit"), F.col("ord").alias("extra"))
+    raw = _golden(s, d).select(
+        F.col("company").alias("Client Folder"), F.col("name").alias("borrower NAME"), F.col("amount").alias("Limit"), F.col("ord").alias("extra")
+    )
     out = Q.conform(raw, {"Limit": "Credit limit ['000]"})
-    return out.select(F.col("`Client Folder`").alias("client"), F.col("`Borrower name`").alias("borrower"), F.col("`Credit limit ['000]`").alias("amount"), F.col("`Spread [%]`").alias("spread"), "extra", F.lit(len(out.columns)).cast("long").alias("n_columns"))
+    return out.select(
+        F.col("`Client Folder`").alias("client"),
+        F.col("`Borrower name`").alias("borrower"),
+        F.col("`Credit limit ['000]`").alias("amount"),
+        F.col("`Spread [%]`").alias("spread"),
+        "extra",
+        F.lit(len(out.columns)).cast("long").alias("n_columns"),
+    )
 
 
 # --- extraction ------------------------------------------------------------------------------------------------------
@@ -341,7 +422,9 @@ def complete_calls(s: SparkSession, d: str) -> DataFrame:
 
 def apply_corrections(s: SparkSession, d: str) -> DataFrame:
     merged = E.merge_passes(_passes(s, d))
-    fixes = merged.filter("field = 'Spread [%]' and value = '250 bps'").select("company", "facility_idx", "field", F.lit("1.00%").alias("verified_value"), F.lit("see clause").alias("correction_reason"))
+    fixes = merged.filter("field = 'Spread [%]' and value = '250 bps'").select(
+        "company", "facility_idx", "field", F.lit("1.00%").alias("verified_value"), F.lit("see clause").alias("correction_reason")
+    )
     return E.apply_corrections(merged, fixes).select("company", "facility_idx", "field", "value", "evidence", "confidence")
 
 
@@ -365,7 +448,9 @@ def facility_pivot(s: SparkSession, d: str) -> DataFrame:
 
 
 def deep_targets(s: SparkSession, d: str) -> DataFrame:
-    return D.deep_targets(E.merge_passes(_passes(s, d)), R.fields(s), EngineConfig(deep_fields_per_facility=2)).select("company", "facility_idx", "field", "priority")
+    return D.deep_targets(
+        E.merge_passes(_passes(s, d)), R.fields(s), EngineConfig(deep_fields_per_facility=2)
+    ).select("company", "facility_idx", "field", "priority")
 
 
 RULES = """select 'c' as company, cast(o_orderkey as int) as facility_idx, stack(6,
@@ -375,7 +460,9 @@ RULES = """select 'c' as company, cast(o_orderkey as int) as facility_idx, stack
 
 
 def _ruled(s: SparkSession, d: str) -> DataFrame:
-    return I.sql_view(s, d, "orders", RULES).select("company", "facility_idx", F.lit("g").alias("group"), "field", "value", F.lit("e").alias("evidence"), F.lit("HIGH").alias("confidence"))
+    return I.sql_view(s, d, "orders", RULES).select(
+        "company", "facility_idx", F.lit("g").alias("group"), "field", "value", F.lit("e").alias("evidence"), F.lit("HIGH").alias("confidence")
+    )
 
 
 def cross_reference_rules(s: SparkSession, d: str) -> DataFrame:
@@ -409,13 +496,26 @@ def schema_validate(s: SparkSession, d: str) -> DataFrame:
 def fuzzy_key_remap(s: SparkSession, d: str) -> DataFrame:
     """Keys that differ from the expected by an ending, by words, and beyond recognition."""
     expected = F.array(*(F.lit(f) for f in ("Type of tranche", "Credit limit amount", "Sponsor Name")))
-    present = F.array(F.when(F.col("n_nationkey") % 2 == 0, "type of tranche used").otherwise("Type"), F.when(F.col("n_nationkey") % 3 == 0, "limit of credit").otherwise("Limit"), F.when(F.col("n_nationkey") % 5 == 0, "Sponsor Name").otherwise("sponsor"))
+    present = F.array(
+        F.when(F.col("n_nationkey") % 2 == 0, "type of tranche used").otherwise("Type"),
+        F.when(F.col("n_nationkey") % 3 == 0, "limit of credit").otherwise("Limit"),
+        F.when(F.col("n_nationkey") % 5 == 0, "Sponsor Name").otherwise("sponsor"),
+    )
     out = I.table(s, d, "nation").select("n_nationkey", J.remap(present, expected).alias("m"))
-    return out.select("n_nationkey", *(F.try_element_at("m", F.lit(f)).alias(n) for f, n in (("Type of tranche", "tranche"), ("Credit limit amount", "amount"), ("Sponsor Name", "sponsor"))))
+    return out.select(
+        "n_nationkey",
+        *(
+            F.try_element_at("m", F.lit(f)).alias(n) for f, n in (
+                ("Type of tranche", "tranche"), ("Credit limit amount", "amount"), ("Sponsor Name", "sponsor")
+            )
+        ),
+    )
 
 
 def pattern_candidates(s: SparkSession, d: str) -> DataFrame:
-    return D.pattern_candidates(I.documents(s, d, text=I.PHRASED), "doc_id", "text").select("doc_id", "field", F.array_join("candidates", ";").alias("candidates"))
+    return D.pattern_candidates(I.documents(s, d, text=I.PHRASED), "doc_id", "text").select(
+        "doc_id", "field", F.array_join("candidates", ";").alias("candidates")
+    )
 
 
 def table_cell_lookup(s: SparkSession, d: str) -> DataFrame:
@@ -429,9 +529,24 @@ def field_group_extraction(s: SparkSession, d: str) -> DataFrame:
 
 
 def row_normalise(s: SparkSession, d: str) -> DataFrame:
-    rows = I.table(s, d, "customer").select("c_custkey", F.create_map(F.lit("Spread [%]"), F.lit("75bps"), F.lit("Hedging: effective date"), F.lit("May 2021"), F.lit("Borrower name"), F.concat(F.lit(" "), "c_name")).alias("row"))
+    rows = I.table(s, d, "customer").select(
+        "c_custkey",
+        F.create_map(
+            F.lit("Spread [%]"),
+            F.lit("75bps"),
+            F.lit("Hedging: effective date"),
+            F.lit("May 2021"),
+            F.lit("Borrower name"),
+            F.concat(F.lit(" "), "c_name"),
+        ).alias("row"),
+    )
     out = rows.select("c_custkey", N.normalize_row("row").alias("m"))
-    return out.select("c_custkey", F.col("m")["Spread [%]"].alias("spread"), F.col("m")["Hedging: effective date"].alias("date"), F.col("m")["Borrower name"].alias("borrower"))
+    return out.select(
+        "c_custkey",
+        F.col("m")["Spread [%]"].alias("spread"),
+        F.col("m")["Hedging: effective date"].alias("date"),
+        F.col("m")["Borrower name"].alias("borrower"),
+    )
 
 
 def annotated_chunks(s: SparkSession, d: str) -> DataFrame:
@@ -458,7 +573,14 @@ class Unsure(E.RuleExtractor):
 
 
 def _formed_calls(s: SparkSession, d: str) -> DataFrame:
-    return I.formed(s, d).select(F.lit("c").alias("company"), F.col("doc_id").cast("int").alias("facility_idx"), F.lit("pricing").alias("group"), F.lit(0).alias("pass_idx"), F.lit("Facility A").alias("facility"), F.array("text").alias("texts"))
+    return I.formed(s, d).select(
+        F.lit("c").alias("company"),
+        F.col("doc_id").cast("int").alias("facility_idx"),
+        F.lit("pricing").alias("group"),
+        F.lit(0).alias("pass_idx"),
+        F.lit("Facility A").alias("facility"),
+        F.array("text").alias("texts"),
+    )
 
 
 def retried_extraction(s: SparkSession, d: str) -> DataFrame:
@@ -472,7 +594,15 @@ def verification_pass(s: SparkSession, d: str) -> DataFrame:
     """Values checked against whole texts; wrong ones (of odd documents) corrected."""
     value = "case when doc_id % 2 = 0 then cast(doc_id % 7 as string) || '.25%' else '99.99%' end"
     rows = I.documents(s, d, value=value, text=I.FORMED).withColumn("company", F.col("doc_id").cast("string"))
-    found = rows.select("company", F.lit(0).alias("facility_idx"), F.lit("pricing").alias("group"), F.lit("Spread [%]").alias("field"), "value", F.lit("e").alias("evidence"), F.lit("HIGH").alias("confidence"))
+    found = rows.select(
+        "company",
+        F.lit(0).alias("facility_idx"),
+        F.lit("pricing").alias("group"),
+        F.lit("Spread [%]").alias("field"),
+        "value",
+        F.lit("e").alias("evidence"),
+        F.lit("HIGH").alias("confidence"),
+    )
     answers = E.call_model(E.verification_prompts(found, rows.select("company", "text")), None, "verified_fields")
     return E.apply_corrections(found, E.corrections(answers)).select("company", "value", "evidence", "confidence")
 
@@ -490,9 +620,16 @@ def deep_single_field(s: SparkSession, d: str) -> DataFrame:
 
 def end_to_end(s: SparkSession, d: str) -> DataFrame:
     """The whole way for each document as a company: facilities, all fields, checks, second attempts, rows."""
-    files = I.documents(s, d, text=f"{I.FACILITY_LINES} || {I.FORMED}").select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("company"), F.lit(0).alias("ord"), F.lit("a.txt").alias("file"), "text")
+    files = I.documents(s, d, text=f"{I.FACILITY_LINES} || {I.FORMED}").select(
+        F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("company"), F.lit(0).alias("ord"), F.lit("a.txt").alias("file"), "text"
+    )
     rows = document.run(s, files).rows
-    return rows.groupBy(F.col("`Client Folder`").alias("client")).agg(F.count(F.lit(1)).alias("facilities"), F.min("`Spread [%]`").alias("least_spread"), F.max("`Spread [%]`").alias("most_spread"), F.min("`Source Files`").alias("files"))
+    return rows.groupBy(F.col("`Client Folder`").alias("client")).agg(
+        F.count(F.lit(1)).alias("facilities"),
+        F.min("`Spread [%]`").alias("least_spread"),
+        F.max("`Spread [%]`").alias("most_spread"),
+        F.min("`Source Files`").alias("files"),
+    )
 
 
 # --- sources and sinks -----------------------------------------------------------------------------------------------
@@ -501,23 +638,38 @@ def end_to_end(s: SparkSession, d: str) -> DataFrame:
 def csv_round_trip(s: SparkSession, d: str) -> DataFrame:
     """Rows in the output's columns, written as CSV and read back as strings."""
     path = shared_folder(s, "csv")
-    out = Q.conform(_golden(s, d).select(F.col("company").alias("Client Folder"), F.col("name").alias("Borrower name"), F.concat(F.lit('say "a", '), F.coalesce("amount", F.lit(""))).alias("Comments")))
+    out = Q.conform(
+        _golden(s, d).select(
+            F.col("company").alias("Client Folder"),
+            F.col("name").alias("Borrower name"),
+            F.concat(F.lit('say "a", '), F.coalesce("amount", F.lit(""))).alias("Comments"),
+        )
+    )
     sinks.write_csv(out, path)
     back = readers.read_csv(s, path)
-    return back.select(F.col("`Client Folder`").alias("client"), F.coalesce("Borrower name", F.lit("")).alias("borrower"), F.col("Comments").alias("comments"), F.lit(len(back.columns)).cast("long").alias("n_columns"))
+    return back.select(
+        F.col("`Client Folder`").alias("client"),
+        F.coalesce("Borrower name", F.lit("")).alias("borrower"),
+        F.col("Comments").alias("comments"),
+        F.lit(len(back.columns)).cast("long").alias("n_columns"),
+    )
 
 
 def tables_round_trip(s: SparkSession, d: str) -> DataFrame:
     """Offsets written one folder a company, and read back."""
     path = shared_folder(s, "tables")
     sinks.write_table(C.source_offsets(I.files(s, d)), path)
-    return s.read.parquet(path).select("company", "file", F.col("start_char").cast("long").alias("start_char"), F.col("end_char").cast("long").alias("end_char"))
+    return s.read.parquet(path).select(
+        "company", "file", F.col("start_char").cast("long").alias("start_char"), F.col("end_char").cast("long").alias("end_char")
+    )
 
 
 def scanned_tree(s: SparkSession, d: str) -> DataFrame:
     """A tree of text files, a folder a nation, scanned and read."""
     path = shared_folder(s, "tree")
-    rows = I.table(s, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("folder"), F.concat(F.lit("text of "), "n_name").alias("text"))
+    rows = I.table(s, d, "nation").select(
+        F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("folder"), F.concat(F.lit("text of "), "n_name").alias("text")
+    )
     rows.write.partitionBy("folder").text(path)
     return readers.read_documents(readers.scan(s, path)).select("company", F.col("metadata")["type"].alias("type"), X.strip("text").alias("text"))
 
@@ -531,7 +683,12 @@ def json_round_trip(s: SparkSession, d: str) -> DataFrame:
 
 
 def coverage_report(s: SparkSession, d: str) -> DataFrame:
-    return Q.coverage_report(_golden(s, d), I.QUALITY_FIELDS).select(F.col("total_rows").cast("long").alias("total_rows"), F.col("total_fields").cast("long").alias("total_fields"), F.array_join("low_coverage_fields", ",").alias("low"), F.array_join("high_coverage_fields", ",").alias("high"))
+    return Q.coverage_report(_golden(s, d), I.QUALITY_FIELDS).select(
+        F.col("total_rows").cast("long").alias("total_rows"),
+        F.col("total_fields").cast("long").alias("total_fields"),
+        F.array_join("low_coverage_fields", ",").alias("low"),
+        F.array_join("high_coverage_fields", ",").alias("high"),
+    )
 
 
 def embedding_store(s: SparkSession, d: str) -> DataFrame:
@@ -546,7 +703,9 @@ VERIFIED = """'{"verified_fields": {"Spread [%]": {"original_value": "1", "verif
 
 
 def verification_corrections(s: SparkSession, d: str) -> DataFrame:
-    return E.corrections(I.table(s, d, "nation").select(F.col("n_name").alias("company"), F.lit(0).alias("facility_idx"), F.expr(VERIFIED).alias("response"))).select("company", "field", "verified_value", "correction_reason")
+    return E.corrections(
+        I.table(s, d, "nation").select(F.col("n_name").alias("company"), F.lit(0).alias("facility_idx"), F.expr(VERIFIED).alias("response"))
+    ).select("company", "field", "verified_value", "correction_reason")
 
 
 def group_flatten(s: SparkSession, d: str) -> DataFrame:
@@ -556,12 +715,16 @@ def group_flatten(s: SparkSession, d: str) -> DataFrame:
 
 
 def event_windows(s: SparkSession, d: str) -> DataFrame:
-    return ingest.event_windows(I.table(s, d, "events")).select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+    return ingest.event_windows(I.table(s, d, "events")).select(
+        F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", F.round("total", 4).alias("total")
+    )
 
 
 def few_shot_prompt(s: SparkSession, d: str) -> DataFrame:
     example = E.format_example(F.col("text"), F.lit("{}"))
-    return I.documents(s, d, text="coalesce(text, '')").select("doc_id", F.md5(E.with_examples(F.lit("ask\nDOCUMENT TEXT:\nx DOCUMENT TEXT: y"), example)).alias("prompt_md5"))
+    return I.documents(s, d, text="coalesce(text, '')").select(
+        "doc_id", F.md5(E.with_examples(F.lit("ask\nDOCUMENT TEXT:\nx DOCUMENT TEXT: y"), example)).alias("prompt_md5")
+    )
 
 
 NAMES = """row_normalise annotated_chunks facility_detection verification_corrections group_flatten event_windows few_shot_prompt bm25_topk bm25_term_stats bm25_doc_stats bm25_multi_query_topk group_query_topk synonym_lookup synonym_expanded_search dense_topk minmax_scores hybrid_topk facility_candidates_dedupe greedy_token_budget

@@ -65,7 +65,9 @@ def group_contexts(chunks: DataFrame, search: Searcher, config: EngineConfig) ->
     """(contexts by company and group, the retrieved texts)."""
     hits = search({g: S.group_query(words, own) for g, _, words, own in R.GROUPS}, config.max_chunks_per_group)
     texts = kept(hits.join(chunks.select("company", "id", "text"), ["company", "id"]))
-    return texts.groupBy("company", F.col("query").alias("group")).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "text"))), lambda s: s["text"]).alias("texts")), texts
+    return texts.groupBy("company", F.col("query").alias("group")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("rank", "text"))), lambda s: s["text"]).alias("texts")
+    ), texts
 
 
 def verify(extractions: DataFrame, chunks: DataFrame, docs: DataFrame, model: type | None, config: EngineConfig) -> tuple[DataFrame, DataFrame]:
@@ -73,8 +75,12 @@ def verify(extractions: DataFrame, chunks: DataFrame, docs: DataFrame, model: ty
     order = extractions.sparkSession.createDataFrame([(f, i) for i, f in enumerate(R.FIELDS)], "field string, ord int")
     found = extractions.filter(~F.coalesce("value", F.lit("")).isin(*R.MISSING_IN_CONFIDENCE)).join(F.broadcast(order), "field")
     first = found.withColumn("n_", F.row_number().over(Window.partitionBy("company").orderBy("facility_idx", "ord"))).filter("n_ <= 8")
-    asked = first.select("company", F.col("n_").alias("query"), F.explode(X.tokens(F.concat_ws(" ", "field", "value"))).alias("term")).groupBy("company", "query", "term").agg(F.count(F.lit(1)).cast("int").alias("qtf"))
-    hits = S.top_k(S.bm25_scores(chunks, asked, config), 2).join(chunks.select("company", "id", "text"), ["company", "id"]).select("company", F.col("query").alias("nth"), "rank", "text")
+    asked = first.select(
+        "company", F.col("n_").alias("query"), F.explode(X.tokens(F.concat_ws(" ", "field", "value"))).alias("term")
+    ).groupBy("company", "query", "term").agg(F.count(F.lit(1)).cast("int").alias("qtf"))
+    hits = S.top_k(S.bm25_scores(chunks, asked, config), 2).join(
+        chunks.select("company", "id", "text"), ["company", "id"]
+    ).select("company", F.col("query").alias("nth"), "rank", "text")
     contexts = S.verification_context(hits, docs, config)
     answers = kept(E.call_model(E.verification_prompts(extractions, contexts), model, "verified_fields"))
     return E.apply_corrections(extractions, E.corrections(answers)), answers
@@ -88,12 +94,18 @@ def field_contexts(spark: SparkSession, targets: DataFrame, chunks: DataFrame, s
     hits = search(texts, k).unionByName(search(more, k // 2))
     names = spark.createDataFrame([(str(i), f) for f, i in numbers.items()], "n_ string, field string")
     parts = F.split("query", r"\|")
-    named = hits.select("company", "id", "rank", parts[0].cast("int").alias("strategy"), parts[1].alias("n_")).join(F.broadcast(names), "n_").join(targets.select("company", "field").distinct(), ["company", "field"], "left_semi")
+    named = hits.select(
+        "company", "id", "rank", parts[0].cast("int").alias("strategy"), parts[1].alias("n_")
+    ).join(F.broadcast(names), "n_").join(targets.select("company", "field").distinct(), ["company", "field"], "left_semi")
     rows = S.context_union(named.join(chunks.select("company", "id", "text"), ["company", "id"]), k)
-    return rows.groupBy("company", "field").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda s: s["text"]), "\n\n").alias("text"))
+    return rows.groupBy("company", "field").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda s: s["text"]), "\n\n").alias("text")
+    )
 
 
-def deepen(spark: SparkSession, extractions: DataFrame, files: DataFrame, chunks: DataFrame, search: Searcher, model: type | None, config: EngineConfig) -> tuple[DataFrame, DataFrame]:
+def deepen(
+    spark: SparkSession, extractions: DataFrame, files: DataFrame, chunks: DataFrame, search: Searcher, model: type | None, config: EngineConfig
+) -> tuple[DataFrame, DataFrame]:
     """(extractions, answers): a second attempt at what is missing, one field at a time."""
     fields = R.fields(spark)
     targets = kept(D.deep_targets(extractions, fields, config))
@@ -112,11 +124,15 @@ def run(spark: SparkSession, files: DataFrame, model: type | None = None, config
     search = searcher(spark, chunks, config, embedder)
     facilities, detected = detect(spark, files, chunks, search, model, config)
     contexts, texts = group_contexts(chunks, search, config)
-    named = facilities.withColumn("facility", F.when(F.count(F.lit(1)).over(Window.partitionBy("company")) > 1, F.col("name"))).select("company", "facility_idx", "facility")
+    named = facilities.withColumn(
+        "facility", F.when(F.count(F.lit(1)).over(Window.partitionBy("company")) > 1, F.col("name"))
+    ).select("company", "facility_idx", "facility")
     calls = named.join(contexts, "company").withColumn("pass_idx", F.lit(0))
     first = kept(E.call_model(E.prompts(calls, groups, config), model, "fields"))
     sections = C.section_windows(chunks, texts.select("company", "text"), config)
-    more = sections.select("company", F.explode("ids").alias("id")).join(chunks.select("company", "id", "text"), ["company", "id"]).groupBy("company").agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda s: s["text"]).alias("texts"))
+    more = sections.select("company", F.explode("ids").alias("id")).join(
+        chunks.select("company", "id", "text"), ["company", "id"]
+    ).groupBy("company").agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda s: s["text"]).alias("texts"))
     passes = E.answers_to_fields(first, fields)
     again = E.still_open(calls.drop("texts", "pass_idx"), passes).join(more, "company").withColumn("pass_idx", F.lit(1))
     second = kept(E.call_model(E.prompts(again, groups, config), model, "fields"))
@@ -127,7 +143,9 @@ def run(spark: SparkSession, files: DataFrame, model: type | None = None, config
     deep = kept(deep)
     checked = D.cross_reference(deep)
     fixed = D.auto_fix(deep, checked)
-    names = C.source_offsets(files).groupBy("company").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "file"))), lambda s: s["file"]), ", ").alias("source_files")).withColumn("comments", F.lit(""))
+    names = C.source_offsets(files).groupBy("company").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "file"))), lambda s: s["file"]), ", ").alias("source_files")
+    ).withColumn("comments", F.lit(""))
     rows = E.rows_wide(fixed, fields, names, E.company_scores(merged))
     steps = {"facility_detection": detected, "extract": first, "extract_sections": second, "verification": checks, "deep_extract": attempts}
     return Result(fixed, rows, checked, facilities, [E.stored_traces(a, s) for s, a in steps.items()])

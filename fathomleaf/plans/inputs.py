@@ -14,7 +14,12 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def files(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select(F.col("source").alias("company"), F.col("doc_id").alias("ord"), F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file"), "text")
+    return table(spark, d, "documents").select(
+        F.col("source").alias("company"),
+        F.col("doc_id").alias("ord"),
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file"),
+        "text",
+    )
 
 
 def chunks(spark: SparkSession, d: str) -> DataFrame:
@@ -22,7 +27,11 @@ def chunks(spark: SparkSession, d: str) -> DataFrame:
 
 
 #: Texts with headers and tables, the same in both dialects.
-FORMED = "'SECTION ' || cast(doc_id % 9 + 1 as string) || chr(10) || coalesce(text, '') || chr(10) || 'GENERAL TERMS AND CONDITIONS' || chr(10) || 'a | b' || chr(10) || 'c | d' || chr(10) || 'Spread [%] | ' || cast(doc_id % 7 as string) || '.25%' || chr(10) || 'closing line' || chr(10) || 'x | y' || chr(10) || 'z | w' || chr(10) || 'q | r'"
+FORMED = (
+    "'SECTION ' || cast(doc_id % 9 + 1 as string) || chr(10) || coalesce(text, '') || chr(10) || 'GENERAL TERMS AND CONDITIONS' || chr(10) || 'a | b'"
+    " || chr(10) || 'c | d' || chr(10) || 'Spread [%] | ' || cast(doc_id % 7 as string) || '.25%' || chr(10) || 'closing line' || chr(10) || 'x | y'"
+    " || chr(10) || 'z | w' || chr(10) || 'q | r'"
+)
 
 
 def formed(spark: SparkSession, d: str) -> DataFrame:
@@ -30,9 +39,15 @@ def formed(spark: SparkSession, d: str) -> DataFrame:
 
 
 #: Lines on facilities: none, one or two.
-FACILITY_LINES = "case when doc_id % 5 = 0 then '' else 'FACILITY: Term Loan A | Term Loan | EUR ' || cast(doc_id as string) || ' | senior' || chr(10) || case when doc_id % 3 = 0 then 'FACILITY: RCF B | RCF | USD 5' || chr(10) else '' end end"
+FACILITY_LINES = (
+    "case when doc_id % 5 = 0 then '' else 'FACILITY: Term Loan A | Term Loan | EUR ' || cast(doc_id as string) || ' | senior' || chr(10) || case"
+    " when doc_id % 3 = 0 then 'FACILITY: RCF B | RCF | USD 5' || chr(10) else '' end end"
+)
 #: A document's text, well before a sentence with values in it.
-PHRASED = "coalesce(text, '') || repeat(' -', 160) || ' The applicable margin is ' || cast(doc_id % 50 as string) || '.5% and the project is located in Spain, then Italy. A spread of 75 bps.'"
+PHRASED = (
+    "coalesce(text, '') || repeat(' -', 160) || ' The applicable margin is ' || cast(doc_id % 50 as string) || '.5% and the project is located in"
+    " Spain, then Italy. A spread of 75 bps.'"
+)
 
 
 def documents(spark: SparkSession, d: str, **columns: str) -> DataFrame:

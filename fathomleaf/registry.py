@@ -120,13 +120,47 @@ ALL_FIELDS = [
 FIELDS = [f for g in GROUPS for f in g[3]]
 GROUP_OF = {f: g[0] for g in GROUPS for f in g[3]}
 # Tokens that a model may answer with, by group.
-MAX_TOKENS = {"basic_info": 1024, "sponsor_info": 768, "project_details": 768, "construction_guarantees": 768, "revenue_mitigants": 1024, "covenants_general": 768, "covenants_ratios": 1024, "syndication_ing": 512, "dates_schedules": 1024, "pricing": 768, "hedging": 1024, "cash_sweep": 768, "fees": 512}
+MAX_TOKENS = {
+    "basic_info": 1024,
+    "sponsor_info": 768,
+    "project_details": 768,
+    "construction_guarantees": 768,
+    "revenue_mitigants": 1024,
+    "covenants_general": 768,
+    "covenants_ratios": 1024,
+    "syndication_ing": 512,
+    "dates_schedules": 1024,
+    "pricing": 768,
+    "hedging": 1024,
+    "cash_sweep": 768,
+    "fees": 512,
+}
 
 # The kinds that the normaliser dispatches on (ratio names outside the registry included).
-DATE_FIELDS = ["Inception date [MM/YYYY] of the facility", "Maturity date [MM/YYYY] of the facility", "Hedging: effective date", "Hedging: maturity date", "If construction needed: Readiness year", "If construction needed: Readiness month"]
+DATE_FIELDS = [
+    "Inception date [MM/YYYY] of the facility",
+    "Maturity date [MM/YYYY] of the facility",
+    "Hedging: effective date",
+    "Hedging: maturity date",
+    "If construction needed: Readiness year",
+    "If construction needed: Readiness month",
+]
 PERCENTAGE_FIELDS = [
-    "Spread [%]", "Fix interest rate [%]", "Interest rate floor %", "Interest rate cap %", "Sponsor ownership [%]", "ING share [%]", "Hedging: fixed rate", "Hedging: % of exposure hedged", "Volume covered by revenue mitigating factors [%]",
-    "For predetermined - additional cash to be paid [%]", "For targeted - target repayment profile [%]", "For transmission asset linked loan - sweep percentage [%]", "Upfront Fee [%]", "Commitment fee [%]", "Letter of credit issuance fee [%]",
+    "Spread [%]",
+    "Fix interest rate [%]",
+    "Interest rate floor %",
+    "Interest rate cap %",
+    "Sponsor ownership [%]",
+    "ING share [%]",
+    "Hedging: fixed rate",
+    "Hedging: % of exposure hedged",
+    "Volume covered by revenue mitigating factors [%]",
+    "For predetermined - additional cash to be paid [%]",
+    "For targeted - target repayment profile [%]",
+    "For transmission asset linked loan - sweep percentage [%]",
+    "Upfront Fee [%]",
+    "Commitment fee [%]",
+    "Letter of credit issuance fee [%]",
 ]
 RATIO_FIELDS = [
     "Covenant leading to dividend lock-up: Backward-looking DSCR (B-DSCR)",
@@ -143,10 +177,23 @@ RATIO_FIELDS = [
     "Covenant leading to default: Net Debt / EBITDA",
 ]
 YES_NO_FIELDS = [
-    "Is a Sponsor linked to the project?", "Is a HoldCo linked to the project?", "If completion guarantees specified?", "If D&C Contractor specified?", "Is there a fixed price, date certain, turnkey contract?", "If revenue mitigating factors specified?",
-    "If DSRA (Debt Service Reserve Account) specified?", "If covenants specified?", "Is facility syndicated?", "if ING commitment specified?", "Is tranche expected to be refinanced?", "Hedging: is the facility hedged?", "Is there a cash sweep mechanism applicable to the facility?",
+    "Is a Sponsor linked to the project?",
+    "Is a HoldCo linked to the project?",
+    "If completion guarantees specified?",
+    "If D&C Contractor specified?",
+    "Is there a fixed price, date certain, turnkey contract?",
+    "If revenue mitigating factors specified?",
+    "If DSRA (Debt Service Reserve Account) specified?",
+    "If covenants specified?",
+    "Is facility syndicated?",
+    "if ING commitment specified?",
+    "Is tranche expected to be refinanced?",
+    "Hedging: is the facility hedged?",
+    "Is there a cash sweep mechanism applicable to the facility?",
 ]
-KIND_OF = dict.fromkeys(YES_NO_FIELDS, "yes_no") | dict.fromkeys(RATIO_FIELDS, "ratio") | dict.fromkeys(PERCENTAGE_FIELDS, "percentage") | dict.fromkeys(DATE_FIELDS, "date")
+KIND_OF = dict.fromkeys(YES_NO_FIELDS, "yes_no") | dict.fromkeys(RATIO_FIELDS, "ratio") | dict.fromkeys(
+    PERCENTAGE_FIELDS, "percentage"
+) | dict.fromkeys(DATE_FIELDS, "date")
 
 # What each operator takes for missing; they differ on purpose.
 MISSING_IN_MERGE = ["NOT_FOUND", "N/A", "", "POSSIBLY_PRESENT"]
@@ -169,7 +216,9 @@ def fields(spark: SparkSession) -> DataFrame:
 def groups(spark: SparkSession) -> DataFrame:
     """(ord, group, name, keywords, fields, descriptions, max_tokens)."""
     rows = [(i, g, name, words, own, [describe(f) for f in own], MAX_TOKENS[g]) for i, (g, name, words, own) in enumerate(GROUPS)]
-    return spark.createDataFrame(rows, "ord int, group string, name string, keywords array<string>, fields array<string>, descriptions array<string>, max_tokens int")
+    return spark.createDataFrame(
+        rows, "ord int, group string, name string, keywords array<string>, fields array<string>, descriptions array<string>, max_tokens int"
+    )
 
 
 # What each field holds, for prompts and for retrieval by description.

@@ -32,7 +32,14 @@ _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 MEMBER = T.StructType([T.StructField("path", T.StringType()), T.StructField("content", T.BinaryType())])
-FILE = T.StructType([T.StructField("company", T.StringType()), T.StructField("original_file", T.StringType()), T.StructField("text", T.StringType()), T.StructField("metadata", T.MapType(T.StringType(), T.StringType()))])
+FILE = T.StructType(
+    [
+        T.StructField("company", T.StringType()),
+        T.StructField("original_file", T.StringType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
+    ]
+)
 
 
 def scan(spark: SparkSession, root: str) -> DataFrame:
@@ -44,7 +51,11 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
     base = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString().rstrip("/") + "/"
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return expand_archives(raw.select(F.when(F.col("path").startswith(base), F.substring("path", len(base) + 1, 1 << 20)).otherwise(F.col("path")).alias("path"), "content"))
+    return expand_archives(
+        raw.select(
+            F.when(F.col("path").startswith(base), F.substring("path", len(base) + 1, 1 << 20)).otherwise(F.col("path")).alias("path"), "content"
+        )
+    )
 
 
 def expand_archives(files: DataFrame) -> DataFrame:
@@ -128,7 +139,9 @@ def read_xlsx_rows(data: bytes) -> dict[str, list[list[str]]]:
     out: dict[str, list[list[str]]] = {}
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         names = set(z.namelist())
-        shared = ["".join(t.text or "" for t in si.iter(f"{_S}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_S}si")] if "xl/sharedStrings.xml" in names else []
+        shared = [
+            "".join(t.text or "" for t in si.iter(f"{_S}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_S}si")
+        ] if "xl/sharedStrings.xml" in names else []
         targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
         for sheet in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_S}sheet"):
             target = targets[sheet.get(f"{_R}id")].lstrip("/")
@@ -222,7 +235,9 @@ def read_msg(data: bytes) -> Extracted:
     import extract_msg
 
     with extract_msg.openMsg(io.BytesIO(data)) as m:
-        return f"[EMAIL]\nSubject: {m.subject}\nFrom: {m.sender}\nDate: {m.date}\n\n{m.body}", {"type": "msg", "subject": str(m.subject), "sender": str(m.sender), "has_attachments": str(bool(m.attachments))}
+        return f"[EMAIL]\nSubject: {m.subject}\nFrom: {m.sender}\nDate: {m.date}\n\n{m.body}", {
+            "type": "msg", "subject": str(m.subject), "sender": str(m.sender), "has_attachments": str(bool(m.attachments))
+        }
 
 
 def png_size(data: bytes) -> tuple[int, int] | None:

@@ -25,7 +25,9 @@ def ordered(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    ordered(df).write.mode("overwrite").option("header", True).option("escape", '"').option("encoding", "UTF-8").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    ordered(df).write.mode("overwrite").option("header", True).option("escape", '"').option("encoding", "UTF-8").option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -12,8 +12,15 @@ def spark():
     from pyspark.sql import SparkSession
 
     s = (
-        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "4g").config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp()}").config("spark.sql.warehouse.dir", tempfile.mkdtemp()).getOrCreate()
+        SparkSession.builder.master("local[4]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp()}")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp())
+        .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

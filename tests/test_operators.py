@@ -55,7 +55,9 @@ def test_tables_at_the_end_are_left_out(spark):
 
 def test_windows_by_file_is_the_concatenation(spark):
     r = random.Random(2)
-    rows = [("c", i * 5000, f"f{i}", "".join(r.choice("ab \n") for _ in range(r.randrange(1, 90))) + "x") for i in range(30)] + [("d", 1, "g", "   "), ("e", 1, "h", None)]
+    rows = [
+        ("c", i * 5000, f"f{i}", "".join(r.choice("ab \n") for _ in range(r.randrange(1, 90))) + "x") for i in range(30)
+    ] + [("d", 1, "g", "   "), ("e", 1, "h", None)]
     files = spark.createDataFrame(rows, "company string, ord long, file string, text string")
     config = EngineConfig(chunk_size=50, chunk_overlap=10)
     full = {x.company: x.full_text for x in C.company_docs(files).collect()}
@@ -68,15 +70,29 @@ def test_windows_by_file_is_the_concatenation(spark):
 
 
 def test_merge_passes(spark):
-    cases = [([("A", "MEDIUM", "x"), ("B", "HIGH", "y")], ("B", "HIGH", "y")), ([("A", "HIGH", "x"), ("B", "HIGH", "xyz")], ("B", "HIGH", "xyz")), ([("A", "HIGH", "xyz"), ("B", "HIGH", "abc")], ("A", "HIGH", "xyz")), ([("A", "LOW", "")], ("NOT_FOUND", "LOW", "")), ([("A", "LOW", "x")], ("A", "LOW", "x")), ([("EXTRACTION_ERROR", "LOW", "")], ("NOT_FOUND", "LOW", "")), ([("POSSIBLY_PRESENT", "HIGH", "z"), ("NOT_FOUND", "LOW", "")], ("POSSIBLY_PRESENT", "LOW", "")), ([("A", "odd", "long evidence")], ("NOT_FOUND", "LOW", ""))]
+    cases = [
+        ([("A", "MEDIUM", "x"), ("B", "HIGH", "y")], ("B", "HIGH", "y")),
+        ([("A", "HIGH", "x"), ("B", "HIGH", "xyz")], ("B", "HIGH", "xyz")),
+        ([("A", "HIGH", "xyz"), ("B", "HIGH", "abc")], ("A", "HIGH", "xyz")),
+        ([("A", "LOW", "")], ("NOT_FOUND", "LOW", "")),
+        ([("A", "LOW", "x")], ("A", "LOW", "x")),
+        ([("EXTRACTION_ERROR", "LOW", "")], ("NOT_FOUND", "LOW", "")),
+        ([("POSSIBLY_PRESENT", "HIGH", "z"), ("NOT_FOUND", "LOW", "")], ("POSSIBLY_PRESENT", "LOW", "")),
+        ([("A", "odd", "long evidence")], ("NOT_FOUND", "LOW", "")),
+    ]
     rows = [("c", i, "g", "f", p, *v) for i, (ps, _) in enumerate(cases) for p, v in enumerate(ps)]
-    df = spark.createDataFrame(rows, "company string, facility_idx int, `group` string, field string, pass_idx int, value string, confidence string, evidence string")
+    df = spark.createDataFrame(
+        rows, "company string, facility_idx int, `group` string, field string, pass_idx int, value string, confidence string, evidence string"
+    )
     got = {r.facility_idx: (r.value, r.confidence, r.evidence) for r in E.merge_passes(df).collect()}
     assert got == {i: w for i, (_, w) in enumerate(cases)}
 
 
 def test_minmax_and_hybrid_rank(spark):
-    df = spark.createDataFrame([("c", "q", 1, 1.0), ("c", "q", 2, 3.0), ("c", "q", 3, 2.0), ("c", "p", 1, 2.0), ("c", "p", 2, 2.0)], "company string, query string, id int, score double")
+    df = spark.createDataFrame(
+        [("c", "q", 1, 1.0), ("c", "q", 2, 3.0), ("c", "q", 3, 2.0), ("c", "p", 1, 2.0), ("c", "p", 2, 2.0)],
+        "company string, query string, id int, score double",
+    )
     got = {(r["query"], r["id"]): r["norm"] for r in S.minmax(df).collect()}
     assert got == {("q", 1): 0.0, ("q", 2): 1.0, ("q", 3): 0.5, ("p", 1): 1.0, ("p", 2): 1.0}
 
@@ -94,10 +110,15 @@ def test_expand_synonyms():
 
 def test_patterns_and_rules(spark):
     assert D.candidates_of("the applicable margin is 2.5% then 75 bps", D.STRATEGIES["Spread [%]"]) == ["2.5", "75"]
-    df = spark.createDataFrame([("c", 0, "g", "Is a Sponsor linked to the project?", "No", "e", "HIGH"), ("c", 0, "g", "Sponsor Name", "Acme", "e", "HIGH")], "company string, facility_idx int, `group` string, field string, value string, evidence string, confidence string")
+    df = spark.createDataFrame(
+        [("c", 0, "g", "Is a Sponsor linked to the project?", "No", "e", "HIGH"), ("c", 0, "g", "Sponsor Name", "Acme", "e", "HIGH")],
+        "company string, facility_idx int, `group` string, field string, value string, evidence string, confidence string",
+    )
     checked = D.cross_reference(df)
     assert checked.first().fixes == ["Is a Sponsor linked to the project?"]
-    assert {(r.field, r.value, r.confidence) for r in D.auto_fix(df, checked).collect()} == {("Is a Sponsor linked to the project?", "Yes", "MEDIUM"), ("Sponsor Name", "Acme", "HIGH")}
+    assert {(r.field, r.value, r.confidence) for r in D.auto_fix(df, checked).collect()} == {
+        ("Is a Sponsor linked to the project?", "Yes", "MEDIUM"), ("Sponsor Name", "Acme", "HIGH")
+    }
 
 
 def test_company_column_and_resolve():
@@ -123,7 +144,10 @@ def test_sources_of_windows_in_one_large_company(spark):
         at += n + r.choice([0, 5])
     refs.append(("cold", "x", 3, 9))
     windows = [("hot", i, i * 6400, i * 6400 + 8000) for i in range(at // 6400 + 1)] + [("cold", 0, 0, 4), ("cold", 1, 9, 12)]
-    got = C.chunk_sources(spark.createDataFrame(windows, "company string, id int, char_start long, char_end long"), spark.createDataFrame(refs, "company string, file string, start_char long, end_char long"))
+    got = C.chunk_sources(
+        spark.createDataFrame(windows, "company string, id int, char_start long, char_end long"),
+        spark.createDataFrame(refs, "company string, file string, start_char long, end_char long"),
+    )
     want = {(c, i, f) for c, i, a, b in windows for d, f, x, y in refs if c == d and x < b and y > a}
     rows = [tuple(x) for x in got.collect()]
     assert len(rows) == len(set(rows)) and set(rows) == want
@@ -154,7 +178,11 @@ def test_companies_meet_by_a_key(spark):
 def test_budget_as_one_by_one(spark):
     r = random.Random(10)
     rows = [("hot", " ".join("x" * r.randrange(0, 40)) + f" {i}", float(r.randrange(5))) for i in range(600)] + [("cold", "a b", 1.0), ("none", "", 1.0)]
-    got = {(x.company, x.place): (x.text, x.tokens) for x in S.pack_budget(spark.createDataFrame(rows, "company string, text string, score double"), 300).collect()}
+    got = {
+        (x.company, x.place): (x.text, x.tokens) for x in S.pack_budget(
+            spark.createDataFrame(rows, "company string, text string, score double"), 300
+        ).collect()
+    }
     want, used = {}, {}
     places = {}
     for c, t, _ in sorted(rows, key=lambda x: (-x[2], x[1])):
@@ -170,9 +198,15 @@ def test_budget_as_one_by_one(spark):
 def test_dense_search_as_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(S, "BLOCK_QUERIES", 5)
     r = random.Random(11)
-    vectors = [(f"c{i % 3}", i, [r.gauss(0, 1) for _ in range(4)]) for i in range(60)] + [("c0", 70, None), ("c0", 71, [1.0]), ("c0", 72, [1.0, None, 0.0, 0.0]), ("c1", 73, [0.0] * 4)]
+    vectors = [(f"c{i % 3}", i, [r.gauss(0, 1) for _ in range(4)]) for i in range(60)] + [
+        ("c0", 70, None), ("c0", 71, [1.0]), ("c0", 72, [1.0, None, 0.0, 0.0]), ("c1", 73, [0.0] * 4)
+    ]
     queries = [(i, vectors[i][2]) for i in range(0, 60, 5)] + [(99, None)]
-    got = S.dense_search(spark.createDataFrame(vectors, "company string, id long, vector array<double>"), spark.createDataFrame(queries, "query long, vector array<double>"), 4).collect()
+    got = S.dense_search(
+        spark.createDataFrame(vectors, "company string, id long, vector array<double>"),
+        spark.createDataFrame(queries, "query long, vector array<double>"),
+        4,
+    ).collect()
     unit = lambda v: [x / sum(y * y for y in v) ** 0.5 for x in v]
     want = {}
     for q, v in queries[:-1]:
@@ -189,11 +223,16 @@ def test_bm25_of_each_companys_own_queries(spark):
 
 
 def test_reports(spark):
-    found = spark.createDataFrame([("c", 0, True, "f", "1", "1", "exact_match"), ("c", 0, True, "g", "1", "2", "mismatch")], "company string, facility_index int, matched boolean, field string, golden string, extracted string, result string")
+    found = spark.createDataFrame(
+        [("c", 0, True, "f", "1", "1", "exact_match"), ("c", 0, True, "g", "1", "2", "mismatch")],
+        "company string, facility_index int, matched boolean, field string, golden string, extracted string, result string",
+    )
     parts = Q.comparison_report(found)
     assert parts["summary"].first().accuracy == 0.5 and parts["per_company"].count() == 1 and parts["mismatches_detail"].first().field == "g"
     one = Q.coverage_report(spark.createDataFrame([("1", ""), ("2", "")], "a string, b string"), ["a", "b"]).first()
-    assert (one.total_rows, one.total_fields, one.average_coverage, one.field_coverage, one.low_coverage_fields, one.high_coverage_fields) == (2, 2, "50.0%", '{"a":"100.0%","b":"0.0%"}', ["b"], ["a"])
+    assert (
+        one.total_rows, one.total_fields, one.average_coverage, one.field_coverage, one.low_coverage_fields, one.high_coverage_fields
+    ) == (2, 2, "50.0%", '{"a":"100.0%","b":"0.0%"}', ["b"], ["a"])
 
 
 def test_normalised_amounts_and_filters(spark):

@@ -29,7 +29,12 @@ def packed(**files):
 def docx():
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:
-        z.writestr("word/document.xml", f'<w:document xmlns:w="{W}"><w:body><w:p><w:pPr><w:pStyle w:val="Heading1"/></w:pPr><w:r><w:t>Title</w:t></w:r></w:p><w:p><w:r><w:t>Hello</w:t></w:r></w:p><w:tbl><w:tr><w:tc><w:p><w:r><w:t>Spread [%]</w:t></w:r></w:p></w:tc><w:tc><w:p><w:r><w:t>2%</w:t></w:r></w:p></w:tc></w:tr></w:tbl></w:body></w:document>')
+        z.writestr(
+            "word/document.xml",
+            f'<w:document xmlns:w="{W}"><w:body><w:p><w:pPr><w:pStyle'
+            f' w:val="Heading1"/></w:pPr><w:r><w:t>Title</w:t></w:r></w:p><w:p><w:r><w:t>Hello</w:t></w:r></w:p><w:tbl><w:tr><w:tc><w:p><w:r><w:t>Spread'
+            f' [%]</w:t></w:r></w:p></w:tc><w:tc><w:p><w:r><w:t>2%</w:t></w:r></w:p></w:tc></w:tr></w:tbl></w:body></w:document>',
+        )
     return out.getvalue()
 
 
@@ -39,7 +44,11 @@ def xlsx():
         z.writestr("xl/workbook.xml", f'<workbook xmlns="{S}" xmlns:r="{REL}"><sheets><sheet name="One" r:id="r1"/></sheets></workbook>')
         z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="p"><Relationship Id="r1" Target="worksheets/sheet1.xml"/></Relationships>')
         z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{S}"><si><t>name</t></si><si><t>Acme</t></si></sst>')
-        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{S}"><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1"><v>5</v></c></row><row r="2"/><row r="3"><c r="A3" t="s"><v>1</v></c></row></sheetData></worksheet>')
+        z.writestr(
+            "xl/worksheets/sheet1.xml",
+            f'<worksheet xmlns="{S}"><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1"><v>5</v></c></row><row r="2"/><row r="3"><c'
+            f' r="A3" t="s"><v>1</v></c></row></sheetData></worksheet>',
+        )
     return out.getvalue()
 
 
@@ -79,7 +88,9 @@ def test_archives_that_cannot_be_read_have_a_row(spark, tmp_path):
     for root in (str(tmp_path), f"file://{tmp_path}", f"file:{tmp_path}/"):
         rows = {(r.company, r.original_file): r for r in readers.read_documents(readers.scan(spark, root)).collect()}
         assert set(rows) == {("Acme", "bad.zip"), ("Acme", "x.7z"), ("Acme", "good/in/z.txt"), ("top", "top.zip")}
-        assert rows["Acme", "bad.zip"].metadata["type"] == rows["top", "top.zip"].metadata["type"] == "error" and "BadZipFile" in rows["top", "top.zip"].metadata["error"]
+        assert rows[
+            "Acme", "bad.zip"
+        ].metadata["type"] == rows["top", "top.zip"].metadata["type"] == "error" and "BadZipFile" in rows["top", "top.zip"].metadata["error"]
         assert rows["Acme", "x.7z"].metadata["type"] in ("unsupported", "error") and rows["Acme", "good/in/z.txt"].text == "zipped text"
 
 
@@ -149,7 +160,10 @@ def test_event_windows(spark, data):
 
 def test_whole_way(spark):
     text = "Facility Agreement\nBorrower name: Acme BV\nSpread [%]: 250 bps\nBase Rate of the facility: EURIBOR\nIs facility syndicated?: Yes\n" + "other words of the agreement here\n" * 5
-    files = spark.createDataFrame([("acme", 1, "a.txt", text), ("acme", 2, "b.txt", "\n"), ("zeta", 1, "c.txt", "Upfront Fee [%] | 1% | x\nmore of it")], "company string, ord long, file string, text string")
+    files = spark.createDataFrame(
+        [("acme", 1, "a.txt", text), ("acme", 2, "b.txt", "\n"), ("zeta", 1, "c.txt", "Upfront Fee [%] | 1% | x\nmore of it")],
+        "company string, ord long, file string, text string",
+    )
     result = document.run(spark, files)
     rows = {r["Client Folder"]: r for r in result.rows.collect()}
     assert result.rows.columns == [*R.METADATA, *R.FIELDS]
@@ -179,11 +193,16 @@ def test_whole_way_with_other_retrievers_and_more_facilities(spark):
 
 
 def test_sinks_of_details_and_traces(spark, tmp_path):
-    rows = spark.createDataFrame([("c", 0, "g", "f", "1", "e", "HIGH"), ("c", 1, "g", "f", "2", "e", "LOW")], "company string, facility_idx int, `group` string, field string, value string, evidence string, confidence string")
+    rows = spark.createDataFrame(
+        [("c", 0, "g", "f", "1", "e", "HIGH"), ("c", 1, "g", "f", "2", "e", "LOW")],
+        "company string, facility_idx int, `group` string, field string, value string, evidence string, confidence string",
+    )
     sinks.write_detailed(E.detailed_json(rows), str(tmp_path / "json"))
     told = json.loads(spark.read.text(str(tmp_path / "json")).first()[0])
     assert told["company"] == "c" and [f["fields"]["f"]["value"] for f in told["facilities"]] == ["1", "2"]
-    asked = spark.createDataFrame([("c", "s", "- Spread [%]: x\nDOCUMENT TEXT:\nSpread [%]: 2%", 9)], "company string, system string, prompt string, max_tokens int")
+    asked = spark.createDataFrame(
+        [("c", "s", "- Spread [%]: x\nDOCUMENT TEXT:\nSpread [%]: 2%", 9)], "company string, system string, prompt string, max_tokens int"
+    )
     sinks.write_traces(E.stored_traces(E.call_model(asked, key="fields"), "extract"), str(tmp_path / "traces"))
     trace = spark.read.parquet(str(tmp_path / "traces")).first()
     assert trace.step == "extract" and trace.parsed_ok and trace.tries == 1 and trace.input_tokens == 9
