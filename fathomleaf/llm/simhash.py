@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomleaf.llm._shared import cores, free_name, staged, table, whole_text
+from fathomleaf.llm._shared import arrow_rows, cores, free_name, staged, table, whole_text
 from fathomleaf.llm.components import components
 
 BUCKET = 32
@@ -116,7 +116,7 @@ class Wide:
     probability ``RECALL``, whatever the width; more alike texts share many. The width only sets the work: ``width_for`` is
     wide enough that ``n`` unlike texts seldom share a block. The fingerprints choose candidates, and two texts of a
     block whose numbers of shingles differ too much for the threshold are none; ``_alike`` decides by the sets of shingles
-    themselves, so that whether two texts are linked does not hang on any other text.
+    themselves, so that no pair below the threshold is ever linked.
     """
 
     RECALL = 0.98
@@ -128,7 +128,7 @@ class Wide:
         self.bits = max(bits, 1 << int(np.ceil(np.log2(self.width * self.blocks))))
         spread = 2 * (share * (1 - share) / self.bits) ** 0.5
         self.distance = int(self.bits * (share + spread))
-        self.near = int(64 * share + 3.5 * (64 * share * (1 - share)) ** 0.5)  # for the first 64 bits alone
+        self.near = int(FIRST * share + 3.5 * (FIRST * share * (1 - share)) ** 0.5)  # for the first bits alone
 
     @staticmethod
     def width_for(n: int) -> int:
@@ -138,6 +138,18 @@ class Wide:
         """Whether sets of these sizes can be as alike as the threshold asks."""
         return np.minimum(x, y) >= self.similarity * np.maximum(x, y) - 1e-9
 
+    @staticmethod
+    def brief(packed: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The first bits of fingerprints above the sizes of their sets (as far as they fit), in one integer each."""
+        first = np.ascontiguousarray(packed[:, :8]).view("<u8")[:, 0] << np.uint64(64 - FIRST)
+        return (first | np.minimum(size, SIZES).astype(np.uint64)).view(np.int64)
+
+    def may_be_close(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether two ``brief`` integers leave it open that their texts are alike."""
+        x, y = x.view(np.uint64), y.view(np.uint64)
+        a, b = ((v & np.uint64(SIZES)).astype(np.int64) for v in (x, y))
+        return (np.bitwise_count((x ^ y) >> np.uint64(64 - FIRST)) <= self.near) & (self.close_sizes(a, b) | (np.maximum(a, b) == SIZES))
+
     def shingles(self, text: str) -> np.ndarray:
         """The hashes of the different shingles, sorted."""
         return np.unique(_hashes(text, self.words))
@@ -167,9 +179,12 @@ class Wide:
         return bits.astype(np.int64) @ (1 << np.arange(self.width, dtype=np.int64)) + (np.arange(self.blocks, dtype=np.int64) << 40)
 
 
+FIRST = 48  # bits of a fingerprint that go with a block's key, above the size of its set
+SIZES = (1 << (64 - FIRST)) - 1
 CROWD = 8
 TILE = 256
 CHUNK = 256
+BATCH = 2000  # rows with texts, fingerprints or sets of shingles that are in memory together
 
 
 def _wide(rows: DataFrame, keep: list[str], text_col: str, w: Wide) -> DataFrame:
@@ -212,11 +227,11 @@ def _begins(*keys: np.ndarray) -> np.ndarray:
 def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool = True) -> DataFrame:
     """(a, b): nodes (node, fp_, root, size_) of different roots whose fingerprints are within ``w.distance`` bits.
 
-    One shuffle deals out (block key, node, first 64 bits, root, size), sorted. Members of a block meet in pairs; blocks of more
+    One shuffle deals out (block key, node, first bits and size, root), sorted. Members of a block meet in pairs; blocks of more
     than ``CROWD`` members are cut into tiles of ``TILE``, and any two tiles (and each with itself) are a cell that some
     task gets with the whole fingerprints, so that every pair of a block is compared and only close ones are listed.
     Members go by root, and cells of one root are left out. Not ``whole``: in crowded blocks each meets only the block's
-    first and the one before it in the order of the first 64 bits, which is enough to make dense groups one root.
+    first and the one before it in the order of the first bits, which is enough to make dense groups one root.
     """
     lo, hi = blocks
 
@@ -226,12 +241,11 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
                 part = batch.slice(at, CHUNK)
                 packed = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
                 node, root, size = (part.column(c).to_numpy(zero_copy_only=False) for c in (0, 2, 3))
-                first = np.ascontiguousarray(packed[:, :8]).view("<i8")[:, 0]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w.keys(packed)[:, lo:hi].reshape(-1), *(np.repeat(v, hi - lo) for v in (node, first, root, size)))], names=["key", "node", "sig", "root", "size"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w.keys(packed)[:, lo:hi].reshape(-1), *(np.repeat(v, hi - lo) for v in (node, w.brief(packed, size), root)))], names=["key", "node", "sig", "root"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs (a, b, -1, 0), and members of cells (node, tile, key, cell)."""
-        for key, node, sig, root, count in _groups(batches, 1):
+        for key, node, sig, root in _groups(batches, 1):
             begin = _begins(key)
             size = np.diff(begin)
             crowded = np.repeat(size > CROWD, size)
@@ -239,8 +253,7 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
             a, b = [], []
             for k in range(0, CROWD):
                 x, y = (hub, np.arange(len(key))) if k == 0 else (np.arange(len(key) - k), np.arange(k, len(key)))
-                ok = (key[x] == key[y]) & (node[x] != node[y]) & (root[x] != root[y]) & (np.bitwise_count((sig[x] ^ sig[y]).view(np.uint64)) <= w.near)
-                ok &= w.close_sizes(count[x], count[y])
+                ok = (key[x] == key[y]) & (node[x] != node[y]) & (root[x] != root[y]) & w.may_be_close(sig[x], sig[y])
                 ok &= ~crowded[y] if k > 1 or whole else True
                 a.append(node[x[ok]])
                 b.append(node[y[ok]])
@@ -282,7 +295,7 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
     n = cores(nodes.sparkSession)
-    keys = nodes.select("node", "fp_", "root", "size_").mapInArrow(explode, "key long, node long, sig long, root long, size int")
+    keys = nodes.select("node", "fp_", "root", "size_").mapInArrow(explode, "key long, node long, sig long, root long")
     dealt = keys.repartition(n, "key").sortWithinPartitions("key", "sig", "node")
     met = staged(dealt.mapInArrow(meet, "a long, b long, key long, cell long"), "pairs")
     pairs = met.filter("key < 0").select("a", "b").distinct()
@@ -340,7 +353,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     """(id, group), one row a document: ``group`` is the id of the one that ``keep_one`` keeps."""
     row = free_name(docs, "row_")
     rows = staged(docs.select(id_col, text_col).withColumn(row, F.monotonically_increasing_id()), "documents")
-    every, first, linked = _near(rows, row, id_col, text_col, Wide(width or Wide.width_for(rows.count()), similarity, words))
+    w = Wide(width or Wide.width_for(rows.count()), similarity, words)
+    with arrow_rows(docs.sparkSession, BATCH):
+        every, first, linked = _near(rows, row, id_col, text_col, w)
     named = first.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first_").alias("least_"))
     by_set = named.join(least, "root").select("set_", F.col("least_.id").alias("group"))
@@ -355,7 +370,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """
     row = free_name(docs, "row_")
     rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
-    _, first, linked = _near(rows, row, id_col, text_col, Wide(width or Wide.width_for(rows.count()), similarity, words))
+    w = Wide(width or Wide.width_for(rows.count()), similarity, words)
+    with arrow_rows(docs.sparkSession, BATCH):
+        _, first, linked = _near(rows, row, id_col, text_col, w)
     ranks = first.select("node", "first_")
     keep = linked.join(ranks, "node").groupBy("root").agg(F.min("first_").alias("first_")).select(F.col("first_.row").alias(row))
     alone = ranks.join(linked, "node", "left_anti").select(F.col("first_.row").alias(row))
