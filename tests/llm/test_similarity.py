@@ -2,18 +2,21 @@
 
 import itertools
 import math
+import pickle
 import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from fathomleaf.llm import components, lm, simhash, topk
-from fathomleaf.llm._shared import table
+from fathomleaf.llm import components, lm, quality, simhash, substring, topk
+from fathomleaf.llm._shared import staged, table
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -277,13 +280,15 @@ def sampled(pairs, sweeps, burn_in=50):
     order = sorted(pairs)
     words = 1 + max(w for w, _ in order)
     share = lm.Share.fresh(np.array([w * lm.CONTEXTS + x for w, x in order]), np.array([pairs[k] for k in order]), lm.mix(np.arange(words, dtype=np.uint64)))
-    tables = lm.unpack(share.sums(share.t))[0]
-    root = lm.start(int((share.n > 0).sum()), int(tables.sum()))
-    fitted = lm.Fitted(lm.unpack(share.sums(share.c))[0])
+    by_context = lambda x: lm.Vector(np.bincount(share.leaf, weights=x, minlength=lm.CONTEXTS).astype(np.int64))
+    tables = by_context(share.t)
+    assert (lm.unpack(share.sums(share.t))[0] == tables.values).all() and (pickle.loads(pickle.dumps(tables)).values == tables.values).all()
+    root = lm.start(int((share.n > 0).sum()), int(tables.values.sum()))
+    fitted = lm.Fitted(by_context(share.c))
     for sweep in range(1, sweeps + 1):
         share.seat_leaves(tables, root, sweep)
-        tables = np.bincount(share.leaf, weights=share.t, minlength=lm.CONTEXTS).astype(np.int64)
-        root = lm.Root(root.known, int(tables.sum()), root.mass, root.scale)
+        tables = by_context(share.t)
+        root = lm.Root(root.known, int(tables.values.sum()), root.mass, root.scale)
         root.rescale(sweep)
         mass, t = share.seat_root(root, sweep, sweep > burn_in)
         root.close(mass / lm.FIXED, t, sweep)
@@ -374,6 +379,81 @@ def test_model_scores_do_not_depend_on_partitions(spark, data):
     assert got[0] == got[1] == got[2]
 
 
+def slow_clean(rows):
+    """Of equal units all but the first by (id, place) go; texts that lose all they had are left out."""
+    first = {}
+    for i, text in rows:
+        for digest, at, _ in substring.all_units(text):
+            first[digest] = min(first.get(digest, (i, at)), (i, at))
+    out = {}
+    for i, text in rows:
+        keep, cut = [True] * len(text), False
+        for digest, at, stop in substring.all_units(text):
+            if first[digest] != (i, at):
+                keep[at:stop], cut = [False] * (stop - at), True
+        left = "".join(c for c, k in zip(text, keep, strict=True) if k)
+        if left or not cut:
+            out[i] = left
+    return out
+
+
+def test_pipeline_as_brute_force(spark):
+    """Each stage on all that the one before it kept, against plain loops over the same documents."""
+    sf = "/root/testdata/sf0.01"
+    docs_, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    texts = {r.doc_id: r.text or "" for r in docs_.collect()}
+    model = quality.fit(docs_, labels)
+    kept = staged(corpus_pipeline.quality_filter(spark, docs_, sf), "kept")
+    good = {i for i, t in texts.items() if model.score(t) >= quality.THRESHOLD}
+    assert {r.doc_id for r in kept.collect()} == good and 0.5 < len(good) / len(texts) < 1
+    alone = staged(corpus_pipeline.near_duplicates(spark, kept, sf), "alone")
+    pairs, sets = jaccard_pairs([texts[i] for i in sorted(good)])
+    root = {k: k for k in sets.values()}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    least = {}
+    for i in sorted(good):
+        own = texts[i].encode().lower().split()
+        key = frozenset(b" ".join(own[k : k + 5]) for k in range(max(1, len(own) - 4))) if own else frozenset()
+        least.setdefault(find(sets[key]), i)
+    left = {r.doc_id for r in alone.collect()}
+    assert left >= set(least.values()) and len(left) <= 1.01 * len(least) and len(left) < len(good)
+    cut = staged(corpus_pipeline.repeated_passages(spark, alone, sf), "cut")
+    rows = {r.doc_id: (r.text, r.n_chars) for r in cut.collect()}
+    want = slow_clean([(i, texts[i]) for i in sorted(left)])
+    assert rows == {i: (t, len(t)) for i, t in want.items()}
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    ids = {i: [*e.ids, 1] for (i, (t, _)), e in zip(rows.items(), tokenizer.encode_batch([t for t, _ in rows.values()], add_special_tokens=False), strict=True)}
+    pieces = corpus_pipeline.pack(spark, cut, sf).collect()
+    want = {(i, k, at, len(own[at : at + 4096]), zlib.crc32(np.array(own[at : at + 4096], "<u4").tobytes())) for i, own in ids.items() for k, at in enumerate(range(0, len(own), 4096))}
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in pieces} == want and len(pieces) == len(want)
+    by = {}
+    for r in pieces:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in by.values():
+        ends = [0, *(a + n for a, n in sorted(own))]
+        assert [a for a, _ in sorted(own)] == ends[:-1] and ends[-1] <= 4096
+    assert len(by) <= 1.02 * sum(map(len, ids.values())) / 4096 + 1
+
+
+def test_quality_on_labels_it_has_not_seen(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    rows = quality.op10_quality_classifier(spark, sf).filter("held_out").join(labels, "doc_id").collect()
+    good, bad = [r.score for r in rows if r.quality == 1], [r.score for r in rows if r.quality == 0]
+    assert len(good) > 20 and len(bad) > 5
+    auc = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
+    right = sum(r.predicted == r.quality for r in rows) / len(rows)
+    assert auc > 0.9 and right > 0.85, (auc, right)
+
+
 def test_pipeline(spark, data):
     frame = table(spark, data, "documents")
     for name, stage in corpus_pipeline.STAGES[:-1]:
