@@ -416,7 +416,7 @@ class Share:
             write_file(words, pack(np.diff(self.word, prepend=0).astype("<u1"), small(self.leaf), self.c.astype("<u8") if len(self.c) and self.c.max() > 0xFFFFFFFF else small(self.c), self.hash))
         write_file(state, pack(small(self.t[self.many]), self.mass, small(self.sum_t), *self.leads))
 
-    def seat_leaves(self, tables: np.ndarray, root: Root, sweep: int) -> None:
+    def seat_leaves(self, tables: Vector, root: Root, sweep: int) -> None:
         """New tables of all dishes in contexts, given the measure of the root and the contexts' scales."""
         leaf, word = self.leaf[self.many], self.word[self.many]
         seen, at = np.unique(leaf, return_inverse=True)
@@ -451,16 +451,32 @@ class Share:
         return pack(np.bincount(self.leaf, weights=x, minlength=CONTEXTS).astype("<i8"))
 
 
+class Vector:
+    """A number for each context; it goes to the tasks compressed."""
+
+    def __init__(self, values: np.ndarray) -> None:
+        self.values = values
+
+    def __getstate__(self) -> bytes:
+        return pack(self.values)
+
+    def __setstate__(self, state: bytes) -> None:
+        self.values = unpack(state)[0]
+
+    def __getitem__(self, at):
+        return self.values[at]
+
+
 @dataclass
 class Fitted:
     """Customers by context, and for each sample the root and the tables by context."""
 
-    customers: np.ndarray
+    customers: Vector
     roots: list[Root] = field(default_factory=list)
-    tables: list[np.ndarray] = field(default_factory=list)
+    tables: list[Vector] = field(default_factory=list)
 
 
-def _total(rows: DataFrame, col: str, parts: int) -> np.ndarray:
+def _total(rows: DataFrame, col: str, parts: int) -> Vector:
     """The sum of vectors of a fixed length: in about the square root of their number, then in one task, then here."""
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -473,14 +489,14 @@ def _total(rows: DataFrame, col: str, parts: int) -> np.ndarray:
 
     some = rows.select("part", F.col(col).alias("sums")).repartition(max(1, int(parts**0.5)), "part").select("sums").mapInArrow(add_up, "sums binary")
     found = some.repartition(1).mapInArrow(add_up, "sums binary").first()
-    return unpack(found[0])[0] if found else np.zeros(CONTEXTS, np.int64)
+    return Vector(unpack(found[0])[0] if found else np.zeros(CONTEXTS, np.int64))
 
 
 def fit(parts: DataFrame, n_parts: int, folder: str, known: int) -> tuple[Fitted, int]:
     """Gibbs sweeps, each in two steps (contexts, root); the samples and the number of the last state."""
     fitted = Fitted(_total(parts, "customers", n_parts))
     tables = _total(parts, "tables", n_parts)
-    root = start(known, int(tables.sum()))
+    root = start(known, int(tables.values.sum()))
     todo = parts.select("part").repartition(n_parts, "part")
     last = BURN_IN + SAMPLES
 
@@ -497,7 +513,7 @@ def fit(parts: DataFrame, n_parts: int, folder: str, known: int) -> tuple[Fitted
 
     for sweep in range(1, last + 1):
 
-        def leaves(batches: Iterator[pa.RecordBatch], sweep: int = sweep, root: Root = root, tables: np.ndarray = tables) -> Iterator[pa.RecordBatch]:
+        def leaves(batches: Iterator[pa.RecordBatch], sweep: int = sweep, root: Root = root, tables: Vector = tables) -> Iterator[pa.RecordBatch]:
             def work(share: Share) -> bytes:
                 share.seat_leaves(tables, root, sweep)
                 return share.sums(share.t)
@@ -506,7 +522,7 @@ def fit(parts: DataFrame, n_parts: int, folder: str, known: int) -> tuple[Fitted
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([sums])], names=["part", "sums"])
 
         tables = _total(todo.mapInArrow(leaves, "part int, sums binary"), "sums", n_parts)
-        root = Root(known, int(tables.sum()), root.mass, root.scale)
+        root = Root(known, int(tables.values.sum()), root.mass, root.scale)
         root.rescale(sweep)
 
         def words(batches: Iterator[pa.RecordBatch], sweep: int = sweep, root: Root = root) -> Iterator[pa.RecordBatch]:
