@@ -275,9 +275,18 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         c = codec(path)
         for batch in batches:
             ids = [list(chain.from_iterable(i for i, _ in own)) for own in c.pieces(batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([c.offsets(x) for x in ids], pa.list_(pa.int64()))], names=[id_col, "ids", "offsets"])
-
-    out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("offsets", T.ArrayType(T.LongType()))])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([c.offsets(x) for x in ids], pa.list_(pa.int64()))],
+                names=[id_col, "ids", "offsets"],
+            )
+
+    out = T.StructType(
+        [
+            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField("ids", T.ArrayType(T.IntegerType())),
+            T.StructField("offsets", T.ArrayType(T.LongType())),
+        ]
+    )
     return docs.select(id_col, whole_text(text_col).alias("text")).mapInArrow(run, out)
 
 
@@ -287,7 +296,9 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.decode(x or []) for x in batch.column(1).to_pylist()], pa.binary())], names=[id_col, "text_bytes"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([c.decode(x or []) for x in batch.column(1).to_pylist()], pa.binary())], names=[id_col, "text_bytes"]
+            )
 
     out = T.StructType([T.StructField(id_col, encoded.schema[id_col].dataType), T.StructField("text_bytes", T.BinaryType())])
     return encoded.select(id_col, "ids").mapInArrow(run, out)
@@ -310,9 +321,26 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 offsets = zlib.crc32((np.cumsum(at) - at).astype("<u8").tobytes())
                 rows.append((len(ids), hashlib.sha256(told.encode()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest(), offsets))
             cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64())], names=out.names)
-
-    out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()), T.StructField("offsets_crc32", T.LongType())])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(cols[0], pa.int64()),
+                    pa.array(cols[1], pa.string()),
+                    pa.array(cols[2], pa.string()),
+                    pa.array(cols[3], pa.int64()),
+                ],
+                names=out.names,
+            )
+
+    out = T.StructType(
+        [
+            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField("n_tokens", T.LongType()),
+            T.StructField("ids_sha256", T.StringType()),
+            T.StructField("decoded_sha256", T.StringType()),
+            T.StructField("offsets_crc32", T.LongType()),
+        ]
+    )
     return docs.select(id_col, whole_text(text_col).alias("text")).mapInArrow(run, out)
 
 

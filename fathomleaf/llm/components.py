@@ -35,7 +35,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Links to oneself, repeated and reversed links change nothing; links with a null take no part; no links, no rows.
     """
     a_, b_ = F.col(a).cast("long"), F.col(b).cast("long")
-    edges = staged(links.select(F.greatest(a_, b_).alias("a"), F.least(a_, b_).alias("b"), a_.isNull().alias("na"), b_.isNull().alias("nb")).filter("not na and not nb and a > b").select("a", "b").distinct(), "links")
+    edges = staged(
+        links.select(F.greatest(a_, b_).alias("a"), F.least(a_, b_).alias("b"), a_.isNull().alias("na"), b_.isNull().alias("nb"))
+        .filter("not na and not nb and a > b")
+        .select("a", "b")
+        .distinct(),
+        "links",
+    )
     before = _signature(edges)
     for _ in range(ROUNDS):
         if not before[0]:
@@ -47,4 +53,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         before = after
     else:
         raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )

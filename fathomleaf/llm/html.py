@@ -28,20 +28,28 @@ from pyspark.sql import types as T
 from fathomleaf.llm._shared import table
 
 STOP_WORDS = frozenset(
-    "the of and to in is that for it as was with be by on not he his are this at from or an which you have had they were but their one all we her she there been if more when will would who so no "
-    "de la le les et des en un une du que qui dans pour par sur pas plus au avec ce il est sont ne se aux ou mais nous vous elle son sa ses leur cette ces comme "
-    "der die das und ist nicht mit von den dem ein eine einer eines auf für im sich auch es an werden aus er hat dass sie nach bei um am sind noch wie über so zum zur haben nur oder aber vor bis mehr durch man "
+    "the of and to in is that for it as was with be by on not he his are this at from or an which you have had they were but their one all we"
+    " her she there been if more when will would who so no "
+    "de la le les et des en un une du que qui dans pour par sur pas plus au avec ce il est sont ne se aux ou mais nous vous elle son sa ses"
+    " leur cette ces comme "
+    "der die das und ist nicht mit von den dem ein eine einer eines auf für im sich auch es an werden aus er hat dass sie nach bei um am sind"
+    " noch wie über so zum zur haben nur oder aber vor bis mehr durch man "
     "el los las y del que se por con una para es al lo como más su sus o pero le ha me si sin sobre este ya entre cuando todo esta ser son dos también fue había".split()
 )
 RAW = ("script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp", "template", "noscript")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+)
 OUT_TAGS = frozenset("nav footer aside form menu dialog select button fieldset datalist object svg canvas audio video map".split())
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 # Names in a class or id: of what is never the text, and of what an element around the text may be called as well.
-NEVER_CUES = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors cookie cookies consent gdpr comment comments commentlist disqus reply replies respond hidden".split())
+NEVER_CUES = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors cookie cookies consent gdpr comment comments commentlist disqus reply replies respond hidden".split()
+)
 CUES = frozenset(
-    "promo promoted promotion promotions banner notice notices notification notifications alert popup modal overlay newsletter subscribe subscription signup login register sidebar rail widget widgets "
+    "promo promoted promotion promotions banner notice notices notification notifications alert popup modal overlay newsletter subscribe"
+    " subscription signup login register sidebar rail widget widgets "
     "related recommended recommendations menu nav navbar navigation breadcrumb breadcrumbs masthead header footer copyright share sharing social pagination pager toolbar search skip paywall".split()
 )
 INLINE_CUES = NEVER_CUES | frozenset("promo promoted share sharing social".split())
@@ -282,7 +290,9 @@ def main_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [extract(h) for h in batch.column(batch.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=out.names)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=out.names
+            )
 
     out = T.StructType([*(pages.schema[c] for c in keep), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     return pages.select(*keep, F.col(html_col).alias("html_")).mapInArrow(run, out)

@@ -310,7 +310,10 @@ def count(docs: DataFrame, parts: int, folder: str, id_col: str, text_col: str)
                 block = task * 100_000 + n
                 blobs = held.flush(_block(folder, block), parts)
                 held, n = _Counter(), n + 1
-                yield pa.RecordBatch.from_arrays([pa.array([block] * parts, pa.int64()), pa.array(np.arange(parts, dtype=np.int32)), pa.array(blobs, pa.binary())], names=["block", "part", "pairs"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block] * parts, pa.int64()), pa.array(np.arange(parts, dtype=np.int32)), pa.array(blobs, pa.binary())],
+                    names=["block", "part", "pairs"],
+                )
 
         for batch in batches:
             begun = 0
@@ -359,9 +362,23 @@ def deal(pairs: DataFrame, parts: int, folder: str) -> DataFrame:
         hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in numbers), np.uint64, len(numbers))
         share = Share.fresh(unique, total, hashes)
         share.save(_words(folder, part), _state(folder, part, 0))
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([int((share.n > 0).sum())], pa.int64()), pa.array([int(total.sum())], pa.int64()), pa.array([share.sums(share.c)]), pa.array([share.sums(share.t)])], names=["part", "known", "tokens", "customers", "tables"])
-
-    return staged(pairs.repartition(parts, "part").sortWithinPartitions("part", "block").mapInArrow(lambda b: _by_part(b, run), "part int, known long, tokens long, customers binary, tables binary"), "lm-parts")
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([part], pa.int32()),
+                pa.array([int((share.n > 0).sum())], pa.int64()),
+                pa.array([int(total.sum())], pa.int64()),
+                pa.array([share.sums(share.c)]),
+                pa.array([share.sums(share.t)]),
+            ],
+            names=["part", "known", "tokens", "customers", "tables"],
+        )
+
+    return staged(
+        pairs.repartition(parts, "part")
+        .sortWithinPartitions("part", "block")
+        .mapInArrow(lambda b: _by_part(b, run), "part int, known long, tokens long, customers binary, tables binary"),
+        "lm-parts",
+    )
 
 
 def _by_part(batches: Iterator[pa.RecordBatch], run) -> Iterator[pa.RecordBatch]:
@@ -413,7 +430,15 @@ class Share:
     def save(self, words: str | None, state: str) -> None:
         small = lambda x: x.astype("<u4") if len(x) and x.max() > 0xFFFF else x.astype("<u2")
         if words:
-            write_file(words, pack(np.diff(self.word, prepend=0).astype("<u1"), small(self.leaf), self.c.astype("<u8") if len(self.c) and self.c.max() > 0xFFFFFFFF else small(self.c), self.hash))
+            write_file(
+                words,
+                pack(
+                    np.diff(self.word, prepend=0).astype("<u1"),
+                    small(self.leaf),
+                    self.c.astype("<u8") if len(self.c) and self.c.max() > 0xFFFFFFFF else small(self.c),
+                    self.hash,
+                ),
+            )
         write_file(state, pack(small(self.t[self.many]), self.mass, small(self.sum_t), *self.leads))
 
     def seat_leaves(self, tables: Vector, root: Root, sweep: int) -> None:
@@ -557,7 +582,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                     own = at[a:b].astype(np.int64)
                     word = share.word[own]
                     first = np.concatenate(([True], word[1:] != word[:-1])) if len(word) else np.zeros(0, bool)
-                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([pack(of_word[word[first]])], pa.binary()), pa.array([pack(logs[own])], pa.binary())], names=["block", "part", "counts", "logs"])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([block], pa.int64()),
+                            pa.array([part], pa.int32()),
+                            pa.array([pack(of_word[word[first]])], pa.binary()),
+                            pa.array([pack(logs[own])], pa.binary()),
+                        ],
+                        names=["block", "part", "counts", "logs"],
+                    )
 
     def tell(found: pa.Table) -> pa.Table:
         data = read_file(_block(folder, found.column("block")[0].as_py()))
@@ -565,14 +598,35 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         keys = pa.ipc.open_stream(data[8 : 8 + head]).read_all().column("id").combine_chunks()
         at, size, held, of_word = unpack(data[8 + head :])
         order = np.argsort(found.column("part").to_numpy())
-        counts, logs = (np.concatenate([unpack(blobs[i])[0] for i in order]) for blobs in (found.column("counts").to_pylist(), found.column("logs").to_pylist()))
+        counts, logs = (
+            np.concatenate([unpack(blobs[i])[0] for i in order]) for blobs in (found.column("counts").to_pylist(), found.column("logs").to_pylist())
+        )
         pair_log, pair_count = logs.astype(np.float64), np.repeat(counts.astype(np.float64), of_word)
         pair_base = np.log10((pair_count + 0.5) / (tokens + 0.5 * (known + 1)))
         starts = np.cumsum(size) - size
         total = lambda x: np.add.reduceat(x[at], starts)
-        return pa.table([keys, pa.array(held), pa.array(size), pa.array(total((pair_count > 0).astype(np.int64))), pa.array(np.full(len(size), tokens, np.int64)), pa.array(total(pair_base)), pa.array(total(pair_log))], names=out.names)
-
-    out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
+        return pa.table(
+            [
+                keys,
+                pa.array(held),
+                pa.array(size),
+                pa.array(total((pair_count > 0).astype(np.int64))),
+                pa.array(np.full(len(size), tokens, np.int64)),
+                pa.array(total(pair_base)),
+                pa.array(total(pair_log)),
+            ],
+            names=out.names,
+        )
+
+    out = T.StructType(
+        [
+            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField("held_out", T.BooleanType()),
+            *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")),
+            T.StructField("base_score", T.DoubleType()),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
     answers = parts.select("part").repartition(n_parts, "part").mapInArrow(answer, "block long, part int, counts binary, logs binary")
     return answers.groupBy("block").applyInArrow(tell, out)
 

@@ -45,7 +45,9 @@ def to_png(payload: bytes) -> bytes:
     rows = np.frombuffer(payload, np.uint8).reshape(-1, WIDTH)
     raw = np.zeros((len(rows), WIDTH + 1), np.uint8)
     raw[:, 1:] = rows
-    return SIGNATURE + _chunk(b"IHDR", struct.pack(">IIBBBBB", WIDTH, len(rows), 8, 0, 0, 0, 0)) + _chunk(b"IDAT", zlib.compress(raw.tobytes(), LEVEL)) + _chunk(b"IEND", b"")
+    return SIGNATURE + _chunk(
+        b"IHDR", struct.pack(">IIBBBBB", WIDTH, len(rows), 8, 0, 0, 0, 0)
+    ) + _chunk(b"IDAT", zlib.compress(raw.tobytes(), LEVEL)) + _chunk(b"IEND", b"")
 
 
 def png_header(data: bytes) -> tuple[int, int, int]:
@@ -115,10 +117,25 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 digest = hashlib.sha256(payload).hexdigest()
                 rows.append((len(data), digest, *shards.put(digest, payload)))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True))], names=out.names)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)),
+                ],
+                names=out.names,
+            )
         shards.close()
 
-    out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("digest", T.StringType()), T.StructField("shard", T.StringType()), T.StructField("offset", T.LongType()), T.StructField("length", T.LongType())])
+    out = T.StructType(
+        [
+            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField("n_bytes", T.LongType()),
+            T.StructField("digest", T.StringType()),
+            T.StructField("shard", T.StringType()),
+            T.StructField("offset", T.LongType()),
+            T.StructField("length", T.LongType()),
+        ]
+    )
     return staged(docs.select(id_col, whole_text(text_col).alias("text_")).mapInArrow(run, out), "media")
 
 
@@ -172,19 +189,41 @@ def read_back(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 if (found := held.get((s, o))) is None:
                     media = shard.read(s, o, n)
                     payload = from_png(media)
-                    found = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-WIDTH:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(payload))
+                    found = (
+                        len(payload),
+                        hashlib.sha256(payload).hexdigest(),
+                        zlib.crc32(payload[-WIDTH:]),
+                        len(media),
+                        hashlib.sha256(media).hexdigest(),
+                        feature_of(payload),
+                    )
                     if len(held) >= 50_000:
                         held.clear()
                     held[s, o] = found
                 told.append(found)
             cols = list(zip(*told, strict=True)) if told else [[]] * 6
             kept = [batch.column(c) for c in (id_col, "n_bytes")]
-            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)), *(batch.column(c) for c in ("width", "height"))], names=out.names)
+            yield pa.RecordBatch.from_arrays(
+                [*kept, *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)), *(batch.column(c) for c in ("width", "height"))], names=out.names
+            )
         shard.close()
 
     kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
     long, text = T.LongType(), T.StringType()
-    out = T.StructType([rows.schema[id_col], T.StructField("n_bytes", long), T.StructField("payload_bytes", long), T.StructField("payload_sha256", text), T.StructField("tail_crc32", long), T.StructField("media_bytes", long), T.StructField("media_sha256", text), T.StructField("feature", text), T.StructField("width", long), T.StructField("height", long)])
+    out = T.StructType(
+        [
+            rows.schema[id_col],
+            T.StructField("n_bytes", long),
+            T.StructField("payload_bytes", long),
+            T.StructField("payload_sha256", text),
+            T.StructField("tail_crc32", long),
+            T.StructField("media_bytes", long),
+            T.StructField("media_sha256", text),
+            T.StructField("feature", text),
+            T.StructField("width", long),
+            T.StructField("height", long),
+        ]
+    )
     return rows.mapInArrow(run, out)
 
 

@@ -177,7 +177,15 @@ class Plan:
         return tuple(np.ascontiguousarray(e[:, k]) for k in range(6))
 
 
-def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def cut(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = False,
+) -> DataFrame:
     """Pieces of at most ``capacity`` ids: (id, piece, start, length, ids_crc32[, ids binary], part_, rank_).
 
     ``rank_`` counts the pieces of one length within the task ``part_``; write the result once before use.
@@ -197,17 +205,30 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int =
                     rows.append((piece, at // 4, n, zlib.crc32(own), *([own] if with_ids else []), part, seen[n]))
                     seen[n] += 1
             cols = list(zip(*rows, strict=True)) if rows else [[] for _ in kinds]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keys, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=out.names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(keys, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=out.names
+            )
 
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), *([pa.binary()] if with_ids else []), pa.int32(), pa.int64()]
-    out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("piece", T.IntegerType()), *(T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32")), *([T.StructField("ids", T.BinaryType())] if with_ids else []), T.StructField("part_", T.IntegerType()), T.StructField("rank_", T.LongType())])
+    out = T.StructType(
+        [
+            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField("piece", T.IntegerType()),
+            *(T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32")),
+            *([T.StructField("ids", T.BinaryType())] if with_ids else []),
+            T.StructField("part_", T.IntegerType()),
+            T.StructField("rank_", T.LongType()),
+        ]
+    )
     return docs.select(id_col, whole_text(text_col).alias("text")).mapInArrow(run, out)
 
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Give each of ``cut``'s written pieces its ``sequence_id`` and ``offset``."""
     counts = pieces.groupBy("length", "part_").agg(F.count(F.lit(1)).alias("n_"))
-    before = counts.withColumn("before_", F.coalesce(F.sum("n_").over(Window.partitionBy("length").orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    before = counts.withColumn(
+        "before_", F.coalesce(F.sum("n_").over(Window.partitionBy("length").orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    )
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n_")).collect()}  # at most ``capacity`` rows
     length, lo, _, sequence, offset, each = Plan(histogram, capacity).arrays()
     key = (length << 44) + lo
@@ -226,7 +247,15 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return pieces.join(before.select("length", "part_", "before_"), ["length", "part_"]).mapInArrow(run, out)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = False,
+) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, ids], sequence_id, offset), one row a piece."""
     return place(staged(cut(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids), "pieces"), capacity)
 

@@ -100,7 +100,9 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     """Fit on labelled rows that are not held out."""
-    known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.min(label_col).cast("int").alias("label_")).withColumn("at_", F.xxhash64(id_col))
+    known = labels.filter(
+        F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)
+    ).groupBy(id_col).agg(F.min(label_col).cast("int").alias("label_")).withColumn("at_", F.xxhash64(id_col))
     chosen = known.filter("label_ = 0").orderBy("at_", id_col).limit(SAMPLE).unionByName(known.filter("label_ = 1").orderBy("at_", id_col).limit(SAMPLE))
     texts = docs.select(id_col, whole_text(text_col).alias("text_")).filter(F.length("text_") <= LONGEST)
     rows = texts.join(F.broadcast(chosen), id_col).orderBy("at_", id_col, "text_").limit(2 * SAMPLE).select("text_", "label_").collect()  # bounded by SAMPLE and LONGEST

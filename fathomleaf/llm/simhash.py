@@ -85,7 +85,10 @@ def links(fps: DataFrame) -> DataFrame:
     left, right = few.select("key_", F.col("fp_").alias("a")), few.select("key_", F.col("fp_").alias("b"))
     pairs = left.join(right, "key_").filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= BITS)).select("a", "b")
     crowd = met.filter(F.col("n_") > BUCKET).select("fp_").distinct()
-    values = F.transform(F.sequence(F.lit(-1), F.lit(63)), lambda k: F.when(k < 0, F.col("fp_")).otherwise(F.col("fp_").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k))))
+    values = F.transform(
+        F.sequence(F.lit(-1), F.lit(63)),
+        lambda k: F.when(k < 0, F.col("fp_")).otherwise(F.col("fp_").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k))),
+    )
     hubs = crowd.select("fp_", F.explode(values).alias("value_")).groupBy("value_").agg(F.collect_set("fp_").alias("all_")).filter(F.size("all_") > 1)
     near = hubs.select(F.array_min("all_").alias("a"), F.explode("all_").alias("b")).filter("a <> b")
     return pairs.unionByName(near).distinct()
@@ -196,9 +199,24 @@ def _wide(rows: DataFrame, keep: list[str], text_col: str, w: Wide) -> DataFrame
                 packed = np.packbits(w.fingerprints(texts), axis=1)
                 sets = [w.shingles(t) for t in texts]
                 own = [hashlib.md5(x.tobytes()).digest() for x in sets]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([p.tobytes() for p in packed], pa.binary()), pa.array(own, pa.binary()), pa.array([len(x) for x in sets], pa.int32())], names=out.names)
-
-    out = T.StructType([*(rows.schema[c] for c in keep), T.StructField("fp_", T.BinaryType()), T.StructField("set_", T.BinaryType()), T.StructField("size_", T.IntegerType())])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *part.columns[:-1],
+                        pa.array([p.tobytes() for p in packed], pa.binary()),
+                        pa.array(own, pa.binary()),
+                        pa.array([len(x) for x in sets], pa.int32()),
+                    ],
+                    names=out.names,
+                )
+
+    out = T.StructType(
+        [
+            *(rows.schema[c] for c in keep),
+            T.StructField("fp_", T.BinaryType()),
+            T.StructField("set_", T.BinaryType()),
+            T.StructField("size_", T.IntegerType()),
+        ]
+    )
     return rows.select(*keep, whole_text(text_col).alias("text_")).mapInArrow(run, out)
 
 
@@ -241,7 +259,14 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
                 part = batch.slice(at, CHUNK)
                 packed = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
                 node, root, size = (part.column(c).to_numpy(zero_copy_only=False) for c in (0, 2, 3))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w.keys(packed)[:, lo:hi].reshape(-1), *(np.repeat(v, hi - lo) for v in (node, w.brief(packed, size), root)))], names=["key", "node", "sig", "root"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(x) for x in (
+                            w.keys(packed)[:, lo:hi].reshape(-1), *(np.repeat(v, hi - lo) for v in (node, w.brief(packed, size), root))
+                        )
+                    ],
+                    names=["key", "node", "sig", "root"],
+                )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs (a, b, -1, 0), and members of cells (node, tile, key, cell)."""
@@ -259,7 +284,10 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
                 b.append(node[y[ok]])
             a, b = np.concatenate(a), np.concatenate(b)
             pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pairs[:, 0], pairs[:, 1], np.full(len(pairs), -1), np.zeros(len(pairs), np.int64))], names=["a", "b", "key", "cell"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (pairs[:, 0], pairs[:, 1], np.full(len(pairs), -1), np.zeros(len(pairs), np.int64))],
+                names=["a", "b", "key", "cell"],
+            )
             for g in np.flatnonzero(size > CROWD) if whole else ():
                 at = slice(begin[g], begin[g + 1])
                 order = np.lexsort((node[at], root[at]))
@@ -269,7 +297,10 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
                         if of[i] != of[min(j + TILE, len(of)) - 1]:
                             some = own[i : i + TILE] if i == j else np.concatenate((own[i : i + TILE], own[j : j + TILE]))
                             tile = np.arange(len(some)) // TILE
-                            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, tile, np.full(len(some), key[at][0]), np.full(len(some), i // TILE << 32 | j // TILE))], names=["a", "b", "key", "cell"])
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(x) for x in (some, tile, np.full(len(some), key[at][0]), np.full(len(some), i // TILE << 32 | j // TILE))],
+                                names=["a", "b", "key", "cell"],
+                            )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, cell, node, tile, root, count, fp in _groups(batches, 2):
@@ -303,7 +334,9 @@ def _wide_links(nodes: DataFrame, w: Wide, blocks: tuple[int, int], whole: bool
     close = pairs.join(left, "a").join(right, "b").select("a", "b", "x_", "y_").mapInArrow(verify, "a long, b long")
     if not whole:
         return close
-    members = met.filter("key >= 0").select("key", "cell", F.col("a").alias("node"), F.col("b").alias("tile")).join(nodes, "node").select("key", "cell", "node", "tile", "root", "size_", "fp_")
+    members = met.filter("key >= 0").select(
+        "key", "cell", F.col("a").alias("node"), F.col("b").alias("tile")
+    ).join(nodes, "node").select("key", "cell", "node", "tile", "root", "size_", "fp_")
     cells = members.repartition(n, "key", "cell").sortWithinPartitions("key", "cell")
     return close.unionByName(cells.mapInArrow(compare, "a long, b long")).distinct()
 
@@ -315,7 +348,9 @@ def _alike(pairs: DataFrame, rows: DataFrame, row: str, text_col: str, w: Wide)
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([w.shingles(t).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["node", "own_"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([w.shingles(t).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["node", "own_"]
+                )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -105,11 +105,22 @@ def _units(docs: DataFrame, row: str, id_col: str, text_col: str, words: int, ev
                     found.append((*struct.unpack("<qq", digest), start, stop))
             at = pa.array(keys, pa.int64())
             cols = list(zip(*found, strict=True)) if found else [[]] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=out.names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=out.names
+            )
 
     told = all_units if every else units
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-    out = T.StructType([T.StructField("id_", docs.schema[id_col].dataType), T.StructField("row_", T.LongType()), T.StructField("h1_", T.LongType()), T.StructField("h2_", T.LongType()), T.StructField("start_", T.IntegerType()), T.StructField("stop_", T.IntegerType())])
+    out = T.StructType(
+        [
+            T.StructField("id_", docs.schema[id_col].dataType),
+            T.StructField("row_", T.LongType()),
+            T.StructField("h1_", T.LongType()),
+            T.StructField("h2_", T.LongType()),
+            T.StructField("start_", T.IntegerType()),
+            T.StructField("stop_", T.IntegerType()),
+        ]
+    )
     return docs.select(F.col(id_col).alias("id_"), F.col(row).alias("row_"), whole_text(text_col).alias("text_")).mapInArrow(run, out)
 
 
@@ -119,9 +130,17 @@ def _mark(rows: DataFrame, row: str, id_col: str, text_col: str, words: int, eve
     # The repeated digests are written before they are joined: both sides of that join then come from a shuffle of their
     # own, so that adaptive execution can split the digest of a line that very many documents have.
     rank = F.struct(F.col("id_").isNull().alias("none"), F.col("id_").alias("id"), F.col("row_").alias("row"), F.col("start_").alias("start"))
-    repeated = staged(found.groupBy("h1_", "h2_").agg(F.count(F.lit(1)).alias("n_"), F.min(rank).alias("first_")).filter("n_ > 1").select("h1_", "h2_", "first_.row", "first_.start"), "repeated")
+    repeated = staged(
+        found.groupBy("h1_", "h2_")
+        .agg(F.count(F.lit(1)).alias("n_"), F.min(rank).alias("first_"))
+        .filter("n_ > 1")
+        .select("h1_", "h2_", "first_.row", "first_.start"),
+        "repeated",
+    )
     gone = found.join(repeated, ["h1_", "h2_"]).filter("row_ <> row or start_ <> start")
-    return gone.groupBy(F.col("row_").alias(row)).agg(F.array_sort(F.collect_list(F.struct(F.col("start_").alias("start"), F.col("stop_").alias("stop")))).alias("spans_"))
+    return gone.groupBy(F.col("row_").alias(row)).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("start_").alias("start"), F.col("stop_").alias("stop")))).alias("spans_")
+    )
 
 
 def _cut(rows: DataFrame, marks: DataFrame, row: str, text_col: str) -> DataFrame:
@@ -146,7 +165,9 @@ def _cut(rows: DataFrame, marks: DataFrame, row: str, text_col: str) -> DataFram
                 texts.append("".join(kept))
                 spans.append(merged)
             cols = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))], names=[*names, "spans_"])
+            yield pa.RecordBatch.from_arrays(
+                [*cols, pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))], names=[*names, "spans_"]
+            )
 
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())]))
     out = T.StructType([*(T.StructField(c, T.StringType()) if c == text_col else rows.schema[c] for c in names), T.StructField("spans_", span)])

@@ -82,11 +82,22 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "do
                 c = np.bincount(np.frombuffer(b"".join([x for x, w in zip(ids, wide, strict=True) if w == flag]), dtype), minlength=len(tally))
                 c[: len(tally)] += tally
                 tally = c
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(wide, pa.bool_()), pa.nulls(len(ids), pa.binary())], names=out.names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(ids, pa.binary()), pa.array(wide, pa.bool_()), pa.nulls(len(ids), pa.binary())], names=out.names
+            )
         if kind is not None:
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.nulls(1, pa.bool_()), pa.array([tally.astype("<i8").tobytes()])], names=out.names)
-
-    out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids_", T.BinaryType()), T.StructField("wide_", T.BooleanType()), T.StructField("tally_", T.BinaryType())])
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.nulls(1, pa.bool_()), pa.array([tally.astype("<i8").tobytes()])], names=out.names
+            )
+
+    out = T.StructType(
+        [
+            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField("ids_", T.BinaryType()),
+            T.StructField("wide_", T.BooleanType()),
+            T.StructField("tally_", T.BinaryType()),
+        ]
+    )
     return docs.select(id_col, whole_text(text_col).alias("text_")).mapInArrow(run, out)
 
 
@@ -153,7 +164,10 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_i
             keys.append(batch.column(0).slice(begun))
         flush()
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], names=["part", "file", "path", "n_ids", "n_docs", "ranks"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)],
+            names=["part", "file", "path", "n_ids", "n_docs", "ranks"],
+        )
 
     tied = tokens.filter("tally_ is null").withColumn("tie_", F.xxhash64("ids_"))
     sorted_ = tied.repartitionByRange(cores(spark), id_col, "tie_").sortWithinPartitions(id_col, "tie_", "ids_").select(id_col, "ids_", "wide_")
@@ -179,9 +193,19 @@ def read(files: DataFrame, id_type: T.DataType, id_col: str = "doc_id") -> DataF
                 counts = index.column("tokens").to_numpy()
                 ends = np.cumsum(counts)
                 crcs = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([index.column("id").combine_chunks(), pa.array(start + ends - counts), pa.array(counts), pa.array(crcs, pa.int64())], names=out.names)
-
-    out = T.StructType([T.StructField(id_col, id_type), T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
+                yield pa.RecordBatch.from_arrays(
+                    [index.column("id").combine_chunks(), pa.array(start + ends - counts), pa.array(counts), pa.array(crcs, pa.int64())],
+                    names=out.names,
+                )
+
+    out = T.StructType(
+        [
+            T.StructField(id_col, id_type),
+            T.StructField("start", T.LongType()),
+            T.StructField("n_tokens", T.LongType()),
+            T.StructField("ids_crc32", T.LongType()),
+        ]
+    )
     return starts.select("path", "ranks", "start_").repartition(max(1, min(n, 4 * cores(files.sparkSession))), "path").mapInArrow(run, out)
 
 

@@ -87,9 +87,17 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
         for d in list(held):
             flush(d)
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["path", "dims", "n", "queries"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.int64(), pa.int64()), strict=True)],
+            names=["path", "dims", "n", "queries"],
+        )
 
-    return staged(vectors.select(F.col(id_col).cast("long"), F.col(vector_col).cast("array<double>")).mapInArrow(run, "path string, dims int, n long, queries long"), "va-blocks")
+    return staged(
+        vectors.select(
+            F.col(id_col).cast("long"), F.col(vector_col).cast("array<double>")
+        ).mapInArrow(run, "path string, dims int, n long, queries long"),
+        "va-blocks",
+    )
 
 
 class Block:
@@ -197,7 +205,10 @@ def search(blocks: DataFrame, k: int = K) -> DataFrame:
                     scan(block, vectors, rows if p == path else np.full(len(rows), -1), best, home.large)
                 out = [(f"{path}:{r}", int(home.ids[r]), None if z else i, -s) for r, b in zip(rows.tolist(), best, strict=True) for s, z, i in b.rows]
                 cols = list(zip(*out, strict=True)) if out else [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["key_", "query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
+                    names=["key_", "query_id", "vec_id", "score"],
+                )
 
     found = work.mapInArrow(run, "key_ string, query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("key_").orderBy(F.desc("score"), F.asc_nulls_last("vec_id")))

@@ -179,7 +179,9 @@ class WordIds:
 
     @staticmethod
     def at_spaces(text: str) -> str | None:
-        if text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or any(x in text for x in _UNEVEN) or _STRANGE.search(text) or (not text.isascii() and _OTHER_BLANK.search(text)):
+        if text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or any(x in text for x in _UNEVEN) or _STRANGE.search(text) or (
+            not text.isascii() and _OTHER_BLANK.search(text)
+        ):
             return None
         if not _LOOSE.search(text):
             text = text.replace(", ", " \x01, ").replace(". ", " \x01. ").replace(".\n", " \x01.\n").replace(",\n", " \x01,\n")

@@ -41,7 +41,9 @@ def roots(links):
 
 def test_components(spark):
     r = random.Random(1)
-    links = [(i, i + 1) for i in range(100, 140)] + [(r.randrange(60), r.randrange(60)) for _ in range(30)] + [(200, k) for k in range(201, 260)] + [(-5, 7), (7, 7)]
+    links = [(i, i + 1) for i in range(100, 140)] + [
+        (r.randrange(60), r.randrange(60)) for _ in range(30)
+    ] + [(200, k) for k in range(201, 260)] + [(-5, 7), (7, 7)]
     df = spark.createDataFrame([*links, (None, 3)], "a long, b long")
     got = {x.node: x.root for x in components.components(df).collect()}
     want = roots([(a, b) for a, b in links if a != b])
@@ -60,7 +62,9 @@ def test_simhash_as_brute_force(spark):
     r = random.Random(2)
     words = ["w%d" % i for i in range(40)]
     values = [(i, " ".join(r.choice(words) for _ in range(r.randrange(0, 40)))) for i in range(60)]
-    values += [(100 + i, values[i][1]) for i in range(10)] + [(None, values[3][1]), (200, None), (201, ""), (202, " \n"), (202, " \n"), (203, "One Two"), (204, "one two")]
+    values += [(100 + i, values[i][1]) for i in range(10)] + [
+        (None, values[3][1]), (200, None), (201, ""), (202, " \n"), (202, " \n"), (203, "One Two"), (204, "one two")
+    ]
     got = simhash.near_duplicates(docs(spark, values)).collect()
     fps = [slow_fingerprint(t or "") for _, t in values]
     assert sorted(x.fingerprint for x in got) == sorted(f"{f:016x}" for f in fps)
@@ -98,7 +102,9 @@ def test_keep_one_finds_near_copies(spark):
         b = list(base[i])
         b[r.randrange(10, 110)] = "changed"
         values.append((1000 + i, " ".join(b)))
-    values += [(2000 + i, " ".join(base[0])) for i in range(15)] + [(0, " ".join(base[0])), (None, " ".join(base[1])), (None, "alone it stands here"), (3000, None), (3001, "")]
+    values += [(2000 + i, " ".join(base[0])) for i in range(15)] + [
+        (0, " ".join(base[0])), (None, " ".join(base[1])), (None, "alone it stands here"), (3000, None), (3001, "")
+    ]
     kept = simhash.keep_one(docs(spark, values).withColumn("row_", F.lit(1))).collect()
     assert sorted(x.doc_id if x.doc_id is not None else -1 for x in kept) == [-1, *range(60), 3000]
     assert kept[0].__fields__ == ["doc_id", "text", "lang", "source", "n_chars", "row_"]
@@ -247,7 +253,18 @@ def slow_top(rows, k=20):
 def test_top_k_is_exact(spark):
     r = random.Random(6)
     rows = [(i, [r.gauss(0, 0.3) for _ in range(7)]) for i in range(300)]
-    rows += [(400 + i, rows[20][1]) for i in range(40)] + [(20, rows[20][1]), (None, rows[3][1]), (500, None), (501, [1.0, None]), (520, [float("nan")] * 7), (540, []), (560, [0.0] * 7), (580, [1.0, 2.0]), (581, [2.0, 1.0]), (600, [1e9] * 7)]
+    rows += [(400 + i, rows[20][1]) for i in range(40)] + [
+        (20, rows[20][1]),
+        (None, rows[3][1]),
+        (500, None),
+        (501, [1.0, None]),
+        (520, [float("nan")] * 7),
+        (540, []),
+        (560, [0.0] * 7),
+        (580, [1.0, 2.0]),
+        (581, [2.0, 1.0]),
+        (600, [1e9] * 7),
+    ]
     df = spark.createDataFrame([(i, v, 0, "x") for i, v in rows], "vec_id long, embedding array<double>, label int, score string")
     got = Counter((x.query_id, x["rank"], x.vec_id, x.score) for x in topk.search(topk.build(df)).collect())
     assert got == slow_top(rows)
@@ -268,7 +285,14 @@ def test_language_model(spark):
     want = Counter()
     for i, t in values:
         w = lm.words_of(t or "")
-        want[i, i is not None and zlib.crc32(str(i).encode()) % 5 == 1, len(w), sum(counts[x] > 0 for x in w), total, round(sum(math.log10((counts[x] + 0.5) / (total + 0.5 * (known + 1))) for x in w), 6)] += 1
+        want[
+            i,
+            i is not None and zlib.crc32(str(i).encode()) % 5 == 1,
+            len(w),
+            sum(counts[x] > 0 for x in w),
+            total,
+            round(sum(math.log10((counts[x] + 0.5) / (total + 0.5 * (known + 1))) for x in w), 6),
+        ] += 1
     assert Counter((x.doc_id, x.held_out, x.n_tokens, x.n_known, x.train_tokens, round(x.base_score, 6)) for x in got) == want
     held = [x for x in got if x.held_out and x.doc_id < 60]
     assert sum(x.score for x in held) > sum(x.base_score for x in held)
@@ -320,7 +344,11 @@ def exact(pairs):
         for ms in itertools.product(*(range(1, c + 1) for c in by_word.values())):
             m = dict(zip(by_word, ms, strict=True))
             n, tables = sum(by_word.values()), sum(ms)
-            weight = math.exp(log + rise(lm.ROOT_STRENGTH, 0.5, tables) - rise(lm.ROOT_STRENGTH, 1, n) + sum(log_ways(by_word[w], m[w]) for w in m) + tables * math.log(base))
+            weight = math.exp(
+                log + rise(lm.ROOT_STRENGTH, 0.5, tables) - rise(lm.ROOT_STRENGTH, 1, n) + sum(
+                    log_ways(by_word[w], m[w]) for w in m
+                ) + tables * math.log(base)
+            )
             total += weight
             p = lambda w: ((by_word[w] - 0.5 * m.get(w, 0)) + (lm.ROOT_STRENGTH + 0.5 * tables) * base) / (lm.ROOT_STRENGTH + n)  # noqa: E731, B023
             for w, x in rows:
@@ -432,7 +460,11 @@ def test_pipeline_as_brute_force(spark):
     tokenizer = Tokenizer.from_file(path)
     ids = {i: [*e.ids, 1] for (i, (t, _)), e in zip(rows.items(), tokenizer.encode_batch([t for t, _ in rows.values()], add_special_tokens=False), strict=True)}
     pieces = corpus_pipeline.pack(spark, cut, sf).collect()
-    want = {(i, k, at, len(own[at : at + 4096]), zlib.crc32(np.array(own[at : at + 4096], "<u4").tobytes())) for i, own in ids.items() for k, at in enumerate(range(0, len(own), 4096))}
+    want = {
+        (
+            i, k, at, len(own[at : at + 4096]), zlib.crc32(np.array(own[at : at + 4096], "<u4").tobytes())
+        ) for i, own in ids.items() for k, at in enumerate(range(0, len(own), 4096))
+    }
     assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in pieces} == want and len(pieces) == len(want)
     by = {}
     for r in pieces:

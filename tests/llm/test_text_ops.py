@@ -42,7 +42,16 @@ def docs(spark, values):
     return frame(spark, [(i, t, "en", "s", len(t or "")) for i, t in values])
 
 
-AWKWARD = [(1, None), (2, ""), (3, "same words here and there for all of us to see"), (3, "same words here and there for all of us to see"), (None, "same words here and there for all of us to see"), (None, None), (5, "z" * 60_000), (6, "\n\n .")]
+AWKWARD = [
+    (1, None),
+    (2, ""),
+    (3, "same words here and there for all of us to see"),
+    (3, "same words here and there for all of us to see"),
+    (None, "same words here and there for all of us to see"),
+    (None, None),
+    (5, "z" * 60_000),
+    (6, "\n\n ."),
+]
 
 
 def test_bpe_as_tiktoken():
@@ -80,7 +89,35 @@ def test_bpe_documents(spark):
 def odd_texts(n, seed):
     """Random texts over characters that normalisers and pre-tokenisers treat in their own way, and whole special tokens."""
     r = random.Random(seed)
-    pool = [*ODD, "İ", "ı", "\u0301", "\u0307", "e\u0301", "\u0958", "\u09dc", "ﬁ", "Å", "Ⅷ", "①", "½", "ß", "\u1100\u1161", "\u200d", "\u0345", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", *"aZ09", " ", " ", ".", ",", ". ", ", "]
+    pool = [
+        *ODD,
+        "İ",
+        "ı",
+        "\u0301",
+        "\u0307",
+        "e\u0301",
+        "\u0958",
+        "\u09dc",
+        "ﬁ",
+        "Å",
+        "Ⅷ",
+        "①",
+        "½",
+        "ß",
+        "\u1100\u1161",
+        "\u200d",
+        "\u0345",
+        "<|endoftext|>",
+        "<|startoftext|>",
+        "<|ENDOFTEXT|>",
+        *"aZ09",
+        " ",
+        " ",
+        ".",
+        ",",
+        ". ",
+        ", ",
+    ]
     return ["".join(r.choice(pool) for _ in range(r.randrange(0, 40))) for _ in range(n)]
 
 
@@ -144,7 +181,11 @@ def test_token_files(spark, monkeypatch):
     got = sorted(tokenfiles.read(tokenfiles.write(table, path), table.schema["doc_id"].dataType).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == sorted(i for i, _ in values)
     assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got[:-1])]).tolist()
-    want = sorted((i, len(ids) + 1, zlib.crc32(np.array([*ids, 0], "<u4").tobytes())) for i, x in values for ids in [t.encode(x or "", add_special_tokens=False).ids])
+    want = sorted(
+        (
+            i, len(ids) + 1, zlib.crc32(np.array([*ids, 0], "<u4").tobytes())
+        ) for i, x in values for ids in [t.encode(x or "", add_special_tokens=False).ids]
+    )
     assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == want
 
 
@@ -213,7 +254,11 @@ def test_pack_documents(spark):
     want = []
     for i, x in values:
         ids = [*t.encode(x or "", add_special_tokens=False).ids, 1]
-        want += [(str(i), p, a, len(ids[a : a + 4096]), zlib.crc32(np.array(ids[a : a + 4096], "<u4").tobytes())) for p, a in enumerate(range(0, len(ids), 4096))]
+        want += [
+            (
+                str(i), p, a, len(ids[a : a + 4096]), zlib.crc32(np.array(ids[a : a + 4096], "<u4").tobytes())
+            ) for p, a in enumerate(range(0, len(ids), 4096))
+        ]
     assert sorted((str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in rows) == sorted(want)
     for s in {r.sequence_id for r in rows}:
         own = sorted((r.offset, r.length) for r in rows if r.sequence_id == s)
@@ -361,13 +406,29 @@ def random_page(r):
             return f"<script>var x = '<p>{text(5, 0.3)}</p>';</script><!-- <p>{text(5, 0.3)}</p> -->"
         if depth > 2:
             return text(3, 0.3)
-        names = ["", "class='sidebar'", "class='article-with-sidebar'", "id='content' class='widget'", "class='comments'", "class='comments-closed'", "class='cookieBanner'", "class='post body'", "style='display:none'", "class='header'"]
+        names = [
+            "",
+            "class='sidebar'",
+            "class='article-with-sidebar'",
+            "id='content' class='widget'",
+            "class='comments'",
+            "class='comments-closed'",
+            "class='cookieBanner'",
+            "class='post body'",
+            "style='display:none'",
+            "class='header'",
+        ]
         tag = r.choice(["div", "div", "div", "section", "nav", "aside", "header", "footer", "form"])
         return f"<{tag} {r.choice(names)}>" + "".join(part(depth + 1) for _ in range(r.randrange(1, 5))) + f"</{tag}>"
 
     body = [part(0) for _ in range(r.randrange(1, 7))]
     if r.random() < 0.5:
-        body.insert(r.randrange(len(body) + 1), f"<article {r.choice(['', '', 'class=comment'])}><h1>{text(4, 0)}</h1>" + "".join(part(1) for _ in range(r.randrange(1, 6))) + "</article>")
+        body.insert(
+            r.randrange(len(body) + 1),
+            f"<article {r.choice(['', '', 'class=comment'])}><h1>{text(4, 0)}</h1>" + "".join(
+                part(1) for _ in range(r.randrange(1, 6))
+            ) + "</article>",
+        )
     return "<!DOCTYPE html><html><head><title>t</title></head><body class='has-sidebar'>" + "".join(body) + "</body></html>"
 
 
@@ -403,7 +464,29 @@ def test_html_pages_that_names_or_languages_mislead(page, want):
 
 def clash(spark, values):
     """Documents with extra columns whose names the operators use themselves."""
-    names = ["row_", "text_", "fp_", "set_", "size_", "ids_", "wide_", "spans_", "score", "label_", "at_", "n_", "tokens", "start", "digest", "component_id", "fingerprint", "ids", "offsets", "piece", "length"]
+    names = [
+        "row_",
+        "text_",
+        "fp_",
+        "set_",
+        "size_",
+        "ids_",
+        "wide_",
+        "spans_",
+        "score",
+        "label_",
+        "at_",
+        "n_",
+        "tokens",
+        "start",
+        "digest",
+        "component_id",
+        "fingerprint",
+        "ids",
+        "offsets",
+        "piece",
+        "length",
+    ]
     df = docs(spark, values)
     for n in names:
         df = df.withColumn(n, F.lit("clash"))
@@ -485,7 +568,10 @@ def test_substring_dedup(spark):
 
 
 def test_a_long_passage_inside_lines_goes_once(spark):
-    passage = "the very long passage that is shared goes on here for a while. and then it says some more of the same things to fill it up. at last it comes to its end after all of these many words."
+    passage = (
+        "the very long passage that is shared goes on here for a while. and then it says some more of the same things to fill it up. at last it comes"
+        " to its end after all of these many words."
+    )
     table = docs(spark, [(1, "own start. " + passage + " own end"), (2, "another own beginning. " + passage + " another close")])
     by = {r.doc_id: r.text for r in substring.remove_repeats(table).collect()}
     assert by[1] == "own start. " + passage + " own end" and "passage that is shared" not in by[2] and by[2].startswith("another own beginning.")
