@@ -149,7 +149,7 @@ def table_lookup(docs: DataFrame, fields: DataFrame, keys: list[str], text_col:
             )
         )
     )
-    cells = rows.select(*keys, "line_no", "line", F.explode(held).alias("v_")).select(
+    cells = rows.select(*keys, "line_no", "line", F.explode_outer(held).alias("v_")).filter("v_ is not null").select(
         *keys, "v_.field", "line_no", "v_.variant_no", "v_.variant", F.split("line", r"[|:\t]", -1).alias("cells_")
     )
     cells = cells.select(*keys, "field", "line_no", "variant_no", "variant", "cells_", F.posexplode("cells_").alias("cell_no", "cell"))
