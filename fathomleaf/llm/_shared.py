@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import contextlib
 import os
 import posixpath
 import tempfile
 import uuid
-from collections.abc import Iterator
 from urllib.parse import urlsplit
 
 import pyarrow.fs as pafs
@@ -108,18 +106,6 @@ def open_file(uri: str):
     return fs.open_input_file(path)
 
 
-@contextlib.contextmanager
-def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
-    """Within it, batches of at most ``n`` rows go to Python: for wide rows, of which several batches are in memory at once."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column of ``df`` has it (case does not count)."""
     taken = {c.lower() for c in df.columns}

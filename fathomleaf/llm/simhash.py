@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomleaf.llm._shared import arrow_rows, cores, free_name, staged, table, whole_text
+from fathomleaf.llm._shared import cores, free_name, staged, table, whole_text
+from fathomleaf.operators.state import arrow_rows
 from fathomleaf.llm.components import components
 
 BUCKET = 32

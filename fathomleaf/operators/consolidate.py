@@ -2,11 +2,13 @@
 
 ``files`` has (company, ord, file, text). Texts are concatenated per company by an ordered aggregate; offsets are running
 sums. A company's text is one value by definition of the operator, so its size is bounded by what one row may hold (2 GB);
-``windows_by_file`` works without that value for companies of any size.
+``windows_by_file`` and ``company_digests`` work without that value for companies of any size.
 """
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 
 from fathomleaf.config import EngineConfig
 from fathomleaf.functions import text as X
+from fathomleaf.operators.state import arrow_rows, kept, shared_folder
 
 RULE = "=" * 80
 
@@ -94,6 +97,109 @@ def company_docs(files: DataFrame) -> DataFrame:
     return out.withColumn("total_chars", F.length("full_text")).withColumn("total_tokens", X.token_count("full_text"))
 
 
+SEGMENT, SEGMENT_IDS = 1 << 27, 256  # characters of a company that one task digests, but for the ids of one bucket
+
+
+class Md5:
+    """MD5 whose state is plain memory (OpenSSL's context), so that another task can go on from it."""
+
+    def __init__(self, state: bytes | None = None) -> None:
+        self.lib, self.at = self.library(), ctypes.create_string_buffer(256)
+        if state is None:
+            self.lib.MD5_Init(self.at)
+        else:
+            self.at[: len(state)] = state
+
+    @staticmethod
+    def library() -> ctypes.CDLL | None:
+        try:
+            import _hashlib
+
+            lib = ctypes.CDLL(_hashlib.__file__)
+            return lib if lib.MD5_Init and lib.MD5_Update and lib.MD5_Final else None
+        except (ImportError, OSError, AttributeError):
+            return None
+
+    def update(self, data: pa.Buffer) -> None:
+        self.lib.MD5_Update(self.at, ctypes.c_void_p(data.address), ctypes.c_size_t(data.size))
+
+    def state(self) -> bytes:
+        return self.at.raw
+
+    def hexdigest(self) -> str:
+        out = ctypes.create_string_buffer(16)
+        self.lib.MD5_Final(out, ctypes.create_string_buffer(self.at.raw, 256))
+        return out.raw.hex()
+
+
+def _digest(batches: Iterator[pa.RecordBatch], handed_on: bool) -> Iterator[pa.RecordBatch]:
+    """(company, state, text_md5) of rows (company, piece, state) in order; a state stands before what it goes on with."""
+    company, own = None, None
+
+    def done() -> pa.RecordBatch:
+        state = own.state() if handed_on else None
+        return pa.RecordBatch.from_arrays(
+            [pa.array([company], kind), pa.array([state], pa.binary()), pa.array([own.hexdigest()])], names=["company", "state_", "text_md5"]
+        )
+
+    for batch in batches:
+        kind = batch.column(0).type
+        for k, c in enumerate(batch.column(0).to_pylist()):
+            state = batch.column(2)[k].as_py()
+            if own is None or c != company:
+                if own is not None:
+                    yield done()
+                company, own = c, Md5(state) if handed_on else hashlib.md5(usedforsecurity=False)
+            if state is None and (data := batch.column(1)[k].as_buffer()).size:
+                own.update(data)
+    if own is not None:
+        yield done()
+
+
+def company_digests(files: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """(company, text_md5, n_files, total_chars, total_tokens) of the texts of ``company_docs``, which are not built.
+
+    Counts are sums over files. A company's pieces are sorted and digested as they pass by; a company of more than ``segment``
+    characters is digested in rounds, each of which goes on from the state that the one before it left, so that no task reads
+    more than a segment of a company.
+    """
+    spark = files.sparkSession
+    rows = _kept(files).select(
+        "company", "ord", "file", F.concat(banner(F.col("file")), "text", F.lit("\n\n")).alias("piece_"), F.floor(F.col("ord") / SEGMENT_IDS).alias("bucket_")
+    )
+    sums = kept(
+        rows.groupBy("company", "bucket_").agg(
+            F.count(F.lit(1)).alias("n_"), F.sum(F.length("piece_")).alias("chars_"), F.sum(X.token_count("piece_")).alias("tokens_")
+        )
+    )
+    before = F.sum("chars_").over(Window.partitionBy("company").orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1))
+    places = sums.select("company", "bucket_", F.floor(F.coalesce(before, F.lit(0)) / segment).cast("int").alias("segment_"))
+    last = (places.agg(F.max("segment_")).first()[0] or 0) if Md5.library() else 0
+    cols = ["company", "ord", "file", "piece_"]
+    if last:
+        p = places.select(F.col("company").alias("c_"), F.col("bucket_").alias("b_"), "segment_")
+        path = shared_folder(spark, "segments")
+        met = rows.join(p, F.col("company").eqNullSafe(F.col("c_")) & F.col("bucket_").eqNullSafe(F.col("b_")))
+        met.select(*cols, "segment_").write.partitionBy("segment_").parquet(path)
+    out = T.StructType([files.schema["company"], T.StructField("state_", T.BinaryType()), T.StructField("text_md5", T.StringType())])
+    states = None
+    for k in range(last + 1):
+        own = (spark.read.parquet(path).filter(F.col("segment_") == k) if last else rows).select(*cols, F.lit(None).cast("binary").alias("state_"))
+        if states is not None:
+            own = own.unionByName(states.select("company", "state_"), allowMissingColumns=True)
+        order = ["company", F.col("state_").isNull(), "ord", "file", "piece_"]
+        with arrow_rows(spark, 256):
+            states = kept(
+                own.repartition("company").sortWithinPartitions(*order).select("company", "piece_", "state_").mapInArrow(
+                    lambda batches, handed_on=last > 0: _digest(batches, handed_on), out
+                )
+            )
+    totals = sums.groupBy(F.col("company").alias("c_")).agg(
+        F.sum("n_").alias("n_files"), F.sum("chars_").alias("total_chars"), F.sum("tokens_").alias("total_tokens")
+    )
+    return states.join(totals, F.col("company").eqNullSafe(F.col("c_"))).select("company", "text_md5", "n_files", "total_chars", "total_tokens")
+
+
 def window_starts(n: Column, size: int, overlap: int) -> Column:
     """Starts of windows over ``n`` units: null for none."""
     step = size - overlap

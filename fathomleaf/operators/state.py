@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +30,15 @@ def kept(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder, its lineage cut: a lost executor costs nothing of it."""
     shared_root(df.sparkSession)
     return df.checkpoint()
+
+
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Within it, batches of at most ``n`` rows go to Python: for wide rows, of which several batches are in memory at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -240,3 +240,20 @@ def test_normalised_amounts_and_filters(spark):
     assert [r[0] for r in Q.filter_company(rows, "^ac").collect()] == ["Acme"] and [r[0] for r in C.companies(rows, "Zeta").collect()] == ["Zeta"]
     assert Q.common_fields(spark.createDataFrame([], "a int, b int, Comments int"), spark.createDataFrame([], "b int, Comments int")) == ["b"]
     assert spark.range(1).select(N.normalize_amount(F.lit(" EUR  1 "))).first()[0] is not None
+
+
+def test_company_digests_in_rounds(spark):
+    """A company's digest goes on from round to round, so that no value and no task holds its whole text."""
+    import hashlib
+
+    from fathomleaf.operators import consolidate as C
+
+    rows = [(c, i * 100, f"f{i}", t * (i + 1)) for c, n in (("big", 12), ("small", 1), (None, 3)) for i in range(n) for t in ["é b "]]
+    files = spark.createDataFrame([*rows, ("big", 50, "blank", "  "), ("none", 1, "blank", "")], "company string, ord long, file string, text string")
+    want = {r["company"]: r for r in C.company_docs(files).collect()}
+    for segment in (C.SEGMENT, 700):
+        got = {r["company"]: r for r in C.company_digests(files, segment).collect()}
+        assert set(got) == set(want) == {"big", "small", None}
+        for c, r in want.items():
+            text = hashlib.md5(r["full_text"].encode()).hexdigest()
+            assert tuple(got[c])[1:] == (text, len(r["source_files"]), r["total_chars"], r["total_tokens"])
