@@ -257,3 +257,13 @@ def test_company_digests_in_rounds(spark):
         for c, r in want.items():
             text = hashlib.md5(r["full_text"].encode()).hexdigest()
             assert tuple(got[c])[1:] == (text, len(r["source_files"]), r["total_chars"], r["total_tokens"])
+
+
+def test_table_line_of_a_long_text_is_tried(spark):
+    """A value in a table reaches the row though no window with it is retrieved and twenty fields before it are missing too."""
+    from fathomleaf.plans import document
+
+    busy = "interest rate spread margin basis points bps floor cap pricing base tenor fix credit premium loan. " * 70
+    text = f"{busy}\n" * 8 + "filler words " * 900 + "\nGENERAL TERMS AND CONDITIONS\na | b\nSpread [%] | 1.25%\nc | d\nclosing line\n" + "plain words " * 300
+    files = spark.createDataFrame([("c", 0, "a.txt", text)], "company string, ord int, file string, text string")
+    assert [r["Spread [%]"] for r in document.run(spark, files).rows.collect()] == ["1.25%"]
