@@ -267,3 +267,26 @@ def test_table_line_of_a_long_text_is_tried(spark):
     text = f"{busy}\n" * 8 + "filler words " * 900 + "\nGENERAL TERMS AND CONDITIONS\na | b\nSpread [%] | 1.25%\nc | d\nclosing line\n" + "plain words " * 300
     files = spark.createDataFrame([("c", 0, "a.txt", text)], "company string, ord int, file string, text string")
     assert [r["Spread [%]"] for r in document.run(spark, files).rows.collect()] == ["1.25%"]
+
+
+def test_dense_tiles_give_the_whole_ranking(spark, monkeypatch):
+    """Tiles smaller than a company, ties, vectors of another length and odd ones: the same as every pair by hand."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = [(f"c{i % 3}", i, [float(x) for x in rng.integers(-2, 3, 4)]) for i in range(60)]
+    rows += [("c0", 100, [1.0, 2.0]), ("c1", 101, None), ("c1", 102, [1.0, None, 0.0, 0.0]), (None, 103, [1.0, 0.0, 1.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "company string, id long, vector array<double>")
+    queries = vectors.filter("id % 7 = 0 or id > 99").selectExpr("id as query", "vector")
+    monkeypatch.setattr(S, "TILE_ROWS", 7)
+    monkeypatch.setattr(S, "TILE_QUERIES", 2)
+    unit = {i: (c, np.array(v) / (np.linalg.norm(v) or 1)) for c, i, v in rows if v and None not in v}
+    want = []
+    for q in (i for i in unit if i % 7 == 0 or i > 99):
+        for c in {c for c, _ in unit.values()}:
+            found = sorted((-round(float(v @ unit[q][1]), 9), i) for i, (d, v) in unit.items() if d == c and len(v) == len(unit[q][1]))[:20]
+            want += [(str(c), q, i, n + 1) for n, (s, i) in enumerate(found) if s < 0]
+    for k in (20, 3):
+        got = [(str(r["company"]), r["query"], r["id"], r["rank"]) for r in S.dense_search(vectors, queries, k).filter("score > 1e-9").collect()]
+        assert sorted(got) == sorted(w for w in want if w[3] <= k)
+    assert max(t[3] for t in want) > 3
