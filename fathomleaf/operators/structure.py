@@ -6,9 +6,6 @@ nothing gathers more than a document in a task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,31 +100,17 @@ def pack(sizes: list[int], size: int, overlap: int) -> list[tuple[int, int, int]
 
 
 def sentence_chunks(docs: DataFrame, keys: list[str], size: int = 2000, overlap: int = 400, text_col: str = "text") -> DataFrame:
-    """(keys, id, text, token_count, sentence_count). Boundaries depend on the chunk before: a fold in Arrow batches.
+    """(keys, id, text, token_count, sentence_count). Boundaries depend on the chunk before: a fold, row by row.
 
-    Sentences are split and counted natively; only the fold over the counts is Python. Null text has no chunk; an empty
-    text has one empty chunk.
+    Sentences are split and counted natively; only the counts go to Python, a hundred rows at a time. Null text has no chunk;
+    an empty text has one empty chunk.
     """
     rows = docs.select(*keys, X.sentences(text_col).alias("sentences_")).filter("sentences_ is not null").withColumn(
         "sizes_", F.transform("sentences_", X.token_count)
     )
-
-    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame(
-                {
-                    "chunks_": [
-                        [
-                            {"id": i, "first": a + 1, "length": b - a, "token_count": t} for i, (a, b, t) in enumerate(pack(list(s), size, overlap))
-                        ] for s in frame["sizes_"]
-                    ],
-                    **{c: frame[c] for c in (*keys, "sentences_")},
-                }
-            )
-
     spans = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("id", "first", "length", "token_count")]))
-    out = T.StructType([T.StructField("chunks_", spans), *(rows.schema[c] for c in (*keys, "sentences_"))])
-    found = rows.mapInPandas(fold, out).select(*keys, "sentences_", F.explode("chunks_").alias("c"))
+    fold = F.udf(lambda sizes: [(i, a + 1, b - a, n) for i, (a, b, n) in enumerate(pack(sizes, size, overlap))], spans, useArrow=False)
+    found = rows.withColumn("chunks_", fold("sizes_")).select(*keys, "sentences_", F.explode("chunks_").alias("c"))
     return found.select(
         *keys,
         "c.id",

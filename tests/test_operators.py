@@ -290,3 +290,11 @@ def test_dense_tiles_give_the_whole_ranking(spark, monkeypatch):
         got = [(str(r["company"]), r["query"], r["id"], r["rank"]) for r in S.dense_search(vectors, queries, k).filter("score > 1e-9").collect()]
         assert sorted(got) == sorted(w for w in want if w[3] <= k)
     assert max(t[3] for t in want) > 3
+
+
+def test_only_what_is_asked_goes_to_python(spark):
+    """Rows of model calls and sentences go to Python a hundred at a time, not whole frames of them."""
+    docs = spark.createDataFrame([(i, f"One {i}. Two. " * 3) for i in range(5)], "doc_id long, text string")
+    for df in (T.sentence_chunks(docs, ["doc_id"], 5, 2),):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "MapIn" not in plan
