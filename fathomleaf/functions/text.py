@@ -94,15 +94,22 @@ def _among(own: list[str]):
 
 
 def language(c: Column | str, default: str = "en") -> Column:
-    """The language with most stop words; ties in the order above; ``default`` if there are none."""
-    words = F.split(F.lower(col(c)), r"[ \t\n\r\f\x0B]+", -1)
-    counts = [
-        F.struct(
-            F.size(F.filter(words, _among(own))).alias("n"), F.lit(-i).alias("order"), F.lit(k).alias("code")
-        ) for i, (k, own) in enumerate(LANGUAGE_WORDS.items())
-    ]
-    best = F.array_max(F.array(*counts))
-    return F.when(best["n"] > 0, best["code"]).otherwise(default)
+    """The language with most stop words; ties in the order above; ``default`` if there are none.
+
+    The words are split once and only stop words of some language counted: a column that a lambda names is evaluated once.
+    """
+    words = F.filter(F.split(F.lower(col(c)), r"[ \t\n\r\f\x0B]+", -1), _among(sorted({w for own in LANGUAGE_WORDS.values() for w in own})))
+
+    def best(w: Column) -> Column:
+        counts = [
+            F.struct(
+                F.size(F.filter(w, _among(own))).alias("n"), F.lit(-i).alias("order"), F.lit(k).alias("code")
+            ) for i, (k, own) in enumerate(LANGUAGE_WORDS.items())
+        ]
+        return F.array_max(F.array(*counts))
+
+    code = F.transform(F.transform(F.array(words), best), lambda b: F.when(b["n"] > 0, b["code"]).otherwise(default))
+    return F.get(code, F.lit(0))
 
 
 # Names of languages by code.

@@ -298,3 +298,12 @@ def test_only_what_is_asked_goes_to_python(spark):
     for df in (T.sentence_chunks(docs, ["doc_id"], 5, 2),):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" in plan and "MapIn" not in plan
+
+
+def test_languages_words_are_split_once(spark):
+    from fathomleaf.functions import text as X
+
+    rows = spark.createDataFrame([("The cat of AND",), ("der die\tdas nicht",), ("",), (None,), ("le le the the",)], "text string")
+    df = rows.select(X.language("text").alias("code"))
+    assert [r[0] for r in df.collect()] == ["en", "de", "en", "en", "en"]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
