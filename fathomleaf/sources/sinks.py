@@ -24,10 +24,14 @@ def ordered(df: DataFrame) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in [*own, *(c for c in df.columns if c not in set(own))]))
 
 
+CSV_ROWS = 20_000
+
+
 def write_csv(df: DataFrame, path: str) -> None:
+    """Files of ``CSV_ROWS`` rows at most: values may hold line feeds, so a file is read by one task."""
     ordered(df).write.mode("overwrite").option("header", True).option("escape", '"').option("encoding", "UTF-8").option(
         "ignoreLeadingWhiteSpace", False
-    ).option("ignoreTrailingWhiteSpace", False).csv(path)
+    ).option("ignoreTrailingWhiteSpace", False).option("maxRecordsPerFile", CSV_ROWS).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

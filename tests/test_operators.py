@@ -307,3 +307,14 @@ def test_languages_words_are_split_once(spark):
     df = rows.select(X.language("text").alias("code"))
     assert [r[0] for r in df.collect()] == ["en", "de", "en", "en", "en"]
     assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_csv_of_many_rows_goes_to_many_files(spark, tmp_path):
+    """A file of rows with line feeds cannot be split, so that none may grow with the rows."""
+    from fathomleaf.sources import readers, sinks
+
+    rows = spark.range(2 * sinks.CSV_ROWS + 1).coalesce(1).selectExpr("concat('a\n', id) as Comments")
+    sinks.write_csv(rows, str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("*.csv"))) == 3
+    back = readers.read_csv(spark, str(tmp_path / "out"))
+    assert back.count() == back.distinct().count() == 2 * sinks.CSV_ROWS + 1 and back.filter("Comments = 'a\n7'").count() == 1
