@@ -9,10 +9,8 @@ from __future__ import annotations
 import json
 import re
 import time
-from collections.abc import Iterator
 from typing import Protocol
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,40 +98,40 @@ def usable(answer: str | None, key: str | None) -> bool:
     return isinstance(found, dict) and (key is None or key in found)
 
 
+ANSWER = T.StructType(
+    [
+        T.StructField("response", T.StringType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("tries", T.IntegerType()),
+        T.StructField("seconds", T.DoubleType()),
+    ]
+)
+
+
 def call_model(prompts: DataFrame, make: type | None = None, key: str | None = None, tries: int = 2) -> DataFrame:
     """``prompts`` (..., system, prompt, max_tokens) with ``response``, ``error``, ``tries`` and ``seconds``.
 
     A call whose answer is not ``usable`` is made again, with a line that asks for nothing but JSON, ``tries`` times in
     all; then the last answer stays. A failed call is a row, not a failed job.
     """
-    kind = make or RuleExtractor
-    keep = [c for c in prompts.columns]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = kind()
-        for frame in frames:
-            rows = []
-            for s, p, n in zip(frame["system"], frame["prompt"], frame["max_tokens"], strict=True):
-                answer, error, began = None, None, time.monotonic()
-                for count in range(1, tries + 1):
-                    try:
-                        answer, error = model(s, p + AGAIN if count > 1 else p, int(n)), None
-                    except Exception as e:  # a row's own failure stays in its row
-                        answer, error = None, f"{type(e).__name__}: {e}"
-                    if usable(answer, key):
-                        break
-                rows.append((answer, error, count, time.monotonic() - began))
-            yield frame[keep].assign(
-                **dict(zip(("response", "error", "tries", "seconds"), map(list, zip(*rows, strict=True)) if rows else ([],) * 4, strict=True))
-            )
-
-    more = [
-        T.StructField("response", T.StringType()),
-        T.StructField("error", T.StringType()),
-        T.StructField("tries", T.IntegerType()),
-        T.StructField("seconds", T.DoubleType()),
-    ]
-    return prompts.mapInPandas(run, T.StructType([*prompts.schema, *more]))
+    kind, made = make or RuleExtractor, []
+
+    def run(system: str, prompt: str, most: int) -> tuple[str | None, str | None, int, float]:
+        if not made:
+            made.append(kind())
+        answer, error, began = None, None, time.monotonic()
+        for count in range(1, tries + 1):
+            try:
+                answer, error = made[0](system, prompt + AGAIN if count > 1 else prompt, int(most)), None
+            except Exception as e:  # a row's own failure stays in its row
+                answer, error = None, f"{type(e).__name__}: {e}"
+            if usable(answer, key):
+                break
+        return answer, error, count, time.monotonic() - began
+
+    # Row by row: Spark pickles a hundred rows at a time, and columns that are not asked about stay in the JVM.
+    ask = F.udf(run, ANSWER, useArrow=False).asNondeterministic()
+    return prompts.withColumn("answer_", ask("system", "prompt", "max_tokens")).select(*(f"`{c}`" for c in prompts.columns), "answer_.*")
 
 
 def detection_prompts(contexts: DataFrame) -> DataFrame:

@@ -295,9 +295,11 @@ def test_dense_tiles_give_the_whole_ranking(spark, monkeypatch):
 def test_only_what_is_asked_goes_to_python(spark):
     """Rows of model calls and sentences go to Python a hundred at a time, not whole frames of them."""
     docs = spark.createDataFrame([(i, f"One {i}. Two. " * 3) for i in range(5)], "doc_id long, text string")
-    for df in (T.sentence_chunks(docs, ["doc_id"], 5, 2),):
+    prompts = docs.selectExpr("doc_id", "'s' as system", "text as prompt", "1 as max_tokens", "text as more")
+    for df in (E.call_model(prompts), T.sentence_chunks(docs, ["doc_id"], 5, 2)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" in plan and "MapIn" not in plan
+    assert E.call_model(prompts).columns == [*prompts.columns, "response", "error", "tries", "seconds"]
 
 
 def test_languages_words_are_split_once(spark):
