@@ -320,3 +320,11 @@ def test_csv_of_many_rows_goes_to_many_files(spark, tmp_path):
     assert len(list((tmp_path / "out").glob("*.csv"))) == 3
     back = readers.read_csv(spark, str(tmp_path / "out"))
     assert back.count() == back.distinct().count() == 2 * sinks.CSV_ROWS + 1 and back.filter("Comments = 'a\n7'").count() == 1
+
+
+def test_queries_of_model_calls_send_no_frames(spark, data):
+    from fathomleaf.plans import catalog
+
+    for name in ("field_group_extraction", "verification_pass", "retried_extraction", "facility_detection"):
+        plan = catalog.QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "MapInPandas" not in plan, name
