@@ -97,7 +97,7 @@ def company_docs(files: DataFrame) -> DataFrame:
     return out.withColumn("total_chars", F.length("full_text")).withColumn("total_tokens", X.token_count("full_text"))
 
 
-SEGMENT, SEGMENT_IDS = 1 << 27, 256  # characters of a company that one task digests, but for the ids of one bucket
+SEGMENT, SEGMENT_IDS = 1 << 26, 256  # characters of a company that one task digests, but for the ids of one bucket
 
 
 class Md5:
@@ -173,14 +173,19 @@ def company_digests(files: DataFrame, segment: int = SEGMENT) -> DataFrame:
         )
     )
     before = F.sum("chars_").over(Window.partitionBy("company").orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1))
-    places = sums.select("company", "bucket_", F.floor(F.coalesce(before, F.lit(0)) / segment).cast("int").alias("segment_"))
-    last = (places.agg(F.max("segment_")).first()[0] or 0) if Md5.library() else 0
+    places = sums.select("company", "bucket_", F.floor(F.coalesce(before, F.lit(0)) / segment).alias("segment_"))
+    # Where the segments begin, of companies with more than one: a few rows, as each has over ``segment`` characters.
+    starts = places.groupBy("company", "segment_").agg(F.min("bucket_").alias("b_")).groupBy(F.col("company").alias("c_")).agg(
+        F.collect_list("b_").alias("starts_")
+    )
+    large = kept(starts.filter(F.size("starts_") > 1))
+    last = (large.agg(F.max(F.size("starts_"))).first()[0] or 1) - 1 if Md5.library() else 0
     cols = ["company", "ord", "file", "piece_"]
     if last:
-        p = places.select(F.col("company").alias("c_"), F.col("bucket_").alias("b_"), "segment_")
         path = shared_folder(spark, "segments")
-        met = rows.join(p, F.col("company").eqNullSafe(F.col("c_")) & F.col("bucket_").eqNullSafe(F.col("b_")))
-        met.select(*cols, "segment_").write.partitionBy("segment_").parquet(path)
+        met = rows.join(F.broadcast(large), F.col("company").eqNullSafe(F.col("c_")), "left")
+        number = F.size(F.filter(F.coalesce("starts_", F.array().cast("array<bigint>")), lambda b: b <= F.col("bucket_"))) - 1
+        met.select(*cols, F.greatest(number, F.lit(0)).alias("segment_")).write.partitionBy("segment_").parquet(path)
     out = T.StructType([files.schema["company"], T.StructField("state_", T.BinaryType()), T.StructField("text_md5", T.StringType())])
     states = None
     for k in range(last + 1):
