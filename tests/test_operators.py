@@ -328,3 +328,18 @@ def test_queries_of_model_calls_send_no_frames(spark, data):
     for name in ("field_group_extraction", "verification_pass", "retried_extraction", "facility_detection"):
         plan = catalog.QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" in plan and "MapInPandas" not in plan, name
+
+
+def test_patterns_send_no_frames(spark, data):
+    """Texts go to the patterns a hundred at a time too, and only those of fields that have patterns."""
+    from fathomleaf.plans import catalog
+
+    for name in ("deep_single_field", "pattern_candidates"):
+        plan = catalog.QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "MapInPandas" not in plan, name
+    text = "the applicable margin is 2.5% then 75 bps"
+    rows = spark.createDataFrame([("a", "Spread [%]", text), ("b", "Tenor", text), ("c", "Spread [%]", None), ("d", None, text)], "company string, field string, text string")
+    got = {r["company"]: r["candidates"] for r in D.field_candidates(rows).collect()}
+    assert got == {"a": ["2.5", "75"], "b": [], "c": [], "d": []}
+    got = D.pattern_candidates(rows.drop("field"), "company", "text").collect()
+    assert sorted(map(tuple, got)) == [(c, "Spread [%]", ["2.5", "75"]) for c in "abd"]
