@@ -96,6 +96,7 @@ def pattern_candidates(docs: DataFrame, key: str = "company", text_col: str = "f
     found = T.ArrayType(T.StructType([T.StructField("field", T.StringType()), T.StructField("candidates", T.ArrayType(T.StringType()))]))
     # As for model calls: a hundred rows at a time, not whole frames of texts.
     match = F.udf(lambda text: [(f, c) for f, s in strategies.items() if (c := candidates_of(text or "", s))], found, useArrow=False)
+    match = match.asNondeterministic()  # else the filter that explode implies is pushed below, and texts are matched twice
     return docs.select(key, match(text_col).alias("found_")).select(key, F.explode("found_").alias("f_")).select(key, "f_.field", "f_.candidates")
 
 
